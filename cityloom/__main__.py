@@ -16,11 +16,13 @@ def parser() -> argparse.ArgumentParser:
 
     job = jobs.add_parser("format", help="landing files to formatted zone")
     for field in fields(formatting.Landing):
-        job.add_argument(f"--{field.name.replace('_', '-')}", required=True, metavar="PATH")
+        optional = field.name.endswith("_schema")
+        job.add_argument(f"--{field.name.replace('_', '-')}", required=not optional, metavar="DDL" if optional else "PATH")
     job.add_argument("--formatted", required=True, metavar="PATH")
     job.add_argument("--on-mismatch", choices=("cast", "null"), default="cast")
     job.add_argument("--on-missing", choices=("keep", "drop"), default="keep")
     job.add_argument("--strict-names", action="store_true")
+    job.add_argument("--listings-by", metavar="COLUMN")
 
     for name, text in (("kpi", "formatted zone to indicators"), ("train", "formatted zone to price model")):
         job = jobs.add_parser(name, help=text)
@@ -37,7 +39,8 @@ def main(arguments: list[str] | None = None) -> None:
     formatted = Zone(spark, args.formatted)
     if args.job == "format":
         landing = formatting.Landing(**{f.name: getattr(args, f.name) for f in fields(formatting.Landing)})
-        formatting.run(spark, landing, formatted, formatting.Choices(args.on_mismatch, args.on_missing, args.strict_names))
+        choices = formatting.Choices(args.on_mismatch, args.on_missing, args.strict_names, args.listings_by)
+        formatting.run(spark, landing, formatted, choices)
     elif args.job == "kpi":
         indicators.run(formatted, Zone(spark, args.exploitation), args.mode, args.nulls)
     else:

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from cityloom.gallery.registry import query, table
 from cityloom.operators.relate import join_keeping_left
+from cityloom.plans.training import model_rows
 
 
 @query(
@@ -118,7 +119,6 @@ def inner_join_chain(spark, sf_dir):
     sensors = lines.select(
         F.col("n_name").alias("neighborhood"), F.year("l_shipdate").cast("string").alias("year"), "l_returnflag"
     ).distinct()
-    listings = listing_rows(spark, sf_dir).withColumn("year", F.year("date"))
     customer = table(spark, sf_dir, "customer").join(
         table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
@@ -127,8 +127,7 @@ def inner_join_chain(spark, sf_dir):
         .agg(F.count("*").alias("pop"))
         .withColumn("year", F.lit(1))
     )
-    chained = join_keeping_left(sensors, listings, ["neighborhood", "year"], large="right")
-    chained = join_keeping_left(chained, income, ["neighborhood"], large="left")
-    return chained.groupBy("neighborhood", "year").agg(
+    rows = model_rows(listing_rows(spark, sf_dir), income, sensors)
+    return rows.groupBy("neighborhood", "year").agg(
         F.count("*").alias("n"), F.round(F.sum("price"), 2).alias("price"), F.sum("pop").alias("pop")
     )

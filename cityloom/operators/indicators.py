@@ -23,11 +23,10 @@ def in_latest_month(df: DataFrame, date: str = "date") -> DataFrame:
     """Rows of the calendar month of the latest date.
 
     The latest date is a subquery of the same plan, and the condition is a plain lower
-    bound on the column, which reaches the scan and prunes date partitions.
+    bound on the bare column, which reaches the scan.
     """
-    column = F.col(date).cast("date")
-    first_day = df.select(F.trunc(F.max(F.col(date)).cast("date"), "month")).scalar()
-    return df.where(column >= first_day)
+    first_day = F.trunc(F.max(date).cast("date"), "month").cast(df.schema[date].dataType)
+    return df.where(F.col(date) >= df.select(first_day).scalar())
 
 
 def top_groups(df: DataFrame, key: str, n: int = 5) -> DataFrame:
@@ -74,38 +73,68 @@ def moment_columns(value: Column, name: str) -> list[Column]:
 def merge_moments(finer: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Moments per ``keys`` from moments of finer groups, as if taken from the rows."""
     n, mean = F.col(f"{name}_n"), F.col(f"{name}_mean")
-    whole = Window.partitionBy(*keys)
-    centre = F.sum(n * mean).over(whole) / F.sum(n).over(whole)
-    apart = finer.where(n > 0).withColumn("_centre", centre)
-    return apart.groupBy(*keys).agg(
+    centred = _with_centre(finer.where(n > 0), keys, n, mean=mean)
+    return centred.groupBy(*keys).agg(
         F.sum(n).alias(f"{name}_n"),
-        F.first("_centre").alias(f"{name}_mean"),
-        F.sum(F.col(f"{name}_dev") + n * F.pow(mean - F.col("_centre"), F.lit(2))).alias(f"{name}_dev"),
+        F.first("_centre.mean").alias(f"{name}_mean"),
+        F.sum(F.col(f"{name}_dev") + n * F.pow(mean - F.col("_centre.mean"), F.lit(2))).alias(f"{name}_dev"),
         F.min(f"{name}_min").alias(f"{name}_min"),
         F.max(f"{name}_max").alias(f"{name}_max"),
     )
 
 
+def _with_centre(df: DataFrame, keys: Sequence[str], weight: Column, **values: Column) -> DataFrame:
+    """Add the struct ``_centre``: weighted means of the values over the rows of each key."""
+    whole = Window.partitionBy(*keys)
+    total = F.sum(weight).over(whole)
+    means = [(F.sum(weight * value).over(whole) / total).alias(name) for name, value in values.items()]
+    return df.withColumn("_centre", F.struct(*means))
+
+
+def _merge_pairs(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Combine rows of pair moments (n, x, y, xx, yy, xy and the bounds) to one row per key."""
+    n, x, y = F.col("n"), F.col("x"), F.col("y")
+    from_x, from_y = x - F.col("_centre.x"), y - F.col("_centre.y")
+    return (
+        _with_centre(df, keys, n, x=x, y=y)
+        .groupBy(*keys)
+        .agg(
+            F.sum("n").alias("n"),
+            F.first("_centre.x").alias("x"),
+            F.first("_centre.y").alias("y"),
+            F.sum(F.col("xx") + n * from_x * from_x).alias("xx"),
+            F.sum(F.col("yy") + n * from_y * from_y).alias("yy"),
+            F.sum(F.col("xy") + n * from_x * from_y).alias("xy"),
+            *[F.min(f"{c}_min").alias(f"{c}_min") for c in "xy"],
+            *[F.max(f"{c}_max").alias(f"{c}_max") for c in "xy"],
+        )
+    )
+
+
 def correlation_of_moments(left: DataFrame, x: str, right: DataFrame, y: str, keys: Sequence[str]) -> DataFrame:
     """Pearson correlation over the inner join of two data sets, from their moments per join key.
 
     Every key contributes all pairs of its left and right rows, but the pairs are never formed: within
     a key the two sides are independent, so only counts, means and deviations are needed.
-    One row per key is joined, however many rows a key has. One row; NULL as in ``correlation``.
+    One row per key is joined, however many rows a key has, and each side is read once.
+    One row; NULL as in ``correlation``.
     """
-    n = F.col(f"{x}_n").cast("double") * F.col(f"{y}_n")
-    keyed = left.dropna(subset=list(keys)).join(right, list(keys)).withColumn("_n", n)
-    mean = {side: F.sum(F.col("_n") * F.col(f"{side}_mean")) / F.sum("_n") for side in (x, y)}
-    centre = keyed.select(F.struct(mean[x].alias("x"), mean[y].alias("y"))).scalar()
-    from_x = F.col(f"{x}_mean") - centre.getField("x")
-    from_y = F.col(f"{y}_mean") - centre.getField("y")
-    sums = keyed.agg(
-        F.sum(F.col("_n") * from_x * from_y).alias("xy"),
-        F.sum(F.col(f"{x}_dev") * F.col(f"{y}_n") + F.col("_n") * from_x * from_x).alias("xx"),
-        F.sum(F.col(f"{y}_dev") * F.col(f"{x}_n") + F.col("_n") * from_y * from_y).alias("yy"),
-        ((F.min(f"{x}_min") < F.max(f"{x}_max")) & (F.min(f"{y}_min") < F.max(f"{y}_max"))).alias("varies"),
+    left_n, right_n = F.col(f"{x}_n").cast("double"), F.col(f"{y}_n").cast("double")
+    per_key = left.join(right, list(keys)).select(
+        F.pmod(F.xxhash64(*keys), F.lit(256)).alias("bucket"),
+        (left_n * right_n).alias("n"),
+        F.col(f"{x}_mean").alias("x"),
+        F.col(f"{y}_mean").alias("y"),
+        (F.col(f"{x}_dev") * right_n).alias("xx"),
+        (F.col(f"{y}_dev") * left_n).alias("yy"),
+        F.lit(0.0).alias("xy"),
+        *[F.col(f"{old}_{end}").alias(f"{new}_{end}") for old, new in ((x, "x"), (y, "y")) for end in ("min", "max")],
     )
-    return sums.select(F.when(F.col("varies"), F.try_divide(F.col("xy"), F.sqrt("xx") * F.sqrt("yy"))).alias("value"))
+    # Keys are merged in a fixed number of buckets, so the last step sees 256 rows at most.
+    whole = _merge_pairs(_merge_pairs(per_key, ["bucket"]).drop("bucket"), [])
+    varies = (F.col("x_min") < F.col("x_max")) & (F.col("y_min") < F.col("y_max"))
+    value = F.try_divide(F.col("xy"), F.sqrt("xx") * F.sqrt("yy"))
+    return whole.select(F.when(varies, value).alias("value"))
 
 
 def joined_correlation(

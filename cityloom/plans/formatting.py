@@ -11,6 +11,7 @@ from cityloom.functions.text import normalize_name
 from cityloom.operators.conform import conform_union, drop_duplicate_rows
 from cityloom.operators.lookup import Level, reconcile
 from cityloom.operators.shape import first_element, flatten_in_frames
+from cityloom.session import size_shuffles
 from cityloom.sources.landing import SOURCE, landing_frames, read_files, with_day, with_year
 from cityloom.sources.zones import Zone
 
@@ -20,7 +21,8 @@ LISTING_UNUSED = ("country", "municipality", "province", "url", "thumbnail")
 
 @dataclass(frozen=True)
 class Landing:
-    """Folders of the three data sets and JSON-lines files of the four lookups."""
+    """Folders of the three data sets, JSON-lines files of the four lookups, and optionally
+    the data sets' schemas as DDL: a declared schema saves the pass that infers it."""
 
     listings: str
     income: str
@@ -29,6 +31,9 @@ class Landing:
     income_neighborhoods: str
     listing_districts: str
     listing_neighborhoods: str
+    listings_schema: str | None = None
+    income_schema: str | None = None
+    air_quality_schema: str | None = None
 
 
 @dataclass(frozen=True)
@@ -38,11 +43,14 @@ class Choices:
     ``on_mismatch``: a key of another type than the lookup's is converted ("cast") or blanked ("null").
     ``on_missing``: listing files without one of the struct columns are kept ("keep") or left out ("drop").
     ``strict_names``: also match names differing in apostrophes or surrounding quotes.
+    ``listings_by``: partition column of the listings table; the later jobs read whole columns and need
+    none, and it costs one more shuffle of all listings.
     """
 
     on_mismatch: str = "cast"
     on_missing: str = "keep"
     strict_names: bool = False
+    listings_by: str | None = None
 
 
 def format_air_quality(
@@ -108,15 +116,16 @@ def run(spark: SparkSession, landing: Landing, formatted: Zone, choices: Choices
     def lookup(path: str) -> DataFrame:
         return read_files(spark, "json", path)
 
+    size_shuffles(spark, landing.listings, landing.income, landing.air_quality)
     districts, neighborhoods = lookup(landing.income_districts), lookup(landing.income_neighborhoods)
-    income = format_income(landing_frames(spark, landing.income), districts, neighborhoods, choices)
-    air = format_air_quality(landing_frames(spark, landing.air_quality), districts, neighborhoods, choices)
+    income_frames = landing_frames(spark, landing.income, schema=landing.income_schema)
+    air_frames = landing_frames(spark, landing.air_quality, schema=landing.air_quality_schema)
+    listing_frames = landing_frames(
+        spark, landing.listings, "daily", landing.listings_schema, by_schema=choices.on_missing == "drop"
+    )
     listings = format_listings(
-        landing_frames(spark, landing.listings, "daily", by_schema=choices.on_missing == "drop"),
-        lookup(landing.listing_districts),
-        lookup(landing.listing_neighborhoods),
-        choices,
+        listing_frames, lookup(landing.listing_districts), lookup(landing.listing_neighborhoods), choices
     )
-    formatted.write("income", income, "overwrite")
-    formatted.write("air_quality", air, "overwrite")
-    formatted.write("listings", listings, "overwrite", partition_by="date")
+    formatted.write("income", format_income(income_frames, districts, neighborhoods, choices), "overwrite")
+    formatted.write("air_quality", format_air_quality(air_frames, districts, neighborhoods, choices), "overwrite")
+    formatted.write("listings", listings, "overwrite", partition_by=choices.listings_by)

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -43,6 +44,22 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def size_shuffles(spark: SparkSession, *paths: str, bytes_per_partition: int = 128 << 20) -> int:
+    """Set the number of shuffle partitions a job starts with from the size of its input files.
+
+    Adaptive execution merges partitions that turn out small but never splits below this number,
+    so it has to grow with the data. Only the file index is read. Returns the number.
+    """
+    total = 0
+    for path in paths:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        total += files.agg(F.sum("length")).first()[0] or 0
+    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    number = min(max(default, total // bytes_per_partition), 50_000)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(number))
+    return number
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back.
 

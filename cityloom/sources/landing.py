@@ -7,7 +7,9 @@ by one scan, never one frame per file.
 
 from __future__ import annotations
 
+import re
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,22 +27,31 @@ LAYOUTS = {
 }
 
 
-def list_files(spark: SparkSession, root: str, layout: str, file_format: str) -> list[str]:
-    """Files of one format below ``root``; the file index lists them, nothing is read."""
+def files_like(root: str, layout: str, file_format: str) -> str:
+    """Path pattern of the files of one format below ``root``."""
     depth, _ = LAYOUTS[layout]
+    return f"{root.rstrip('/')}/{depth}.{file_format}"
+
+
+def list_files(spark: SparkSession, pattern: str) -> list[str]:
+    """The files a path pattern matches; the file index lists them, nothing is read."""
     try:
-        listing = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{depth}.{file_format}")
+        listing = spark.read.format("binaryFile").load(pattern)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return []
         raise
-    return sorted(listing.inputFiles())
+    # Names come back encoded as URLs, and a reader would take some characters as a pattern.
+    return [re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(name)) for name in sorted(listing.inputFiles())]
 
 
 def entry_name(layout: str) -> Column:
     """File name (flat layout) or day-folder name (daily layout) of the row's file."""
     _, pattern = LAYOUTS[layout]
-    return F.url_decode(F.replace(F.regexp_extract("_metadata.file_path", pattern, 1), F.lit("+"), F.lit("%2B")))
+    name = F.regexp_extract("_metadata.file_path", pattern, 1)
+    # Only special characters are encoded in the path, and a plus sign is not one of them.
+    decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(name, F.lit("%")), decoded).otherwise(name)
 
 
 def read_files(
@@ -85,16 +96,17 @@ def landing_frames(
     """
     frames = []
     for file_format in FORMATS:
-        files = list_files(spark, root, layout, file_format)
+        pattern = files_like(root, layout, file_format)
+        files = list_files(spark, pattern)
         if not files:
             continue
         if schema is not None:
-            found = [read_files(spark, file_format, files, schema)]
+            found = [read_files(spark, file_format, pattern, schema)]
         elif file_format == "csv" or by_schema:
             found = _grouped(spark, file_format, files)
         else:
             try:
-                found = [read_files(spark, file_format, files)]
+                found = [read_files(spark, file_format, pattern)]
             except Exception as error:
                 if file_format != "parquet" or "CANNOT_MERGE_SCHEMA" not in str(error):
                     raise
