@@ -53,9 +53,8 @@ def _expand_ligatures(text: Column) -> Column:
     Rows without such a character skip the split; the test for it uses few wide ranges.
     """
     chars = _expansion_class()
-    table = F.create_map(
-        *[F.lit(part) for char, ascii_part in _ascii_forms().items() if len(ascii_part) > 1 for part in (char, ascii_part)]
-    )
+    expansions = "\n".join(f"{char}\t{part}" for char, part in _ascii_forms().items() if len(part) > 1)
+    table = F.str_to_map(F.lit(expansions), F.lit("\n"), F.lit("\t"))
 
     def expand_first(piece: Column) -> Column:
         first = F.substring(piece, 1, 1)
