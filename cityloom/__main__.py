@@ -5,8 +5,10 @@ from __future__ import annotations
 import argparse
 from dataclasses import fields
 
+from pyspark.sql import SparkSession
+
 from cityloom.plans import formatting, indicators, training
-from cityloom.session import build_session
+from cityloom.session import build_session, clear_scratch
 from cityloom.sources.zones import Zone
 
 
@@ -36,6 +38,13 @@ def parser() -> argparse.ArgumentParser:
 def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
     spark = build_session(f"cityloom-{args.job}")
+    try:
+        _run(spark, args)
+    finally:
+        clear_scratch(spark)
+
+
+def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     formatted = Zone(spark, args.formatted)
     if args.job == "format":
         landing = formatting.Landing(**{f.name: getattr(args, f.name) for f in fields(formatting.Landing)})

@@ -48,10 +48,7 @@ def _expansion_class(max_gap: int = 1) -> str:
 
 
 def _expand_ligatures(text: Column) -> Column:
-    """Replace characters such as U+FB01 or U+2026 by their several ASCII characters.
-
-    Rows without such a character skip the split; the test for it uses few wide ranges.
-    """
+    """Replace characters such as U+FB01 or U+2026 by their several ASCII characters."""
     chars = _expansion_class()
     expansions = "\n".join(f"{char}\t{part}" for char, part in _ascii_forms().items() if len(part) > 1)
     table = F.str_to_map(F.lit(expansions), F.lit("\n"), F.lit("\t"))
@@ -61,8 +58,7 @@ def _expand_ligatures(text: Column) -> Column:
         return F.concat(F.coalesce(F.try_element_at(table, first), first), F.substr(piece, F.lit(2)))
 
     # Only the first character of a piece can need expansion: the split is right before each of them.
-    expanded = F.array_join(F.transform(F.split(text, f"(?={chars})"), expand_first), "")
-    return F.when(text.rlike(_expansion_class(max_gap=100)), expanded).otherwise(text)
+    return F.array_join(F.transform(F.split(text, f"(?={chars})"), expand_first), "")
 
 
 def normalize_name(name: Column, *, strict: bool = False) -> Column:
@@ -72,10 +68,13 @@ def normalize_name(name: Column, *, strict: bool = False) -> Column:
     names the lookup tables spell in these ways match too.
     """
     source, target = _letter_table()
-    lowered = F.translate(F.lower(name), "-", " ")
-    mapped = F.regexp_replace(F.translate(_expand_ligatures(lowered), source, target), r"[^\x00-\x7F]", "")
-    only_ascii = F.octet_length(lowered) == F.char_length(lowered)
-    text = F.when(only_ascii, lowered).otherwise(mapped)
+    lowered = F.replace(F.lower(name), F.lit("-"), F.lit(" "))
+    # The costly steps run only on rows that need them. Both tests look at the text as it came, so that
+    # it is lowered once: lowering makes no ASCII text non-ASCII and adds no character to be expanded.
+    only_ascii = F.octet_length(name) == F.char_length(name)
+    expand = name.rlike(_expansion_class(max_gap=100))
+    letters = F.translate(F.when(expand, _expand_ligatures(lowered)).otherwise(lowered), source, target)
+    text = F.when(only_ascii, lowered).otherwise(F.regexp_replace(letters, r"[^\x00-\x7F]", ""))
     if strict:
         text = F.translate(F.btrim(text, F.lit('"')), "'", " ")
     return text

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from cityloom.functions.columns import epoch_seconds, in_train_share
 from cityloom.gallery.registry import query, table
 from cityloom.operators import learn
-from cityloom.session import scratch_dir
+from cityloom.session import scratch_dir, stage
 
 _PART_INDEX = """
     SELECT feature, value, count(*) AS n_rows,
@@ -33,7 +33,8 @@ def string_index(spark, sf_dir):
 def string_index_rows(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name")
     features = ["p_brand", "p_name"]
-    return learn.add_indices(part, learn.label_index(part, features), features).drop(*features)
+    labels = stage(learn.label_index(part, features), "labels")
+    return learn.add_indices(part, labels, features).drop(*features)
 
 
 @query("date_to_epoch", "SELECT o_orderkey, epoch(o_orderdate::DATE)::BIGINT AS day FROM orders")

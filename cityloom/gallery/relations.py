@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from cityloom.gallery.registry import query, table
 from cityloom.operators.relate import join_keeping_left
 from cityloom.plans.training import model_rows
+from cityloom.session import stage
 
 
 @query(
@@ -56,7 +57,7 @@ def join_keep_left(spark, sf_dir):
 def join_keep_left_hot_keys(spark, sf_dir):
     """The same join guarded against hot keys of the large side; the limits are low enough to act here."""
     orders, lines = _orders_and_lines(spark, sf_dir)
-    return join_keeping_left(orders, lines, ["key"], large="right", hot_rows=6, max_rows=0)
+    return join_keeping_left(orders, lines, ["key"], large="right", hot_rows=5, max_rows=0)
 
 
 def sensor_rows(spark, sf_dir):
@@ -127,7 +128,7 @@ def inner_join_chain(spark, sf_dir):
         .agg(F.count("*").alias("pop"))
         .withColumn("year", F.lit(1))
     )
-    rows = model_rows(listing_rows(spark, sf_dir), income, sensors)
+    rows = model_rows(listing_rows(spark, sf_dir), stage(income, "income"), stage(sensors, "sensors"))
     return rows.groupBy("neighborhood", "year").agg(
         F.count("*").alias("n"), F.round(F.sum("price"), 2).alias("price"), F.sum("pop").alias("pop")
     )

@@ -152,6 +152,15 @@ def sink_overwrite(spark, sf_dir):
     return zone.read("rows").groupBy("c_mktsegment").agg(F.count("*").alias("n"))
 
 
+@query("sink_drop", "SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1")
+def sink_drop(spark, sf_dir):
+    zone = Zone(spark, scratch_dir(spark, "zone"))
+    zone.write("rows", table(spark, sf_dir, "customer"))
+    zone.drop("rows")
+    zone.write("rows", table(spark, sf_dir, "customer"))
+    return zone.read("rows").groupBy("c_mktsegment").agg(F.count("*").alias("n"))
+
+
 @query(
     "preview_rows",
     """

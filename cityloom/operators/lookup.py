@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cityloom.operators.conform import align_key
-from cityloom.operators.skew import BROADCAST_ROWS, HOT_ROWS, balanced_join
+from cityloom.operators.skew import BROADCAST_ROWS, HOT_ROWS, balanced_join, is_small
 
 @dataclass(frozen=True)
 class Level:
@@ -45,11 +45,12 @@ def add_name(
     lookup = level.lookup.select(
         F.col(f"`{level.lookup_key}`").alias("_lookup_key"), F.col(f"`{level.name}`").alias("_lookup_name")
     )
+    small = is_small(lookup, max_rows)
     if check_unique and not repeated_keys(lookup, "_lookup_key").isEmpty():
         raise ValueError(f"lookup key {level.lookup_key} is not unique")
     keyed = align_key(df, level.key, lookup.schema["_lookup_key"].dataType, on_mismatch)
     keyed = keyed.withColumn("_lookup_key", F.col(f"`{level.key}`"))
-    joined = balanced_join(keyed, lookup, ["_lookup_key"], "left", hot_rows, max_rows)
+    joined = balanced_join(keyed, lookup, ["_lookup_key"], "left", hot_rows, known_small=small)
     kept = [F.col(f"`{c}`") for c in keyed.columns if c not in (level.output, "_lookup_key")]
     return joined.select(*kept, F.col("_lookup_name").alias(level.output))
 

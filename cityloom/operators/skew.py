@@ -12,9 +12,10 @@ HOT_ROWS = 2_000_000
 # A table is broadcast only if it has at most this many rows, none above the byte limit.
 BROADCAST_ROWS = 100_000
 BROADCAST_ROW_BYTES = 1_000
-SALTS = 64
+# Rows without a key are dealt out over this many buckets; nothing is repeated for them.
+NULL_BUCKETS = 1_024
 _SALT = "_join_salt"
-_HOT = "_join_hot"
+_BUCKETS = "_join_buckets"
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -25,49 +26,43 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
 
 
 def hot_keys(df: DataFrame, keys: Iterable[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows; at most row count / ``hot_rows`` of them.
+    """Keys with more than ``hot_rows`` rows, and the buckets of about ``hot_rows`` rows each they need.
 
-    Counts are combined before the shuffle, so the hot keys cost no more than the others.
+    There are fewer than row count / ``hot_rows`` of them. Counts are combined before the shuffle,
+    so the hot keys cost no more than the others.
     """
     keys = list(keys)
-    counts = df.dropna(subset=keys).groupBy(*keys).count()
-    return counts.where(F.col("count") >= hot_rows).select(*keys, F.lit(True).alias(_HOT))
+    counts = df.dropna(subset=keys).groupBy(*keys).count().where(F.col("count") > hot_rows)
+    return counts.select(*keys, F.ceil(F.col("count") / hot_rows).cast("int").alias(_BUCKETS))
 
 
-def _row_salt(df: DataFrame, salts: int) -> Column:
+def _row_salt(df: DataFrame, buckets: Column) -> Column:
     """Salt from the row's own content: a re-run task places every row where it was before.
 
     Full copies of a row share a salt; drop duplicates first, or leave them to the run-time split.
     """
     hashable = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
-    return F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in hashable]), F.lit(salts)).cast("int")
+    return F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in hashable]), buckets).cast("int")
 
 
 def spread_join(
-    large: DataFrame,
-    small: DataFrame,
-    keys: list[str],
-    how: str = "inner",
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
+    large: DataFrame, small: DataFrame, keys: list[str], how: str = "inner", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Shuffled ``inner`` or ``left`` join of ``large`` with ``small`` on equally named keys.
 
-    Rows of ``large`` with a hot key are spread over ``salts`` buckets, and only the matching rows
-    of ``small`` are repeated per bucket. In a left join rows with a NULL key are spread too; they match
-    nothing. The result equals ``large.join(small, keys, how)``.
+    Rows of ``large`` with a hot key are spread over buckets, as many as the key needs, and only the
+    matching rows of ``small`` are repeated, once per bucket. In a left join rows with a NULL
+    key are spread too; they match nothing. The result equals ``large.join(small, keys, how)``.
     """
-    # Safe to broadcast: never more than row count / hot_rows keys.
+    # Safe to broadcast: fewer than row count / hot_rows keys.
     hot = F.broadcast(hot_keys(large, keys, hot_rows))
     is_null = F.greatest(*[F.col(f"`{k}`").isNull() for k in keys], F.lit(False))
-    row_salt = _row_salt(large, salts)
-    spread = large.join(hot, keys, "left").withColumn(
-        _SALT, F.when(F.col(_HOT) | is_null, row_salt).otherwise(F.lit(0))
-    )
-    buckets = F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = small.join(hot, keys, "left").withColumn(_SALT, F.explode(buckets))
-    joined = spread.drop(_HOT).join(repeated.drop(_HOT), [*keys, _SALT], how)
-    return joined.drop(_SALT)
+    buckets = F.when(is_null, F.lit(NULL_BUCKETS)).otherwise(F.col(_BUCKETS))
+    salt = F.when(buckets.isNotNull(), _row_salt(large, buckets)).otherwise(F.lit(0))
+    spread = large.join(hot, keys, "left").withColumn(_SALT, salt).drop(_BUCKETS)
+    per_row = F.sequence(F.lit(0), F.coalesce(F.col(_BUCKETS), F.lit(1)) - 1)
+    repeated = small.join(hot, keys, "left").withColumn(_SALT, F.explode(per_row)).drop(_BUCKETS)
+    return spread.join(repeated, [*keys, _SALT], how).drop(_SALT)
 
 
 def balanced_join(
@@ -77,8 +72,12 @@ def balanced_join(
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
     max_rows: int = BROADCAST_ROWS,
+    known_small: bool | None = None,
 ) -> DataFrame:
-    """Join by broadcast when ``small`` is measured small, so ``large`` is not shuffled; else ``spread_join``."""
-    if is_small(small, max_rows):
+    """Join by broadcast when ``small`` is measured small, so ``large`` is not shuffled; else ``spread_join``.
+
+    ``known_small`` is the answer of ``is_small`` where the caller has it already.
+    """
+    if is_small(small, max_rows) if known_small is None else known_small:
         return large.join(F.broadcast(small), keys, how)
     return spread_join(large, small, keys, how, hot_rows)

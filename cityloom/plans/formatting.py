@@ -11,7 +11,7 @@ from cityloom.functions.text import normalize_name
 from cityloom.operators.conform import conform_union, drop_duplicate_rows
 from cityloom.operators.lookup import Level, reconcile
 from cityloom.operators.shape import first_element, flatten_in_frames
-from cityloom.session import size_shuffles
+from cityloom.session import size_partitions
 from cityloom.sources.landing import SOURCE, landing_frames, read_files, with_day, with_year
 from cityloom.sources.zones import Zone
 
@@ -116,7 +116,7 @@ def run(spark: SparkSession, landing: Landing, formatted: Zone, choices: Choices
     def lookup(path: str) -> DataFrame:
         return read_files(spark, "json", path)
 
-    size_shuffles(spark, landing.listings, landing.income, landing.air_quality)
+    size_partitions(spark, landing.listings, landing.income, landing.air_quality)
     districts, neighborhoods = lookup(landing.income_districts), lookup(landing.income_neighborhoods)
     income_frames = landing_frames(spark, landing.income, schema=landing.income_schema)
     air_frames = landing_frames(spark, landing.air_quality, schema=landing.air_quality_schema)

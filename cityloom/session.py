@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -18,6 +17,10 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+MB_128 = 128 << 20
+MAX_SCAN_TASKS = 200_000
+MAX_SHUFFLE_PARTITIONS = 50_000
+
 
 def build_session(app_name: str = "cityloom", master: str | None = None, **settings: str) -> SparkSession:
     """Session with the project settings; ``settings`` are added last and win."""
@@ -29,8 +32,14 @@ def build_session(app_name: str = "cityloom", master: str | None = None, **setti
     return builder.getOrCreate()
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder name under the checkpoint folder of the cluster.
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path and the path as that file system's object."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    """This application's folder under the checkpoint folder of the cluster.
 
     Only a local session without a checkpoint folder gets one of its own.
     """
@@ -41,23 +50,35 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="cityloom-"))
         shared = context.getCheckpointDir()
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{shared.rstrip('/')}/cityloom-{context.applicationId}"
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A new folder name for intermediate files, on storage all executors reach."""
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate files of this application, once its results are written."""
+    files, root = hadoop_path(spark, _scratch_root(spark))
+    files.delete(root, True)
 
 
-def size_shuffles(spark: SparkSession, *paths: str, bytes_per_partition: int = 128 << 20) -> int:
-    """Set the number of shuffle partitions a job starts with from the size of its input files.
+def size_partitions(spark: SparkSession, *paths: str) -> tuple[int, int]:
+    """Set how finely a job cuts scans and shuffles, from the size of its input folders.
 
-    Adaptive execution merges partitions that turn out small but never splits below this number,
-    so it has to grow with the data. Only the file index is read. Returns the number.
+    Adaptive execution merges shuffle partitions that turn out small but never starts with more than
+    configured, so their number has to grow with the data. Scans of very large inputs take larger pieces,
+    to keep the number of tasks in bounds. Only file sizes are looked up. Returns (bytes per scan
+    task, shuffle partitions).
     """
-    total = 0
-    for path in paths:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        total += files.agg(F.sum("length")).first()[0] or 0
-    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    number = min(max(default, total // bytes_per_partition), 50_000)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(number))
-    return number
+    folders = [hadoop_path(spark, path) for path in paths]
+    total = sum(files.getContentSummary(folder).getLength() for files, folder in folders)
+    scan = min(max(MB_128, total // MAX_SCAN_TASKS), 8 * MB_128)
+    shuffle = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // MB_128), MAX_SHUFFLE_PARTITIONS)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(scan))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(shuffle))
+    return scan, shuffle
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -33,16 +33,22 @@ def files_like(root: str, layout: str, file_format: str) -> str:
     return f"{root.rstrip('/')}/{depth}.{file_format}"
 
 
-def list_files(spark: SparkSession, pattern: str) -> list[str]:
-    """The files a path pattern matches; the file index lists them, nothing is read."""
+def _listing(spark: SparkSession, pattern: str) -> DataFrame | None:
+    """The files a path pattern matches, contents unread; None if nothing matches."""
     try:
-        listing = spark.read.format("binaryFile").load(pattern)
+        return spark.read.format("binaryFile").load(pattern).select("path")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return []
+            return None
         raise
+
+
+def list_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the matching files, usable as paths again."""
+    listing = _listing(spark, pattern)
     # Names come back encoded as URLs, and a reader would take some characters as a pattern.
-    return [re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(name)) for name in sorted(listing.inputFiles())]
+    names = [] if listing is None else sorted(listing.inputFiles())
+    return [re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(name)) for name in names]
 
 
 def entry_name(layout: str) -> Column:
@@ -97,29 +103,27 @@ def landing_frames(
     frames = []
     for file_format in FORMATS:
         pattern = files_like(root, layout, file_format)
-        files = list_files(spark, pattern)
-        if not files:
+        listing = _listing(spark, pattern)
+        if listing is None or listing.isEmpty():
             continue
         if schema is not None:
             found = [read_files(spark, file_format, pattern, schema)]
         elif file_format == "csv" or by_schema:
-            found = _grouped(spark, file_format, files)
+            found = _grouped(spark, file_format, pattern)
         else:
             try:
                 found = [read_files(spark, file_format, pattern)]
             except Exception as error:
                 if file_format != "parquet" or "CANNOT_MERGE_SCHEMA" not in str(error):
                     raise
-                found = _grouped(spark, file_format, files)
+                found = _grouped(spark, file_format, pattern)
         frames += [frame.select("*", entry_name(layout).alias(SOURCE)) for frame in found]
     return frames
 
 
-def _grouped(spark: SparkSession, file_format: str, files: list[str]) -> list[DataFrame]:
-    return [
-        read_files(spark, file_format, members, schema)
-        for schema, members in _by_schema(spark, file_format, files).values()
-    ]
+def _grouped(spark: SparkSession, file_format: str, pattern: str) -> list[DataFrame]:
+    groups = _by_schema(spark, file_format, list_files(spark, pattern))
+    return [read_files(spark, file_format, members, schema) for schema, members in groups.values()]
 
 
 def with_year(df: DataFrame, name: str = "year") -> DataFrame:

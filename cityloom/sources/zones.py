@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NullType, StructType
 
+from cityloom.session import hadoop_path
+
 
 @dataclass(frozen=True)
 class Zone:
@@ -23,13 +24,13 @@ class Zone:
         return f"{self.root.rstrip('/')}/{table}"
 
     def exists(self, table: str) -> bool:
-        try:
-            self.spark.read.format("binaryFile").load(self.path(table))
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return False
-            raise
-        return True
+        files, path = hadoop_path(self.spark, self.path(table))
+        return files.exists(path)
+
+    def drop(self, table: str) -> bool:
+        """Delete a table; False if there was none."""
+        files, path = hadoop_path(self.spark, self.path(table))
+        return files.delete(path, True)
 
     def read(self, table: str, schema: StructType | str | None = None) -> DataFrame:
         reader = self.spark.read.format(self.table_format).options(**self.options)

@@ -105,6 +105,7 @@ def test_zone_append_replace_and_untyped_columns(spark, tmp_path):
     assert zone.read("t").count() == 3
     assert dict(zone.read("t").dtypes)["empty"] == "string"
     assert set(zone.read_all("t")) == {"t"}
+    assert zone.drop("t") and not zone.drop("t") and not zone.exists("t")
 
 
 def test_zone_in_another_format(spark, tmp_path):
