@@ -19,9 +19,9 @@ _BUCKETS = "_join_buckets"
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the table fits a broadcast, measured on at most ``max_rows + 1`` of its rows."""
+    """Whether the whole table fits a broadcast: its rows and its widest row are measured."""
     widths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns]
-    rows, widest = df.limit(max_rows + 1).agg(F.count("*"), F.max(sum(widths[1:], widths[0]))).first()
+    rows, widest = df.agg(F.count("*"), F.max(sum(widths[1:], widths[0]))).first()
     return rows <= max_rows and (widest or 0) <= BROADCAST_ROW_BYTES
 
 

@@ -78,6 +78,8 @@ def size_partitions(spark: SparkSession, *paths: str) -> tuple[int, int]:
     shuffle = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // MB_128), MAX_SHUFFLE_PARTITIONS)
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(scan))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(shuffle))
+    # Pieces of a shuffle, and with them the files of a written table, follow up to twice the usual size.
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(min(scan, 2 * MB_128)))
     return scan, shuffle
 
 

@@ -86,7 +86,10 @@ def test_a_filter_on_the_day_skips_files(spark, tmp_path):
     for day in range(1, 6):
         put(tmp_path / f"2021_03_0{day}" / "a.json", f'{{"k": {day}}}\n')
     df = with_day(conform_union(landing_frames(spark, str(tmp_path), "daily", schema="k int")))
-    assert [r["k"] for r in df.where(F.col("date") == datetime.date(2021, 3, 4)).collect()] == [4]
+    one_day = df.where(F.col("date") == datetime.date(2021, 3, 4))
+    assert [r["k"] for r in one_day.collect()] == [4]
+    scan = one_day._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert scan.metrics().get("numFiles").get().value() == 1
 
 
 def test_nothing_to_read(spark, tmp_path):

@@ -22,7 +22,8 @@ def test_staged_rows_come_from_files(spark):
 
 
 def test_partitions_grow_with_the_input(spark, tmp_path, monkeypatch):
-    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    adaptive = "spark.sql.adaptive"
+    keys = ("spark.sql.files.maxPartitionBytes", f"{adaptive}.coalescePartitions.initialPartitionNum")
     spark.range(1000).write.parquet(str(tmp_path / "t"))
     try:
         scan, shuffle = session.size_partitions(spark, str(tmp_path / "t"))
@@ -33,5 +34,5 @@ def test_partitions_grow_with_the_input(spark, tmp_path, monkeypatch):
         assert scan > 1000 and shuffle > 4
         assert [int(spark.conf.get(key)) for key in keys] == [scan, shuffle]
     finally:
-        for key in keys:
+        for key in (*keys, f"{adaptive}.advisoryPartitionSizeInBytes"):
             spark.conf.unset(key)
