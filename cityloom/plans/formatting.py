@@ -11,10 +11,11 @@ from cityloom.functions.text import normalize_name
 from cityloom.operators.conform import conform_union, drop_duplicate_rows
 from cityloom.operators.lookup import Level, reconcile
 from cityloom.operators.shape import first_element, flatten_in_frames
-from cityloom.session import size_partitions
+from cityloom.session import sized_for
 from cityloom.sources.landing import SOURCE, landing_frames, read_files, with_day, with_year
 from cityloom.sources.zones import Zone
 
+# Columns of the listing files.
 LISTING_STRUCTS = ("parkingSpace", "detailedType", "suggestedTexts")
 LISTING_UNUSED = ("country", "municipality", "province", "url", "thumbnail")
 
@@ -116,16 +117,16 @@ def run(spark: SparkSession, landing: Landing, formatted: Zone, choices: Choices
     def lookup(path: str) -> DataFrame:
         return read_files(spark, "json", path)
 
-    size_partitions(spark, landing.listings, landing.income, landing.air_quality)
-    districts, neighborhoods = lookup(landing.income_districts), lookup(landing.income_neighborhoods)
-    income_frames = landing_frames(spark, landing.income, schema=landing.income_schema)
-    air_frames = landing_frames(spark, landing.air_quality, schema=landing.air_quality_schema)
-    listing_frames = landing_frames(
-        spark, landing.listings, "daily", landing.listings_schema, by_schema=choices.on_missing == "drop"
-    )
-    listings = format_listings(
-        listing_frames, lookup(landing.listing_districts), lookup(landing.listing_neighborhoods), choices
-    )
-    formatted.write("income", format_income(income_frames, districts, neighborhoods, choices), "overwrite")
-    formatted.write("air_quality", format_air_quality(air_frames, districts, neighborhoods, choices), "overwrite")
-    formatted.write("listings", listings, "overwrite", partition_by=choices.listings_by)
+    with sized_for(spark, landing.listings, landing.income, landing.air_quality):
+        districts, neighborhoods = lookup(landing.income_districts), lookup(landing.income_neighborhoods)
+        income_frames = landing_frames(spark, landing.income, schema=landing.income_schema)
+        air_frames = landing_frames(spark, landing.air_quality, schema=landing.air_quality_schema)
+        listing_frames = landing_frames(
+            spark, landing.listings, "daily", landing.listings_schema, by_schema=choices.on_missing == "drop"
+        )
+        listings = format_listings(
+            listing_frames, lookup(landing.listing_districts), lookup(landing.listing_neighborhoods), choices
+        )
+        formatted.write("income", format_income(income_frames, districts, neighborhoods, choices), "overwrite")
+        formatted.write("air_quality", format_air_quality(air_frames, districts, neighborhoods, choices), "overwrite")
+        formatted.write("listings", listings, "overwrite", partition_by=choices.listings_by)

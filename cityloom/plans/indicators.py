@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cityloom.operators import indicators as ind
-from cityloom.session import size_partitions, stage
+from cityloom.session import sized_for, stage
 from cityloom.sources.zones import Zone
 
 # Table and KPI names read by the dashboard queries.
@@ -71,9 +71,9 @@ def kpis(cube: DataFrame, income: DataFrame, air: DataFrame, nulls: str = "skip"
 
 def run(formatted: Zone, exploitation: Zone, mode: str = "overwrite", nulls: str = "skip") -> None:
     """Write the KPI table and the two top-5 tables; ``mode='append'`` keeps those of earlier runs."""
-    size_partitions(formatted.spark, formatted.root)
-    tables = formatted.read_all("listings", "income", "air_quality")
-    cube = stage(listing_cube(tables["listings"], nulls), "listing-cube")
-    exploitation.write(KPI_TABLE, kpis(cube, tables["income"], tables["air_quality"], nulls), mode)
-    exploitation.write(TOP_SELLERS_TABLE, latest_top_sellers(cube), mode)
-    exploitation.write(TOP_AIR_TABLE, ind.top_groups(tables["air_quality"], "neighborhood"), mode)
+    with sized_for(formatted.spark, formatted.root):
+        tables = formatted.read_all("listings", "income", "air_quality")
+        cube = stage(listing_cube(tables["listings"], nulls), "listing-cube")
+        exploitation.write(KPI_TABLE, kpis(cube, tables["income"], tables["air_quality"], nulls), mode)
+        exploitation.write(TOP_SELLERS_TABLE, latest_top_sellers(cube), mode)
+        exploitation.write(TOP_AIR_TABLE, ind.top_groups(tables["air_quality"], "neighborhood"), mode)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,23 +66,35 @@ def clear_scratch(spark: SparkSession) -> None:
     files.delete(root, True)
 
 
-def size_partitions(spark: SparkSession, *paths: str) -> tuple[int, int]:
-    """Set how finely a job cuts scans and shuffles, from the size of its input folders.
+@contextmanager
+def sized_for(spark: SparkSession, *paths: str) -> Iterator[dict[str, int]]:
+    """Within the block, cut scans and shuffles by the size of the input folders.
 
     Adaptive execution merges shuffle partitions that turn out small but never starts with more than
     configured, so their number has to grow with the data. Scans of very large inputs take larger pieces,
-    to keep the number of tasks in bounds. Only file sizes are looked up. Returns (bytes per scan
-    task, shuffle partitions).
+    to keep the number of tasks in bounds. Only file sizes are looked up.
     """
     folders = [hadoop_path(spark, path) for path in paths]
     total = sum(files.getContentSummary(folder).getLength() for files, folder in folders)
     scan = min(max(MB_128, total // MAX_SCAN_TASKS), 8 * MB_128)
-    shuffle = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // MB_128), MAX_SHUFFLE_PARTITIONS)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(scan))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(shuffle))
-    # Pieces of a shuffle, and with them the files of a written table, follow up to twice the usual size.
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(min(scan, 2 * MB_128)))
-    return scan, shuffle
+    shuffles = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // MB_128)
+    sizes = {
+        "spark.sql.files.maxPartitionBytes": scan,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": min(shuffles, MAX_SHUFFLE_PARTITIONS),
+        # Pieces of a shuffle, and with them the files of a written table.
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": min(scan, 2 * MB_128),
+    }
+    before = {key: spark.conf.get(key, None) for key in sizes}
+    for key, size in sizes.items():
+        spark.conf.set(key, str(size))
+    try:
+        yield sizes
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -7,7 +7,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from cityloom.__main__ import parser
+from cityloom.__main__ import main, parser
+from cityloom import session
 from cityloom.operators import indicators as ind
 from cityloom.operators.learn import PriceModel
 from cityloom.plans import formatting, indicators, training
@@ -215,6 +216,13 @@ def test_jobs_fail_loudly(spark, tmp_path):
         indicators.run(Zone(spark, str(tmp_path / "none")), Zone(spark, str(tmp_path / "out")))
 
 
+def test_command_line_runs_a_job_and_clears_up(spark, formatted, tmp_path):
+    main(["kpi", "--formatted", formatted.root, "--exploitation", str(tmp_path)])
+    assert Zone(spark, str(tmp_path)).read("kpis").count() == 3
+    files, root = session.hadoop_path(spark, session._scratch_root(spark))
+    assert not files.exists(root)
+
+
 def test_command_line():
     paths = [x for name in ("listings", "income", "air-quality", "income-districts", "income-neighborhoods", "listing-districts", "listing-neighborhoods") for x in (f"--{name}", "p")]
     args = parser().parse_args(["format", *paths, "--formatted", "f", "--listings-schema", "a int"])

@@ -22,17 +22,16 @@ def test_staged_rows_come_from_files(spark):
 
 
 def test_partitions_grow_with_the_input(spark, tmp_path, monkeypatch):
-    adaptive = "spark.sql.adaptive"
-    keys = ("spark.sql.files.maxPartitionBytes", f"{adaptive}.coalescePartitions.initialPartitionNum")
-    spark.range(1000).write.parquet(str(tmp_path / "t"))
-    try:
-        scan, shuffle = session.size_partitions(spark, str(tmp_path / "t"))
-        assert (scan, shuffle) == (128 << 20, 4)
+    path = str(tmp_path / "t")
+    spark.range(1000).write.parquet(path)
+    with session.sized_for(spark, path) as small:
+        assert sorted(small.values()) == [4, 128 << 20, 128 << 20]
+        before = {key: spark.conf.get(key) for key in small}
         monkeypatch.setattr(session, "MB_128", 1000)
         monkeypatch.setattr(session, "MAX_SCAN_TASKS", 2)
-        scan, shuffle = session.size_partitions(spark, str(tmp_path / "t"))
-        assert scan > 1000 and shuffle > 4
-        assert [int(spark.conf.get(key)) for key in keys] == [scan, shuffle]
-    finally:
-        for key in (*keys, f"{adaptive}.advisoryPartitionSizeInBytes"):
-            spark.conf.unset(key)
+        with session.sized_for(spark, path) as large:
+            scan, shuffle, piece = large.values()
+            assert scan > 1000 and shuffle > 4 and piece == 2000
+            assert {key: spark.conf.get(key) for key in large} == {key: str(size) for key, size in large.items()}
+        assert {key: spark.conf.get(key) for key in small} == before
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None
