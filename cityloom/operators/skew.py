@@ -32,8 +32,13 @@ def hot_keys(df: DataFrame, keys: Iterable[str], hot_rows: int = HOT_ROWS) -> Da
     so the hot keys cost no more than the others.
     """
     keys = list(keys)
-    counts = df.dropna(subset=keys).groupBy(*keys).count().where(F.col("count") > hot_rows)
-    return counts.select(*keys, F.ceil(F.col("count") / hot_rows).cast("int").alias(_BUCKETS))
+    return buckets_of(df.dropna(subset=keys).groupBy(*keys).count(), "count", hot_rows).drop("count")
+
+
+def buckets_of(counts: DataFrame, rows: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The hot ones among keys whose rows are already counted, with their buckets."""
+    hot = counts.where(F.col(rows) > hot_rows)
+    return hot.withColumn(_BUCKETS, F.ceil(F.col(rows) / hot_rows).cast("int"))
 
 
 def _row_salt(df: DataFrame, buckets: Column) -> Column:
@@ -46,16 +51,22 @@ def _row_salt(df: DataFrame, buckets: Column) -> Column:
 
 
 def spread_join(
-    large: DataFrame, small: DataFrame, keys: list[str], how: str = "inner", hot_rows: int = HOT_ROWS
+    large: DataFrame,
+    small: DataFrame,
+    keys: list[str],
+    how: str = "inner",
+    hot_rows: int = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffled ``inner`` or ``left`` join of ``large`` with ``small`` on equally named keys.
 
     Rows of ``large`` with a hot key are spread over buckets, as many as the key needs, and only the
     matching rows of ``small`` are repeated, once per bucket. In a left join rows with a NULL
-    key are spread too; they match nothing. The result equals ``large.join(small, keys, how)``.
+    key are spread too; they match nothing. The result equals ``large.join(small, keys, how)``,
+    whatever keys are taken as hot; ``hot`` saves counting them where that is known.
     """
     # Safe to broadcast: fewer than row count / hot_rows keys.
-    hot = F.broadcast(hot_keys(large, keys, hot_rows))
+    hot = F.broadcast(hot_keys(large, keys, hot_rows) if hot is None else hot)
     is_null = F.greatest(*[F.col(f"`{k}`").isNull() for k in keys], F.lit(False))
     buckets = F.when(is_null, F.lit(NULL_BUCKETS)).otherwise(F.col(_BUCKETS))
     salt = F.when(buckets.isNotNull(), _row_salt(large, buckets)).otherwise(F.lit(0))
@@ -73,11 +84,12 @@ def balanced_join(
     hot_rows: int = HOT_ROWS,
     max_rows: int = BROADCAST_ROWS,
     known_small: bool | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join by broadcast when ``small`` is measured small, so ``large`` is not shuffled; else ``spread_join``.
 
-    ``known_small`` is the answer of ``is_small`` where the caller has it already.
+    ``known_small`` and ``hot`` are given where the caller has these answers already.
     """
     if is_small(small, max_rows) if known_small is None else known_small:
         return large.join(F.broadcast(small), keys, how)
-    return spread_join(large, small, keys, how, hot_rows)
+    return spread_join(large, small, keys, how, hot_rows, hot)

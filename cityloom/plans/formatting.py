@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cityloom.functions.text import normalize_name
-from cityloom.operators.conform import conform_union, drop_duplicate_rows
+from cityloom.operators.conform import align_key, conform_union, drop_duplicate_rows
 from cityloom.operators.lookup import Level, reconcile
 from cityloom.operators.shape import first_element, flatten_in_frames
 from cityloom.session import sized_for
@@ -53,6 +53,18 @@ class Choices:
     strict_names: bool = False
     listings_by: str | None = None
 
+    @property
+    def by_schema(self) -> bool:
+        """Whether files must be told apart by their own schema."""
+        return self.on_missing == "drop" or self.on_mismatch == "null"
+
+    def keyed(self, frames: list[DataFrame], level: Level) -> list[DataFrame]:
+        """With ``on_mismatch="null"`` a key is blanked in just the files that have another type."""
+        if self.on_mismatch != "null":
+            return frames
+        target = level.lookup.schema[level.lookup_key].dataType
+        return [align_key(frame, level.key, target, "null") if level.key in frame.columns else frame for frame in frames]
+
 
 def format_air_quality(
     frames: list[DataFrame], districts: DataFrame, neighborhoods: DataFrame, choices: Choices = Choices()
@@ -81,10 +93,11 @@ def format_income(
     frames: list[DataFrame], districts: DataFrame, neighborhoods: DataFrame, choices: Choices = Choices()
 ) -> DataFrame:
     """Income rows with reconciled area names; of the yearly figures the first one."""
-    rows = conform_union(frames).drop("_id", SOURCE)
+    level = Level(districts, "district_name", "district", "district_reconciled", "district")
+    rows = conform_union(choices.keyed(frames, level)).drop("_id", SOURCE)
     named = reconcile(
         rows,
-        Level(districts, "district_name", "district", "district_reconciled", "district"),
+        level,
         # The landing column is spelled with a blank at its end.
         Level(neighborhoods, "neigh_name ", "neighborhood", "neighborhood_reconciled", "neighborhood"),
         drop=("district_name", "district_id", "neigh_name "),
@@ -100,11 +113,12 @@ def format_listings(
     frames = [frame.drop(*LISTING_UNUSED) for frame in frames]
     for column in LISTING_STRUCTS:
         frames = flatten_in_frames(frames, column, choices.on_missing)
-    rows = with_day(conform_union(frames)).drop(SOURCE)
+    level = Level(districts, "district", "di", "di_re", "district")
+    rows = with_day(conform_union(choices.keyed(frames, level))).drop(SOURCE)
     return drop_duplicate_rows(
         reconcile(
             rows,
-            Level(districts, "district", "di", "di_re", "district"),
+            level,
             Level(neighborhoods, "neighborhood", "ne", "ne_re", "neighborhood"),
             on_mismatch=choices.on_mismatch,
         )
@@ -119,10 +133,12 @@ def run(spark: SparkSession, landing: Landing, formatted: Zone, choices: Choices
 
     with sized_for(spark, landing.listings, landing.income, landing.air_quality):
         districts, neighborhoods = lookup(landing.income_districts), lookup(landing.income_neighborhoods)
-        income_frames = landing_frames(spark, landing.income, schema=landing.income_schema)
+        income_frames = landing_frames(
+            spark, landing.income, schema=landing.income_schema, by_schema=choices.by_schema
+        )
         air_frames = landing_frames(spark, landing.air_quality, schema=landing.air_quality_schema)
         listing_frames = landing_frames(
-            spark, landing.listings, "daily", landing.listings_schema, by_schema=choices.on_missing == "drop"
+            spark, landing.listings, "daily", landing.listings_schema, by_schema=choices.by_schema
         )
         listings = format_listings(
             listing_frames, lookup(landing.listing_districts), lookup(landing.listing_neighborhoods), choices

@@ -14,7 +14,7 @@ from urllib.parse import unquote
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 FORMATS = ("csv", "json", "parquet")
 SOURCE = "source_entry"
@@ -76,9 +76,15 @@ def read_files(
 
 def _by_schema(spark: SparkSession, file_format: str, files: list[str]) -> dict[str, tuple[StructType, list[str]]]:
     """Group files by their own schema. Costs one small job per file (CSV: the header line, Parquet:
-    the footer; JSON is parsed), so callers with many files should declare the schema instead."""
+    the footer; JSON is parsed), so callers with many files should declare the schema instead.
+
+    One JSON file may hold only empty arrays or partial structs, so nested types are taken from all files.
+    """
     with ThreadPoolExecutor(16) as pool:
         schemas = list(pool.map(lambda name: read_files(spark, file_format, [name]).schema, files))
+    if file_format == "json":
+        shared = {f.name: f for f in read_files(spark, file_format, files).schema if isinstance(f.dataType, ArrayType | StructType)}
+        schemas = [StructType([shared.get(f.name, f) for f in schema]) for schema in schemas]
     groups: dict[str, tuple[StructType, list[str]]] = {}
     for schema, name in zip(schemas, files):
         if schema.fields:

@@ -142,6 +142,21 @@ def test_listing_choices(spark, landing, tmp_path):
     assert zone.read("air_quality").where("neighborhood = \"La Nova Esquerra de l'Eixample\"").count() == 2
 
 
+def test_key_of_another_type_in_one_file(spark, tmp_path):
+    put(tmp_path / "a.json", [{"district_name": "7", "neigh_name ": "n", "info": [{"RFD": 1.5, "pop": 2, "year": 2017}]}])
+    put(tmp_path / "b.json", [{"district_name": 7, "neigh_name ": "n", "info": [{"RFD": 1.5, "pop": 3, "year": 2017}]}])
+    districts = spark.sql("SELECT '7' AS district, 'Seven' AS district_reconciled")
+    areas = spark.sql("SELECT 'n' AS neighborhood, 'N' AS neighborhood_reconciled")
+
+    def run(**choices):
+        choices = formatting.Choices(**choices)
+        frames = formatting.landing_frames(spark, str(tmp_path), by_schema=choices.by_schema)
+        return rows(formatting.format_income(frames, districts, areas, choices), "pop", "district", "neighborhood")
+
+    assert run() == [(2, "Seven", "N"), (3, "Seven", "N")]
+    assert run(on_mismatch="null") == [(2, "Seven", "N"), (3, None, "N")]
+
+
 def test_declared_schemas_give_the_same(spark, landing, formatted, tmp_path):
     from dataclasses import replace
 
