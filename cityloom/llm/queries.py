@@ -8,7 +8,7 @@ from textwrap import dedent
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityloom.llm import exact, shards
+from cityloom.llm import exact, shards, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,3 +75,9 @@ _SHARDING_SQL = """
 @query("op9_sharding", _SHARDING_SQL)
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign_shards(table(spark, sf_dir, "documents"), 16).withColumn("law", F.lit("key"))
+
+
+@query("op6_simhash")
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
+    return found.withColumn("fingerprint", simhash.hex_fingerprint())
