@@ -8,7 +8,7 @@ from textwrap import dedent
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityloom.llm import exact, shards, simhash
+from cityloom.llm import exact, phrases, shards, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,3 +81,49 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
     return found.withColumn("fingerprint", simhash.hex_fingerprint())
+
+
+@query(
+    "op4_decontamination",
+    r"""
+    WITH items AS (
+        SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM benchmark
+    ), docs AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM documents
+    ), item_windows AS (
+        SELECT DISTINCT item_id, least(len(words), 10) AS n, words[start + 1 : start + 10] AS terms
+        FROM (SELECT *, unnest(range(greatest(len(words) - 10, 0) + 1)) AS start FROM items WHERE len(words) > 0)
+    ), doc_windows AS (
+        SELECT doc_id, start, n, words[start + 1 : start + n] AS terms
+        FROM (SELECT doc_id, words, n, unnest(range(len(words) - n + 1)) AS start
+            FROM docs, (SELECT DISTINCT n FROM item_windows) WHERE len(words) >= n)
+    ), found AS (
+        SELECT doc_id, start, n, item_id FROM doc_windows JOIN item_windows USING (n, terms)
+    ), hits AS (
+        SELECT doc_id, count(DISTINCT pos) AS n_hit
+        FROM (SELECT doc_id, unnest(range(start, start + n)) AS pos FROM found) GROUP BY doc_id
+    ), hit_items AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+    )
+    SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+        sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+    """,
+)
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.with_phrases(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    matches = F.col("phrases.matches")
+    items = phrases.hit_items(matches)
+    return found.select(
+        "doc_id",
+        F.col("phrases.n_words").alias("n_words"),
+        phrases.hit_words(matches).alias("n_hit"),
+        F.size(items).cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        (F.size(matches) > 0).alias("contaminated"),
+    )
