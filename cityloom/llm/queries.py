@@ -8,7 +8,9 @@ from textwrap import dedent
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityloom.llm import exact, phrases, shards, simhash
+from cityloom.llm import exact, phrases, pieces, shards, simhash
+
+PIECE_MODEL = "piece_bpe_32k.model"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +28,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def vocabulary_path(name: str) -> str:
+    """Place of a vocabulary file of the installed package of public tokenizers; it is the same on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -127,3 +136,14 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
         (F.size(matches) > 0).alias("contaminated"),
     )
+
+
+@query("op7_sentencepiece")
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.with_pieces(table(spark, sf_dir, "documents"), vocabulary_path(PIECE_MODEL))
+    return coded.select(
+        "doc_id",
+        F.floor(F.octet_length("piece_ids") / 4).alias("n_tokens"),
+        F.sha2("piece_ids", 256).alias("ids_sha256"),
+        F.sha2("piece_text", 256).alias("decoded_sha256"),
+    )
