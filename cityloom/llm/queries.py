@@ -8,8 +8,10 @@ from textwrap import dedent
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityloom.llm import exact, phrases, pieces, shards, simhash
+from cityloom.llm import exact, phrases, pieces, shards, simhash, token_files
+from cityloom.session import scratch_dir
 
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,3 +149,10 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("piece_ids", 256).alias("ids_sha256"),
         F.sha2("piece_text", 256).alias("decoded_sha256"),
     )
+
+
+@query("op10_token_files")
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary_path(BYTE_TOKENIZER), end_id=2)
+    return token_files.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("token_ids").alias("ids_crc32"))
