@@ -8,7 +8,8 @@ from textwrap import dedent
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityloom.llm import exact, phrases, pieces, shards, simhash, token_files
+from cityloom.llm import exact, phrases, pieces, runs, shards, simhash, token_files
+from cityloom.llm.common import text_of
 from cityloom.session import scratch_dir
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
@@ -156,3 +157,43 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "tokens")
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary_path(BYTE_TOKENIZER), end_id=2)
     return token_files.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("token_ids").alias("ids_crc32"))
+
+
+@query(
+    "op5_line_dedup",
+    r"""
+    WITH lines AS (
+        SELECT doc_id, line_no, line, len(list_filter(string_split(line, ' '), lambda w: w <> '')) AS words,
+            row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS pos
+        FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line_no
+            FROM documents)
+        WHERE trim(line) <> ''
+    ), summed AS (
+        SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY pos) AS upto FROM lines
+    ), listed AS (
+        SELECT doc_id, list(line ORDER BY pos) AS texts, list(line_no ORDER BY pos) AS numbers FROM lines GROUP BY doc_id
+    ), runs AS (
+        SELECT a.doc_id, a.pos AS i, min(b.pos) AS j FROM summed a JOIN summed b ON a.doc_id = b.doc_id AND b.pos >= a.pos AND b.upto - a.upto + a.words >= 50
+        GROUP BY a.doc_id, a.pos
+        UNION
+        SELECT a.doc_id, max(b.pos) AS i, a.pos AS j FROM summed a JOIN summed b ON a.doc_id = b.doc_id AND b.pos <= a.pos AND a.upto - b.upto + b.words >= 50
+        GROUP BY a.doc_id, a.pos
+    ), placed AS (
+        SELECT doc_id, i, j, array_to_string(texts[i:j], chr(10)) AS content, numbers[i] AS first_line, numbers[j] AS last_line FROM runs JOIN listed USING (doc_id)
+    ), later AS (
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, i) AS copy FROM placed) WHERE copy > 1
+    ), removed AS (
+        SELECT DISTINCT doc_id, unnest(range(first_line, last_line + 1)) AS line_no FROM later
+    ), every_line AS (
+        SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line_no FROM documents
+    )
+    SELECT doc_id, count(*) AS n_lines, count(removed.line_no) AS n_removed,
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY every_line.line_no) FILTER (removed.line_no IS NULL), '')) AS text_sha256
+    FROM every_line LEFT JOIN removed USING (doc_id, line_no) GROUP BY doc_id
+    """,
+)
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("n_lines", F.size(F.split(text_of("text"), "\n")).cast("bigint"))
+    shorter = runs.without_repeated_runs(docs)
+    taken = F.aggregate("removed_lines", F.lit(0).cast("bigint"), lambda n, r: n + r["last"] - r["first"] + 1)
+    return shorter.select("doc_id", "n_lines", taken.alias("n_removed"), F.sha2(text_of("text"), 256).alias("text_sha256"))
