@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import string
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +16,14 @@ BROADCAST_BYTES = 16 << 20
 ROW_BYTES = 32
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package at the driver's place, if it is not installed or sent along with ``--py-files``."""
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, root]))
+
+
 def text_of(column: str | Column) -> Column:
     """A text column with NULL read as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

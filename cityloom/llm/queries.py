@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 from textwrap import dedent
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityloom.llm import exact, phrases, pieces, runs, shards, simhash, token_files
-from cityloom.llm.common import text_of
+from cityloom.llm import exact, phrases, pieces, runs, shards, simhash, token_files, toxicity
+from cityloom.llm.common import importable, text_of
 from cityloom.session import scratch_dir
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
@@ -23,7 +24,12 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
-        QUERIES[name] = function
+        @wraps(function)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            importable(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = dedent(sql).strip()
         return function
@@ -143,7 +149,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_sentencepiece")
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = pieces.with_pieces(table(spark, sf_dir, "documents"), vocabulary_path(PIECE_MODEL))
+    coded = pieces.with_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary_path(PIECE_MODEL))
     return coded.select(
         "doc_id",
         F.floor(F.octet_length("piece_ids") / 4).alias("n_tokens"),
@@ -197,3 +203,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     shorter = runs.without_repeated_runs(docs)
     taken = F.aggregate("removed_lines", F.lit(0).cast("bigint"), lambda n, r: n + r["last"] - r["first"] + 1)
     return shorter.select("doc_id", "n_lines", taken.alias("n_removed"), F.sha2(text_of("text"), 256).alias("text_sha256"))
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(toxicity.labelled(docs, table(spark, sf_dir, "labels")))
+    scored = docs.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), toxicity.toxic_score(model, "text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
