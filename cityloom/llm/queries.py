@@ -9,7 +9,7 @@ from textwrap import dedent
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityloom.llm import exact, phrases, pieces, runs, shards, simhash, token_files, toxicity
+from cityloom.llm import exact, language, licenses, phrases, pieces, runs, shards, simhash, token_files, toxicity
 from cityloom.llm.common import importable, text_of
 from cityloom.session import scratch_dir
 
@@ -211,3 +211,24 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(toxicity.labelled(docs, table(spark, sf_dir, "labels")))
     scored = docs.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), toxicity.toxic_score(model, "text").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", toxicity.held_out("doc_id").alias("held_out"))
+    model = language.train(docs.where("NOT held_out").select("text", "lang"))
+    return docs.select("doc_id", "held_out", language.detect(model, "text").alias("found")).select("doc_id", "held_out", "found.*")
+
+
+@query("op1_license_scan")
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = licenses.with_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    named = F.array_sort(F.array_distinct(F.transform("licenses", lambda x: x["license"])))
+    changed = F.filter("licenses", lambda x: x["status"] == "modified")
+    return scanned.select(
+        "doc_id",
+        F.array_join(named, ",").alias("license_ids"),
+        F.size("licenses").cast("bigint").alias("n_statements"),
+        F.size(changed).cast("bigint").alias("n_modified"),
+        F.array_max(F.transform("licenses", lambda x: x["saved"])).alias("best_saved"),
+    )

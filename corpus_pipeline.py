@@ -1,20 +1,67 @@
-"""The corpus pipeline: stages that each read what the stage before wrote."""
+"""The corpus pipeline: stages that each read what the stage before wrote.
+
+Toxic documents go; later copies of repeated line runs go; of near-duplicates the smallest id stays; documents that hold a passage of a test go; what is
+left is encoded to pieces and decoded again.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cityloom.llm import phrases, pieces, runs, simhash, toxicity
+from cityloom.llm.common import importable
+from cityloom.llm.queries import PIECE_MODEL, table, vocabulary_path
 from cityloom.session import scratch_dir
 
 #: Not expressible as SQL: trained and iterative stages. Tests hold the rows against a brute-force version.
 ORACLE_SQL = None
 
-STAGES = []
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on their labels, scores below one half."""
+    importable(spark)
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the later copies of line runs of 50 words or more; ``n_chars`` follows the text."""
+    shorter = runs.without_repeated_runs(docs)
+    changed = F.size("removed_lines") > 0
+    counted = F.when(changed, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return shorter.withColumn("n_chars", counted).drop("removed_lines")
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id."""
+    importable(spark)
+    return simhash.one_of_each(docs, shingle=4, distance=4)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of a benchmark item."""
+    return phrases.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of the pieces and the text decoded from them."""
+    importable(spark)
+    coded = pieces.with_pieces(docs.select("doc_id", "text"), vocabulary_path(PIECE_MODEL))
+    return coded.select("doc_id", F.floor(F.octet_length("piece_ids") / 4).alias("n_tokens"), "piece_ids", "piece_text")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("simhash_near_dedup", keep_one_of_each),
+    ("decontamination", drop_contaminated),
+    ("sentencepiece", encode),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, apply in STAGES:
         path = scratch_dir(spark, name)
         apply(spark, docs, sf_dir).write.parquet(path)
