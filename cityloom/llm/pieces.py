@@ -10,22 +10,21 @@ from __future__ import annotations
 import heapq
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import groupby, pairwise
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from cityloom.llm.common import text_of
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 SPACE = "▁"
 #: Types of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: Characters of text worked on at a time; a longer text is worked on alone.
-BATCH_CHARACTERS = 1 << 22
+#: Bytes of text worked on at a time; a longer text is worked on alone.
+BATCH_CHARACTERS = 1 << 20
 #: Symbols beyond which a word is merged with a queue: a round costs as much as the word is long.
 ROUNDS_UP_TO = 96
 SLOT_BITS = 20
@@ -345,50 +344,34 @@ def load_model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
-def _small_batches(texts: list[str | None]) -> Iterator[list[str | None]]:
-    batch, size = [], 0
-    for text in texts:
-        batch.append(text)
-        size += len(text or "")
-        if size >= BATCH_CHARACTERS:
-            yield batch
-            batch, size = [], 0
-    if batch:
-        yield batch
+def _small_batches(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """Slices of a batch whose texts together have about ``BATCH_CHARACTERS`` bytes."""
+    texts = batch.column(column)
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < batch.num_rows:
+        before = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + BATCH_CHARACTERS, side="right")))
+        yield batch.slice(begin, end - begin), texts.slice(begin, end - begin).to_pylist()
+        begin = end
 
 
-def encode_column(model_path: str, text: str | Column) -> Column:
-    """Ids of each whole text as little-endian unsigned 32-bit integers in one binary value; NULL as empty.
+def with_pieces(docs: DataFrame, model_path: str, text_column: str = "text", ids: str = "piece_ids", decoded: str = "piece_text") -> DataFrame:
+    """``docs`` with two columns: the ids of the text as little-endian unsigned 32-bit integers, begin and end id included, and the text decoded from them.
 
-    ``model_path`` must name the same file on every executor.
+    All rows and other columns stay as they are; columns named like the two are replaced. NULL and empty texts give begin and end id and
+    the empty text. Each row stands alone, so repeated rows, ties and empty tables need no rule. A task holds a few megabytes of text
+    at a time, or one longer text. ``model_path`` must name the same file on every executor.
     """
+    kept = docs.drop(ids, decoded)
+    schema = T.StructType([*kept.schema.fields, T.StructField(ids, T.BinaryType()), T.StructField(decoded, T.StringType())])
 
-    @F.pandas_udf("binary")
-    def encoded(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = load_model(model_path)
-        for texts in series:
-            yield pd.Series([ids.tobytes() for batch in _small_batches(texts.tolist()) for ids in model.encode(batch)], dtype=object)
-
-    return encoded(text_of(text))
-
-
-def decode_column(model_path: str, ids: str | Column) -> Column:
-    """The text of each binary value of ids; NULL as no ids."""
-
-    @F.pandas_udf("string")
-    def decoded(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load_model(model_path)
-        for values in series:
-            yield pd.Series([model.decode(np.frombuffer(value or b"", dtype="<u4")) for value in values], dtype=object)
-
-    return decoded(ids)
+        for batch in batches:
+            for rows, texts in _small_batches(batch, text_column):
+                coded = model.encode(texts)
+                added = pa.array([value.tobytes() for value in coded], pa.binary()), pa.array(map(model.decode, coded), pa.string())
+                yield pa.RecordBatch.from_arrays([*rows.columns, *added], [*batch.schema.names, ids, decoded])
 
-
-def with_pieces(docs: DataFrame, model_path: str, text_column: str = "text", ids: str = "piece_ids", decoded: str = "piece_text") -> DataFrame:
-    """``docs`` with two columns: the ids of the text, begin and end id included, and the text decoded from them.
-
-    All rows and other columns stay as they are; columns named like the two are replaced. NULL and empty texts give begin and end id and
-    the empty text. Each row stands alone, so repeated rows, ties and empty tables need no rule. Memory follows the longest text.
-    """
-    encoded = docs.drop(ids, decoded).withColumn(ids, encode_column(model_path, text_column))
-    return encoded.withColumn(decoded, decode_column(model_path, ids))
+    return kept.mapInArrow(encode, schema)
