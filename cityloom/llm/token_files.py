@@ -10,13 +10,13 @@ from __future__ import annotations
 
 import json
 import os
-import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,14 +28,17 @@ from cityloom.session import stage
 
 SEGMENT_TOKENS = 1 << 21
 BLOCK_TOKENS = 1 << 19
-#: Characters tokenized at a time, and how many distinct stretches of text a task remembers the ids of.
-BATCH_CHARACTERS = 1 << 21
+#: Bytes of text tokenized at a time, and how many distinct stretches of text a process remembers the ids of.
+BATCH_BYTES = 1 << 22
 REMEMBERED = 1_000_000
 #: New stretches encoded in one call.
 JOINED = 1 << 12
 
-_OTHER_SPACE = re.compile("[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
-_LINE_END = ("\n",)
+#: White space other than single blanks and line ends between other characters.
+_UNUSUAL = (
+    r"[\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    r"|[ \n][ \n]|\A[ \n]|[ \n]\z"
+)
 #: Marks that the pattern parts from a letter before them.
 _MARKS = ".,;:!?#$&*"
 
@@ -106,29 +109,6 @@ class Tokenizer:
         self.lengths[numbers] = lengths
         self.flat = np.append(self.flat, flat)
 
-    def _cut(self, text: str) -> list:
-        """The stretches of a text: a string stands for itself after a blank, a tuple for the string in it without one."""
-        if not text:
-            return []
-        if not self.separable or self._unusual(text) or any(special in text for special in self.specials):
-            return [(text,)]
-        parts: list = []
-        for line in text.split("\n"):
-            words = line.split(" ")
-            words[0] = (words[0],)
-            parts += words
-            parts.append(_LINE_END)
-        parts.pop()
-        return parts
-
-    @staticmethod
-    def _unusual(text: str) -> bool:
-        """White space other than single blanks and line ends between other characters."""
-        return (
-            "  " in text or "\n " in text or " \n" in text or "\n\n" in text
-            or text[0] in " \n" or text[-1] in " \n" or _OTHER_SPACE.search(text) is not None
-        )
-
     def _alone(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
         coded = [encoding.ids for encoding in self.whole.encode_batch_fast(strings, add_special_tokens=False)]
         lengths = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
@@ -165,22 +145,52 @@ class Tokenizer:
         flat = _gather(self.flat, self.begins[both], self.lengths[both])
         self._remember(flat, self.lengths[both].reshape(-1, 2).sum(axis=1), np.array(wholes, dtype=np.int64))
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _whole(self, texts: pa.Array) -> pa.Array:
+        """Which texts are not to be cut: those with other white space, or with special tokens."""
+        if not self.separable:
+            return pa.array(np.ones(len(texts), dtype=bool))
+        found = pc.match_substring_regex(texts, _UNUSUAL)
+        for special in self.specials:
+            found = pc.or_(found, pc.match_substring(texts, special))
+        return found
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, each with the end id; and how many each text has."""
         if len(self.numbers) > REMEMBERED:
             self._forget_rare()
-        wanted: list = []
-        for text in texts:
-            wanted += self._cut(text)
-            wanted.append(None)
         numbers = self.numbers
-        codes = np.fromiter(map(numbers.__getitem__, wanted), dtype=np.int64, count=len(wanted))
+        whole = self._whole(texts)
+        lines = pc.split_pattern(pc.if_else(whole, "", texts), "\n")
+        words = pc.split_pattern(lines.flatten(), " ")
+        in_line = pc.list_value_length(words).to_numpy().astype(np.int64)
+        coded = words.flatten().dictionary_encode()
+        index, distinct = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        # A line's first word stands alone, the others after a blank.
+        firsts = np.cumsum(in_line) - in_line
+        later = np.ones(len(index), dtype=bool)
+        later[firsts] = False
+        of_later, of_first = np.zeros(len(distinct), dtype=np.int64), np.zeros(len(distinct), dtype=np.int64)
+        for table, held, keys in ((of_later, index[later], distinct), (of_first, index[firsts], list(zip(distinct, strict=True)))):
+            used = np.flatnonzero(np.bincount(held, minlength=len(distinct))).tolist()
+            table[used] = [numbers[keys[i]] for i in used]
+        codes = of_later[index]
+        codes[firsts] = of_first[index[firsts]]
+        last_lines = np.cumsum(pc.list_value_length(lines).to_numpy()) - 1
+        for at in np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist():
+            codes[firsts[last_lines[at]]] = numbers[texts[at].as_py(),]
+        # Behind each line comes its end, behind a text's last one the end of the document.
+        ends = np.full(len(in_line), numbers["\n",])
+        ends[last_lines] = 0
+        order = np.arange(len(in_line))
+        sequence = np.empty(len(codes) + len(ends), dtype=np.int64)
+        sequence[np.arange(len(codes)) + np.repeat(order, in_line)] = codes
+        sequence[np.cumsum(in_line) + order] = ends
         if numbers.fresh:
             self._learn()
-        self.uses += np.bincount(codes, minlength=len(self.uses))
-        taken = self.lengths[codes]
-        ids = _gather(self.flat, self.begins[codes], taken)
-        return ids, np.diff(np.cumsum(taken)[codes == 0], prepend=0)
+        self.uses += np.bincount(sequence, minlength=len(self.uses))
+        taken = self.lengths[sequence]
+        ids = _gather(self.flat, self.begins[sequence], taken)
+        return ids, np.diff(np.cumsum(taken)[sequence == 0], prepend=0)
 
 
 def _gather(flat: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -210,15 +220,15 @@ def _segment_type(id_type: T.DataType) -> T.StructType:
     )
 
 
-def _small_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
-    for batch in batches:
-        ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        begin = size = 0
-        for at, text in enumerate(texts):
-            size += len(text)
-            if size >= BATCH_CHARACTERS or at == len(texts) - 1:
-                yield ids[begin : at + 1], texts[begin : at + 1]
-                begin, size = at + 1, 0
+def _small_batches(batch: pa.RecordBatch) -> Iterator[tuple[list, pa.Array]]:
+    """Ids and texts of slices of a batch whose texts together have about ``BATCH_BYTES``."""
+    ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy().astype(np.int64))
+    begin = 0
+    while begin < batch.num_rows:
+        before = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + BATCH_BYTES, side="right")))
+        yield batch.column(0).slice(begin, end - begin).to_pylist(), batch.column(1).slice(begin, end - begin)
+        begin = end
 
 
 def _segments(tokenizer_path: str, end_id: int, segment_tokens: int, block_tokens: int):
@@ -241,7 +251,7 @@ def _segments(tokenizer_path: str, end_id: int, segment_tokens: int, block_token
 
         for batch in batches:
             id_kind = batch.schema.field(0).type
-            for ids, texts in _small_batches([batch]):
+            for ids, texts in _small_batches(batch):
                 tokens, lengths = tokenizer.encode(texts)
                 names, pieces, counts = [*names, *ids], [*pieces, tokens], [*counts, lengths]
                 gathered += len(tokens)
