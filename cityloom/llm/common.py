@@ -45,6 +45,7 @@ def size_guarded(staged: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """
     flat = 8 * len(staged.columns) + ROW_BYTES
     texts = [F.sum(F.octet_length(f.name)) for f in staged.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    texts += [F.sum(2 * F.octet_length(F.to_json(f.name))) for f in staged.schema if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))]
     measured = staged.agg(F.count(F.lit(1)), *texts).first()
     size = measured[0] * flat + sum(value or 0 for value in measured[1:])
     return F.broadcast(staged) if size <= limit else staged
@@ -58,6 +59,23 @@ def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
     return result
 
 
+def packed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """``docs`` as (row, doc_id, text_key): all columns in one struct, so that none of their names can clash with others.
+
+    A document is named by its id and a hash of its text, so that rows that repeat an id stay apart.
+    """
+    text_key = F.xxhash64(text_of(text_column)).alias("text_key")
+    return docs.select(F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"), F.col(id_column).alias("doc_id"), text_key)
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``docs`` is called so."""
+    taken = {column.lower() for column in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def power_of_two(least: int) -> int:
     """The smallest power of two that is not below ``least``."""
     return 1 << max(0, int(least) - 1).bit_length()

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cityloom.llm.common import power_of_two, same, size_guarded, text_of
+from cityloom.llm.common import packed, power_of_two, same, size_guarded, text_of
 from cityloom.session import stage
 
 #: Deleted before texts are compared.
@@ -103,6 +103,7 @@ def find_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns and texts; rows equal in id and text count as one."""
-    staying = find_copies(docs, id_column, text_column).where("kept").select(F.col(id_column).alias("__id"), F.col("text_sha256").alias("__sha"))
-    marked = docs.withColumns({"__id": F.col(id_column), "__sha": F.sha2(normalized(text_column), 256)})
-    return marked.join(staying, same(marked, staying, "__id", "__sha"), "left_semi").dropDuplicates(["__id", "__sha"]).drop("__id", "__sha")
+    staying = find_copies(docs, id_column, text_column).where("kept").select(F.col(id_column).alias("doc_id"), "text_sha256")
+    rows = packed(docs, id_column, text_column).withColumn("text_sha256", F.sha2(normalized(F.col(f"row.`{text_column}`")), 256))
+    kept = rows.join(staying, same(rows, staying, "doc_id", "text_sha256"), "left_semi")
+    return kept.dropDuplicates(["doc_id", "text_sha256"]).select("row.*")

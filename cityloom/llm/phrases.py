@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cityloom.llm.common import ascii_lower, same, size_guarded, text_of
+from cityloom.llm.common import ascii_lower, free_name, packed, same, size_guarded, text_of
 from cityloom.session import stage
 
 #: What stands between words once A-Z are in lower case: ASCII other than digits and a-z.
@@ -117,20 +117,19 @@ def with_phrases(
     index = build_index(docs, terms, id_column, text_column)
     places = candidates(index, ranked_terms(index, windows, terms), probes)
     places = places.join(size_guarded(windows), "window_id")
-    per_doc = places.groupBy(*_KEY).agg(F.collect_list(F.struct("start", "len", "terms", "items")).alias("__places"))
-    per_doc = per_doc.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "__places")
-    marked = docs.drop(result).withColumns({"__id": F.col(id_column), "__key": F.xxhash64(text_of(text_column))})
-    joined = marked.join(per_doc, same(marked, per_doc, "__id", "__key"), "left").drop(per_doc["__id"]).drop(per_doc["__key"])
+    per_doc = places.groupBy(*_KEY).agg(F.array_sort(F.collect_set(F.struct("start", "len", "terms", "items"))).alias("places"))
+    rows = packed(docs.drop(result), id_column, text_column)
+    joined = rows.join(per_doc, same(rows, per_doc, *_KEY), "left").select("row", "places")
 
     def compare(words: Column) -> Column:
-        equal = F.filter("__places", lambda p: F.slice(words, p["start"] + 1, p["len"]) == p["terms"])
+        equal = F.filter("places", lambda p: F.slice(words, p["start"] + 1, p["len"]) == p["terms"])
         matches = F.transform(equal, lambda p: F.struct(p["start"].alias("start"), p["len"].alias("len"), p["items"].alias("items")))
         return F.struct(F.size(words).cast("bigint").alias("n_words"), F.coalesce(matches, F.array().cast(matches_type)).alias("matches"))
 
     matches_type = "array<struct<start:int,len:int,items:array<string>>>"
     # The one-element array binds the words once for all comparisons.
-    compared = F.transform(F.array(words_of(text_column)), compare)[0]
-    return joined.withColumn(result, compared).drop("__id", "__key", "__places")
+    compared = F.transform(F.array(words_of(F.col(f"row.`{text_column}`"))), compare)[0]
+    return joined.select("row", compared.alias("found")).select("row.*", F.col("found").alias(result))
 
 
 def hit_words(matches: Column) -> Column:
@@ -146,7 +145,8 @@ def hit_items(matches: Column) -> Column:
 
 def without_contaminated(docs: DataFrame, items: DataFrame, **names: str) -> DataFrame:
     """The rows of ``docs`` in which no window of an item occurs, with their columns."""
-    return with_phrases(docs, items, result="__phrases", **names).where(F.size("__phrases.matches") == 0).drop("__phrases")
+    found = free_name(docs, "phrases")
+    return with_phrases(docs, items, result=found, **names).where(F.size(f"{found}.matches") == 0).drop(found)
 
 
 def proximity_matches(index: DataFrame, ranked: DataFrame, slop: int) -> DataFrame:
@@ -163,9 +163,11 @@ def proximity_matches(index: DataFrame, ranked: DataFrame, slop: int) -> DataFra
     alone = anchors.where("distinct_terms = 1").select(*_KEY, "window_id", "at")
     others = size_guarded(stage(ranked.where("rank > 1").select("window_id", "term_id"), "others"))
     wanted = anchors.join(others, "window_id").withColumn("bin", F.explode(F.array(*(F.floor(F.col("at") / bins) + i for i in (-1, 0, 1)))))
-    lists = index.withColumn("bin", F.floor(F.col("pos") / bins))
-    met = wanted.join(lists, same(wanted, lists, *_KEY, "term_id", "bin"))
-    met = met.where(F.abs(lists["pos"] - wanted["at"]) <= wanted["len"] - 1 + slop)
-    met = met.select(*(wanted[c] for c in (*_KEY, "window_id", "at", "distinct_terms", "term_id"))).distinct()
+    lists = index.select(
+        F.col("doc_id").alias("in_doc"), F.col("text_key").alias("in_text"), F.col("term_id").alias("met"), F.col("pos").alias("place")
+    ).withColumn("near", F.floor(F.col("place") / bins))
+    here = F.col("doc_id").eqNullSafe(F.col("in_doc")) & F.expr("text_key = in_text AND term_id = met AND bin = near")
+    met = wanted.join(lists, here).where(F.abs(F.col("place") - F.col("at")) <= F.col("len") - 1 + slop)
+    met = met.select(*_KEY, "window_id", "at", "distinct_terms", "term_id").distinct()
     full = met.groupBy(*_KEY, "window_id", "at", "distinct_terms").agg(F.count(F.lit(1)).alias("met")).where("met = distinct_terms - 1")
     return alone.union(full.select(*_KEY, "window_id", "at")).withColumnRenamed("at", "pos")

@@ -177,7 +177,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), summed AS (
         SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY pos) AS upto FROM lines
     ), listed AS (
-        SELECT doc_id, list(line ORDER BY pos) AS texts, list(line_no ORDER BY pos) AS numbers FROM lines GROUP BY doc_id
+        SELECT doc_id, list(line ORDER BY pos) AS texts FROM lines GROUP BY doc_id
     ), runs AS (
         SELECT a.doc_id, a.pos AS i, min(b.pos) AS j FROM summed a JOIN summed b ON a.doc_id = b.doc_id AND b.pos >= a.pos AND b.upto - a.upto + a.words >= 50
         GROUP BY a.doc_id, a.pos
@@ -185,17 +185,22 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT a.doc_id, max(b.pos) AS i, a.pos AS j FROM summed a JOIN summed b ON a.doc_id = b.doc_id AND b.pos <= a.pos AND a.upto - b.upto + b.words >= 50
         GROUP BY a.doc_id, a.pos
     ), placed AS (
-        SELECT doc_id, i, j, array_to_string(texts[i:j], chr(10)) AS content, numbers[i] AS first_line, numbers[j] AS last_line FROM runs JOIN listed USING (doc_id)
+        SELECT doc_id, i, j, array_to_string(texts[i:j], chr(10)) AS content FROM runs JOIN listed USING (doc_id)
     ), later AS (
         SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, i) AS copy FROM placed) WHERE copy > 1
-    ), removed AS (
-        SELECT DISTINCT doc_id, unnest(range(first_line, last_line + 1)) AS line_no FROM later
+    ), gone AS (
+        SELECT DISTINCT doc_id, unnest(range(i, j + 1)) AS pos FROM later
     ), every_line AS (
-        SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line_no FROM documents
+        SELECT doc_id, line, line_no, trim(line) <> '' AS filled, count(*) FILTER (trim(line) <> '') OVER (PARTITION BY doc_id ORDER BY line_no) AS pos
+        FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line_no
+            FROM documents)
+    ), marked AS (
+        SELECT e.*, g.pos IS NOT NULL AND (filled OR n.pos IS NOT NULL) AS removed
+        FROM every_line e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.pos = g.pos LEFT JOIN gone n ON e.doc_id = n.doc_id AND e.pos + 1 = n.pos
     )
-    SELECT doc_id, count(*) AS n_lines, count(removed.line_no) AS n_removed,
-        sha256(coalesce(string_agg(line, chr(10) ORDER BY every_line.line_no) FILTER (removed.line_no IS NULL), '')) AS text_sha256
-    FROM every_line LEFT JOIN removed USING (doc_id, line_no) GROUP BY doc_id
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed,
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT removed), '')) AS text_sha256
+    FROM marked GROUP BY doc_id
     """,
 )
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

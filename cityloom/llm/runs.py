@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cityloom.llm.common import same, size_guarded, text_of
+from cityloom.llm.common import packed, same, size_guarded, text_of
 from cityloom.session import stage
 
 MIN_WORDS = 50
@@ -109,7 +109,7 @@ def _levels(active: DataFrame, longest: int) -> DataFrame:
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Later copies of repeated runs: (doc_id, text_key, first_line, last_line), overlapping where the maximal run is longer; staged.
+    """Later copies of repeated runs: (doc_id, text_key, start, len, first_line, last_line), overlapping where the maximal run is longer; staged.
 
     A copy is later than another by (id, hash of the text, line); NULL ids come first.
     """
@@ -128,7 +128,7 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_column: str =
     here = F.struct("doc_id", "text_key", "start")
     intervals = placed.groupBy("len", "left", "right").agg(F.count(F.lit(1)).alias("copies"), F.min(here).alias("kept")).where("copies > 1")
     later = placed.join(size_guarded(stage(intervals, "kept")), ["len", "left", "right"]).where(here > F.col("kept"))
-    return stage(later.select(*_KEY, "first_line", "last_line"), "copies")
+    return stage(later.select(*_KEY, "start", "len", "first_line", "last_line"), "copies")
 
 
 def without_repeated_runs(
@@ -136,25 +136,35 @@ def without_repeated_runs(
 ) -> DataFrame:
     """``docs`` without the lines of later copies, plus an array of the ranges (first, last) of line numbers that were taken out.
 
-    All rows and other columns stay; a column named like the result is replaced. Blank lines belong to no run; those inside one go with it. NULL
-    texts stay NULL, and a text that loses all its lines becomes empty. Rows equal in id and text are one document and get the same text.
+    All rows and other columns stay; a column named like the result is replaced. Blank lines belong to no run; those between two lines that go, go too.
+    NULL texts stay NULL, and a text that loses all its lines becomes empty. Rows equal in id and text are one document and get the same text.
     """
     copies = repeated_runs(docs, min_words, id_column, text_column)
-    ranges = F.sort_array(F.collect_set(F.struct(F.col("first_line").alias("first"), F.col("last_line").alias("last"))))
+    place = F.struct("start", (F.col("start") + F.col("len")).alias("end"), F.col("first_line").alias("first"), F.col("last_line").alias("last"))
+    merged_type = "array<struct<start:int,end:int,first:int,last:int>>"
     none = F.array().cast("array<struct<first:int,last:int>>")
 
-    def extend(done: Column, line: Column) -> Column:
-        end = F.element_at(done, -1)
-        longer = F.array(F.struct(end["first"].alias("first"), F.greatest(end["last"], line["last"]).alias("last")))
-        joins = (F.size(done) > 0) & (line["first"] <= F.try_element_at(done, F.lit(-1))["last"] + 1)
-        return F.when(joins, F.concat(F.slice(done, 1, F.size(done) - 1), longer)).otherwise(F.concat(done, F.array(line)))
-
-    per_doc = copies.groupBy(*_KEY).agg(ranges.alias("ranges"))
-    per_doc = per_doc.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.aggregate("ranges", none, extend).alias("__ranges"))
-    marked = docs.drop(result).withColumns({"__id": F.col(id_column), "__key": F.xxhash64(text_of(text_column))})
-    joined = marked.join(per_doc, same(marked, per_doc, "__id", "__key"), "left").drop(per_doc["__id"]).drop(per_doc["__key"])
-    staying = F.filter(
-        F.split(text_column, "\n"), lambda line, i: ~F.exists("__ranges", lambda r: (r["first"] <= i) & (i <= r["last"]))
-    )
-    shorter = F.when(F.col("__ranges").isNull(), F.col(text_column)).otherwise(F.array_join(staying, "\n"))
-    return joined.withColumns({text_column: shorter, result: F.coalesce("__ranges", none)}).drop("__id", "__key", "__ranges")
+    def extend(done: Column, run: Column) -> Column:
+        """Join a run to the last one where they touch; positions do not count blank lines."""
+        at = F.element_at(done, -1)
+        further = run["end"] > at["end"]
+        longer = F.struct(
+            at["start"].alias("start"),
+            F.greatest(at["end"], run["end"]).alias("end"),
+            at["first"].alias("first"),
+            F.when(further, run["last"]).otherwise(at["last"]).alias("last"),
+        )
+        joins = (F.size(done) > 0) & (run["start"] <= F.try_element_at(done, F.lit(-1))["end"])
+        return F.when(joins, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, F.array(run)))
+
+    per_doc = copies.groupBy(*_KEY).agg(F.sort_array(F.collect_set(place)).alias("runs"))
+    merged = F.aggregate("runs", F.array().cast(merged_type), extend)
+    lines = F.transform(merged, lambda run: F.struct(run["first"].alias("first"), run["last"].alias("last")))
+    per_doc = per_doc.select(*_KEY, lines.alias("ranges"))
+    rows = packed(docs.drop(result), id_column, text_column)
+    joined = rows.join(per_doc, same(rows, per_doc, *_KEY), "left").select("row", "ranges")
+    text = F.col(f"row.`{text_column}`")
+    staying = F.filter(F.split(text, "\n"), lambda line, i: ~F.exists("ranges", lambda r: (r["first"] <= i) & (i <= r["last"])))
+    shorter = F.when(F.col("ranges").isNull(), text).otherwise(F.array_join(staying, "\n"))
+    kept = [shorter.alias(name) if name == text_column else F.col(f"row.`{name}`") for name in rows.schema["row"].dataType.names]
+    return joined.select(*kept, F.coalesce("ranges", none).alias(result))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cityloom.llm import phrases, pieces, runs, simhash, toxicity
-from cityloom.llm.common import importable
+from cityloom.llm.common import free_name, importable
 from cityloom.llm.queries import PIECE_MODEL, table, vocabulary_path
 from cityloom.session import scratch_dir
 
@@ -26,10 +26,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the later copies of line runs of 50 words or more; ``n_chars`` follows the text."""
-    shorter = runs.without_repeated_runs(docs)
-    changed = F.size("removed_lines") > 0
+    removed = free_name(docs, "removed_lines")
+    shorter = runs.without_repeated_runs(docs, result=removed)
+    changed = F.size(removed) > 0
     counted = F.when(changed, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return shorter.withColumn("n_chars", counted).drop("removed_lines")
+    return shorter.withColumn("n_chars", counted).drop(removed)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
