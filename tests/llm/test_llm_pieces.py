@@ -1,0 +1,62 @@
+import random
+
+import numpy as np
+import pytest
+from messy import CASES, empty, messy
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+sentencepiece = pytest.importorskip("sentencepiece")
+
+from cityloom.llm.pieces import ROUNDS_UP_TO, load_model, with_pieces  # noqa: E402
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+PARTS = ["a", "b", "the", "ing", " ", "  ", "\n", "\t", "é", "ß", "▁", "漢", "字", "😀", "́", "\x00", ".", "...", "12", "<s>", "<0x41>", "ab" * 60, "a" * 300, "   " * 50, "�", "ㅏ", "===="]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=PATH)
+
+
+@pytest.fixture(scope="module")
+def model():
+    return load_model(PATH)
+
+
+def test_random_texts_equal_the_library(model, library):
+    chosen = random.Random(5)
+    texts = ["", " ", "▁", "\n", "  a", "a  ", "x" * 5000, *("".join(chosen.choices(PARTS, k=chosen.randrange(40))) for _ in range(1500))]
+    want = library.encode(texts, add_bos=True, add_eos=True)
+    got = model.encode(texts)
+    assert [ids.tolist() for ids in got] == want
+    assert [model.decode(ids) for ids in got] == [library.decode(ids) for ids in want]
+
+
+def test_any_ids_decode_as_in_the_library(model, library):
+    chosen = random.Random(6)
+    lists = [[chosen.choice([0, 1, 2, 3, 131, 200, 230, 240, 259, 260, 29871, chosen.randrange(32000)]) for _ in range(chosen.randrange(8))] for _ in range(1500)]
+    assert [model.decode(np.array(ids, dtype="<u4")) for ids in lists] == [library.decode(ids) for ids in lists]
+
+
+def test_queue_and_rounds_agree(model):
+    chosen = random.Random(7)
+    for _ in range(200):
+        word = "▁" + "".join(chosen.choices("abeinrst", k=chosen.randrange(1, ROUNDS_UP_TO)))
+        symbols, lengths = model.merged([word])
+        assert symbols.tolist() == model.merged_by_queue(word) and lengths.tolist() == [len(symbols)]
+
+
+def test_rows_and_columns_stay(spark, library):
+    docs = messy(spark)
+    rows = with_pieces(docs, PATH).collect()
+    assert sorted(r.text_key for r in rows) == list(range(len(CASES)))
+    for r in rows:
+        want = library.encode(r.text or "", add_bos=True, add_eos=True)
+        assert np.frombuffer(r.piece_ids, dtype="<u4").tolist() == want
+        assert r.piece_text == library.decode(want)
+    again = with_pieces(with_pieces(docs, PATH), PATH)
+    assert again.columns == [*docs.columns, "piece_ids", "piece_text"]
+
+
+def test_empty_table(spark):
+    assert with_pieces(empty(spark), PATH).collect() == []

@@ -1,0 +1,87 @@
+import hashlib
+import struct
+
+import duckdb
+import pytest
+from conftest import TESTDATA
+from test_llm_phrases import words
+from test_llm_runs import shorter
+from test_llm_simhash import roots, slow_fingerprint
+
+import corpus_pipeline
+from cityloom.llm import queries
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+sentencepiece = pytest.importorskip("sentencepiece")
+SF = str(TESTDATA / "sf0.001")
+pytestmark = pytest.mark.skipif(not TESTDATA.exists(), reason="test tables not present")
+
+
+def table(name, columns):
+    return duckdb.sql(f"SELECT {columns} FROM '{SF}/{name}.parquet' ORDER BY 1").fetchall()
+
+
+def signed(value):
+    return value - (1 << 64) if value >> 63 else value
+
+
+def representatives(docs):
+    """Smallest id of each document's group."""
+    prints = {i: signed(slow_fingerprint(t, 4)) for i, t in docs}
+    found = roots(sorted(set(prints.values())), 4)
+    least = {}
+    for i, p in sorted(prints.items()):
+        least.setdefault(found[p], i)
+    return {i: least[found[p]] for i, p in prints.items()}
+
+
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(queries.PIECE_MODEL))
+
+
+def test_simhash_query(spark):
+    docs = table("documents", "doc_id, text")
+    rows = queries.QUERIES["op6_simhash"](spark, SF).collect()
+    assert {r.doc_id: r.component_id for r in rows} == representatives(docs)
+    assert {r.doc_id: r.fingerprint for r in rows} == {i: f"{slow_fingerprint(t, 4):016x}" for i, t in docs}
+
+
+def test_sentencepiece_query(spark):
+    model = library()
+    expected = {}
+    for i, text in table("documents", "doc_id, text"):
+        ids = model.encode(text or "", add_bos=True, add_eos=True)
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        expected[i] = (len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(model.decode(ids).encode()).hexdigest())
+    rows = queries.QUERIES["op7_sentencepiece"](spark, SF).collect()
+    assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows} == expected
+
+
+def test_pipeline_equals_the_stages_by_brute_force(spark):
+    toxic = {r.doc_id for r in queries.QUERIES["op2_toxicity"](spark, SF).collect() if r.predicted}
+    docs = [(i, t) for i, t in table("documents", "doc_id, text") if i not in toxic]
+    docs = [(i, t) for (i, _), t in zip(docs, shorter(docs, 50), strict=True)]
+    least = representatives(docs)
+    docs = [(i, t) for i, t in docs if least[i] == i]
+    windows = set()
+    for _, text in table("benchmark", "item_id, text"):
+        w = words(text)
+        windows |= {tuple(w[at : at + 10]) for at in range(max(len(w) - 9, 1))} - {()}
+    sizes = {len(w) for w in windows}
+
+    def contaminated(text):
+        w = words(text)
+        return any(tuple(w[at : at + n]) in windows for n in sizes for at in range(len(w) - n + 1))
+
+    model = library()
+    expected = {i: model.encode(t, add_bos=True, add_eos=True) for i, t in docs if not contaminated(t)}
+    rows = corpus_pipeline.run(spark, SF).collect()
+    got = {r.doc_id: list(struct.unpack(f"<{len(r.piece_ids) // 4}I", r.piece_ids)) for r in rows}
+    assert got == expected and len(rows) == len(got) < len(table("documents", "doc_id"))
+
+
+def test_stages_but_the_last_return_the_columns_of_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "simhash_near_dedup", "decontamination", "sentencepiece"]
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        assert sorted(stage(spark, docs, SF).dtypes) == sorted(docs.dtypes)
