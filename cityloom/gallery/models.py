@@ -1,11 +1,13 @@
 """String indices, split, regression, stored models."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cityloom.functions.columns import epoch_seconds, in_train_share
 from cityloom.gallery.registry import query, table
 from cityloom.operators import learn
 from cityloom.session import scratch_dir, stage
+from cityloom.sources.zones import Zone
 
 _PART_INDEX = """
     SELECT feature, value, count(*) AS n_rows,
@@ -89,10 +91,70 @@ def _order_prices(spark, sf_dir):
     )
 
 
-@query("ml_linear_multi")
+_MULTI_FEATURES = ("date", "o_orderstatus", "o_orderpriority")
+
+
+def fit_check(model, train, features, label="price"):
+    """For each feature the rounded correlation of the training residual with it: 0 for a least-squares fit."""
+    predicted = model.predict(train)
+    residual = F.col("label") - F.col("prediction")
+    values = vector_to_array("features")
+    pairs = [F.corr(residual, values[i]).alias(f"_{i}") for i in range(len(features))]
+    found = predicted.withColumn("label", F.col(label).cast("double")).agg(*pairs)
+    # A feature of one value has no correlation; adding 0 turns a negative zero around.
+    tidy = [(F.round(F.coalesce(F.nanvl(f"_{i}", F.lit(0.0)), F.lit(0.0)), 5) + 0.0).alias(name) for i, name in enumerate(features)]
+    return found.select(*tidy)
+
+
+@query(
+    "ml_linear_multi",
+    """
+    WITH status AS (SELECT o_orderstatus, row_number() OVER (ORDER BY count(*) DESC, o_orderstatus) - 1 AS i FROM orders GROUP BY 1),
+    priority AS (SELECT o_orderpriority, row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) - 1 AS i FROM orders GROUP BY 1),
+    assembled AS (
+        SELECT o_orderkey, epoch(o_orderdate::DATE)::DOUBLE AS date, s.i::DOUBLE AS o_orderstatus, p.i::DOUBLE AS o_orderpriority
+        FROM orders JOIN status s USING (o_orderstatus) JOIN priority p USING (o_orderpriority)
+    )
+    SELECT 'feature' AS kind, o_orderkey, date, o_orderstatus, o_orderpriority FROM assembled
+    UNION ALL SELECT 'residual', NULL, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE
+    """,
+)
 def ml_linear_multi(spark, sf_dir):
-    _, metrics = learn.fit_price_model(_order_prices(spark, sf_dir), key="o_orderkey")
-    return metrics
+    """The assembled features of every order, and how the residuals of the fit correlate with them."""
+    rows = _order_prices(spark, sf_dir)
+    model, _ = learn.fit_price_model(rows, key="o_orderkey")
+    values = vector_to_array("features")
+    assembled = model.predict(rows).select(
+        F.lit("feature").alias("kind"), "o_orderkey", *[values[i].alias(name) for i, name in enumerate(_MULTI_FEATURES)]
+    )
+    train, _ = learn.split_rows(rows, key="o_orderkey")
+    residual = fit_check(model, train, _MULTI_FEATURES)
+    return assembled.unionByName(residual.select(F.lit("residual").alias("kind"), F.lit(None).cast("bigint").alias("o_orderkey"), "*"))
+
+
+@query("fit_any_label_limit", "SELECT count(*) AS n_rows, 0::BIGINT AS n_different FROM orders")
+def fit_any_label_limit(spark, sf_dir):
+    """Index joins by broadcast and by shuffle give one model: the limits choose a plan only."""
+    rows = _order_prices(spark, sf_dir)
+    predicted = []
+    for max_rows, hot_rows in ((100_000, learn.HOT_ROWS), (0, 1_000)):
+        model, _ = learn.fit_price_model(rows, max_rows=max_rows, hot_rows=hot_rows)
+        predicted.append(model.predict(rows).select("o_orderkey", F.round("prediction", 4).alias(f"p{max_rows}")))
+    both = predicted[0].join(predicted[1], "o_orderkey")
+    return both.agg(F.count("*").alias("n_rows"), F.count_if(~F.col("p100000").eqNullSafe(F.col("p0"))).alias("n_different"))
+
+
+@query("split_null_key", "SELECT count(*) AS n_rows, count(*) FILTER (o_custkey % 3 = 0) AS n_null, 1 AS both_sides FROM orders")
+def split_null_key(spark, sf_dir):
+    """Rows without a split key are on one of the sides, and not all on the same."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey")).alias("key"))
+    sides = [side.withColumn("side", F.lit(i)) for i, side in enumerate(learn.split_rows(orders, key="key"))]
+    keyless = F.col("key").isNull()
+    return sides[0].unionByName(sides[1]).agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(keyless).alias("n_null"),
+        (F.count_distinct(F.when(keyless, F.col("side"))) - 1).cast("int").alias("both_sides"),
+    )
 
 
 @query("model_roundtrip", "SELECT count(*) AS n_rows, 0::BIGINT AS n_different FROM orders")
@@ -110,9 +172,22 @@ def model_roundtrip(spark, sf_dir):
     )
 
 
-@query("model_archive")
+@query("model_archive", "SELECT count(*) AS n_rows, 0::BIGINT AS n_different, 2::BIGINT AS n_runs FROM orders")
 def model_archive(spark, sf_dir):
-    model, _ = learn.fit_price_model(_order_prices(spark, sf_dir), key="o_orderkey")
-    path = scratch_dir(spark, "model")
-    model.save(path)
-    return learn.archive_rows(spark, path).select("path", "length")
+    """Two runs in one archive; the first one is restored from it and predicts as before."""
+    rows = _order_prices(spark, sf_dir)
+    zone = Zone(spark, scratch_dir(spark, "archive"))
+    models = {}
+    for run, part in (("first", rows), ("second", rows.where("o_orderstatus <> 'P'"))):
+        models[run], _ = learn.fit_price_model(part, key="o_orderkey")
+        path = scratch_dir(spark, "model")
+        models[run].save(path)
+        zone.write("models", learn.archive_rows(spark, path, run))
+        zone.write("labels", learn.archive_labels(models[run], run))
+    archive, labels = zone.read("models"), zone.read("labels")
+    again = learn.restore_model(spark, archive, labels, "first", scratch_dir(spark, "restored"))
+    before = models["first"].predict(rows).select("o_orderkey", F.col("prediction").alias("before"))
+    both = again.predict(rows).select("o_orderkey", "prediction").join(before, "o_orderkey")
+    return both.agg(
+        F.count("*").alias("n_rows"), F.count_if(~F.col("prediction").eqNullSafe(F.col("before"))).alias("n_different")
+    ).withColumn("n_runs", archive.select(F.count_distinct("run")).scalar())

@@ -30,13 +30,17 @@ def scan_csv_strings(spark, sf_dir):
 
 @query(
     "scan_csv_declared",
-    "SELECT c_custkey::VARCHAR AS c_custkey, c_name, c_mktsegment FROM customer",
+    """
+    SELECT c_custkey::VARCHAR AS c_custkey, c_name, c_nationkey::VARCHAR AS c_nationkey,
+           c_acctbal::VARCHAR AS c_acctbal, c_mktsegment
+    FROM customer
+    """,
 )
 def scan_csv_declared(spark, sf_dir):
     root = scratch_dir(spark, "csv")
-    columns = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    columns.write.csv(f"{root}/customer.csv", header=True)
-    schema = "c_custkey string, c_name string, c_mktsegment string"
+    customer = table(spark, sf_dir, "customer")
+    customer.write.csv(f"{root}/customer.csv", header=True)
+    schema = ", ".join(f"{name} string" for name in customer.columns)
     return conform_union(landing_frames(spark, root, schema=schema)).drop(SOURCE)
 
 
@@ -88,39 +92,59 @@ def year_from_file_name(spark, sf_dir):
     return yearly.groupBy("year").agg(F.count("*").alias("n"), total.alias("total"))
 
 
-@query(
-    "daily_folder_scan",
-    """
-    SELECT ts::DATE AS date, count(*) AS n, count(DISTINCT event_type) AS n_types FROM events GROUP BY 1
-    """,
-)
+@query("daily_folder_scan", "SELECT ts::DATE AS date, event_id, user_id, event_type, value, props FROM events")
 def daily_folder_scan(spark, sf_dir):
     root = scratch_dir(spark, "daily")
     events = table(spark, sf_dir, "events")
     day = F.concat(F.date_format("ts", "yyyy_MM_dd"), F.lit("_events"))
-    events.select("event_id", "event_type", day.alias("day")).write.partitionBy("day").parquet(root)
-    daily = with_day(conform_union(landing_frames(spark, root, "daily")))
-    return daily.groupBy("date").agg(F.count("*").alias("n"), F.count_distinct("event_type").alias("n_types"))
+    events.withColumn("day", day).drop("ts").write.partitionBy("day").parquet(root)
+    return with_day(conform_union(landing_frames(spark, root, "daily"))).drop(SOURCE)
 
 
 @query(
     "zone_roundtrip",
     """
-    SELECT 'customer' AS table_name, count(*) AS n FROM customer
-    UNION ALL SELECT 'orders', count(*) FROM orders
-    UNION ALL SELECT 'supplier', count(*) FROM supplier
+    SELECT 'customer' AS table_name, c_custkey AS key, c_name AS name, c_acctbal AS value, NULL::TIMESTAMP AS day FROM customer
+    UNION ALL SELECT 'orders', o_orderkey, o_orderpriority, o_totalprice, o_orderdate FROM orders
+    UNION ALL SELECT 'supplier', s_suppkey, s_name, s_acctbal, NULL FROM supplier
     """,
 )
 def zone_roundtrip(spark, sf_dir):
     zone = Zone(spark, scratch_dir(spark, "zone"))
-    names = ("customer", "orders", "supplier")
+    names = {"customer": ("c_custkey", "c_name", "c_acctbal"), "orders": ("o_orderkey", "o_orderpriority", "o_totalprice", "o_orderdate"), "supplier": ("s_suppkey", "s_name", "s_acctbal")}
     for name in names:
         zone.write(name, table(spark, sf_dir, name))
-    counts = [
-        df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n")
-        for name, df in zone.read_all(*names).items()
-    ]
-    return conform_union(counts)
+    tables = zone.read_all(*names)
+    return conform_union(
+        tables[name].select(F.lit(name).alias("table_name"), *[F.col(c).alias(new) for c, new in zip(columns, ("key", "name", "value", "day"))])
+        for name, columns in names.items()
+    )
+
+
+@query(
+    "zone_append_columns",
+    """
+    SELECT c_custkey, NULL AS c_name, NULL::INT AS c_nationkey FROM customer
+    UNION ALL SELECT c_custkey, c_name, NULL FROM customer
+    UNION ALL SELECT c_custkey, NULL, c_nationkey FROM customer
+    """,
+)
+def zone_append_columns(spark, sf_dir):
+    """Runs that differ in columns, read as one table."""
+    zone = Zone(spark, scratch_dir(spark, "zone"))
+    for columns in (["c_custkey"], ["c_custkey", "c_name"], ["c_nationkey", "c_custkey"]):
+        zone.write("customer", table(spark, sf_dir, "customer").select(*columns))
+    return zone.read("customer")
+
+
+@query("zone_partition_text", "SELECT o_orderkey, lpad((o_custkey % 10)::VARCHAR, 2, '0') AS code, o_orderdate::DATE AS day FROM orders WHERE o_custkey % 10 <> 3 UNION ALL SELECT o_orderkey, NULL, o_orderdate::DATE FROM orders WHERE o_custkey % 10 = 3")
+def zone_partition_text(spark, sf_dir):
+    """A text partition such as 01 comes back as the same text, NULL as NULL."""
+    zone = Zone(spark, scratch_dir(spark, "zone"))
+    code = F.when(F.col("o_custkey") % 10 != 3, F.lpad((F.col("o_custkey") % 10).cast("string"), 2, "0"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", code.alias("code"), F.col("o_orderdate").cast("date").alias("day"))
+    zone.write("orders", rows, "overwrite", partition_by="code")
+    return zone.read("orders")
 
 
 @query(

@@ -7,7 +7,18 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, NullType, NumericType, StringType, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DoubleType,
+    FloatType,
+    LongType,
+    MapType,
+    NullType,
+    NumericType,
+    StringType,
+    StructType,
+)
 
 
 def _agree(left: DataType, right: DataType) -> bool:
@@ -15,7 +26,9 @@ def _agree(left: DataType, right: DataType) -> bool:
     if left == right or isinstance(left, NullType) or isinstance(right, NullType):
         return True
     if isinstance(left, NumericType) and isinstance(right, NumericType):
-        return True
+        # A floating type holds not every bigint, so the two together become text.
+        kinds = {type(left), type(right)}
+        return not (LongType in kinds and kinds & {FloatType, DoubleType})
     if isinstance(left, StructType) and isinstance(right, StructType):
         theirs = {f.name.lower(): f.dataType for f in right}
         return all(_agree(f.dataType, theirs.get(f.name.lower(), f.dataType)) for f in left)
@@ -36,8 +49,8 @@ def _as_text(df: DataFrame, name: str) -> DataFrame:
 def conform_union(frames: Iterable[DataFrame]) -> DataFrame | None:
     """UNION ALL by name: columns in order of first appearance, missing ones NULL.
 
-    Where frames disagree on a column's type beyond numeric widening, the column becomes text
-    everywhere, since Spark's own widening of text with numbers fails on non-numeric text.
+    Where frames disagree on a column's type beyond lossless numeric widening, the column becomes text
+    everywhere, since Spark's own widening of text with numbers fails on non-numeric text, and that of bigint with double rounds.
     No frames give None.
     """
     frames = list(frames)

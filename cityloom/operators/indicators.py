@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -70,44 +70,29 @@ def moment_columns(value: Column, name: str) -> list[Column]:
     ]
 
 
+def _centre(moments: DataFrame, name: str) -> Column:
+    """Mean of all values, as a subquery: sums of squares taken from it lose no digits to a large common offset."""
+    n, mean = F.col(f"{name}_n").cast("double"), F.col(f"{name}_mean")
+    return moments.where(n > 0).select((F.sum(n * mean) / F.sum(n)).alias("centre")).scalar()
+
+
 def merge_moments(finer: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Moments per ``keys`` from moments of finer groups, as if taken from the rows."""
-    n, mean = F.col(f"{name}_n"), F.col(f"{name}_mean")
-    centred = _with_centre(finer.where(n > 0), keys, n, mean=mean)
-    return centred.groupBy(*keys).agg(
-        F.sum(n).alias(f"{name}_n"),
-        F.first("_centre.mean").alias(f"{name}_mean"),
-        F.sum(F.col(f"{name}_dev") + n * F.pow(mean - F.col("_centre.mean"), F.lit(2))).alias(f"{name}_dev"),
+    """Moments per ``keys`` from moments of finer groups, as if taken from the rows; one partial aggregation."""
+    n = F.col(f"{name}_n").cast("double")
+    off = F.col(f"{name}_mean") - F.col("centre")
+    centred = finer.withColumn("centre", _centre(finer, name)).where(n > 0)
+    sums = centred.groupBy(*keys).agg(
+        F.sum(f"{name}_n").alias(f"{name}_n"),
+        F.first("centre").alias("centre"),
+        F.sum(n * off).alias("off"),
+        F.sum(F.col(f"{name}_dev") + n * off * off).alias("square"),
         F.min(f"{name}_min").alias(f"{name}_min"),
         F.max(f"{name}_max").alias(f"{name}_max"),
     )
-
-
-def _with_centre(df: DataFrame, keys: Sequence[str], weight: Column, **values: Column) -> DataFrame:
-    """Add the struct ``_centre``: weighted means of the values over the rows of each key."""
-    whole = Window.partitionBy(*keys)
-    total = F.sum(weight).over(whole)
-    means = [(F.sum(weight * value).over(whole) / total).alias(name) for name, value in values.items()]
-    return df.withColumn("_centre", F.struct(*means))
-
-
-def _merge_pairs(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Combine rows of pair moments (n, x, y, xx, yy, xy and the bounds) to one row per key."""
-    n, x, y = F.col("n"), F.col("x"), F.col("y")
-    from_x, from_y = x - F.col("_centre.x"), y - F.col("_centre.y")
-    return (
-        _with_centre(df, keys, n, x=x, y=y)
-        .groupBy(*keys)
-        .agg(
-            F.sum("n").alias("n"),
-            F.first("_centre.x").alias("x"),
-            F.first("_centre.y").alias("y"),
-            F.sum(F.col("xx") + n * from_x * from_x).alias("xx"),
-            F.sum(F.col("yy") + n * from_y * from_y).alias("yy"),
-            F.sum(F.col("xy") + n * from_x * from_y).alias("xy"),
-            *[F.min(f"{c}_min").alias(f"{c}_min") for c in "xy"],
-            *[F.max(f"{c}_max").alias(f"{c}_max") for c in "xy"],
-        )
+    # The numerator of a constant column can come out just below 0.
+    deviation = F.greatest(F.col("square") - F.col("off") * F.col("off") / n, F.lit(0.0))
+    return sums.withColumns({f"{name}_mean": F.col("centre") + F.col("off") / n, f"{name}_dev": deviation}).drop(
+        "centre", "off", "square"
     )
 
 
@@ -116,25 +101,27 @@ def correlation_of_moments(left: DataFrame, x: str, right: DataFrame, y: str, ke
 
     Every key contributes all pairs of its left and right rows, but the pairs are never formed: within
     a key the two sides are independent, so only counts, means and deviations are needed.
-    One row per key is joined, however many rows a key has, and each side is read once.
+    One row per key is joined, however many rows a key has, and all sums are partial aggregates.
     One row; NULL as in ``correlation``.
     """
     left_n, right_n = F.col(f"{x}_n").cast("double"), F.col(f"{y}_n").cast("double")
-    per_key = left.join(right, list(keys)).select(
-        F.pmod(F.xxhash64(*keys), F.lit(256)).alias("bucket"),
-        (left_n * right_n).alias("n"),
-        F.col(f"{x}_mean").alias("x"),
-        F.col(f"{y}_mean").alias("y"),
-        (F.col(f"{x}_dev") * right_n).alias("xx"),
-        (F.col(f"{y}_dev") * left_n).alias("yy"),
-        F.lit(0.0).alias("xy"),
-        *[F.col(f"{old}_{end}").alias(f"{new}_{end}") for old, new in ((x, "x"), (y, "y")) for end in ("min", "max")],
+    ours = left.withColumn("_x", F.col(f"{x}_mean") - _centre(left, x))
+    theirs = right.withColumn("_y", F.col(f"{y}_mean") - _centre(right, y))
+    n, from_x, from_y = left_n * right_n, F.col("_x"), F.col("_y")
+    sums = ours.join(theirs, list(keys)).agg(
+        F.sum(n).alias("n"),
+        F.sum(n * from_x).alias("x"),
+        F.sum(n * from_y).alias("y"),
+        F.sum(F.col(f"{x}_dev") * right_n + n * from_x * from_x).alias("xx"),
+        F.sum(F.col(f"{y}_dev") * left_n + n * from_y * from_y).alias("yy"),
+        F.sum(n * from_x * from_y).alias("xy"),
+        (F.min(f"{x}_min") < F.max(f"{x}_max")).alias("x_varies"),
+        (F.min(f"{y}_min") < F.max(f"{y}_max")).alias("y_varies"),
     )
-    # Keys are merged in a fixed number of buckets, so the last step sees 256 rows at most.
-    whole = _merge_pairs(_merge_pairs(per_key, ["bucket"]).drop("bucket"), [])
-    varies = (F.col("x_min") < F.col("x_max")) & (F.col("y_min") < F.col("y_max"))
-    value = F.try_divide(F.col("xy"), F.sqrt("xx") * F.sqrt("yy"))
-    return whole.select(F.when(varies, value).alias("value"))
+    spread = [F.col(f"{c}{c}") - F.col(c) * F.col(c) / F.col("n") for c in "xy"]
+    together = F.col("xy") - F.col("x") * F.col("y") / F.col("n")
+    value = F.try_divide(together, F.sqrt(spread[0]) * F.sqrt(spread[1]))
+    return sums.select(F.when(F.col("x_varies") & F.col("y_varies"), value).alias("value"))
 
 
 def joined_correlation(

@@ -12,16 +12,23 @@ HOT_ROWS = 2_000_000
 # A table is broadcast only if it has at most this many rows, none above the byte limit.
 BROADCAST_ROWS = 100_000
 BROADCAST_ROW_BYTES = 1_000
-# Rows without a key are dealt out over this many buckets; nothing is repeated for them.
-NULL_BUCKETS = 1_024
 _SALT = "_join_salt"
 _BUCKETS = "_join_buckets"
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the whole table fits a broadcast: its rows and its widest row are measured."""
-    widths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns]
-    rows, widest = df.agg(F.count("*"), F.max(sum(widths[1:], widths[0]))).first()
+    """Whether the whole table fits a broadcast: its rows and its widest row are measured, up to one row beyond the limit."""
+    rows, widest = df.select(row_width(df.columns).alias("width")).limit(max_rows + 1).agg(F.count("*"), F.max("width")).first()
+    return fits_broadcast(rows, widest, max_rows)
+
+
+def row_width(columns: Iterable[str]) -> Column:
+    """Bytes of a row's values as text."""
+    widths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in columns]
+    return sum(widths, F.lit(0))
+
+
+def fits_broadcast(rows: int, widest: int | None, max_rows: int = BROADCAST_ROWS) -> bool:
     return rows <= max_rows and (widest or 0) <= BROADCAST_ROW_BYTES
 
 
@@ -61,19 +68,24 @@ def spread_join(
     """Shuffled ``inner`` or ``left`` join of ``large`` with ``small`` on equally named keys.
 
     Rows of ``large`` with a hot key are spread over buckets, as many as the key needs, and only the
-    matching rows of ``small`` are repeated, once per bucket. In a left join rows with a NULL
-    key are spread too; they match nothing. The result equals ``large.join(small, keys, how)``,
+    matching rows of ``small`` are repeated, once per bucket. Rows with a NULL key match nothing; in a left join they
+    are not shuffled but added as they are. The result equals ``large.join(small, keys, how)``,
     whatever keys are taken as hot; ``hot`` saves counting them where that is known.
     """
     # Safe to broadcast: fewer than row count / hot_rows keys.
     hot = F.broadcast(hot_keys(large, keys, hot_rows) if hot is None else hot)
-    is_null = F.greatest(*[F.col(f"`{k}`").isNull() for k in keys], F.lit(False))
-    buckets = F.when(is_null, F.lit(NULL_BUCKETS)).otherwise(F.col(_BUCKETS))
+    keyed = large.dropna(subset=keys)
+    buckets = F.col(_BUCKETS)
     salt = F.when(buckets.isNotNull(), _row_salt(large, buckets)).otherwise(F.lit(0))
-    spread = large.join(hot, keys, "left").withColumn(_SALT, salt).drop(_BUCKETS)
+    spread = keyed.join(hot, keys, "left").withColumn(_SALT, salt).drop(_BUCKETS)
     per_row = F.sequence(F.lit(0), F.coalesce(F.col(_BUCKETS), F.lit(1)) - 1)
     repeated = small.join(hot, keys, "left").withColumn(_SALT, F.explode(per_row)).drop(_BUCKETS)
-    return spread.join(repeated, [*keys, _SALT], how).drop(_SALT)
+    joined = spread.join(repeated, [*keys, _SALT], how).drop(_SALT)
+    if how != "left":
+        return joined
+    keyless = large.where(F.greatest(*[F.col(f"`{k}`").isNull() for k in keys], F.lit(False)))
+    added = {f.name: F.lit(None).cast(f.dataType) for f in small.schema if f.name not in keys}
+    return joined.unionByName(keyless.withColumns(added))
 
 
 def balanced_join(

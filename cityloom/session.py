@@ -40,6 +40,26 @@ def hadoop_path(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """Write a small file on any file system Spark reaches."""
+    files, target = hadoop_path(spark, path)
+    stream = files.create(target, True)
+    try:
+        stream.write(bytearray(content))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Content of a small text file, also of one whose name readers skip."""
+    files, target = hadoop_path(spark, path)
+    stream = files.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def _scratch_root(spark: SparkSession) -> str:
     """This application's folder under the checkpoint folder of the cluster.
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NullType, StructType
+from pyspark.sql.types import DataType, NullType, StringType, StructType
 
-from cityloom.session import hadoop_path
+from cityloom.session import hadoop_path, read_text, write_bytes
+
+# Beside a Parquet table's files: its columns as written. Readers skip names with an underscore.
+SCHEMA_FILE = "_columns.json"
 
 
 @dataclass(frozen=True)
@@ -32,9 +36,24 @@ class Zone:
         files, path = hadoop_path(self.spark, self.path(table))
         return files.delete(path, True)
 
+    def columns(self, table: str) -> StructType | None:
+        """The columns written to a Parquet table so far, with their types; None if another program wrote it."""
+        if self.table_format != "parquet" or not self.exists(f"{table}/{SCHEMA_FILE}"):
+            return None
+        return StructType.fromJson(json.loads(read_text(self.spark, f"{self.path(table)}/{SCHEMA_FILE}")))
+
     def read(self, table: str, schema: StructType | str | None = None) -> DataFrame:
+        """The table with all columns that any run wrote, NULL in the rows of runs without them.
+
+        Partition columns have the types they were written with, so a text like 01 stays a text.
+        """
         reader = self.spark.read.format(self.table_format).options(**self.options)
-        return (reader.schema(schema) if schema is not None else reader).load(self.path(table))
+        schema = schema if schema is not None else self.columns(table)
+        if schema is not None:
+            return reader.schema(schema).load(self.path(table))
+        if self.table_format == "parquet":
+            reader = reader.option("mergeSchema", "true")
+        return reader.load(self.path(table))
 
     def read_all(self, *tables: str) -> dict[str, DataFrame]:
         return {table: self.read(table) for table in tables}
@@ -42,17 +61,43 @@ class Zone:
     def write(self, table: str, df: DataFrame, mode: str = "append", partition_by: str | None = None) -> None:
         """Append to the table (created if missing), or replace it with ``mode='overwrite'``.
 
-        A partitioned table is rebalanced on the partition column first: small partitions share
-        a task, and a hot one is split into files of the advisory size.
+        Runs may differ in columns, but not in the type of a column they share. A partitioned table is
+        rebalanced on the partition column first: small partitions share a task, and a hot one is split into files of the advisory
+        size. An empty text cannot be a partition and fails the write; NULL can.
         """
         untyped = [f.name for f in df.schema if isinstance(f.dataType, NullType)]
         df = df.withColumns({name: F.col(f"`{name}`").cast("string") for name in untyped})
+        kept = self._kept_columns(table, df) if self.table_format == "parquet" else None
         if partition_by:
+            if isinstance(df.schema[partition_by].dataType, StringType):
+                value = F.col(f"`{partition_by}`")
+                refused = F.raise_error(F.lit(f"{partition_by}: an empty text cannot be a partition")).cast("string")
+                df = df.withColumn(partition_by, F.when(value == "", refused).otherwise(value))
             df = df.hint("rebalance", partition_by)
         writer = df.write.format(self.table_format).options(**self.options).mode(mode)
         if partition_by:
             writer = writer.partitionBy(partition_by)
+        if kept is not None and mode == "append":
+            known = {f.name.lower() for f in kept}
+            changed = [f.name for f in df.schema for k in kept if f.name.lower() == k.name.lower() and _plain(f.dataType) != _plain(k.dataType)]
+            if changed:
+                raise ValueError(f"table {table} has other types in: {', '.join(changed)}")
+            columns = StructType([*kept, *(f for f in df.schema if f.name.lower() not in known)])
+        else:
+            columns = df.schema
         writer.save(self.path(table))
+        if self.table_format == "parquet":
+            write_bytes(self.spark, f"{self.path(table)}/{SCHEMA_FILE}", columns.json().encode())
+
+    def _kept_columns(self, table: str, df: DataFrame) -> StructType | None:
+        if not self.exists(table):
+            return None
+        return self.columns(table) or self.read(table).schema
+
+
+def _plain(kind: DataType) -> str:
+    """A type without nullability."""
+    return kind.simpleString()
 
 
 def preview(df: DataFrame, *order: str, rows: int = 5) -> DataFrame:
