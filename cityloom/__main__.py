@@ -1,4 +1,4 @@
-"""Command line: ``python -m cityloom format|kpi|train`` (or through spark-submit)."""
+"""Command line: ``python -m cityloom format|kpi|dashboard|train`` (or through spark-submit)."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ from dataclasses import fields
 
 from pyspark.sql import SparkSession
 
-from cityloom.plans import formatting, indicators, training
-from cityloom.session import build_session, clear_scratch
+from cityloom.plans import dashboard, formatting, indicators, training
+from cityloom.session import build_session, clear_scratch, scratch_dir
 from cityloom.sources.zones import Zone
 
 
@@ -25,6 +25,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--on-missing", choices=("keep", "drop"), default="keep")
     job.add_argument("--strict-names", action="store_true")
     job.add_argument("--listings-by", metavar="COLUMN")
+    job.add_argument("--fields-replace", action="store_true")
 
     for name, text in (("kpi", "formatted zone to indicators"), ("train", "formatted zone to price model")):
         job = jobs.add_parser(name, help=text)
@@ -32,28 +33,40 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--exploitation", required=True, metavar="PATH")
         job.add_argument("--mode", choices=("overwrite", "append"), default="overwrite")
     jobs.choices["kpi"].add_argument("--nulls", choices=("skip", "zero"), default="skip")
+    jobs.choices["train"].add_argument("--split-key", metavar="COLUMN")
+    job = jobs.add_parser("dashboard", help="indicators to the dashboard's tables")
+    job.add_argument("--exploitation", required=True, metavar="PATH")
+    job.add_argument("--exclude-seller", action="append", default=[], metavar="AREA")
     return top
 
 
 def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
     spark = build_session(f"cityloom-{args.job}")
+    # All jobs but the dashboard's may keep intermediate tables: without a folder for them a cluster job ends here, before any work.
+    stages = args.job != "dashboard"
+    if stages:
+        scratch_dir(spark, "start")
     try:
         _run(spark, args)
     finally:
-        clear_scratch(spark)
+        if stages:
+            clear_scratch(spark)
 
 
 def _run(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.job == "dashboard":
+        dashboard.run(Zone(spark, args.exploitation), args.exclude_seller)
+        return
     formatted = Zone(spark, args.formatted)
     if args.job == "format":
         landing = formatting.Landing(**{f.name: getattr(args, f.name) for f in fields(formatting.Landing)})
-        choices = formatting.Choices(args.on_mismatch, args.on_missing, args.strict_names, args.listings_by)
+        choices = formatting.Choices(args.on_mismatch, args.on_missing, args.strict_names, args.listings_by, args.fields_replace)
         formatting.run(spark, landing, formatted, choices)
     elif args.job == "kpi":
         indicators.run(formatted, Zone(spark, args.exploitation), args.mode, args.nulls)
     else:
-        training.run(formatted, Zone(spark, args.exploitation), args.mode)
+        training.run(formatted, Zone(spark, args.exploitation), args.mode, split_key=args.split_key)
 
 
 if __name__ == "__main__":

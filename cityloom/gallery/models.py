@@ -99,8 +99,12 @@ def fit_check(model, train, features, label="price"):
     predicted = model.predict(train)
     residual = F.col("label") - F.col("prediction")
     values = vector_to_array("features")
-    pairs = [F.corr(residual, values[i]).alias(f"_{i}") for i in range(len(features))]
-    found = predicted.withColumn("label", F.col(label).cast("double")).agg(*pairs)
+    found = predicted.withColumn("label", F.col(label).cast("double")).agg(
+        *[
+            F.try_divide(F.covar_pop(residual, values[i]), F.stddev_pop(residual) * F.stddev_pop(values[i])).alias(f"_{i}")
+            for i in range(len(features))
+        ]
+    )
     # A feature of one value has no correlation; adding 0 turns a negative zero around.
     tidy = [(F.round(F.coalesce(F.nanvl(f"_{i}", F.lit(0.0)), F.lit(0.0)), 5) + 0.0).alias(name) for i, name in enumerate(features)]
     return found.select(*tidy)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from cityloom.gallery.registry import query, table
 from cityloom.operators.conform import conform_union
+from cityloom.operators.shape import flatten_in_frames
 from cityloom.session import scratch_dir
 from cityloom.sources.landing import SOURCE, landing_frames, read_files, with_day, with_year
 from cityloom.sources.zones import Zone, preview
@@ -101,6 +102,35 @@ def daily_folder_scan(spark, sf_dir):
     return with_day(conform_union(landing_frames(spark, root, "daily"))).drop(SOURCE)
 
 
+@query("landing_drop_declared", "SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey % 3 = 0")
+def landing_drop_declared(spark, sf_dir):
+    """Files without the struct are left out also where a schema is declared."""
+    root = scratch_dir(spark, "declared")
+    customer = table(spark, sf_dir, "customer")
+    detail = F.struct("c_mktsegment").alias("detail")
+    customer.where("c_custkey % 3 = 0").select("c_custkey", detail).write.json(f"{root}/with.json")
+    customer.where("c_custkey % 3 <> 0").select("c_custkey").write.json(f"{root}/without.json")
+    frames = landing_frames(spark, root, schema="c_custkey bigint, detail struct<c_mktsegment:string>", by_schema=True)
+    return conform_union(flatten_in_frames(frames, "detail", "drop")).drop(SOURCE)
+
+
+@query(
+    "landing_empty_objects",
+    """
+    SELECT 'full.json' AS source_entry, c_custkey, c_name FROM customer WHERE c_custkey % 2 = 0
+    UNION ALL SELECT 'void.json', NULL, NULL FROM customer WHERE c_custkey % 2 <> 0
+    """,
+)
+def landing_empty_objects(spark, sf_dir):
+    """Lines without any column stay as rows of NULL."""
+    root = scratch_dir(spark, "objects")
+    customer = table(spark, sf_dir, "customer")
+    customer.where("c_custkey % 2 = 0").select("c_custkey", "c_name").write.json(f"{root}/full.json")
+    # Spark writes its own objects without fields as such lines.
+    customer.where("c_custkey % 2 <> 0").select(F.lit(None).cast("string").alias("c_name")).write.json(f"{root}/void.json")
+    return conform_union(landing_frames(spark, root, by_schema=True))
+
+
 @query(
     "zone_roundtrip",
     """

@@ -39,12 +39,12 @@ def flatten_struct(spark, sf_dir):
     "first_array_element",
     """
     SELECT doc_id, lines[1] AS line, length(lines[1]) AS n_chars
-    FROM (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda l: length(l) > 40) AS lines FROM documents)
+    FROM (SELECT doc_id, CASE WHEN text <> '' THEN string_split(text, chr(10)) ELSE [] END AS lines FROM documents)
     """,
 )
 def first_array_element(spark, sf_dir):
-    long_lines = F.filter(F.split("text", "\n"), lambda line: F.char_length(line) > 40)
-    info = F.transform(long_lines, lambda line: F.struct(line.alias("line"), F.char_length(line).cast("bigint").alias("n_chars")))
+    lines = F.when(F.col("text") != "", F.split("text", "\n")).otherwise(F.array().cast("array<string>"))
+    info = F.transform(lines, lambda line: F.struct(line.alias("line"), F.char_length(line).cast("bigint").alias("n_chars")))
     documents = table(spark, sf_dir, "documents").select("doc_id", info.alias("info"))
     return shape.first_element(documents, "info", ("line", "n_chars"))
 

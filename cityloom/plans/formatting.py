@@ -46,12 +46,14 @@ class Choices:
     ``strict_names``: also match names differing in apostrophes or surrounding quotes.
     ``listings_by``: partition column of the listings table; the later jobs read whole columns and need
     none, and it costs one more shuffle of all listings.
+    ``fields_replace``: a field of a flattened struct takes the place of a column of its name; otherwise that is an error.
     """
 
     on_mismatch: str = "cast"
     on_missing: str = "keep"
     strict_names: bool = False
     listings_by: str | None = None
+    fields_replace: bool = False
 
     @property
     def by_schema(self) -> bool:
@@ -112,7 +114,7 @@ def format_listings(
     """Listings with flat columns, the day they were listed, and reconciled area names."""
     frames = [frame.drop(*LISTING_UNUSED) for frame in frames]
     for column in LISTING_STRUCTS:
-        frames = flatten_in_frames(frames, column, choices.on_missing)
+        frames = flatten_in_frames(frames, column, choices.on_missing, choices.fields_replace)
     level = Level(districts, "district", "di", "di_re", "district")
     rows = with_day(conform_union(choices.keyed(frames, level))).drop(SOURCE)
     return drop_duplicate_rows(

@@ -2,7 +2,7 @@
 
 A landing folder holds CSV (with header), JSON-lines and Parquet files side by side; anything
 else in it is ignored. Files may differ in schema. All files of one format and schema are read
-by one scan, never one frame per file.
+by one scan, never one frame per file, and their schemas are found by one pass over the files.
 """
 
 from __future__ import annotations
@@ -16,8 +16,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
+from cityloom.operators.skew import balanced_join
+from cityloom.session import stage
+
 FORMATS = ("csv", "json", "parquet")
 SOURCE = "source_entry"
+# A scan names its files up to this many.
+FEW_FILES = 1_000
+_FILE = "_source_file"
 
 # How deep the files lie below the landing folder, and which part of the path names the entry.
 # An entry may be a folder written by Spark, also one named ``column=value``: the value counts.
@@ -43,12 +49,16 @@ def _listing(spark: SparkSession, pattern: str) -> DataFrame | None:
         raise
 
 
+def as_path(name: str) -> str:
+    """A file name as Spark reports it, usable as a path again."""
+    # Names come back encoded as URLs, and a reader would take some characters as a pattern.
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(name))
+
+
 def list_files(spark: SparkSession, pattern: str) -> list[str]:
     """Names of the matching files, usable as paths again."""
     listing = _listing(spark, pattern)
-    # Names come back encoded as URLs, and a reader would take some characters as a pattern.
-    names = [] if listing is None else sorted(listing.inputFiles())
-    return [re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(name)) for name in names]
+    return [] if listing is None else [as_path(name) for name in sorted(listing.inputFiles())]
 
 
 def entry_name(layout: str) -> Column:
@@ -61,35 +71,104 @@ def entry_name(layout: str) -> Column:
 
 
 def read_files(
-    spark: SparkSession, file_format: str, files: list[str] | str, schema: StructType | str | None = None
+    spark: SparkSession, file_format: str, files: list[str] | str, schema: StructType | str | None = None, by_position: bool = False
 ) -> DataFrame:
-    """One scan over ``files``. CSV values stay strings; a CSV header that contradicts the schema fails."""
+    """One scan over ``files``. CSV values stay strings; a CSV header that contradicts the schema fails, unless columns go ``by_position``."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     if file_format == "csv":
-        return reader.csv(files, header=True, enforceSchema=False)
+        return reader.csv(files, header=True, enforceSchema=by_position)
     if file_format == "parquet":
         return reader.option("mergeSchema", schema is None).parquet(*([files] if isinstance(files, str) else files))
     return reader.json(files)
 
 
-def _by_schema(spark: SparkSession, file_format: str, files: list[str]) -> dict[str, tuple[StructType, list[str]]]:
-    """Group files by their own schema. Costs one small job per file (CSV: the header line, Parquet:
-    the footer; JSON is parsed), so callers with many files should declare the schema instead.
+def _headers(spark: SparkSession, pattern: str) -> DataFrame:
+    """Header line of each CSV file, as (file, kind); files without one are left out.
+
+    One pass: the header is the first line of the piece that begins a file, and row ids grow within a piece.
+    """
+    lines = spark.read.text(pattern).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("begin"), "value", F.monotonically_increasing_id().alias("at")
+    )
+    first = lines.where("begin = 0").groupBy("file").agg(F.min_by("value", "at").alias("kind"))
+    return first.where("trim(kind) <> ''")
+
+
+def _json_types(spark: SparkSession, pattern: str) -> DataFrame:
+    """Schema of each JSON file, as (file, kind), aggregated from its lines in one pass; files of empty objects have an empty one."""
+    lines = spark.read.text(pattern).where("trim(value) <> ''")
+    types = F.schema_of_variant_agg(F.try_parse_json("value"))
+    return lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(types.alias("kind"))
+
 
+def _json_schema(kind: str) -> StructType:
+    """A schema from the text in which variants name it; what differs within a file is text."""
+    ddl = re.sub(r"\bOBJECT<", "STRUCT<", kind)
+    ddl = re.sub(r"\bDECIMAL\(\d+,\d+\)", "DOUBLE", ddl)
+    ddl = re.sub(r": (?:VARIANT|VOID)\b", ": STRING", ddl)
+    ddl = re.sub(r"<(?:VARIANT|VOID)>", "<STRING>", ddl)
+    return StructType.fromDDL(ddl[len("STRUCT<") : -1]) if ddl.startswith("STRUCT<") and ddl != "STRUCT<>" else StructType([])
+
+
+def _groups(spark: SparkSession, file_format: str, pattern: str) -> list[tuple[StructType, DataFrame]]:
+    """The schemas of the files and, for each, the names of its files; the number of jobs follows that of the schemas.
+
+    Parquet files have no text to aggregate: their footers are read by a small job each, so declare a schema where there are many.
     One JSON file may hold only empty arrays or partial structs, so nested types are taken from all files.
     """
-    with ThreadPoolExecutor(16) as pool:
-        schemas = list(pool.map(lambda name: read_files(spark, file_format, [name]).schema, files))
+    if file_format == "parquet":
+        names = list_files(spark, pattern)
+        with ThreadPoolExecutor(16) as pool:
+            schemas = list(pool.map(lambda name: read_files(spark, file_format, [name]).schema, names))
+        members: dict[str, tuple[StructType, list[str]]] = {}
+        for schema, name in zip(schemas, names):
+            members.setdefault(schema.json(), (schema, []))[1].append(name)
+        return [(schema, spark.createDataFrame([(name,) for name in found], "file string")) for schema, found in members.values()]
+    kinds = stage(_headers(spark, pattern) if file_format == "csv" else _json_types(spark, pattern), "file-kinds")
+    found = []
+    shared = {}
     if file_format == "json":
-        shared = {f.name: f for f in read_files(spark, file_format, files).schema if isinstance(f.dataType, ArrayType | StructType)}
-        schemas = [StructType([shared.get(f.name, f) for f in schema]) for schema in schemas]
-    groups: dict[str, tuple[StructType, list[str]]] = {}
-    for schema, name in zip(schemas, files):
+        shared = {f.name: f for f in read_files(spark, file_format, pattern).schema if isinstance(f.dataType, ArrayType | StructType)}
+    for row in kinds.groupBy("kind").agg(F.min("file").alias("sample")).orderBy("sample").collect():
+        if file_format == "csv":
+            schema = read_files(spark, file_format, [as_path(row.sample)]).schema
+        else:
+            schema = StructType([shared.get(f.name, f) for f in _json_schema(row.kind)])
+        found.append((schema, kinds.where(F.col("kind") == row.kind).select("file")))
+    merged: dict[str, tuple[StructType, DataFrame]] = {}
+    for schema, files in found:
+        known = merged.get(schema.json())
+        merged[schema.json()] = (schema, known[1].union(files) if known else files)
+    return list(merged.values())
+
+
+def _grouped(spark: SparkSession, file_format: str, pattern: str, layout: str, declared: StructType | None = None) -> list[DataFrame]:
+    """One frame per schema of the files, each with the column ``source_entry``. With a ``declared`` schema it has the declared types of the columns the files have."""
+    groups = _groups(spark, file_format, pattern)
+    frames = []
+    for schema, files in groups:
+        if declared is not None:
+            own = {name.lower() for name in schema.names}
+            schema = StructType([f for f in declared if f.name.lower() in own]) if file_format != "csv" else schema
+        named = files.limit(FEW_FILES + 1).collect()
+        few = len(named) <= FEW_FILES
+        paths = [as_path(row.file) for row in named] if few and len(groups) > 1 else pattern
         if schema.fields:
-            groups.setdefault(schema.json(), (schema, []))[1].append(name)
-    return groups
+            frame = read_files(spark, file_format, paths, schema, by_position=not few and len(groups) > 1)
+        else:
+            frame = spark.read.text(paths).where("trim(value) <> ''").select()
+        columns = [F.col(f"`{name}`") for name in frame.columns]
+        if declared is not None and file_format == "csv":
+            types = {f.name.lower(): f.dataType for f in declared}
+            columns = [F.col(f"`{name}`").try_cast(types[name.lower()]).alias(name) for name in frame.columns if name.lower() in types]
+        frame = frame.select(*columns, entry_name(layout).alias(SOURCE), F.col("_metadata.file_path").alias(_FILE))
+        if not few and len(groups) > 1:
+            # Every file is read and those of other schemas are left out: file names are too many for one plan.
+            frame = balanced_join(frame, files.withColumnRenamed("file", _FILE), [_FILE], "left_semi")
+        frames.append(frame.drop(_FILE))
+    return frames
 
 
 def landing_frames(
@@ -104,7 +183,8 @@ def landing_frames(
     With a declared ``schema`` each format is one scan without any discovery. Without one, JSON
     columns are inferred over all files together, Parquet footers are merged (falling back to
     groups when types conflict), and CSV files are grouped by header. ``by_schema`` forces grouping
-    for every format, so that files lacking a column can be told apart from files with NULLs.
+    for every format, so that files lacking a column can be told apart from files with NULLs; a declared schema then gives
+    the types of the columns that a file has.
     """
     frames = []
     for file_format in FORMATS:
@@ -112,26 +192,24 @@ def landing_frames(
         listing = _listing(spark, pattern)
         if listing is None or listing.isEmpty():
             continue
-        if schema is not None:
+        if by_schema:
+            declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+            found = _grouped(spark, file_format, pattern, layout, declared)
+        elif schema is not None:
             found = [read_files(spark, file_format, pattern, schema)]
-        elif file_format == "csv" or by_schema:
-            found = _grouped(spark, file_format, pattern)
+        elif file_format == "csv":
+            found = _grouped(spark, file_format, pattern, layout)
         else:
             try:
                 found = [read_files(spark, file_format, pattern)]
             except Exception as error:
                 if file_format != "parquet" or "CANNOT_MERGE_SCHEMA" not in str(error):
                     raise
-                found = _grouped(spark, file_format, pattern)
-        frames += [frame.select("*", entry_name(layout).alias(SOURCE)) for frame in found]
+                found = _grouped(spark, file_format, pattern, layout)
+        frames += [frame if SOURCE in frame.columns else frame.select("*", entry_name(layout).alias(SOURCE)) for frame in found]
     return frames
 
 
-def _grouped(spark: SparkSession, file_format: str, pattern: str) -> list[DataFrame]:
-    groups = _by_schema(spark, file_format, list_files(spark, pattern))
-    return [read_files(spark, file_format, members, schema) for schema, members in groups.values()]
-
-
 def with_year(df: DataFrame, name: str = "year") -> DataFrame:
     """Year as text: the first four characters of the file name."""
     return df.withColumn(name, F.substring(SOURCE, 1, 4))

@@ -92,6 +92,68 @@ def test_a_filter_on_the_day_skips_files(spark, tmp_path):
     assert scan.metrics().get("numFiles").get().value() == 1
 
 
+def jobs_of(spark, work):
+    """How many Spark jobs a piece of work runs."""
+    spark.sparkContext.setJobGroup("counted", "counted")
+    try:
+        work()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_many_files_take_few_jobs(spark, tmp_path):
+    for i in range(2000):
+        put(tmp_path / f"{i:04d}.csv", f"x,y\n{i},1\n" if i % 2 else f"y,x\n1,{i}\n")
+    frames = []
+    assert jobs_of(spark, lambda: frames.extend(landing_frames(spark, str(tmp_path)))) < 30
+    assert len(frames) == 2
+    df = conform_union(frames)
+    assert df.agg(F.count("*"), F.sum(F.col("x").cast("int")), F.max("y")).first()[:] == (2000, sum(range(2000)), "1")
+
+
+def test_more_files_of_a_header_than_a_plan_names(spark, tmp_path, monkeypatch):
+    from cityloom.sources import landing
+
+    monkeypatch.setattr(landing, "FEW_FILES", 1)
+    for i in range(4):
+        put(tmp_path / f"{i}.csv", f"x,y\n{i},a\n")
+    put(tmp_path / "9.csv", "y\nb\n")
+    put(tmp_path / "8.json", '{"x": 5}\n')
+    got = conform_union(landing_frames(spark, str(tmp_path), by_schema=True))
+    assert rows(got, "x", "y") == [("0", "a"), ("1", "a"), ("2", "a"), ("3", "a"), ("5", None), (None, "b")]
+
+
+def test_empty_objects_and_declared_columns(spark, tmp_path):
+    put(tmp_path / "a.json", "{}\n{}\n")
+    put(tmp_path / "b.json", '{"k": 1, "s": {"v": "x"}, "d": 1.5}\n')
+    frames = landing_frames(spark, str(tmp_path), by_schema=True)
+    assert sorted(frame.count() for frame in frames) == [1, 2]
+    assert rows(conform_union(frames), "k", "d") == [(1, 1.5), (None, None), (None, None)]
+    declared = landing_frames(spark, str(tmp_path), schema="k int, s struct<v:string>, other string", by_schema=True)
+    assert sorted(tuple(frame.columns) for frame in declared) == [("k", "s", SOURCE), (SOURCE,)]
+
+
+def test_runs_with_other_columns_or_types(spark, tmp_path):
+    zone = Zone(spark, str(tmp_path))
+    zone.write("t", spark.sql("SELECT 1 AS a"))
+    zone.write("t", spark.sql("SELECT 2 AS a, 'x' AS b"))
+    assert rows(zone.read("t"), "a", "b") == [(1, None), (2, "x")]
+    with pytest.raises(ValueError, match="other types in: a"):
+        zone.write("t", spark.sql("SELECT 'text' AS a"))
+    with pytest.raises(Exception, match="empty text"):
+        zone.write("p", spark.sql("SELECT '' AS code, 1 AS v"), partition_by="code")
+
+
+def test_tables_of_other_programs_are_read(spark, tmp_path):
+    for i, sql in enumerate(("SELECT 1 AS a", "SELECT 2 AS a, 'x' AS b")):
+        spark.sql(sql).write.mode("append").parquet(str(tmp_path / "t"))
+    zone = Zone(spark, str(tmp_path))
+    assert rows(zone.read("t"), "a", "b") == [(1, None), (2, "x")]
+    zone.write("t", spark.sql("SELECT 3 AS a"))
+    assert rows(zone.read("t"), "a", "b") == [(1, None), (2, "x"), (3, None)]
+
+
 def test_nothing_to_read(spark, tmp_path):
     assert landing_frames(spark, str(tmp_path)) == []
     assert conform_union([]) is None

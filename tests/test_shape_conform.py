@@ -123,3 +123,9 @@ def test_null_columns(spark):
 
 def test_shape(spark):
     assert rows(shape.frame_shape(spark.range(7).withColumn("b", F.lit(1)))) == [(7, 2)]
+
+
+def test_large_integers_survive_a_union_with_floating_numbers(spark):
+    whole, part = spark.sql("SELECT 9007199254740993L AS v"), spark.sql("SELECT 0.5D AS v")
+    assert rows(conform_union([whole, part])) == [("0.5",), (str(2**53 + 1),)]
+    assert rows(conform_union([spark.sql("SELECT 7 AS v"), part])) == [(0.5,), (7.0,)]
