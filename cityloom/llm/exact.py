@@ -87,14 +87,17 @@ def find_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     )
     suspects = flagged.where("may_repeat")
     groups = suspects.groupBy("text_sha256").agg(
-        F.count(F.lit(1)).alias("group_size"),
+        F.count(F.lit(1)).alias("copies"),
         F.min(F.struct((-F.col("points")).alias("shorter"), "doc_id", "row_id")).alias("best"),
     )
-    checked = suspects.join(groups, "text_sha256").select(
+    # Staged, so that the rows meet one row per repeated text: by broadcast, or in a join whose hot texts run-time execution splits.
+    repeated = groups.where("copies > 1").select("text_sha256", "copies", F.col("best.doc_id").alias("best_id"), F.col("best.row_id").alias("best_row"))
+    single = F.col("copies").isNull()
+    checked = suspects.join(size_guarded(stage(repeated, "repeated")), "text_sha256", "left").select(
         "doc_id",
-        F.col("best.doc_id").alias("keep_id"),
-        "group_size",
-        (F.col("best.row_id") == F.col("row_id")).alias("kept"),
+        F.when(single, F.col("doc_id")).otherwise(F.col("best_id")).alias("keep_id"),
+        F.coalesce("copies", F.lit(1)).alias("group_size"),
+        (single | (F.col("best_row") == F.col("row_id"))).alias("kept"),
         "text_sha256",
         "may_repeat",
     )
