@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import argparse
+import logging
 from dataclasses import fields
 
 from pyspark.sql import SparkSession
 
 from cityloom.plans import dashboard, formatting, indicators, training
 from cityloom.session import build_session, clear_scratch, scratch_dir
-from cityloom.sources.zones import Zone
+from cityloom.sources.zones import Zone, describe
 
 
 def parser() -> argparse.ArgumentParser:
@@ -37,9 +38,20 @@ def parser() -> argparse.ArgumentParser:
     job = jobs.add_parser("dashboard", help="indicators to the dashboard's tables")
     job.add_argument("--exploitation", required=True, metavar="PATH")
     job.add_argument("--exclude-seller", action="append", default=[], metavar="AREA")
+    for job in jobs.choices.values():
+        job.add_argument("--describe", action="store_true", help="log schema, shape and first rows of the tables written")
     return top
 
 
+# Tables each job writes.
+TABLES = {
+    "format": ("income", "air_quality", "listings"),
+    "kpi": (indicators.KPI_TABLE, indicators.TOP_SELLERS_TABLE, indicators.TOP_AIR_TABLE),
+    "dashboard": tuple(dashboard.PREFIX + name for name in (indicators.KPI_TABLE, indicators.TOP_SELLERS_TABLE, indicators.TOP_AIR_TABLE)),
+    "train": ("model_frame", "price_model_metrics"),
+}
+
+
 def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
     spark = build_session(f"cityloom-{args.job}")
@@ -49,6 +61,9 @@ def main(arguments: list[str] | None = None) -> None:
         scratch_dir(spark, "start")
     try:
         _run(spark, args)
+        if args.describe:
+            logging.basicConfig(level=logging.INFO)
+            describe(Zone(spark, args.formatted if args.job == "format" else args.exploitation), *TABLES[args.job])
     finally:
         if stages:
             clear_scratch(spark)

@@ -20,8 +20,11 @@ SETTINGS = {
 }
 
 MB_128 = 128 << 20
+# Defaults of the session settings below. Raise the partitions where 100 TB are shuffled at once: 50,000 of them hold 2 GB each.
 MAX_SCAN_TASKS = 200_000
 MAX_SHUFFLE_PARTITIONS = 50_000
+SCAN_TASKS_SETTING = "spark.cityloom.maxScanTasks"
+SHUFFLE_PARTITIONS_SETTING = "spark.cityloom.maxShufflePartitions"
 
 
 def build_session(app_name: str = "cityloom", master: str | None = None, **settings: str) -> SparkSession:
@@ -96,11 +99,13 @@ def sized_for(spark: SparkSession, *paths: str) -> Iterator[dict[str, int]]:
     """
     folders = [hadoop_path(spark, path) for path in paths]
     total = sum(files.getContentSummary(folder).getLength() for files, folder in folders)
-    scan = min(max(MB_128, total // MAX_SCAN_TASKS), 8 * MB_128)
+    most_scans = int(spark.conf.get(SCAN_TASKS_SETTING, str(MAX_SCAN_TASKS)))
+    most_shuffles = int(spark.conf.get(SHUFFLE_PARTITIONS_SETTING, str(MAX_SHUFFLE_PARTITIONS)))
+    scan = min(max(MB_128, total // most_scans), 8 * MB_128)
     shuffles = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // MB_128)
     sizes = {
         "spark.sql.files.maxPartitionBytes": scan,
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": min(shuffles, MAX_SHUFFLE_PARTITIONS),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": min(shuffles, most_shuffles),
         # Pieces of a shuffle, and with them the files of a written table.
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": min(scan, 2 * MB_128),
     }

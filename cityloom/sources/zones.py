@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,8 @@ from pyspark.sql.types import DataType, NullType, StringType, StructType
 
 from cityloom.session import hadoop_path, read_text, write_bytes
 
+log = logging.getLogger(__name__)
+
 # Beside a Parquet table's files: its columns as written. Readers skip names with an underscore.
 SCHEMA_FILE = "_columns.json"
 
@@ -100,6 +103,15 @@ def _plain(kind: DataType) -> str:
     return kind.simpleString()
 
 
+def describe(zone: Zone, *tables: str) -> None:
+    """Log the schema, the shape and the first rows of tables."""
+    for table in tables:
+        df = zone.read(table)
+        log.info("%s: %d rows, %d columns, %s", table, df.count(), len(df.columns), df.schema.simpleString())
+        for row in df.limit(5).collect():
+            log.info("%s: %s", table, row.asDict())
+
+
 def preview(df: DataFrame, *order: str, rows: int = 5) -> DataFrame:
     """The first rows in a stable order, each with the schema as text: what a log line shows."""
     return df.orderBy(*order).limit(rows).withColumn("frame_schema", F.lit(df.schema.simpleString()))

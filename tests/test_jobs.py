@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cityloom.__main__ import main, parser
 from cityloom import session
 from cityloom.operators import indicators as ind
-from cityloom.operators.learn import PriceModel
+from cityloom.operators.learn import PriceModel, restore_model, split_rows
 from cityloom.plans import formatting, indicators, training
 from cityloom.sources.zones import Zone
 
@@ -218,6 +218,24 @@ def test_training_job(spark, formatted, tmp_path):
     assert zone.read("price_model_metrics").first().r2 == metrics.first().r2
 
 
+def test_training_runs_are_told_apart(spark, formatted, tmp_path):
+    zone = Zone(spark, str(tmp_path))
+    frames = []
+    for _ in range(2):
+        model, _ = training.run(formatted, zone, mode="append", split_key="propertyCode")
+        frames.append(zone.read("model_frame").groupBy("run").count())
+    sizes = rows(frames[-1], "count")
+    assert len(sizes) == 2 and sizes[0] == sizes[1]
+    assert zone.read("price_model_metrics").select("run").distinct().count() == 2
+    run = frames[-1].orderBy("run").first().run
+    again = restore_model(spark, zone.read("price_model_archive"), zone.read("price_model_labels"), run, str(tmp_path / "again"))
+    frame = zone.read("model_frame").where(F.col("run") == run)
+    assert again.predict(frame).select(F.count("prediction")).first()[0] == frame.count()
+    # All joined rows of a listing are on one side of the split.
+    train, test = split_rows(zone.read("model_frame").drop("run"), key="propertyCode")
+    assert train.join(test, "propertyCode", "left_semi").isEmpty()
+
+
 def test_nothing_to_train_on(spark, formatted, tmp_path):
     empty = Zone(spark, str(tmp_path / "in"))
     for name in ("listings", "income", "air_quality"):
@@ -231,9 +249,17 @@ def test_jobs_fail_loudly(spark, tmp_path):
         indicators.run(Zone(spark, str(tmp_path / "none")), Zone(spark, str(tmp_path / "out")))
 
 
-def test_command_line_runs_a_job_and_clears_up(spark, formatted, tmp_path):
-    main(["kpi", "--formatted", formatted.root, "--exploitation", str(tmp_path)])
-    assert Zone(spark, str(tmp_path)).read("kpis").count() == 3
+def test_command_line_runs_jobs_and_clears_up(spark, formatted, tmp_path, caplog):
+    caplog.set_level("INFO")
+    main(["kpi", "--formatted", formatted.root, "--exploitation", str(tmp_path), "--describe"])
+    zone = Zone(spark, str(tmp_path))
+    assert zone.read("kpis").count() == 3
+    assert "kpis: 3 rows, 2 columns, struct<KPI:string,Value:double>" in caplog.text
+    main(["kpi", "--formatted", formatted.root, "--exploitation", str(tmp_path), "--mode", "append"])
+    main(["dashboard", "--exploitation", str(tmp_path), "--exclude-seller", "Sarrià"])
+    assert zone.read("kpis").count() == 6 and zone.read("dashboard_kpis").count() == 3
+    assert rows(zone.read("dashboard_top_sellers"), "neighborhood", "count") == [("Sant Antoni", 14), (None, 1)]
+    assert rows(zone.read("dashboard_top_air_quality"), "neighborhood", "count") == [("Sant Antoni", 4), ("Sarrià", 4)]
     files, root = session.hadoop_path(spark, session._scratch_root(spark))
     assert not files.exists(root)
 
