@@ -33,6 +33,10 @@ BATCH_BYTES = 1 << 22
 REMEMBERED = 1_000_000
 #: New stretches encoded in one call.
 JOINED = 1 << 12
+#: Size of the hash table of what is remembered.
+SLOT_BITS = 22
+#: Where a stretch stands.
+AFTER_BLANK, ALONE = 1, 2
 
 #: White space other than single blanks and line ends between other characters.
 _UNUSUAL = (
@@ -43,24 +47,90 @@ _UNUSUAL = (
 _MARKS = ".,;:!?#$&*"
 
 
-class _Numbers(dict):
-    """Numbers keys in the order in which they are first asked for, and lists the new ones."""
+def _power_table(factor: int, size: int) -> np.ndarray:
+    """Powers of an odd number modulo 2**64, from 0 up."""
+    steps = np.full(size, factor, dtype=np.uint64)
+    steps[:1] = 1
+    return np.multiply.accumulate(steps)
+
+
+class _Hashes:
+    """128-bit hashes of all strings of an array at once: two polynomials over their bytes, taken from running sums."""
+
+    FACTORS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 
     def __init__(self):
-        super().__init__({None: 0})
-        self.fresh: list = []
+        self.values = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
+        self.powers: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.uint64),) * 2] * 2
+
+    def __call__(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        offsets = np.frombuffer(strings.buffers()[1], dtype="<i4" if strings.type == pa.string() else "<i8")
+        offsets = offsets[strings.offset : strings.offset + len(strings) + 1].astype(np.int64)
+        data = strings.buffers()[2]
+        text = np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+        begins, ends = offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
+        if len(text) >= len(self.powers[0][0]):
+            size = 2 * len(text) + 1
+            self.powers = [(_power_table(factor, size), _power_table(pow(factor, -1, 1 << 64), size)) for factor in self.FACTORS]
+        values = self.values[text]
+        found = []
+        for up, down in self.powers:
+            sums = np.zeros(len(text) + 1, dtype=np.uint64)
+            np.cumsum(values * up[: len(text)], out=sums[1:])
+            found.append((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(np.uint64))
+        return found[0], found[1]
+
+
+def _mixed(hashes: np.ndarray, kind: int) -> np.ndarray:
+    """A hash for strings that stand in one of several places."""
+    mixed = (hashes + np.uint64(kind)) * np.uint64(0xBF58476D1CE4E5B9)
+    return (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+
+
+class _Memory:
+    """Numbers hashes in the order in which they are added: an open hash table of arrays."""
 
-    def __missing__(self, key):
-        number = self[key] = len(self)
-        self.fresh.append(key)
-        return number
+    def __init__(self):
+        self.slots = np.full(1 << SLOT_BITS, -1, dtype=np.int32)
+        self.first, self.second = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
+
+    def __len__(self) -> int:
+        return len(self.first)
+
+    def find(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 for one that was not added."""
+        found = np.full(len(first), -1, dtype=np.int64)
+        at = (first >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        left = np.arange(len(first))
+        while len(left):
+            number = self.slots[at[left]]
+            left, number = left[number >= 0], number[number >= 0]
+            hit = (self.first[number] == first[left]) & (self.second[number] == second[left])
+            found[left[hit]] = number[hit]
+            left = left[~hit]
+            at[left] = (at[left] + 1) & ((1 << SLOT_BITS) - 1)
+        return found
+
+    def add(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """New numbers for different hashes that are not there yet."""
+        numbers = np.arange(len(self.first), len(self.first) + len(first))
+        self.first, self.second = np.append(self.first, first), np.append(self.second, second)
+        at = (first >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        left = np.arange(len(first))
+        while len(left):
+            free = self.slots[at[left]] < 0
+            self.slots[at[left[free]]] = numbers[left[free]]
+            left = left[self.slots[at[left]] != numbers[left]]
+            at[left] = (at[left] + 1) & ((1 << SLOT_BITS) - 1)
+        return numbers
 
 
 class Tokenizer:
     """A tokenizer file, with the ids of repeated stretches remembered.
 
     If the file is byte-level BPE over the usual pattern, a text can be cut at single blanks and line ends between other characters: no match
-    of the pattern reaches across one, so the ids of the stretches, each with the blank before it, are the ids of the text.
+    of the pattern reaches across one, so the ids of the stretches, each with the blank before it, are the ids of the text. What was
+    encoded before is told by a 128-bit hash.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -80,70 +150,86 @@ class Tokenizer:
         #: Bytes of each token; the file writes one character for each byte.
         self.widths = np.array([len(self.whole.id_to_token(i) or "") for i in range(self.whole.get_vocab_size())], dtype=np.int64)
         self.end_id = end_id
+        self.hashes = _Hashes()
         self._forget()
 
     def _forget(self) -> None:
-        self.numbers = _Numbers()  # None stands for the end of a document
-        self.flat = np.array([self.end_id], dtype=np.int32)
-        self.begins = np.zeros(1, dtype=np.int64)
-        self.lengths = np.ones(1, dtype=np.int64)
-        self.uses = np.zeros(1, dtype=np.int64)
+        self.memory = _Memory()
+        self.flat = np.zeros(0, dtype=np.int32)
+        self.begins = self.lengths = self.uses = np.zeros(0, dtype=np.int64)
+        nothing = np.zeros(1, dtype=np.uint64)
+        self._remember(np.array([self.end_id]), np.ones(1, dtype=np.int64), self.memory.add(nothing, nothing))  # number 0: the end of a document
+        self._learn(ALONE, pa.array(["\n"]))  # number 1: the end of a line
 
     def _forget_rare(self) -> None:
         """Keep the more used half of what is remembered."""
-        keys = np.fromiter(self.numbers, dtype=object, count=len(self.numbers))
-        kept = np.sort(np.argsort(-self.uses[1:], kind="stable")[: REMEMBERED // 2]) + 1
+        kept = np.sort(np.argsort(-self.uses[2:], kind="stable")[: REMEMBERED // 2]) + 2
         flat, lengths, uses = _gather(self.flat, self.begins[kept], self.lengths[kept]), self.lengths[kept], self.uses[kept]
+        first, second = self.memory.first[kept], self.memory.second[kept]
         self._forget()
-        self.numbers.update(zip(keys[kept].tolist(), range(1, len(kept) + 1), strict=True))
-        self._remember(flat, lengths, np.arange(1, len(kept) + 1))
-        self.uses[1:] = uses // 2
+        self._remember(flat, lengths, self.memory.add(first, second))
+        self.uses[2:] = uses // 2
 
     def _remember(self, flat: np.ndarray, lengths: np.ndarray, numbers: np.ndarray) -> None:
         """Append the ids of the stretches with these numbers."""
-        size = len(self.numbers)
+        size = len(self.memory)
         for name in ("begins", "lengths", "uses"):
             old = getattr(self, name)
             setattr(self, name, np.append(old, np.zeros(size - len(old), dtype=np.int64)))
         self.begins[numbers] = len(self.flat) + np.cumsum(lengths) - lengths
         self.lengths[numbers] = lengths
-        self.flat = np.append(self.flat, flat)
+        self.flat = np.append(self.flat, flat.astype(np.int32))
 
     def _alone(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
         coded = [encoding.ids for encoding in self.whole.encode_batch_fast(strings, add_special_tokens=False)]
         lengths = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
         return np.fromiter(chain.from_iterable(coded), dtype=np.int32, count=int(lengths.sum())), lengths
 
-    def _together(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of stretches that begin with a blank: encoded as one text, then told apart by their bytes."""
-        flat, _ = self._alone(["".join(strings[at : at + JOINED]) for at in range(0, len(strings), JOINED)])
-        ends = np.cumsum(np.fromiter((len(string.encode()) for string in strings), dtype=np.int64, count=len(strings)))
+    def _together(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of stretches behind a blank: encoded as one text, then told apart by their bytes."""
+        words = strings.to_numpy(zero_copy_only=False).tolist()
+        flat, _ = self._alone([" " + " ".join(words[at : at + JOINED]) for at in range(0, len(words), JOINED)])
+        ends = np.cumsum(pc.binary_length(strings).to_numpy().astype(np.int64) + 1)
         token_ends = np.cumsum(self.widths[flat])
         last = np.searchsorted(token_ends, ends)
         if not np.array_equal(token_ends[last], ends):
             raise ValueError("a token reaches across a blank")
         return flat, np.diff(last, prepend=-1)
 
-    def _learn(self) -> None:
-        """Encode the new stretches. One that ends in marks after a letter is put together from the ids of both parts."""
-        numbers, fresh = self.numbers, self.numbers.fresh
-        alone, after_blank, wholes, parts = [], [], [], []
-        for cut in fresh:  # grows by parts that are new themselves
-            if isinstance(cut, tuple):
-                alone.append(cut)
-                continue
-            stem = cut.rstrip(_MARKS)
-            if len(stem) < len(cut) and stem[-1:].isalpha():
-                wholes.append(numbers[cut])
-                parts += numbers[stem], numbers[cut[len(stem) :],]
-            else:
-                after_blank.append(cut)
-        numbers.fresh = []
-        for encode, cuts in ((self._alone, [cut for (cut,) in alone]), (self._together, [f" {cut}" for cut in after_blank])):
-            self._remember(*encode(cuts), np.array([numbers[cut] for cut in (alone if encode == self._alone else after_blank)], dtype=np.int64))
-        both = np.array(parts, dtype=np.int64)
-        flat = _gather(self.flat, self.begins[both], self.lengths[both])
-        self._remember(flat, self.lengths[both].reshape(-1, 2).sum(axis=1), np.array(wholes, dtype=np.int64))
+    def _learn(self, kind: int, strings: pa.Array) -> np.ndarray:
+        """Numbers of all strings in a place, each encoded if it is new. Strings may repeat.
+
+        One behind a blank that ends in marks after a letter is put together from the ids of both parts.
+        """
+        first, second = (_mixed(part, kind) for part in self.hashes(strings))
+        found = self.memory.find(first, second)
+        unknown = np.flatnonzero(found < 0)
+        if not len(unknown):
+            return found
+        _, at, back = np.unique(first[unknown], return_index=True, return_inverse=True)
+        unknown, repeats = unknown[at], unknown
+        fresh = strings.take(pa.array(unknown))
+        stems = pc.utf8_rtrim(fresh, characters=_MARKS) if kind == AFTER_BLANK else fresh
+        marked = pc.and_(pc.not_equal(stems, fresh), pc.match_substring_regex(stems, r"\pL\z")).to_numpy(zero_copy_only=False)
+        plain = np.flatnonzero(~marked)
+        if len(plain):
+            wholes = fresh.take(pa.array(plain))
+            coded = self._together(wholes) if kind == AFTER_BLANK else self._alone(wholes.to_pylist())
+            numbers = self.memory.add(first[unknown[plain]], second[unknown[plain]])
+            self._remember(*coded, numbers)
+            found[unknown[plain]] = numbers
+        both = np.flatnonzero(marked)
+        if len(both):
+            stems = stems.take(pa.array(both))
+            pairs = zip(fresh.take(pa.array(both)).to_numpy(zero_copy_only=False), stems.to_numpy(zero_copy_only=False), strict=True)
+            marks = pa.array([whole[len(stem) :] for whole, stem in pairs], pa.string())
+            parts = np.stack([self._learn(AFTER_BLANK, stems), self._learn(ALONE, marks)], axis=1).reshape(-1)
+            numbers = self.memory.add(first[unknown[both]], second[unknown[both]])
+            flat = _gather(self.flat, self.begins[parts], self.lengths[parts])
+            self._remember(flat, self.lengths[parts].reshape(-1, 2).sum(axis=1), numbers)
+            found[unknown[both]] = numbers
+        found[repeats] = found[unknown][back]
+        return found
 
     def _whole(self, texts: pa.Array) -> pa.Array:
         """Which texts are not to be cut: those with other white space, or with special tokens."""
@@ -156,37 +242,37 @@ class Tokenizer:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, each with the end id; and how many each text has."""
-        if len(self.numbers) > REMEMBERED:
+        if not len(texts):
+            return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
+        if len(self.memory) > REMEMBERED:
             self._forget_rare()
-        numbers = self.numbers
         whole = self._whole(texts)
         lines = pc.split_pattern(pc.if_else(whole, "", texts), "\n")
         words = pc.split_pattern(lines.flatten(), " ")
         in_line = pc.list_value_length(words).to_numpy().astype(np.int64)
         coded = words.flatten().dictionary_encode()
-        index, distinct = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        index, distinct = coded.indices.to_numpy(), coded.dictionary
         # A line's first word stands alone, the others after a blank.
         firsts = np.cumsum(in_line) - in_line
         later = np.ones(len(index), dtype=bool)
         later[firsts] = False
-        of_later, of_first = np.zeros(len(distinct), dtype=np.int64), np.zeros(len(distinct), dtype=np.int64)
-        for table, held, keys in ((of_later, index[later], distinct), (of_first, index[firsts], list(zip(distinct, strict=True)))):
-            used = np.flatnonzero(np.bincount(held, minlength=len(distinct))).tolist()
-            table[used] = [numbers[keys[i]] for i in used]
-        codes = of_later[index]
-        codes[firsts] = of_first[index[firsts]]
+        codes = np.empty(len(index), dtype=np.int64)
+        for kind, places in ((AFTER_BLANK, later), (ALONE, firsts)):
+            held = index[places]
+            used = np.flatnonzero(np.bincount(held, minlength=len(distinct)))
+            numbers = np.zeros(len(distinct), dtype=np.int64)
+            numbers[used] = self._learn(kind, distinct.take(pa.array(used)))
+            codes[places] = numbers[held]
         last_lines = np.cumsum(pc.list_value_length(lines).to_numpy()) - 1
-        for at in np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist():
-            codes[firsts[last_lines[at]]] = numbers[texts[at].as_py(),]
+        apart = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
+        codes[firsts[last_lines[apart]]] = self._learn(ALONE, texts.take(pa.array(apart)))
         # Behind each line comes its end, behind a text's last one the end of the document.
-        ends = np.full(len(in_line), numbers["\n",])
+        ends = np.ones(len(in_line), dtype=np.int64)
         ends[last_lines] = 0
         order = np.arange(len(in_line))
         sequence = np.empty(len(codes) + len(ends), dtype=np.int64)
         sequence[np.arange(len(codes)) + np.repeat(order, in_line)] = codes
         sequence[np.cumsum(in_line) + order] = ends
-        if numbers.fresh:
-            self._learn()
         self.uses += np.bincount(sequence, minlength=len(self.uses))
         taken = self.lengths[sequence]
         ids = _gather(self.flat, self.begins[sequence], taken)
