@@ -76,6 +76,25 @@ def free_name(docs: DataFrame, name: str) -> str:
     return name
 
 
+def hash_sample(texts: DataFrame, group: str, each: int, groups: int = 10_000) -> DataFrame:
+    """About one and a half times ``each`` different texts of every group, with their hashes in ``key``: those with the lowest hashes.
+
+    The hashes are spread evenly, so a bound for them follows from the number of different texts: one pass counts, one selects, however many
+    groups and rows there are. A group with fewer texts is taken whole. Take the ``each`` lowest of what comes back on the driver. More than
+    ``groups`` groups are an error.
+    """
+    keyed = texts.withColumn("key", F.xxhash64("text"))
+    sizes = keyed.groupBy(group).agg(F.approx_count_distinct("key").alias("n")).limit(groups + 1).collect()
+    if len(sizes) > groups:
+        raise ValueError(f"more than {groups} values of {group}")
+    chosen = F.lit(False)
+    for row in sizes:
+        share = (1.5 * each + 100) / max(row["n"], 1)
+        low = F.lit(True) if share >= 1 else F.col("key") < -(1 << 63) + int(share * (1 << 64))
+        chosen = chosen | (F.col(group).eqNullSafe(F.lit(row[group])) & low)
+    return keyed.where(chosen).dropDuplicates(["key", group])
+
+
 def power_of_two(least: int) -> int:
     """The smallest power of two that is not below ``least``."""
     return 1 << max(0, int(least) - 1).bit_length()

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cityloom.llm import grams
-from cityloom.llm.common import text_of
+from cityloom.llm.common import hash_sample, text_of
 
 SIZES = (1, 2, 3)
 BITS = 12
@@ -134,23 +134,20 @@ def train(texts: DataFrame, sample: int = SAMPLE) -> Model:
     At most ``sample`` different texts, as many of each language, are used: a bounded sample, which the smallest hashes choose. Without rows
     every answer is undetermined; with one language every text with a letter is in it.
     """
-    known = texts.where("lang IS NOT NULL").select(text_of("text").alias("text"), "lang", F.xxhash64(text_of("text")).alias("key"))
-    names = [row[0] for row in known.select("lang").distinct().orderBy("lang").limit(sample).collect()]
-    if not names:
-        return fit(np.zeros((0, 1 << BITS), dtype=np.float32), [])
-    each = max(sample // len(names), 1)
-    limits = [(name, known.where(F.col("lang") == name).select("key").distinct().orderBy("key").limit(each).agg(F.max("key")).first()[0]) for name in names]
-    chosen = F.lit(False)
-    for name, key in limits:
-        chosen = chosen | ((F.col("lang") == name) & (F.col("key") <= key))
+    known = texts.where("lang IS NOT NULL").select(text_of("text").alias("text"), "lang")
 
     def extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(profile(text).astype("<f2").tobytes(), lang) for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if has_letter(text)]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([row[0] for row in rows], pa.binary()), pa.array([row[1] for row in rows], pa.string())], ["profile", "lang"])
-
-    rows = known.where(chosen).dropDuplicates(["key", "lang"]).select("text", "lang").mapInArrow(extract, "profile binary, lang string").toPandas()
+            lettered = pa.array([has_letter(text) for text in batch.column(0).to_pylist()], pa.bool_())
+            batch = batch.filter(lettered)
+            profiles = [profile(text).astype("<f2").tobytes() for text in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(profiles, pa.binary()), batch.column(1), batch.column(2)], ["profile", "lang", "key"])
+
+    languages = max(known.select(F.approx_count_distinct("lang")).first()[0], 1)
+    each = max(sample // languages, 1)
+    chosen = hash_sample(known, "lang", each).select("text", "lang", "key")
+    rows = chosen.mapInArrow(extract, "profile binary, lang string, key bigint").toPandas()
+    rows = rows.sort_values(["lang", "key"]).groupby("lang").head(each)
     profiles = np.stack([np.frombuffer(value, dtype="<f2") for value in rows["profile"]]).astype(np.float32) if len(rows) else np.zeros((0, 1 << BITS), dtype=np.float32)
     return fit(profiles, rows["lang"].tolist())
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cityloom.llm import grams
-from cityloom.llm.common import size_guarded, text_of
+from cityloom.llm.common import hash_sample, size_guarded, text_of
 from cityloom.session import stage
 
 SIZES = (3, 4, 5)
@@ -106,22 +106,17 @@ def log_ratios(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, tuple[int, in
 
 def sample_features(texts: DataFrame, buckets: np.ndarray, each: int = SAMPLE) -> tuple[list[np.ndarray], np.ndarray]:
     """Features and labels of at most ``each`` different texts of each label: those whose hashes are lowest."""
-    keyed = texts.select("text", "label", F.xxhash64("text").alias("key"))
-    lowest = [keyed.where(F.col("label") == label).select("key").distinct().orderBy("key").limit(each).agg(F.max("key")).first()[0] for label in (0, 1)]
-    chosen = F.lit(False)
-    for label, key in enumerate(lowest):
-        if key is not None:
-            chosen = chosen | ((F.col("label") == label) & (F.col("key") <= key))
     table = Model(buckets, np.ones(len(buckets), dtype=np.float32), 0.0)
 
     def extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dense = table.table()
         for batch in batches:
             held = pa.array([features(text, dense).astype(np.int32) for text in batch.column(0).to_pylist()], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([held, batch.column(1)], ["features", "label"])
+            yield pa.RecordBatch.from_arrays([held, batch.column(1), batch.column(2)], ["features", "label", "key"])
 
-    sample = keyed.where(chosen).dropDuplicates(["key", "label"]).select("text", "label", "key")
-    rows = sample.mapInArrow(extract, "features array<int>, label int").toPandas()
+    sample = hash_sample(texts.select("text", "label"), "label", each).select("text", "label", "key")
+    rows = sample.mapInArrow(extract, "features array<int>, label int, key bigint").toPandas()
+    rows = rows.sort_values(["label", "key"]).groupby("label").head(each)
     return [np.asarray(held, dtype=np.int64) for held in rows["features"]], rows["label"].to_numpy()
 
 
