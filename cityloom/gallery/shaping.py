@@ -199,3 +199,17 @@ def reconcile_normalized(spark, sf_dir):
 @query("dedupe_rows", "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
 def dedupe_rows(spark, sf_dir):
     return drop_duplicate_rows(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"))
+
+
+@query(
+    "emptiness_test",
+    """
+    SELECT 'orders' AS name, count(*) = 0 AS is_empty FROM orders
+    UNION ALL SELECT 'negative keys', count(*) = 0 FROM orders WHERE o_orderkey < 0
+    UNION ALL SELECT 'without status', count(*) = 0 FROM orders WHERE o_orderstatus IS NULL
+    """,
+)
+def emptiness_test(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    frames = {"orders": orders, "negative keys": orders.where("o_orderkey < 0"), "without status": orders.where("o_orderstatus IS NULL")}
+    return conform_union(shape.emptiness(frame).select(F.lit(name).alias("name"), "is_empty") for name, frame in frames.items())
