@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -28,10 +30,10 @@ def buckets(points: np.ndarray, sizes: tuple[int, ...], bits: int) -> np.ndarray
     return np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, dtype=np.int64)
 
 
-def chunks(points: np.ndarray, longest: int):
-    """Overlapping stretches of a long text that together hold each n-gram of up to ``longest``; shorter n-grams of the overlaps twice."""
-    for at in range(0, max(len(points) - longest + 1, 1), CHUNK):
-        yield points[at : at + CHUNK + longest - 1]
+def chunks(text: str, longest: int) -> Iterator[np.ndarray]:
+    """Code points of overlapping stretches of a text that together hold each n-gram of up to ``longest``; shorter ones of the overlaps twice."""
+    for at in range(0, max(len(text) - longest + 1, 1), CHUNK):
+        yield code_points(text[at : at + CHUNK + longest - 1])
 
 
 class Distinct:

@@ -56,14 +56,13 @@ def codewords(languages: int) -> np.ndarray:
 def profile(text: str) -> np.ndarray:
     """Square roots of the shares of a text's n-gram buckets: a vector of length 1."""
     counts = np.zeros(1 << BITS, dtype=np.int64)
-    for part in grams.chunks(_letters(text), max(SIZES)):
-        counts += np.bincount(grams.buckets(part, SIZES, BITS), minlength=1 << BITS)
+    for part in grams.chunks(f" {text.lower()} ", max(SIZES)):
+        counts += np.bincount(grams.buckets(_letters(part), SIZES, BITS), minlength=1 << BITS)
     return np.sqrt(counts / max(counts.sum(), 1)).astype(np.float32)
 
 
-def _letters(text: str) -> np.ndarray:
-    """Code points of the lower-cased text, ASCII other than letters as one kind of blank."""
-    points = grams.code_points(f" {text.lower()} ")
+def _letters(points: np.ndarray) -> np.ndarray:
+    """Code points of a lower-cased text, ASCII other than letters as one kind of blank."""
     points[(points < 97) | ((points > 122) & (points < 170))] = 32
     return points
 

@@ -25,9 +25,12 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Bytes of text worked on at a time; a longer text is worked on alone.
 BATCH_CHARACTERS = 1 << 20
+#: Characters beyond which a text is worked on in parts.
+LONG_TEXT = 1 << 20
 #: Symbols beyond which a word is merged with a queue: a round costs as much as the word is long.
 ROUNDS_UP_TO = 96
 SLOT_BITS = 20
+_BEFORE_WORD = re.compile(f"[^{SPACE}]{SPACE}")
 NEVER = np.int32(np.iinfo(np.int32).max)
 
 
@@ -278,25 +281,27 @@ class PieceModel:
         return flat, np.bincount(np.array(owners, dtype=np.int64), weights=lengths, minlength=len(words)).astype(np.int64)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text, between the begin and the end id; NULL as empty."""
-        words: list[str] = []
-        counts = []
-        for text in texts:
-            cut = self.cuts.findall(SPACE + text.replace(" ", SPACE)) if text else []
-            words.extend(cut)
-            counts.append(len(cut))
-        if words:
-            numbers = {word: i for i, word in enumerate(dict.fromkeys(words))}
-            codes = np.fromiter(map(numbers.__getitem__, words), dtype=np.int64, count=len(words))
-            ids, lengths = self.encode_words(list(numbers))
-            begins = np.cumsum(lengths) - lengths
-            flat = _gather(ids, begins[codes], lengths[codes])
-            ends = np.append(0, np.cumsum(lengths[codes]))
-        else:
-            flat, ends = np.zeros(0, dtype=np.int64), np.zeros(1, dtype=np.int64)
-        bounds = ends[np.append(0, np.cumsum(counts))] if counts else ends
-        edge = np.array([self.begin]), np.array([self.end])
-        return [np.concatenate((edge[0], flat[a:b], edge[1])).astype("<u4") for a, b in pairwise(bounds.tolist())]
+        """Ids of each text, between the begin and the end id; NULL as empty. A long text is worked on in parts."""
+        normal = [SPACE + text.replace(" ", SPACE) if text else "" for text in texts]
+        found = self._ids([text if len(text) <= LONG_TEXT else "" for text in normal])
+        for i, text in enumerate(normal):
+            if len(text) > LONG_TEXT:
+                found[i] = np.concatenate([self._ids([part])[0] for part in _stretches(text)])
+        return [np.concatenate(([self.begin], ids, [self.end])).astype("<u4") for ids in found]
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text in which blanks are marked, its distinct stretches encoded once."""
+        cuts = [self.cuts.findall(text) for text in texts]
+        words = [word for cut in cuts for word in cut]
+        if not words:
+            return [np.zeros(0, dtype=np.int64)] * len(texts)
+        numbers = {word: i for i, word in enumerate(dict.fromkeys(words))}
+        codes = np.fromiter(map(numbers.__getitem__, words), dtype=np.int64, count=len(words))
+        ids, lengths = self.encode_words(list(numbers))
+        flat = _gather(ids, (np.cumsum(lengths) - lengths)[codes], lengths[codes])
+        ends = np.append(0, np.cumsum(lengths[codes]))
+        bounds = ends[np.cumsum([0, *map(len, cuts)])]
+        return [flat[a:b] for a, b in pairwise(bounds.tolist())]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: control ids vanish, the space of the first piece too, and each byte that is no UTF-8 becomes U+FFFD."""
@@ -316,6 +321,16 @@ class PieceModel:
         return "".join(parts)[start:]
 
 
+def _stretches(text: str) -> Iterator[str]:
+    """A long text in parts, cut before marked blanks that follow another character: no piece reaches across."""
+    begin = 0
+    while begin < len(text):
+        cut = _BEFORE_WORD.search(text, begin + LONG_TEXT)
+        end = cut.start() + 1 if cut else len(text)
+        yield text[begin:end]
+        begin = end
+
+
 def _lenient(data: bytes) -> str:
     """UTF-8 with one U+FFFD for each byte that belongs to no valid character."""
     parts = []

@@ -11,6 +11,7 @@ are linked to the smallest of them. That loses no link and gives rows in proport
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 from math import comb
@@ -28,7 +29,10 @@ from cityloom.session import stage
 SEED = 42
 #: Members of a join key beyond which they are linked through midpoints and not as pairs.
 PAIRED_MEMBERS = 32
+#: Bytes of a text that are worked on at a time, and shingles whose bits are added at a time.
+STRETCH = 1 << 20
 _CHUNK = 1 << 16
+_SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -36,21 +40,39 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
     A-Z count as lower case; words are what ASCII white space separates; a text of fewer words than a shingle is one shingle.
     """
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
+    ones, total, words = np.zeros(64, dtype=np.int64), 0, []
+    for part in _stretches((text or "").encode().lower()):
+        words += part.split()
+        if len(words) >= shingle:
+            total += _add_bits(words, shingle, ones)
+            words = words[len(words) - shingle + 1 :]
+    if not total and words:
+        total = _add_bits(words, len(words), ones)
+    return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
+
+
+def _stretches(data: bytes) -> Iterator[bytes]:
+    """A long text in parts that end where a word does."""
+    begin = 0
+    while begin < len(data):
+        space = _SPACE.search(data, begin + STRETCH)
+        end = space.start() if space else len(data)
+        yield data[begin:end]
+        begin = end
+
+
+def _add_bits(words: list[bytes], size: int, ones: np.ndarray) -> int:
+    """Add how often each bit is set in the hashes of the shingles; returns the number of shingles."""
     joined = b" ".join(words)
     lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     ends = np.cumsum(lengths + 1) - 1
-    size = min(shingle, len(words))
     starts = (ends - lengths)[: len(words) - size + 1]
-    ends = ends[size - 1 :]
-    ones = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(starts), _CHUNK):
-        bounds = zip(starts[at : at + _CHUNK].tolist(), ends[at : at + _CHUNK].tolist(), strict=True)
-        hashes = np.array([xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in bounds], dtype="<u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(starts), bitorder="little").view("<u8")[0])
+    bounds = zip(starts.tolist(), ends[size - 1 :].tolist(), strict=True)
+    hashes = np.array([xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in bounds], dtype="<u8")
+    for at in range(0, len(hashes), _CHUNK):
+        bits = np.unpackbits(hashes[at : at + _CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones += bits.sum(axis=0, dtype=np.int64)
+    return len(hashes)
 
 
 def _fingerprints(shingle: int):

@@ -33,7 +33,7 @@ BATCH_BYTES = 1 << 22
 REMEMBERED = 1_000_000
 #: New stretches encoded in one call.
 JOINED = 1 << 12
-#: Size of the hash table of what is remembered.
+#: Slots of the hash table of what is remembered, to begin with.
 SLOT_BITS = 22
 #: Where a stretch stands.
 AFTER_BLANK, ALONE = 1, 2
@@ -88,41 +88,54 @@ def _mixed(hashes: np.ndarray, kind: int) -> np.ndarray:
 
 
 class _Memory:
-    """Numbers hashes in the order in which they are added: an open hash table of arrays."""
+    """Numbers hashes in the order in which they are added: an open hash table of arrays, at most half full."""
 
     def __init__(self):
-        self.slots = np.full(1 << SLOT_BITS, -1, dtype=np.int32)
+        self.bits = SLOT_BITS
+        self.slots = np.full(1 << self.bits, -1, dtype=np.int32)
         self.first, self.second = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
 
     def __len__(self) -> int:
         return len(self.first)
 
+    def _places(self, first: np.ndarray) -> np.ndarray:
+        return (first >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _following(self, at: np.ndarray) -> np.ndarray:
+        return (at + 1) & ((1 << self.bits) - 1)
+
     def find(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         """The number of each hash, -1 for one that was not added."""
         found = np.full(len(first), -1, dtype=np.int64)
-        at = (first >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-        left = np.arange(len(first))
+        at, left = self._places(first), np.arange(len(first))
         while len(left):
             number = self.slots[at[left]]
             left, number = left[number >= 0], number[number >= 0]
             hit = (self.first[number] == first[left]) & (self.second[number] == second[left])
             found[left[hit]] = number[hit]
             left = left[~hit]
-            at[left] = (at[left] + 1) & ((1 << SLOT_BITS) - 1)
+            at[left] = self._following(at[left])
         return found
 
     def add(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         """New numbers for different hashes that are not there yet."""
         numbers = np.arange(len(self.first), len(self.first) + len(first))
         self.first, self.second = np.append(self.first, first), np.append(self.second, second)
-        at = (first >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-        left = np.arange(len(first))
+        if 2 * len(self.first) > len(self.slots):
+            self.bits = (2 * len(self.first)).bit_length() + 1
+            self.slots = np.full(1 << self.bits, -1, dtype=np.int32)
+            self._place(np.arange(len(self.first)))
+        else:
+            self._place(numbers)
+        return numbers
+
+    def _place(self, numbers: np.ndarray) -> None:
+        at, left = self._places(self.first[numbers]), np.arange(len(numbers))
         while len(left):
             free = self.slots[at[left]] < 0
             self.slots[at[left[free]]] = numbers[left[free]]
             left = left[self.slots[at[left]] != numbers[left]]
-            at[left] = (at[left] + 1) & ((1 << SLOT_BITS) - 1)
-        return numbers
+            at[left] = self._following(at[left])
 
 
 class Tokenizer:

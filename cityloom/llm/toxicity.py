@@ -50,9 +50,8 @@ class Model:
 
 def features(text: str, table: np.ndarray) -> np.ndarray:
     """The distinct buckets of a text that are not 0 in ``table``."""
-    points = grams.code_points(text.lower())
     found = []
-    for part in grams.chunks(points, max(SIZES)):
+    for part in grams.chunks(text.lower(), max(SIZES)):
         held = grams.buckets(part, SIZES, BITS)
         found.append(held[table[held] != 0])
     return np.unique(np.concatenate(found))
@@ -76,7 +75,7 @@ def count_features(texts: DataFrame) -> DataFrame:
         distinct = grams.Distinct(BITS)
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                parts = [distinct(grams.buckets(part, SIZES, BITS)) for part in grams.chunks(grams.code_points(text.lower()), max(SIZES))]
+                parts = [distinct(grams.buckets(part, SIZES, BITS)) for part in grams.chunks(text.lower(), max(SIZES))]
                 counts[label, parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))] += 1
                 rows[label] += 1
         held = np.flatnonzero(counts.any(axis=0))

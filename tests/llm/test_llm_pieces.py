@@ -7,6 +7,7 @@ from messy import CASES, empty, messy
 public_tokenizers = pytest.importorskip("public_tokenizers")
 sentencepiece = pytest.importorskip("sentencepiece")
 
+from cityloom.llm import pieces  # noqa: E402
 from cityloom.llm.pieces import ROUNDS_UP_TO, load_model, with_pieces  # noqa: E402
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -32,6 +33,13 @@ def test_random_texts_equal_the_library(model, library):
     assert [model.decode(ids) for ids in got] == [library.decode(ids) for ids in want]
 
 
+def test_long_texts_are_cut_where_no_piece_reaches(model, library, monkeypatch):
+    monkeypatch.setattr(pieces, "LONG_TEXT", 7)
+    chosen = random.Random(9)
+    texts = ["".join(chosen.choices(PARTS[:14], k=60)) for _ in range(200)]
+    assert [ids.tolist() for ids in model.encode(texts)] == library.encode(texts, add_bos=True, add_eos=True)
+
+
 def test_any_ids_decode_as_in_the_library(model, library):
     chosen = random.Random(6)
     lists = [[chosen.choice([0, 1, 2, 3, 131, 200, 230, 240, 259, 260, 29871, chosen.randrange(32000)]) for _ in range(chosen.randrange(8))] for _ in range(1500)]

@@ -4,6 +4,7 @@ import pytest
 import xxhash
 from messy import CASES, empty, messy
 
+from cityloom.llm import simhash
 from cityloom.llm.components import components
 from cityloom.llm.simhash import _blocks, _masks, fingerprint, hex_fingerprint, near_duplicates, near_links, one_of_each
 from pyspark.sql import functions as F
@@ -49,7 +50,9 @@ def clustered(seed, centers, each, flips):
 
 
 @pytest.mark.parametrize("size", [1, 4])
-def test_fingerprints_equal_the_definition(size):
+@pytest.mark.parametrize("stretch", [1, 20, 1 << 20])
+def test_fingerprints_equal_the_definition(size, stretch, monkeypatch):
+    monkeypatch.setattr(simhash, "STRETCH", stretch)
     for _, text in CASES:
         assert fingerprint(text, size) == slow_fingerprint(text, size)
 

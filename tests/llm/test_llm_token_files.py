@@ -54,6 +54,7 @@ def test_damage_is_found():
 
 def test_random_texts_equal_the_library(library, monkeypatch):
     monkeypatch.setattr(token_files, "REMEMBERED", 300)
+    monkeypatch.setattr(token_files, "SLOT_BITS", 6)
     chosen = random.Random(8)
     tokenizer = token_files.Tokenizer(PATH, 2)
     for _ in range(6):
