@@ -131,6 +131,15 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_column: str =
     return stage(later.select(*_KEY, "start", "len", "first_line", "last_line"), "copies")
 
 
+def _merged(copies: DataFrame) -> DataFrame:
+    """Runs of a document joined where they overlap or touch; positions do not count blank lines."""
+    in_doc = Window.partitionBy(*_KEY).orderBy("start", "len")
+    before = F.max(F.col("start") + F.col("len")).over(in_doc.rowsBetween(Window.unboundedPreceding, -1))
+    opening = F.when(F.col("start") <= before, 0).otherwise(1)
+    stretches = copies.withColumn("opening", opening).withColumn("stretch", F.sum("opening").over(in_doc))
+    return stretches.groupBy(*_KEY, "stretch").agg(F.min("first_line").alias("first_line"), F.max("last_line").alias("last_line"))
+
+
 def without_repeated_runs(
     docs: DataFrame, min_words: int = MIN_WORDS, id_column: str = "doc_id", text_column: str = "text", result: str = "removed_lines"
 ) -> DataFrame:
@@ -140,31 +149,21 @@ def without_repeated_runs(
     NULL texts stay NULL, and a text that loses all its lines becomes empty. Rows equal in id and text are one document and get the same text.
     """
     copies = repeated_runs(docs, min_words, id_column, text_column)
-    place = F.struct("start", (F.col("start") + F.col("len")).alias("end"), F.col("first_line").alias("first"), F.col("last_line").alias("last"))
-    merged_type = "array<struct<start:int,end:int,first:int,last:int>>"
-    none = F.array().cast("array<struct<first:int,last:int>>")
-
-    def extend(done: Column, run: Column) -> Column:
-        """Join a run to the last one where they touch; positions do not count blank lines."""
-        at = F.element_at(done, -1)
-        further = run["end"] > at["end"]
-        longer = F.struct(
-            at["start"].alias("start"),
-            F.greatest(at["end"], run["end"]).alias("end"),
-            at["first"].alias("first"),
-            F.when(further, run["last"]).otherwise(at["last"]).alias("last"),
-        )
-        joins = (F.size(done) > 0) & (run["start"] <= F.try_element_at(done, F.lit(-1))["end"])
-        return F.when(joins, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, F.array(run)))
-
-    per_doc = copies.groupBy(*_KEY).agg(F.sort_array(F.collect_set(place)).alias("runs"))
-    merged = F.aggregate("runs", F.array().cast(merged_type), extend)
-    lines = F.transform(merged, lambda run: F.struct(run["first"].alias("first"), run["last"].alias("last")))
-    per_doc = per_doc.select(*_KEY, lines.alias("ranges"))
+    line_range = F.struct(F.col("first_line").alias("first"), F.col("last_line").alias("last"))
+    per_doc = _merged(copies).groupBy(*_KEY).agg(F.sort_array(F.collect_set(line_range)).alias("ranges"))
     rows = packed(docs.drop(result), id_column, text_column)
     joined = rows.join(per_doc, same(rows, per_doc, *_KEY), "left").select("row", "ranges")
     text = F.col(f"row.`{text_column}`")
-    staying = F.filter(F.split(text, "\n"), lambda line, i: ~F.exists("ranges", lambda r: (r["first"] <= i) & (i <= r["last"])))
-    shorter = F.when(F.col("ranges").isNull(), text).otherwise(F.array_join(staying, "\n"))
+
+    def without_ranges(lines: Column) -> Column:
+        """Line numbers are compared as sets, so that many lines and many ranges take no more than their sum."""
+        gone = F.flatten(F.transform("ranges", lambda r: F.sequence(r["first"], r["last"])))
+        staying = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+        return F.array_join(F.transform(staying, lambda i: F.get(lines, i)), "\n")
+
+    # The one-element array binds the lines once.
+    cut = F.transform(F.array(F.split(text, "\n")), without_ranges)[0]
+    shorter = F.when(F.col("ranges").isNull(), text).otherwise(cut)
     kept = [shorter.alias(name) if name == text_column else F.col(f"row.`{name}`") for name in rows.schema["row"].dataType.names]
+    none = F.array().cast("array<struct<first:int,last:int>>")
     return joined.select(*kept, F.coalesce("ranges", none).alias(result))
