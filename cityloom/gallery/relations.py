@@ -1,5 +1,6 @@
 """Inner joins between data sets."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cityloom.gallery.registry import query, table
@@ -61,19 +62,46 @@ def join_keep_left_hot_keys(spark, sf_dir):
     return join_keeping_left(orders, lines, ["key"], large="right", hot_rows=max(usual, 1), max_rows=0)
 
 
-# Areas finer than the 25 nations, so that the joined rows of a test stay few without leaving any input row out.
+# Areas finer than the 25 nations, so that the joined rows of a test stay few. Only few orders have an area that a supplier has: the others meet no row.
 FINE = 400
+# Areas that all orders meet whose nation has a supplier: one for each supplier.
+MET = "met"
+
+
+def _suppliers(spark, sf_dir, fine):
+    """Suppliers with the name of their nation and their area."""
+    supplier = table(spark, sf_dir, "supplier")
+    if fine == MET:
+        in_nation = Window.partitionBy("s_nationkey").orderBy("s_suppkey")
+        supplier = supplier.withColumn("area", F.row_number().over(in_nation) - 1)
+    return supplier.join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+
+
+def _customers(spark, sf_dir, fine):
+    """Customers with the name of their nation and their area: the supplier of the nation that their key falls on.
+
+    In the first nation that has suppliers all customers have one area, which is hot. A nation without suppliers has one area.
+    """
+    customer = table(spark, sf_dir, "customer")
+    if fine == MET:
+        supplier = table(spark, sf_dir, "supplier")
+        sizes = supplier.groupBy("s_nationkey").agg(F.count("*").alias("suppliers"))
+        first = supplier.agg(F.min("s_nationkey").alias("first"))
+        area = F.when(F.col("c_nationkey") == F.col("first"), 0).otherwise(F.coalesce(F.col("c_custkey") % F.col("suppliers"), F.lit(0)))
+        places = F.broadcast(sizes.crossJoin(F.broadcast(first)))
+        customer = customer.join(places, F.col("c_nationkey") == F.col("s_nationkey"), "left").select(customer["*"], area.alias("area"))
+    return customer.join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
 
 
 def _area(key, fine):
+    if fine == MET:
+        return F.concat_ws("-", "n_name", F.col("area").cast("string"))
     return F.concat_ws("-", "n_name", (F.col(key) % FINE).cast("string")) if fine else F.col("n_name")
 
 
 def sensor_rows(spark, sf_dir, fine=False):
     """Lines shipped, as sensor rows: area of the supplier, year as text, a code as text that is no number for returns."""
-    supplier = table(spark, sf_dir, "supplier").join(
-        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
-    )
+    supplier = _suppliers(spark, sf_dir, fine)
     lines = table(spark, sf_dir, "lineitem").join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     code = F.when(F.col("l_returnflag") == "R", "n/a").otherwise(F.col("l_linenumber").cast("string"))
     return lines.select(
@@ -85,9 +113,7 @@ def sensor_rows(spark, sf_dir, fine=False):
 
 def listing_rows(spark, sf_dir, fine=False):
     """Orders, as listings: area of the customer, date, price."""
-    customer = table(spark, sf_dir, "customer").join(
-        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
-    )
+    customer = _customers(spark, sf_dir, fine)
     orders = table(spark, sf_dir, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
     return orders.select(
         _area("c_custkey", fine).alias("neighborhood"), F.col("o_orderdate").cast("date").alias("date"), F.col("o_totalprice").alias("price")
@@ -96,9 +122,7 @@ def listing_rows(spark, sf_dir, fine=False):
 
 def income_rows(spark, sf_dir, fine=False):
     """Suppliers, as income rows: area and balance."""
-    supplier = table(spark, sf_dir, "supplier").join(
-        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
-    )
+    supplier = _suppliers(spark, sf_dir, fine)
     return supplier.select(_area("s_suppkey", fine).alias("neighborhood"), F.col("s_acctbal").alias("RFD"))
 
 
@@ -126,3 +150,41 @@ def inner_join_chain(spark, sf_dir):
     return rows.groupBy("neighborhood", "year", "Codi_Contaminant").agg(
         F.count("*").alias("n"), F.round(F.sum("price"), 2).alias("price"), F.round(F.sum("RFD"), 2).alias("rfd")
     )
+
+
+MET_SQL = """
+    ranked AS (
+        SELECT *, n_name || '-' || (row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1) AS neighborhood
+        FROM supplier JOIN nation ON s_nationkey = n_nationkey
+    ), sensor AS (
+        SELECT neighborhood, year(l_shipdate) AS year, CASE WHEN l_returnflag <> 'R' THEN l_linenumber::VARCHAR ELSE 'n/a' END AS code
+        FROM lineitem JOIN ranked ON l_suppkey = s_suppkey
+    ), listing AS (
+        SELECT n_name || '-' || CASE WHEN c_nationkey = (SELECT min(s_nationkey) FROM supplier) THEN 0
+                   ELSE coalesce(c_custkey % (SELECT nullif(count(*), 0) FROM supplier WHERE s_nationkey = c_nationkey), 0) END AS neighborhood,
+               year(o_orderdate) AS year, o_totalprice::DECIMAL(18, 2) AS price
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+    ), income AS (SELECT neighborhood, s_acctbal::DECIMAL(18, 2) AS rfd FROM ranked)"""
+
+
+def exact_sum(column):
+    """Sum of a column of two decimals, the same in any order of the rows."""
+    return F.sum(F.col(column).cast("decimal(18,2)")).cast("double")
+
+
+@query(
+    "inner_join_chain_all_orders",
+    f"""
+    WITH {MET_SQL}
+    SELECT s.neighborhood, s.year::VARCHAR AS year, s.code AS "Codi_Contaminant", count(*) AS n, sum(price)::DOUBLE AS price, sum(rfd)::DOUBLE AS rfd
+    FROM sensor s JOIN listing l ON s.neighborhood = l.neighborhood AND s.year = l.year
+                  JOIN income i ON s.neighborhood = i.neighborhood
+    GROUP BY 1, 2, 3
+    """,
+)
+def inner_join_chain_all_orders(spark, sf_dir):
+    """The chain with areas that the orders meet, one of them hot."""
+    rows = model_rows(*(make(spark, sf_dir, fine=MET) for make in (listing_rows, income_rows, sensor_rows)))
+    return rows.groupBy("neighborhood", "year", "Codi_Contaminant").agg(
+        F.count("*").alias("n"), exact_sum("price").alias("price"), exact_sum("RFD").alias("rfd")
+    )
