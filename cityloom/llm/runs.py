@@ -26,16 +26,29 @@ MIN_WORDS = 50
 _KEY = ("doc_id", "text_key")
 
 
+#: White space of any script, with the zero-width space that parts words in some.
+_SPACE = r"\s\p{Z}\x1C-\x1F\x85\u200B"
+#: Scripts that do not part words by spaces: Thai to Myanmar, Khmer, Tai, Balinese, Javanese, Chinese and Japanese with their punctuation, Yi.
+_SPACELESS = (
+    r"\u0E00-\u109F\u1780-\u17FF\u1950-\u19DF\u1A20-\u1AAF\u1B00-\u1B7F\u3001-\u312F\u31A0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF"
+    r"\uA000-\uA4CF\uA980-\uA9FF\uAA60-\uAADF\uF900-\uFAFF\uFF61-\uFF9F\x{1B000}-\x{1B16F}\x{20000}-\x{3FFFF}"
+)
+_WORD = rf"[{_SPACELESS}]|[^{_SPACE}{_SPACELESS}]+"
+#: Lines with one of these have words that blanks alone do not tell apart.
+_OTHER = rf"[{_SPACELESS}]|[{_SPACE}&&[^ ]]"
+
+
 def line_words(line: Column) -> Column:
-    """Words of a line: what blanks separate."""
-    return F.size(F.array_remove(F.split(line, " "), ""))
+    """Words of a line: what white space separates, and each character of a script without spaces. 0 for a blank line only."""
+    plain = F.size(F.array_remove(F.split(line, " "), ""))
+    return F.when(line.rlike(_OTHER), F.regexp_count(line, F.lit(_WORD))).otherwise(plain)
 
 
 def line_table(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """The lines that are not blank, in one staged row each: document, ``line_no``, ``pos`` among them, two hashes, ``words``."""
     text = text_of(text_column)
     lines = F.transform(F.split(text, "\n"), lambda line, i: F.struct(i.alias("line_no"), line.alias("line")))
-    filled = F.filter(lines, lambda x: F.trim(x["line"]) != "")
+    filled = F.filter(lines, lambda x: x["line"].rlike(rf"[^{_SPACE}]"))
     rows = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(text).alias("text_key"), F.posexplode(filled).alias("pos", "x"))
     line = F.col("x.line")
     hashes = (F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2"))
