@@ -34,8 +34,8 @@ _SPACELESS = (
     r"\uA000-\uA4CF\uA980-\uA9FF\uAA60-\uAADF\uF900-\uFAFF\uFF61-\uFF9F\x{1B000}-\x{1B16F}\x{20000}-\x{3FFFF}"
 )
 _WORD = rf"[{_SPACELESS}]|[^{_SPACE}{_SPACELESS}]+"
-#: Lines with one of these have words that blanks alone do not tell apart.
-_OTHER = rf"[{_SPACELESS}]|[{_SPACE}&&[^ ]]"
+#: All white space but the blank and all spaceless scripts are among these, and little else, so that most lines are counted by their blanks.
+_OTHER = r"[\x00-\x1F\x7F-\xA0\u0E00-\u200B\u2028-\u202F\u205F\u3000-\x{10FFFF}]"
 
 
 def line_words(line: Column) -> Column:
