@@ -124,7 +124,8 @@ def _levels(active: DataFrame, longest: int) -> DataFrame:
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Later copies of repeated runs: (doc_id, text_key, start, len, first_line, last_line), overlapping where the maximal run is longer; staged.
 
-    A copy is later than another by (id, hash of the text, line); NULL ids come first.
+    A copy is later than another by (id, hash of the text, line); NULL ids come first. Later copies may overlap the first one: of text that repeats
+    itself with a period shorter than a run, all but the lines before the second copy go, so no whole run of it stays.
     """
     lines = line_table(docs, id_column, text_column)
     active = _repeated(lines, "h1", "h2")
