@@ -9,8 +9,8 @@ from textwrap import dedent
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityloom.llm import exact, language, licenses, phrases, pieces, runs, shards, simhash, token_files, toxicity
-from cityloom.llm.common import importable, text_of
+from cityloom.llm import exact, language, licenses, merkle, phrases, pieces, runs, shards, simhash, token_files, toxicity
+from cityloom.llm.common import ascii_lower, importable, text_of
 from cityloom.session import scratch_dir
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
@@ -237,3 +237,72 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(changed).cast("bigint").alias("n_modified"),
         F.array_max(F.transform("licenses", lambda x: x["saved"])).alias("best_saved"),
     )
+
+
+#: The checksum of a decimal doc_id, byte by byte over a table made from the polynomial.
+_ID_CRC32_SQL = """
+    lookup AS (
+        SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+            lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS entries
+    ), checked AS (
+        SELECT *, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+            lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1])), 4294967295) AS crc
+        FROM documents, lookup
+    )"""
+
+_ENCODED_SQL = "coalesce(octet_length(encode({0}::VARCHAR)) || ':' || {0}::VARCHAR, '-')"
+_LEAF_SQL = "sha256(" + " || ".join(_ENCODED_SQL.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{0}")) + ")"
+
+
+@query(
+    "op11_merkle_manifest",
+    f"""
+    WITH RECURSIVE {_ID_CRC32_SQL}, leaves AS (
+        SELECT doc_id, lang, {_LEAF_SQL.format("text")} AS leaf,
+            {_LEAF_SQL.format("CASE WHEN crc % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END")} AS held
+        FROM checked
+    ), placed AS (
+        SELECT *, {_ENCODED_SQL.format("lang")} AS part, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+        FROM leaves
+    ), nodes AS (
+        SELECT part, 0 AS level, pos, n, leaf AS digest FROM placed
+        UNION ALL
+        SELECT part, level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY part, level, pos // 8, n
+    ), subroots AS (
+        SELECT part, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+        FROM nodes JOIN (SELECT DISTINCT part, lang FROM placed) USING (part) WHERE n = 1
+    ), upper_nodes AS (
+        SELECT 0 AS level, pos, n, subroot AS digest FROM subroots
+        UNION ALL
+        SELECT level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM upper_nodes WHERE n > 1 GROUP BY level, pos // 8, n
+    ), runs AS (
+        SELECT part, level, pos // 8 AS run, list(digest ORDER BY pos) AS digests FROM nodes WHERE n > 1 GROUP BY part, level, pos // 8
+    ), upper_runs AS (
+        SELECT level, pos // 8 AS run, list(digest ORDER BY pos) AS digests FROM upper_nodes WHERE n > 1 GROUP BY level, pos // 8
+    ), walk AS (
+        SELECT doc_id, leaf, part, 0 AS level, pos, n, held AS folded, '' AS proof FROM placed
+        UNION ALL
+        SELECT doc_id, leaf, part, level + 1, pos // 8, (n + 7) // 8,
+            sha256(array_to_string(digests[:pos % 8], '') || folded || array_to_string(digests[pos % 8 + 2:], '')),
+            proof || array_to_string(digests[:pos % 8], '') || array_to_string(digests[pos % 8 + 2:], '')
+        FROM walk JOIN runs USING (part, level) WHERE run = pos // 8
+    ), upper_walk AS (
+        SELECT doc_id, leaf, part, subroot, 0 AS level, s.pos, s.n, folded, proof FROM walk JOIN subroots s USING (part) WHERE walk.n = 1
+        UNION ALL
+        SELECT doc_id, leaf, part, subroot, level + 1, pos // 8, (n + 7) // 8,
+            sha256(array_to_string(digests[:pos % 8], '') || folded || array_to_string(digests[pos % 8 + 2:], '')),
+            proof || array_to_string(digests[:pos % 8], '') || array_to_string(digests[pos % 8 + 2:], '')
+        FROM upper_walk JOIN upper_runs USING (level) WHERE run = pos // 8
+    )
+    SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+    FROM upper_walk, (SELECT digest AS root FROM upper_nodes WHERE n = 1) WHERE n = 1
+    """,
+)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, ascii_lower(F.col("text"))).otherwise(F.col("text"))
+    named = ["doc_id", "source", "lang", "n_chars"]
+    leaves = docs.select("doc_id", "lang", merkle.leaf_digest([*named, "text"]).alias("leaf"), merkle.leaf_digest([*named, held]).alias("held_leaf"))
+    proofs = merkle.build(leaves, "lang", "doc_id").proofs()
+    folded = proofs.withColumns({"folded_root": merkle.fold("path", F.col("held_leaf")), "proof_sha256": merkle.proof_digest("path")})
+    return folded.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
