@@ -30,13 +30,15 @@ SEGMENT_TOKENS = 1 << 21
 BLOCK_TOKENS = 1 << 19
 #: Bytes of text tokenized at a time, and how many distinct stretches of text a process remembers the ids of.
 BATCH_BYTES = 1 << 22
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
+#: Bytes of the longest stretch that is remembered.
+LONGEST_REMEMBERED = 128
 #: New stretches encoded in one call.
 JOINED = 1 << 12
-#: Slots of the hash table of what is remembered, to begin with.
-SLOT_BITS = 22
 #: Where a stretch stands.
 AFTER_BLANK, ALONE = 1, 2
+#: Numbers of stretches that are not remembered begin here.
+PASSING = 1 << 40
 
 #: White space other than single blanks and line ends between other characters.
 _UNUSUAL = (
@@ -47,103 +49,12 @@ _UNUSUAL = (
 _MARKS = ".,;:!?#$&*"
 
 
-def _power_table(factor: int, size: int) -> np.ndarray:
-    """Powers of an odd number modulo 2**64, from 0 up."""
-    steps = np.full(size, factor, dtype=np.uint64)
-    steps[:1] = 1
-    return np.multiply.accumulate(steps)
-
-
-class _Hashes:
-    """128-bit hashes of all strings of an array at once: two polynomials over their bytes, taken from running sums."""
-
-    FACTORS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
-
-    def __init__(self):
-        self.values = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
-        self.powers: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.uint64),) * 2] * 2
-
-    def __call__(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        offsets = np.frombuffer(strings.buffers()[1], dtype="<i4" if strings.type == pa.string() else "<i8")
-        offsets = offsets[strings.offset : strings.offset + len(strings) + 1].astype(np.int64)
-        data = strings.buffers()[2]
-        text = np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
-        begins, ends = offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
-        if len(text) >= len(self.powers[0][0]):
-            size = 2 * len(text) + 1
-            self.powers = [(_power_table(factor, size), _power_table(pow(factor, -1, 1 << 64), size)) for factor in self.FACTORS]
-        values = self.values[text]
-        found = []
-        for up, down in self.powers:
-            sums = np.zeros(len(text) + 1, dtype=np.uint64)
-            np.cumsum(values * up[: len(text)], out=sums[1:])
-            found.append((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(np.uint64))
-        return found[0], found[1]
-
-
-def _mixed(hashes: np.ndarray, kind: int) -> np.ndarray:
-    """A hash for strings that stand in one of several places."""
-    mixed = (hashes + np.uint64(kind)) * np.uint64(0xBF58476D1CE4E5B9)
-    return (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-
-
-class _Memory:
-    """Numbers hashes in the order in which they are added: an open hash table of arrays, at most half full."""
-
-    def __init__(self):
-        self.bits = SLOT_BITS
-        self.slots = np.full(1 << self.bits, -1, dtype=np.int32)
-        self.first, self.second = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
-
-    def __len__(self) -> int:
-        return len(self.first)
-
-    def _places(self, first: np.ndarray) -> np.ndarray:
-        return (first >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def _following(self, at: np.ndarray) -> np.ndarray:
-        return (at + 1) & ((1 << self.bits) - 1)
-
-    def find(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """The number of each hash, -1 for one that was not added."""
-        found = np.full(len(first), -1, dtype=np.int64)
-        at, left = self._places(first), np.arange(len(first))
-        while len(left):
-            number = self.slots[at[left]]
-            left, number = left[number >= 0], number[number >= 0]
-            hit = (self.first[number] == first[left]) & (self.second[number] == second[left])
-            found[left[hit]] = number[hit]
-            left = left[~hit]
-            at[left] = self._following(at[left])
-        return found
-
-    def add(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """New numbers for different hashes that are not there yet."""
-        numbers = np.arange(len(self.first), len(self.first) + len(first))
-        self.first, self.second = np.append(self.first, first), np.append(self.second, second)
-        if 2 * len(self.first) > len(self.slots):
-            self.bits = (2 * len(self.first)).bit_length() + 1
-            self.slots = np.full(1 << self.bits, -1, dtype=np.int32)
-            self._place(np.arange(len(self.first)))
-        else:
-            self._place(numbers)
-        return numbers
-
-    def _place(self, numbers: np.ndarray) -> None:
-        at, left = self._places(self.first[numbers]), np.arange(len(numbers))
-        while len(left):
-            free = self.slots[at[left]] < 0
-            self.slots[at[left[free]]] = numbers[left[free]]
-            left = left[self.slots[at[left]] != numbers[left]]
-            at[left] = self._following(at[left])
-
-
 class Tokenizer:
     """A tokenizer file, with the ids of repeated stretches remembered.
 
     If the file is byte-level BPE over the usual pattern, a text can be cut at single blanks and line ends between other characters: no match
     of the pattern reaches across one, so the ids of the stretches, each with the blank before it, are the ids of the text. What was
-    encoded before is told by a 128-bit hash.
+    encoded before is told by the stretch itself. Long stretches are not remembered beyond the texts encoded together.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -163,35 +74,42 @@ class Tokenizer:
         #: Bytes of each token; the file writes one character for each byte.
         self.widths = np.array([len(self.whole.id_to_token(i) or "") for i in range(self.whole.get_vocab_size())], dtype=np.int64)
         self.end_id = end_id
-        self.hashes = _Hashes()
-        self._forget()
-
-    def _forget(self) -> None:
-        self.memory = _Memory()
+        #: Numbers of the remembered stretches in each place.
+        self.numbers: dict[int, dict[str, int]] = {AFTER_BLANK: {}, ALONE: {}}
         self.flat = np.zeros(0, dtype=np.int32)
         self.begins = self.lengths = self.uses = np.zeros(0, dtype=np.int64)
-        nothing = np.zeros(1, dtype=np.uint64)
-        self._remember(np.array([self.end_id]), np.ones(1, dtype=np.int64), self.memory.add(nothing, nothing))  # number 0: the end of a document
+        #: Ids of long stretches, and how many each has; numbered from ``PASSING``.
+        self.passing: list[tuple[np.ndarray, np.ndarray]] = []
+        self._remember(np.array([end_id]), np.ones(1, dtype=np.int64))  # number 0: the end of a document
         self._learn(ALONE, pa.array(["\n"]))  # number 1: the end of a line
 
     def _forget_rare(self) -> None:
-        """Keep the more used half of what is remembered."""
-        kept = np.sort(np.argsort(-self.uses[2:], kind="stable")[: REMEMBERED // 2]) + 2
+        """Keep the more used half of what is remembered, and the ends of documents and lines."""
+        kept = np.append([0, 1], np.sort(np.argsort(-self.uses[2:], kind="stable")[: REMEMBERED // 2]) + 2)
+        numbers = np.full(len(self.lengths), -1, dtype=np.int64)
+        numbers[kept] = np.arange(len(kept))
+        new = numbers.tolist()
+        self.numbers = {kind: {stretch: new[n] for stretch, n in held.items() if new[n] >= 0} for kind, held in self.numbers.items()}
         flat, lengths, uses = _gather(self.flat, self.begins[kept], self.lengths[kept]), self.lengths[kept], self.uses[kept]
-        first, second = self.memory.first[kept], self.memory.second[kept]
-        self._forget()
-        self._remember(flat, lengths, self.memory.add(first, second))
-        self.uses[2:] = uses // 2
-
-    def _remember(self, flat: np.ndarray, lengths: np.ndarray, numbers: np.ndarray) -> None:
-        """Append the ids of the stretches with these numbers."""
-        size = len(self.memory)
-        for name in ("begins", "lengths", "uses"):
-            old = getattr(self, name)
-            setattr(self, name, np.append(old, np.zeros(size - len(old), dtype=np.int64)))
-        self.begins[numbers] = len(self.flat) + np.cumsum(lengths) - lengths
-        self.lengths[numbers] = lengths
+        self.flat = np.zeros(0, dtype=np.int32)
+        self.begins = self.lengths = self.uses = np.zeros(0, dtype=np.int64)
+        self._remember(flat, lengths)
+        self.uses[:] = uses // 2
+
+    def _remember(self, flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Append the ids of stretches; returns their numbers."""
+        numbers = np.arange(len(self.lengths), len(self.lengths) + len(lengths))
+        self.begins = np.append(self.begins, len(self.flat) + np.cumsum(lengths) - lengths)
+        self.lengths = np.append(self.lengths, lengths)
+        self.uses = np.append(self.uses, np.zeros(len(lengths), dtype=np.int64))
         self.flat = np.append(self.flat, flat.astype(np.int32))
+        return numbers
+
+    def _pass(self, flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Numbers for long stretches, good until the texts at hand are encoded."""
+        begin = PASSING + sum(len(held) for _, held in self.passing)
+        self.passing.append((flat.astype(np.int32), lengths))
+        return np.arange(begin, begin + len(lengths))
 
     def _alone(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
         coded = [encoding.ids for encoding in self.whole.encode_batch_fast(strings, add_special_tokens=False)]
@@ -209,41 +127,48 @@ class Tokenizer:
             raise ValueError("a token reaches across a blank")
         return flat, np.diff(last, prepend=-1)
 
+    def _coded(self, kind: int, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        return self._together(strings) if kind == AFTER_BLANK else self._alone(strings.to_pylist())
+
     def _learn(self, kind: int, strings: pa.Array) -> np.ndarray:
-        """Numbers of all strings in a place, each encoded if it is new. Strings may repeat.
+        """Numbers of different strings in a place, each encoded if it is new.
 
         One behind a blank that ends in marks after a letter is put together from the ids of both parts.
         """
-        first, second = (_mixed(part, kind) for part in self.hashes(strings))
-        found = self.memory.find(first, second)
-        unknown = np.flatnonzero(found < 0)
-        if not len(unknown):
+        known, names = self.numbers[kind], strings.to_pylist()
+        found = np.fromiter((known.get(name, -1) for name in names), dtype=np.int64, count=len(names))
+        new = found < 0
+        if not new.any():
             return found
-        _, at, back = np.unique(first[unknown], return_index=True, return_inverse=True)
-        unknown, repeats = unknown[at], unknown
+        long = new & (pc.binary_length(strings).to_numpy() > LONGEST_REMEMBERED)
+        if long.any():
+            found[long] = self._pass(*self._coded(kind, strings.filter(pa.array(long))))
+            new &= ~long
+        unknown = np.flatnonzero(new)
         fresh = strings.take(pa.array(unknown))
         stems = pc.utf8_rtrim(fresh, characters=_MARKS) if kind == AFTER_BLANK else fresh
         marked = pc.and_(pc.not_equal(stems, fresh), pc.match_substring_regex(stems, r"\pL\z")).to_numpy(zero_copy_only=False)
         plain = np.flatnonzero(~marked)
         if len(plain):
-            wholes = fresh.take(pa.array(plain))
-            coded = self._together(wholes) if kind == AFTER_BLANK else self._alone(wholes.to_pylist())
-            numbers = self.memory.add(first[unknown[plain]], second[unknown[plain]])
-            self._remember(*coded, numbers)
-            found[unknown[plain]] = numbers
+            found[unknown[plain]] = self._remember(*self._coded(kind, fresh.take(pa.array(plain))))
         both = np.flatnonzero(marked)
         if len(both):
             stems = stems.take(pa.array(both))
             pairs = zip(fresh.take(pa.array(both)).to_numpy(zero_copy_only=False), stems.to_numpy(zero_copy_only=False), strict=True)
             marks = pa.array([whole[len(stem) :] for whole, stem in pairs], pa.string())
-            parts = np.stack([self._learn(AFTER_BLANK, stems), self._learn(ALONE, marks)], axis=1).reshape(-1)
-            numbers = self.memory.add(first[unknown[both]], second[unknown[both]])
+            # A stem may be one of the plain stretches of this call.
+            known.update(zip((names[i] for i in unknown[plain]), found[unknown[plain]].tolist(), strict=True))
+            parts = np.stack([self._learn_all(AFTER_BLANK, stems), self._learn_all(ALONE, marks)], axis=1).reshape(-1)
             flat = _gather(self.flat, self.begins[parts], self.lengths[parts])
-            self._remember(flat, self.lengths[parts].reshape(-1, 2).sum(axis=1), numbers)
-            found[unknown[both]] = numbers
-        found[repeats] = found[unknown][back]
+            found[unknown[both]] = self._remember(flat, self.lengths[parts].reshape(-1, 2).sum(axis=1))
+        known.update(zip((names[i] for i in unknown), found[unknown].tolist(), strict=True))
         return found
 
+    def _learn_all(self, kind: int, strings: pa.Array) -> np.ndarray:
+        """The same for strings that may repeat."""
+        coded = strings.dictionary_encode()
+        return self._learn(kind, coded.dictionary)[coded.indices.to_numpy()]
+
     def _whole(self, texts: pa.Array) -> pa.Array:
         """Which texts are not to be cut: those with other white space, or with special tokens."""
         if not self.separable:
@@ -257,8 +182,9 @@ class Tokenizer:
         """Ids of all texts, one after another, each with the end id; and how many each text has."""
         if not len(texts):
             return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
-        if len(self.memory) > REMEMBERED:
+        if len(self.lengths) > REMEMBERED:
             self._forget_rare()
+        self.passing = []
         whole = self._whole(texts)
         lines = pc.split_pattern(pc.if_else(whole, "", texts), "\n")
         words = pc.split_pattern(lines.flatten(), " ")
@@ -278,7 +204,7 @@ class Tokenizer:
             codes[places] = numbers[held]
         last_lines = np.cumsum(pc.list_value_length(lines).to_numpy()) - 1
         apart = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
-        codes[firsts[last_lines[apart]]] = self._learn(ALONE, texts.take(pa.array(apart)))
+        codes[firsts[last_lines[apart]]] = self._learn_all(ALONE, texts.take(pa.array(apart)))
         # Behind each line comes its end, behind a text's last one the end of the document.
         ends = np.ones(len(in_line), dtype=np.int64)
         ends[last_lines] = 0
@@ -286,9 +212,16 @@ class Tokenizer:
         sequence = np.empty(len(codes) + len(ends), dtype=np.int64)
         sequence[np.arange(len(codes)) + np.repeat(order, in_line)] = codes
         sequence[np.cumsum(in_line) + order] = ends
-        self.uses += np.bincount(sequence, minlength=len(self.uses))
-        taken = self.lengths[sequence]
-        ids = _gather(self.flat, self.begins[sequence], taken)
+        passing = sequence >= PASSING
+        self.uses += np.bincount(sequence[~passing], minlength=len(self.uses))
+        flat, begins, lengths = self.flat, self.begins, self.lengths
+        if passing.any():
+            sequence[passing] += len(lengths) - PASSING
+            long = np.concatenate([held for _, held in self.passing])
+            begins, lengths = np.append(begins, len(flat) + np.cumsum(long) - long), np.append(lengths, long)
+            flat = np.concatenate([flat, *(ids for ids, _ in self.passing)])
+        taken = lengths[sequence]
+        ids = _gather(flat, begins[sequence], taken)
         return ids, np.diff(np.cumsum(taken)[sequence == 0], prepend=0)
 
 

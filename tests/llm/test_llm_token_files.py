@@ -54,7 +54,7 @@ def test_damage_is_found():
 
 def test_random_texts_equal_the_library(library, monkeypatch):
     monkeypatch.setattr(token_files, "REMEMBERED", 300)
-    monkeypatch.setattr(token_files, "SLOT_BITS", 6)
+    monkeypatch.setattr(token_files, "LONGEST_REMEMBERED", 6)
     chosen = random.Random(8)
     tokenizer = token_files.Tokenizer(PATH, 2)
     for _ in range(6):
@@ -64,6 +64,37 @@ def test_random_texts_equal_the_library(library, monkeypatch):
         assert lengths.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
 
 
+def thue_morse(letters):
+    """A word and its complement: polynomials modulo a power of two agree on the two, whatever their base."""
+    word = "a"
+    while len(word) < letters:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("letters", [64, 128, 1024, 2048])
+@pytest.mark.parametrize("place", ["start {}", "{}", "a {}. b", "{}\nx"])
+def test_words_that_hashes_confuse_have_their_own_ids(library, letters, place):
+    first, second = (place.format(word) for word in thue_morse(letters))
+    want = {text: library.encode(text, add_special_tokens=False).ids + [2] for text in (first, second)}
+    assert want[first] != want[second]
+    together = token_files.Tokenizer(PATH, 2)
+    assert together.encode(pa.array([first, second, first]))[0].tolist() == want[first] + want[second] + want[first]
+    one_by_one = token_files.Tokenizer(PATH, 2)
+    for text in (first, second, second, first):
+        assert one_by_one.encode(pa.array([text]))[0].tolist() == want[text]
+
+
+def test_long_stretches_that_repeat_are_not_remembered(library):
+    tokenizer = token_files.Tokenizer(PATH, 2)
+    long = ["x" * 500 + "." + "y" * n for n in range(5)]
+    texts = [f"a {long[i % 5]} {long[i % 3]}\t{long[0]}" if i % 2 else f"{long[i % 5]} a\nb {long[i % 3]}." for i in range(40)]
+    want = [e.ids + [2] for e in library.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):
+        assert tokenizer.encode(pa.array(texts))[0].tolist() == sum(want, [])
+    assert len(tokenizer.lengths) < 20
+
+
 def test_files_read_back(spark, library, tmp_path):
     cases = CASES + [(1000 - i, f"document {i} of many") for i in range(300)]
     token_files.write_tokens(messy(spark, cases).repartition(3), f"{tmp_path}/t", PATH, 2, segment_tokens=100, block_tokens=64)
