@@ -66,14 +66,14 @@ def _with_siblings(nodes: DataFrame, fanout: int) -> DataFrame:
     length = F.least(F.lit(fanout), F.col("n") - F.col("pos") + slot)
     before = [F.when(slot >= j, F.lag("digest", j).over(chunk)) for j in range(fanout - 1, 0, -1)]
     behind = [F.when(slot + j < length, F.lead("digest", j).over(chunk)) for j in range(1, fanout)]
-    chunked = nodes.withColumn("chunk", F.floor(F.col("pos") / (runs * fanout)))
+    chunked = nodes.withColumn("chunk", F.expr(f"pos div {runs * fanout}"))
     return chunked.withColumns({"left": F.concat_ws("", *before), "right": F.concat_ws("", *behind)}).drop("chunk")
 
 
 def _parents(level: DataFrame, fanout: int) -> DataFrame:
     """The next level: first children hash their run."""
     first = level.where((F.col("pos") % fanout == 0) & (F.col("n") > 1))
-    place, size = F.floor(F.col("pos") / fanout).alias("pos"), F.ceil(F.col("n") / fanout).alias("n")
+    place, size = F.expr(f"pos div {fanout}").alias("pos"), F.expr(f"(n + {fanout - 1}) div {fanout}").alias("n")
     return first.select("group", place, size, digest(F.col("digest"), F.col("right")).alias("digest"))
 
 
@@ -99,7 +99,7 @@ def _with_paths(levels: list[DataFrame], fanout: int) -> DataFrame:
     paths = levels[-1].withColumn("path", none)
     for level in reversed(levels[:-1]):
         above = paths.select("group", F.col("pos").alias("parent"), F.col("path").alias("above"))
-        joined = level.withColumn("parent", F.floor(F.col("pos") / fanout)).join(above, ["group", "parent"], "left")
+        joined = level.withColumn("parent", F.expr(f"pos div {fanout}")).join(above, ["group", "parent"], "left")
         path = F.when(F.col("n") == 1, none).otherwise(F.concat(own, F.coalesce("above", none)))
         paths = joined.withColumn("path", path).drop("parent", "above")
     return paths.drop("left", "right")

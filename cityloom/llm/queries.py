@@ -9,12 +9,14 @@ from textwrap import dedent
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityloom.llm import exact, language, licenses, merkle, phrases, pieces, runs, shards, simhash, token_files, toxicity
+from cityloom.llm import counts, exact, language, licenses, merkle, periodic, phrases, pieces, runs, shards, simhash, token_files, toxicity
 from cityloom.llm.common import ascii_lower, importable, text_of
 from cityloom.session import scratch_dir
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
+WORD_TOKENIZER = "word_bpe_49k.json"
+MOST_TOKENS = 2048
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -306,3 +308,67 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     proofs = merkle.build(leaves, "lang", "doc_id").proofs()
     folded = proofs.withColumns({"folded_root": merkle.fold("path", F.col("held_leaf")), "proof_sha256": merkle.proof_digest("path")})
     return folded.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query(
+    "op12_periodic_runs",
+    rf"""
+    WITH {_ID_CRC32_SQL}, split AS (
+        SELECT row_number() OVER () AS id, doc_id, crc, crc // 10 AS g, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS original FROM checked
+    ), planned AS (
+        SELECT *, len(original) AS n, g % len(original) AS a, 1 + (len(original) - g % len(original)) // (3 + g % 8) AS p FROM split
+    ), docs AS (
+        SELECT id, doc_id, n, CASE WHEN crc % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: original[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1])
+            ELSE original END AS words
+        FROM planned
+    ), grams AS (
+        -- A run's words agree with those a period on for 6 words at least.
+        SELECT id, n, i, array_to_string(words[i + 1 : i + 6], ' ') AS gram FROM (SELECT id, n, words, unnest(range(n - 5)) AS i FROM docs WHERE n >= 12)
+    ), pairs AS (
+        SELECT x.id, x.i, y.i - x.i AS q FROM grams x JOIN grams y ON x.id = y.id AND x.gram = y.gram AND y.i > x.i AND 2 * (y.i - x.i) <= x.n
+    ), islands AS (
+        SELECT id, q, min(i) AS start, count(*) + 5 + q AS length
+        FROM (SELECT *, i - row_number() OVER (PARTITION BY id, q ORDER BY i) AS island FROM pairs) GROUP BY id, q, island
+    ), runs AS (
+        SELECT id, start, length, min(q) AS period FROM islands WHERE length >= greatest(12, 2 * q) GROUP BY id, start, length
+    ), listed AS (
+        SELECT id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS rows FROM runs GROUP BY id
+    ), longest AS (
+        SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY id ORDER BY length DESC, start, period) = 1
+    ), dropped AS (
+        SELECT DISTINCT id, unnest(range(start + period, start + length)) AS i FROM runs
+    ), collapsed AS (
+        SELECT id, string_agg(word, ' ' ORDER BY i) AS text FROM (SELECT id, unnest(words) AS word, unnest(range(n)) AS i FROM docs) ANTI JOIN dropped USING (id, i) GROUP BY id
+    )
+    SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+        sha256(coalesce(rows, '')) AS runs_sha256, sha256(coalesce(collapsed.text, '')) AS collapsed_sha256
+    FROM docs LEFT JOIN listed USING (id) LEFT JOIN longest USING (id) LEFT JOIN collapsed USING (id)
+    """,
+)
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # A tenth of the texts is made periodic from a place on.
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all(text_of("text"), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    planned = docs.withColumns({"crc": crc, "words": F.when(crc % 10 == 0, words)}).withColumns({"n": F.size("words"), "g": F.floor(F.col("crc") / 10)})
+    planned = planned.withColumn("a", F.expr("CAST(CASE WHEN n > 0 THEN g % n END AS INT)")).withColumn("p", F.expr("CAST(1 + floor((n - a) / (3 + g % 8)) AS INT)"))
+    periodic_words = F.expr("concat(slice(words, 1, a), slice(flatten(array_repeat(slice(words, a + 1, p), CAST(ceil((n - a) / p) AS INT))), 1, n - a))")
+    text = F.when(F.col("n") > 0, F.array_join(periodic_words, " ")).otherwise(F.col("text"))
+    found = periodic.with_runs(planned.select("doc_id", text.alias("text")))
+    each = F.transform("runs.runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(each, lambda line: F.concat(line, F.lit("\n"))), "")
+    named = found.select(
+        "doc_id",
+        F.size("runs.runs").cast("bigint").alias("n_runs"),
+        periodic.longest("runs.runs").alias("best"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("runs.collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+    exponent = F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli")
+    return named.select("doc_id", "n_runs", "best.*", exponent, "runs_sha256", "collapsed_sha256")
+
+
+@query("op13_token_counts")
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return counts.with_token_counts(docs, vocabulary_path(WORD_TOKENIZER), MOST_TOKENS).select("doc_id", "n_bytes", "n_tokens", "over_limit")

@@ -1,0 +1,109 @@
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+from conftest import TESTDATA, plan_of
+from messy import empty, messy
+from pyspark.sql import functions as F
+
+from cityloom.llm import merkle, queries
+
+
+def h(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def enc(value):
+    return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+
+def levels(nodes, fanout):
+    found = [nodes]
+    while len(found[-1]) > 1:
+        found.append([h(*found[-1][at : at + fanout]) for at in range(0, len(found[-1]), fanout)])
+    return found
+
+
+def siblings(found, at, fanout):
+    """(before, behind) on each level of the way from node ``at`` to the root."""
+    way = []
+    for level in found[:-1]:
+        first = at - at % fanout
+        way.append(("".join(level[first:at]), "".join(level[at + 1 : first + fanout])))
+        at //= fanout
+    return way
+
+
+def slow(rows, fanout):
+    """Rows (group, id, leaf) to sorted rows (id, leaf, subroot, root, path)."""
+    order = lambda v: (v is not None, v if not isinstance(v, str) else v.encode())
+    groups = {}
+    for group, i, leaf in sorted(rows, key=lambda r: (order(r[0]), order(r[1]), r[2])):
+        groups.setdefault(group, []).append((i, leaf))
+    trees = {group: levels([leaf for _, leaf in held], fanout) for group, held in groups.items()}
+    top = levels([tree[-1][0] for tree in trees.values()], fanout) if trees else []
+    return sorted(
+        ((i, leaf, trees[group][-1][0], top[-1][0], siblings(trees[group], at, fanout) + siblings(top, g, fanout))
+         for g, (group, held) in enumerate(groups.items()) for at, (i, leaf) in enumerate(held)),
+        key=str,
+    )
+
+
+def proofs(built):
+    return sorted(((r.key, r.leaf, r.subroot, r.root, [tuple(p) for p in r.path]) for r in built.proofs().collect()), key=str)
+
+
+@pytest.mark.parametrize(("fanout", "chunk", "groups", "size"), [(8, 512, 3, 300), (8, 16, 1, 100), (3, 4, 9, 60), (8, 512, 1, 1)])
+def test_trees_equal_those_built_node_by_node(spark, monkeypatch, fanout, chunk, groups, size):
+    monkeypatch.setattr(merkle, "CHUNK", chunk)
+    chosen = random.Random(size)
+    names = [None, "", "é", "~", "en", *(f"g{n}" for n in range(groups))][:groups]
+    rows = [(chosen.choice(names), chosen.choice([None, *range(size)]), f"t{chosen.randrange(size)}") for _ in range(size)]
+    leaves = spark.createDataFrame(rows, "lang string, key bigint, text string").select("lang", "key", merkle.leaf_digest(["key", "text"]).alias("leaf"))
+    expected = slow([(g, i, h(enc(i), enc(t))) for g, i, t in rows], fanout)
+    assert proofs(merkle.build(leaves, "lang", "key", fanout)) == expected
+
+
+def test_nulls_repeats_long_texts_and_other_columns(spark):
+    docs = messy(spark).withColumn("lang", F.lit("x")).withColumn("own", F.col("start"))
+    leaves = docs.select("lang", F.col("doc_id").alias("key"), "label", merkle.leaf_digest(["doc_id", "text"]).alias("leaf"))
+    built = merkle.build(leaves, "lang", "key")
+    expected = slow([("x", r.doc_id, h(enc(r.doc_id), enc(r.text))) for r in messy(spark).collect()], 8)
+    assert proofs(built) == expected
+    assert {r.label for r in built.proofs().collect()} == {"l"}
+    assert built.root().collect()[0].root == expected[0][3]
+    with pytest.raises(ValueError, match="rename"):
+        merkle.build(leaves.withColumn("path", F.lit(1)), "lang", "key")
+
+
+def test_an_empty_table_has_no_root(spark):
+    leaves = empty(spark).select(F.lit("x").alias("lang"), F.col("doc_id").alias("key"), F.lit("").alias("leaf"))
+    built = merkle.build(leaves, "lang", "key")
+    assert built.root().collect() == [] and built.proofs().collect() == []
+
+
+def test_a_changed_leaf_does_not_fold_to_the_root(spark):
+    leaves = spark.range(100).select(F.lit("x").alias("lang"), F.col("id").alias("key"), merkle.leaf_digest(["id"]).alias("leaf"))
+    found = merkle.build(leaves, "lang", "key").proofs()
+    held = F.when(F.col("key") % 7 == 0, merkle.digest(F.lit("other"))).otherwise(F.col("leaf"))
+    checked = found.select("key", (merkle.fold("path", held) == F.col("root")).alias("sound"), merkle.proof_digest("path").alias("proof"), "path")
+    for r in checked.collect():
+        assert r.sound == (r.key % 7 != 0)
+        assert r.proof == h(*(part for step in r.path for part in step))
+
+
+def test_no_window_spans_a_group(spark):
+    nodes = spark.range(100).select(F.col("id").cast("string").alias("group"), F.col("id").alias("pos"), (F.col("id") + 1).alias("n"), F.col("id").cast("string").alias("digest"))
+    plan = plan_of(merkle._with_siblings(nodes, 8))
+    assert "lag(" in plan and "lead(" in plan and re.search(r"hashpartitioning\(group#\d+, chunk#", plan)
+
+
+@pytest.mark.skipif(not TESTDATA.exists(), reason="test tables not present")
+def test_query_tells_tampered_texts(spark):
+    rows = queries.QUERIES["op11_merkle_manifest"](spark, str(TESTDATA / "sf0.001")).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(str(TESTDATA / "sf0.001/documents.parquet")).collect()}
+    for r in rows:
+        changed = zlib.crc32(str(r.doc_id).encode()) % 3 == 0 and any("A" <= c <= "Z" for c in texts[r.doc_id])
+        assert r.verified == (not changed)
