@@ -35,6 +35,8 @@ REMEMBERED = 500_000
 LONGEST_REMEMBERED = 128
 #: New stretches encoded in one call.
 JOINED = 1 << 12
+#: Bytes of the longest stretch that is packed into two numbers; slots of the table of these, as a power of two, to begin with.
+PACKED, SLOT_BITS = 15, 20
 #: Where a stretch stands.
 AFTER_BLANK, ALONE = 1, 2
 #: Numbers of stretches that are not remembered begin here.
@@ -49,6 +51,65 @@ _UNUSUAL = (
 _MARKS = ".,;:!?#$&*"
 
 
+def _packed(strings: pa.Array, kind: int) -> np.ndarray:
+    """Strings of up to ``PACKED`` bytes in a place as two numbers each: their bytes, and in the last one their length and place. Different strings differ."""
+    offsets = np.frombuffer(strings.buffers()[1], dtype="<i4" if strings.type == pa.string() else "<i8")
+    offsets = offsets[strings.offset : strings.offset + len(strings) + 1].astype(np.int64)
+    data = strings.buffers()[2]
+    text = np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    lengths, columns = np.diff(offsets), np.arange(PACKED + 1)
+    letters = np.append(text, np.zeros(PACKED + 1, dtype=np.uint8))[(offsets[:-1] - offsets[0])[:, None] + columns]
+    letters[columns >= lengths[:, None]] = 0
+    letters[:, PACKED] = lengths + 16 * kind
+    return letters.view("<u8")
+
+
+class _Packed:
+    """Numbers of packed strings: an open hash table of arrays, at most half full, that compares whole strings."""
+
+    def __init__(self, strings: np.ndarray | None = None, numbers: np.ndarray | None = None):
+        self.strings = np.zeros((0, 2), dtype=np.uint64)
+        self.numbers = np.zeros(0, dtype=np.int64)
+        self.slots = np.full(1 << SLOT_BITS, -1, dtype=np.int32)
+        if strings is not None:
+            self.add(strings, numbers)
+
+    def _places(self, strings: np.ndarray) -> np.ndarray:
+        mixed = (strings[:, 0] ^ (strings[:, 1] * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+        return (mixed >> np.uint64(65 - len(self.slots).bit_length())).astype(np.int64)
+
+    def _following(self, at: np.ndarray) -> np.ndarray:
+        return (at + 1) & (len(self.slots) - 1)
+
+    def find(self, strings: np.ndarray) -> np.ndarray:
+        """The number of each string, -1 for one that was not added."""
+        found = np.full(len(strings), -1, dtype=np.int64)
+        at, left = self._places(strings), np.arange(len(strings))
+        while len(left):
+            entry = self.slots[at[left]]
+            left, entry = left[entry >= 0], entry[entry >= 0]
+            hit = (self.strings[entry] == strings[left]).all(axis=1)
+            found[left[hit]] = self.numbers[entry[hit]]
+            left = left[~hit]
+            at[left] = self._following(at[left])
+        return found
+
+    def add(self, strings: np.ndarray, numbers: np.ndarray) -> None:
+        """Add different strings that are not there yet."""
+        entries = np.arange(len(self.numbers), len(self.numbers) + len(numbers))
+        self.strings, self.numbers = np.concatenate([self.strings, strings]), np.append(self.numbers, numbers)
+        if 2 * len(self.numbers) > len(self.slots):
+            self.slots = np.full(2 << (2 * len(self.numbers)).bit_length(), -1, dtype=np.int32)
+            entries = np.arange(len(self.numbers))
+        at, left = self._places(self.strings[entries]), np.arange(len(entries))
+        while len(left):
+            free = self.slots[at[left]] < 0
+            self.slots[at[left[free]]] = entries[left[free]]
+            left = left[self.slots[at[left]] != entries[left]]
+            at[left] = self._following(at[left])
+
+
 class Tokenizer:
     """A tokenizer file, with the ids of repeated stretches remembered.
 
@@ -74,8 +135,9 @@ class Tokenizer:
         #: Bytes of each token; the file writes one character for each byte.
         self.widths = np.array([len(self.whole.id_to_token(i) or "") for i in range(self.whole.get_vocab_size())], dtype=np.int64)
         self.end_id = end_id
-        #: Numbers of the remembered stretches in each place.
-        self.numbers: dict[int, dict[str, int]] = {AFTER_BLANK: {}, ALONE: {}}
+        #: Numbers of the remembered stretches in each place, of short ones and of others.
+        self.short = _Packed()
+        self.others: dict[int, dict[str, int]] = {AFTER_BLANK: {}, ALONE: {}}
         self.flat = np.zeros(0, dtype=np.int32)
         self.begins = self.lengths = self.uses = np.zeros(0, dtype=np.int64)
         #: Ids of long stretches, and how many each has; numbered from ``PASSING``.
@@ -88,8 +150,9 @@ class Tokenizer:
         kept = np.append([0, 1], np.sort(np.argsort(-self.uses[2:], kind="stable")[: REMEMBERED // 2]) + 2)
         numbers = np.full(len(self.lengths), -1, dtype=np.int64)
         numbers[kept] = np.arange(len(kept))
-        new = numbers.tolist()
-        self.numbers = {kind: {stretch: new[n] for stretch, n in held.items() if new[n] >= 0} for kind, held in self.numbers.items()}
+        new = numbers[self.short.numbers]
+        self.short = _Packed(self.short.strings[new >= 0], new[new >= 0])
+        self.others = {kind: {stretch: int(numbers[n]) for stretch, n in held.items() if numbers[n] >= 0} for kind, held in self.others.items()}
         flat, lengths, uses = _gather(self.flat, self.begins[kept], self.lengths[kept]), self.lengths[kept], self.uses[kept]
         self.flat = np.zeros(0, dtype=np.int32)
         self.begins = self.lengths = self.uses = np.zeros(0, dtype=np.int64)
@@ -135,12 +198,17 @@ class Tokenizer:
 
         One behind a blank that ends in marks after a letter is put together from the ids of both parts.
         """
-        known, names = self.numbers[kind], strings.to_pylist()
-        found = np.fromiter((known.get(name, -1) for name in names), dtype=np.int64, count=len(names))
+        lengths = pc.binary_length(strings).to_numpy()
+        found = np.full(len(strings), -1, dtype=np.int64)
+        short = lengths <= PACKED
+        found[short] = self.short.find(_packed(strings.filter(pa.array(short)), kind))
+        if not short.all():
+            known = self.others[kind]
+            found[~short] = [known.get(name, -1) for name in strings.filter(pa.array(~short)).to_pylist()]
         new = found < 0
         if not new.any():
             return found
-        long = new & (pc.binary_length(strings).to_numpy() > LONGEST_REMEMBERED)
+        long = new & (lengths > LONGEST_REMEMBERED)
         if long.any():
             found[long] = self._pass(*self._coded(kind, strings.filter(pa.array(long))))
             new &= ~long
@@ -150,20 +218,26 @@ class Tokenizer:
         marked = pc.and_(pc.not_equal(stems, fresh), pc.match_substring_regex(stems, r"\pL\z")).to_numpy(zero_copy_only=False)
         plain = np.flatnonzero(~marked)
         if len(plain):
-            found[unknown[plain]] = self._remember(*self._coded(kind, fresh.take(pa.array(plain))))
+            wholes = fresh.take(pa.array(plain))
+            found[unknown[plain]] = self._remember(*self._coded(kind, wholes))
+            self._keep(kind, wholes, found[unknown[plain]])
         both = np.flatnonzero(marked)
         if len(both):
-            stems = stems.take(pa.array(both))
-            pairs = zip(fresh.take(pa.array(both)).to_numpy(zero_copy_only=False), stems.to_numpy(zero_copy_only=False), strict=True)
+            wholes, stems = fresh.take(pa.array(both)), stems.take(pa.array(both))
+            pairs = zip(wholes.to_numpy(zero_copy_only=False), stems.to_numpy(zero_copy_only=False), strict=True)
             marks = pa.array([whole[len(stem) :] for whole, stem in pairs], pa.string())
-            # A stem may be one of the plain stretches of this call.
-            known.update(zip((names[i] for i in unknown[plain]), found[unknown[plain]].tolist(), strict=True))
             parts = np.stack([self._learn_all(AFTER_BLANK, stems), self._learn_all(ALONE, marks)], axis=1).reshape(-1)
             flat = _gather(self.flat, self.begins[parts], self.lengths[parts])
             found[unknown[both]] = self._remember(flat, self.lengths[parts].reshape(-1, 2).sum(axis=1))
-        known.update(zip((names[i] for i in unknown), found[unknown].tolist(), strict=True))
+            self._keep(kind, wholes, found[unknown[both]])
         return found
 
+    def _keep(self, kind: int, strings: pa.Array, numbers: np.ndarray) -> None:
+        """Note the numbers of new strings."""
+        short = pc.binary_length(strings).to_numpy() <= PACKED
+        self.short.add(_packed(strings.filter(pa.array(short)), kind), numbers[short])
+        self.others[kind].update(zip(strings.filter(pa.array(~short)).to_pylist(), numbers[~short].tolist(), strict=True))
+
     def _learn_all(self, kind: int, strings: pa.Array) -> np.ndarray:
         """The same for strings that may repeat."""
         coded = strings.dictionary_encode()

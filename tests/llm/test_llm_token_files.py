@@ -52,9 +52,11 @@ def test_damage_is_found():
         rans.decode_block(bytes(block), table)
 
 
-def test_random_texts_equal_the_library(library, monkeypatch):
+@pytest.mark.parametrize("longest", [6, 20, 128])
+def test_random_texts_equal_the_library(library, monkeypatch, longest):
     monkeypatch.setattr(token_files, "REMEMBERED", 300)
-    monkeypatch.setattr(token_files, "LONGEST_REMEMBERED", 6)
+    monkeypatch.setattr(token_files, "LONGEST_REMEMBERED", longest)
+    monkeypatch.setattr(token_files, "SLOT_BITS", 6)
     chosen = random.Random(8)
     tokenizer = token_files.Tokenizer(PATH, 2)
     for _ in range(6):
