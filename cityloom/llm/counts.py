@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 
 from cityloom.llm.common import text_of
 
-#: Stretches whose counts a process remembers, none of more than so many characters.
-REMEMBERED, LONGEST_REMEMBERED = 300_000, 100
+#: Stretches, and merged pre-tokens, whose counts a process remembers, none of more than so many characters.
+REMEMBERED, LONGEST_REMEMBERED = 600_000, 100
+#: Pre-tokens of up to so many characters are merged by looking through all pairs, longer ones with a heap; the tokens are the same.
+LOOKED_THROUGH = 48
 #: Bytes of text looked at together.
 BATCH_BYTES = 1 << 22
 
@@ -64,10 +66,27 @@ class Rules:
 
     def merged(self, word: str) -> list[str]:
         """Tokens of a pre-token: always the pair of the lowest rank is merged, of several the leftmost."""
-        parts: list[str | None] = [*word[:-1], word[-1] + self.end]
+        parts = [*word[:-1], word[-1] + self.end]
+        return self._merged_looking(parts) if len(parts) <= LOOKED_THROUGH else self._merged_waiting(parts)
+
+    def _merged_looking(self, parts: list[str]) -> list[str]:
+        rank, none = self.ranks.get, len(self.ranks)
+        found = [rank(pair, none) for pair in pairwise(parts)]
+        while found and (least := min(found)) < none:
+            at = found.index(least)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del found[at]
+            if at:
+                found[at - 1] = rank((parts[at - 1], parts[at]), none)
+            if at < len(found):
+                found[at] = rank((parts[at], parts[at + 1]), none)
+        return parts
+
+    def _merged_waiting(self, whole: list[str]) -> list[str]:
+        parts: list[str | None] = [*whole]
         behind, before = [*range(1, len(parts)), -1], list(range(-1, len(parts) - 1))
         ranks = self.ranks
-        waiting = [(ranks[pair], at) for at, pair in enumerate(pairwise(parts)) if pair in ranks]
+        waiting = [(ranks[pair], at) for at, pair in enumerate(pairwise(whole)) if pair in ranks]
         heapq.heapify(waiting)
         while waiting:
             rank, at = heapq.heappop(waiting)
@@ -109,25 +128,31 @@ class Counter:
         self.rules, self.whole = Rules(path), whole
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(self.rules.specials, key=len, reverse=True))) + ")") if self.rules.specials else None
         self.remembered: dict[str, int] = {}
+        self.rest: dict[str, int] = {}
 
-    def _ordinary(self, stretch: str) -> int:
+    def _pre_tokens(self, stretch: str) -> list[str]:
         if stretch.isascii() and stretch.isprintable():
-            words = _ASCII_PATTERN.findall(stretch.lower())
-        else:
-            words = [word for word, _ in self.cut(self.normalized(stretch))]
-        whole = self.whole
-        return sum(1 if word in whole else len(self.rules.merged(word)) for word in words if word)
+            return _ASCII_PATTERN.findall(stretch.lower())
+        return [word for word, _ in self.cut(self.normalized(stretch)) if word]
+
+    def _ordinary(self, stretch: str) -> int:
+        total = 0
+        for word in self._pre_tokens(stretch):
+            if word in self.whole:
+                total += 1
+            elif (count := self.rest.get(word)) is not None:
+                total += count
+            else:
+                total += _kept(self.rest, word, len(self.rules.merged(word)))
+        return total
 
     def tokens(self, stretch: str) -> int:
         count = self.remembered.get(stretch)
         if count is None:
-            parts = self.special.split(stretch) if self.special else [stretch]
+            parts = self.special.split(stretch) if self.special and any(map(stretch.__contains__, self.rules.specials)) else [stretch]
             # Every second part is a special token.
             count = sum(1 if i % 2 else self._ordinary(part) for i, part in enumerate(parts) if part)
-            if len(stretch) <= LONGEST_REMEMBERED:
-                if len(self.remembered) >= REMEMBERED:
-                    self.remembered.clear()
-                self.remembered[stretch] = count
+            _kept(self.remembered, stretch, count)
         return count
 
     def count(self, texts: pa.Array) -> np.ndarray:
@@ -156,6 +181,14 @@ class Counter:
         return np.diff(upto[np.searchsorted(starts, offsets)])
 
 
+def _kept(remembered: dict[str, int], name: str, count: int) -> int:
+    if len(name) <= LONGEST_REMEMBERED:
+        if len(remembered) >= REMEMBERED:
+            remembered.clear()
+        remembered[name] = count
+    return count
+
+
 @lru_cache(maxsize=2)
 def _counter(path: str, whole: frozenset[str]) -> Counter:
     return Counter(path, whole)
