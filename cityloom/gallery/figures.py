@@ -6,6 +6,7 @@ from cityloom.gallery.registry import query, table
 from cityloom.gallery.relations import income_rows, listing_rows, sensor_rows
 from cityloom.gallery.shaping import labelled
 from cityloom.operators import indicators as ind
+from cityloom.operators.conform import conform_union
 from cityloom.plans import indicators as plan
 from cityloom.session import stage
 
@@ -77,6 +78,30 @@ def topk_with_null_group(spark, sf_dir):
     return ind.top_groups(labelled(spark, sf_dir), "quality")
 
 
+@query(
+    "topk_sketch",
+    """
+    SELECT 'quality' AS list, quality::BIGINT AS key, n FROM (
+        SELECT quality, count(*) AS n FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1 ORDER BY 2 DESC, 1 NULLS LAST LIMIT 5)
+    UNION ALL SELECT 'user', user_id, n FROM (SELECT user_id, count(*) AS n FROM events GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5)
+    UNION ALL SELECT 'order', l_orderkey, n FROM (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20)
+    UNION ALL SELECT 'supplier', l_suppkey, n FROM (
+        SELECT CASE WHEN l_linenumber = 1 THEN 0 ELSE l_suppkey END AS l_suppkey, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1)
+    """,
+)
+def topk_sketch(spark, sf_dir):
+    """Top lists by summaries: few keys with NULL, many keys of nearly equal counts, and one key that stands out."""
+    lines = table(spark, sf_dir, "lineitem")
+    hot = F.when(F.col("l_linenumber") == 1, 0).otherwise(F.col("l_suppkey")).cast("bigint").alias("key")
+    lists = {
+        "quality": ind.top_groups_sketched(labelled(spark, sf_dir).select(F.col("quality").cast("bigint").alias("key")), "key"),
+        "user": ind.top_groups_sketched(table(spark, sf_dir, "events").select(F.col("user_id").alias("key")), "key", tracked=100),
+        "order": ind.top_groups_sketched(lines.select(F.col("l_orderkey").alias("key")), "key", n=20, tracked=100, buckets=1 << 12),
+        "supplier": ind.top_groups_sketched(lines.select(hot), "key", n=1, tracked=10),
+    }
+    return conform_union(found.select(F.lit(name).alias("list"), "key", F.col("count").alias("n")) for name, found in lists.items())
+
+
 def _rounded(df):
     return df.select(F.round("value", 6).alias("value"))
 

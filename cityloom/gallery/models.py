@@ -3,9 +3,11 @@
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from cityloom.functions.columns import epoch_seconds, in_train_share
+from cityloom.functions.columns import epoch_seconds, fold_of, in_train_share
 from cityloom.gallery.registry import query, table
-from cityloom.operators import learn
+from cityloom.gallery.relations import MET_SQL, income_rows, listing_rows, sensor_rows
+from cityloom.operators import factorised, learn
+from cityloom.operators.conform import conform_union
 from cityloom.session import scratch_dir, stage
 from cityloom.sources.zones import Zone
 
@@ -95,19 +97,26 @@ _MULTI_FEATURES = ("date", "o_orderstatus", "o_orderpriority")
 
 
 def fit_check(model, train, features, label="price"):
-    """For each feature the rounded correlation of the training residual with it: 0 for a least-squares fit."""
+    """For each feature the rounded correlation of the training residual with it, 0 for a least-squares fit, and the rows that have no prediction, which leave the others NULL."""
     predicted = model.predict(train)
-    residual = F.col("label") - F.col("prediction")
+    given = F.col("prediction").isNotNull() & ~F.isnan("prediction")
+    # One row without a prediction and no correlation is known.
+    residual = F.when(given, F.col("label") - F.col("prediction"))
     values = vector_to_array("features")
     found = predicted.withColumn("label", F.col(label).cast("double")).agg(
-        *[
-            F.try_divide(F.covar_pop(residual, values[i]), F.stddev_pop(residual) * F.stddev_pop(values[i])).alias(f"_{i}")
-            for i in range(len(features))
-        ]
+        F.count_if(~given).alias("unpredicted"),
+        F.stddev_pop(residual).alias("_residual"),
+        *[F.stddev_pop(values[i]).alias(f"_spread{i}") for i in range(len(features))],
+        *[F.covar_pop(residual, values[i]).alias(f"_with{i}") for i in range(len(features))],
     )
-    # A feature of one value has no correlation; adding 0 turns a negative zero around.
-    tidy = [(F.round(F.coalesce(F.nanvl(f"_{i}", F.lit(0.0)), F.lit(0.0)), 5) + 0.0).alias(name) for i, name in enumerate(features)]
-    return found.select(*tidy)
+
+    def tidy(i, name):
+        # A feature of one value, and residuals that are all 0, correlate with nothing; adding 0 turns a negative zero around.
+        flat = (F.col(f"_spread{i}") == 0) | (F.col("_residual") == 0)
+        value = F.when(flat, 0.0).otherwise(F.col(f"_with{i}") / (F.col("_residual") * F.nullif(F.col(f"_spread{i}"), F.lit(0.0))))
+        return F.when(F.col("unpredicted") == 0, F.round(value, 5) + 0.0).alias(name)
+
+    return found.select(*[tidy(i, name) for i, name in enumerate(features)], "unpredicted")
 
 
 @query(
@@ -119,33 +128,38 @@ def fit_check(model, train, features, label="price"):
         SELECT o_orderkey, epoch(o_orderdate::DATE)::DOUBLE AS date, s.i::DOUBLE AS o_orderstatus, p.i::DOUBLE AS o_orderpriority
         FROM orders JOIN status s USING (o_orderstatus) JOIN priority p USING (o_orderpriority)
     )
-    SELECT 'feature' AS kind, o_orderkey, date, o_orderstatus, o_orderpriority FROM assembled
-    UNION ALL SELECT 'residual', NULL, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE
+    SELECT 'feature' AS kind, o_orderkey, date, o_orderstatus, o_orderpriority, NULL::BIGINT AS unpredicted FROM assembled
+    UNION ALL SELECT 'residual', NULL, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0
     """,
 )
 def ml_linear_multi(spark, sf_dir):
-    """The assembled features of every order, and how the residuals of the fit correlate with them."""
+    """The assembled features of every order; how the residuals of the fit correlate with them, and the orders without a prediction."""
     rows = _order_prices(spark, sf_dir)
     model, _ = learn.fit_price_model(rows, key="o_orderkey")
     values = vector_to_array("features")
     assembled = model.predict(rows).select(
-        F.lit("feature").alias("kind"), "o_orderkey", *[values[i].alias(name) for i, name in enumerate(_MULTI_FEATURES)]
+        F.lit("feature").alias("kind"), "o_orderkey", *[values[i].alias(name) for i, name in enumerate(_MULTI_FEATURES)], F.lit(None).cast("bigint").alias("unpredicted")
     )
     train, _ = learn.split_rows(rows, key="o_orderkey")
     residual = fit_check(model, train, _MULTI_FEATURES)
     return assembled.unionByName(residual.select(F.lit("residual").alias("kind"), F.lit(None).cast("bigint").alias("o_orderkey"), "*"))
 
 
-@query("fit_any_label_limit", "SELECT count(*) AS n_rows, 0::BIGINT AS n_different FROM orders")
+def _same(left, right):
+    """Whether two predictions of an order are there and agree to 4 places."""
+    return F.coalesce(F.round(left, 4) == F.round(right, 4), F.lit(False)).alias("same")
+
+
+@query("fit_any_label_limit", "SELECT o_orderkey, TRUE AS same FROM orders")
 def fit_any_label_limit(spark, sf_dir):
-    """Index joins by broadcast and by shuffle give one model: the limits choose a plan only."""
+    """Index joins by broadcast and by shuffle give one model: the limits choose a plan only. For each order whether both predictions agree."""
     rows = _order_prices(spark, sf_dir)
     predicted = []
     for max_rows, hot_rows in ((100_000, learn.HOT_ROWS), (0, 1_000)):
         model, _ = learn.fit_price_model(rows, max_rows=max_rows, hot_rows=hot_rows)
-        predicted.append(model.predict(rows).select("o_orderkey", F.round("prediction", 4).alias(f"p{max_rows}")))
+        predicted.append(model.predict(rows).select("o_orderkey", F.col("prediction").alias(f"p{max_rows}")))
     both = predicted[0].join(predicted[1], "o_orderkey")
-    return both.agg(F.count("*").alias("n_rows"), F.count_if(~F.col("p100000").eqNullSafe(F.col("p0"))).alias("n_different"))
+    return both.select("o_orderkey", _same(F.col("p100000"), F.col("p0")))
 
 
 @query("split_null_key", "SELECT count(*) AS n_rows, count(*) FILTER (o_custkey % 3 = 0) AS n_null, 1 AS both_sides FROM orders")
@@ -161,24 +175,22 @@ def split_null_key(spark, sf_dir):
     )
 
 
-@query("model_roundtrip", "SELECT count(*) AS n_rows, 0::BIGINT AS n_different FROM orders")
+@query("model_roundtrip", "SELECT o_orderkey, TRUE AS same FROM orders")
 def model_roundtrip(spark, sf_dir):
+    """For each order whether the model that was saved and loaded predicts as before."""
     rows = _order_prices(spark, sf_dir)
     model, _ = learn.fit_price_model(rows, key="o_orderkey")
     path = scratch_dir(spark, "model")
     model.save(path)
     again = learn.PriceModel.load(spark, path)
-    before = model.predict(rows).withColumnRenamed("prediction", "before").drop("features", "o_orderstatus_indexed", "o_orderpriority_indexed")
-    epoch_back = before.withColumn("date", F.timestamp_seconds("date").cast("date"))
-    both = again.predict(epoch_back)
-    return both.agg(
-        F.count("*").alias("n_rows"), F.count_if(~F.col("prediction").eqNullSafe(F.col("before"))).alias("n_different")
-    )
+    before = model.predict(rows).select("o_orderkey", F.col("prediction").alias("before"))
+    both = again.predict(rows).select("o_orderkey", "prediction").join(before, "o_orderkey")
+    return both.select("o_orderkey", _same(F.col("prediction"), F.col("before")))
 
 
-@query("model_archive", "SELECT count(*) AS n_rows, 0::BIGINT AS n_different, 2::BIGINT AS n_runs FROM orders")
+@query("model_archive", "SELECT o_orderkey, TRUE AS same, 2::BIGINT AS n_runs FROM orders")
 def model_archive(spark, sf_dir):
-    """Two runs in one archive; the first one is restored from it and predicts as before."""
+    """Two runs in one archive: for each order whether the first one, restored from it, predicts as before."""
     rows = _order_prices(spark, sf_dir)
     zone = Zone(spark, scratch_dir(spark, "archive"))
     models = {}
@@ -192,6 +204,86 @@ def model_archive(spark, sf_dir):
     again = learn.restore_model(spark, archive, labels, "first", scratch_dir(spark, "restored"))
     before = models["first"].predict(rows).select("o_orderkey", F.col("prediction").alias("before"))
     both = again.predict(rows).select("o_orderkey", "prediction").join(before, "o_orderkey")
-    return both.agg(
-        F.count("*").alias("n_rows"), F.count_if(~F.col("prediction").eqNullSafe(F.col("before"))).alias("n_different")
-    ).withColumn("n_runs", archive.select(F.count_distinct("run")).scalar())
+    return both.select("o_orderkey", _same(F.col("prediction"), F.col("before")), archive.select(F.count_distinct("run")).scalar().alias("n_runs"))
+
+
+@query(
+    "fit_mixed_numbers",
+    """
+    SELECT 'double' AS kind, round(regr_slope(l_extendedprice, l_quantity), 3) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 3) AS intercept FROM lineitem
+    WHERE substr(md5('1234:' || l_orderkey), 1, 6) < 'cccccd'
+    """,
+)
+def fit_mixed_numbers(spark, sf_dir):
+    """A feature that is bigint in one file and double in another stays a number and is fitted as one."""
+    lines = _line_prices(spark, sf_dir)
+    whole = lines.where("l_orderkey % 2 = 0").withColumn("l_quantity", F.col("l_quantity").cast("bigint"))
+    rows = conform_union([whole, lines.where("l_orderkey % 2 <> 0")])
+    model, _ = learn.fit_price_model(rows, key="l_orderkey")
+    weights = model.regression
+    row = (dict(rows.dtypes)["l_quantity"], round(float(weights.coefficients[0]), 3), round(float(weights.intercept), 3))
+    return spark.createDataFrame([row], "kind string, slope double, intercept double")
+
+
+def _chain_sides(spark, sf_dir, folds=None):
+    """The sides of ``inner_join_chain``: sensor rows, orders with price and day, income rows."""
+    sensors, listings, income = (make(spark, sf_dir, fine=True) for make in (sensor_rows, listing_rows, income_rows))
+    area = F.col("neighborhood")
+    day = F.unix_date("date").cast("double").alias("day")
+    listings = listings.select("neighborhood", F.year("date").alias("year"), "price", day, F.col("date").cast("string").alias("key"))
+    fold = None if folds is None else fold_of(F.col("key"), folds)
+    return [
+        factorised.Side(sensors, {"area": area, "year": F.col("year").try_cast("int")}, []),
+        factorised.Side(listings, {"area": area, "year": F.col("year")}, ["price", "day"], fold),
+        factorised.Side(income, {"area": area}, ["RFD"]),
+    ]
+
+
+_CHAIN_ROWS = f"""{MET_SQL}, joined AS (
+        SELECT price::DOUBLE AS y, epoch(date) / 86400 AS a, rfd::DOUBLE AS b, ('0x' || substr(md5('1234:' || date::VARCHAR), 1, 8))::BIGINT % 5 AS fold
+        FROM sensor s JOIN listing l ON s.neighborhood = l.neighborhood AND s.year = l.year JOIN income i ON s.neighborhood = i.neighborhood
+    )"""
+
+
+@query(
+    "ols_factorised",
+    f"""
+    WITH {_CHAIN_ROWS}, spread AS (
+        SELECT count(*) AS n, avg(y) AS my, avg(a) AS ma, avg(b) AS mb, var_pop(y) AS yy, var_pop(a) AS aa, var_pop(b) AS bb,
+            covar_pop(y, a) AS ya, covar_pop(y, b) AS yb, covar_pop(a, b) AS ab FROM joined
+    ), fit AS (
+        SELECT *, (bb * ya - ab * yb) / (aa * bb - ab * ab) AS wa, (aa * yb - ab * ya) / (aa * bb - ab * ab) AS wb FROM spread
+    )
+    SELECT n::DOUBLE AS n_rows, round(wa, 4) AS day, round(wb, 6) AS "RFD", round(my - wa * ma - wb * mb, 1) AS intercept,
+        round(sqrt(yy - wa * ya - wb * yb), 3) AS rmse, round((wa * ya + wb * yb) / yy, 8) AS r2
+    FROM fit
+    """,
+)
+def ols_factorised(spark, sf_dir):
+    """The regression over all rows of the chain of joins, which are not formed."""
+    gram = factorised.grams(_chain_sides(spark, sf_dir))[0]
+    fitted = gram.fit("price")
+    rmse, r2 = gram.errors(fitted)
+    weights = {name: round(float(weight), digits) for name, weight, digits in zip(fitted.features, fitted.coefficients, (4, 6), strict=True)}
+    row = (gram.n, weights["day"], weights["RFD"], round(fitted.intercept, 1), round(rmse, 3), round(r2, 8))
+    return spark.createDataFrame([row], "n_rows double, day double, RFD double, intercept double, rmse double, r2 double")
+
+
+@query(
+    "fold_metrics",
+    f"""
+    WITH {_CHAIN_ROWS}, fits AS (
+        SELECT f.fold, count(*) AS n_train, regr_slope(y, a) AS slope, regr_intercept(y, a) AS intercept
+        FROM (SELECT DISTINCT fold FROM joined) f JOIN joined ON f.fold <> joined.fold GROUP BY f.fold
+    )
+    SELECT fold::INT AS fold, any_value(n_train)::DOUBLE AS n_train, count(*)::DOUBLE AS n_test, round(sqrt(avg((y - slope * a - intercept) ** 2)), 3) AS rmse,
+        round(1 - avg((y - slope * a - intercept) ** 2) / var_pop(y), 8) AS r2
+    FROM joined JOIN fits USING (fold) GROUP BY fold
+    """,
+)
+def fold_metrics(spark, sf_dir):
+    """Five models, each fitted without the rows of its fold and tested on them, from one scan of each side."""
+    sensors, listings, income = _chain_sides(spark, sf_dir, folds=5)
+    by_fold = factorised.grams([sensors, listings, factorised.Side(income.rows, income.keys, [])])
+    rows = [(fold, n, m, round(rmse, 3), round(r2, 8)) for fold, n, m, rmse, r2 in factorised.fold_errors(by_fold, "price")]
+    return spark.createDataFrame(rows, "fold int, n_train double, n_test double, rmse double, r2 double")

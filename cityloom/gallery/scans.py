@@ -4,9 +4,11 @@ from pyspark.sql import functions as F
 
 from cityloom.gallery.registry import query, table
 from cityloom.operators.conform import conform_union
+from cityloom.operators.incremental import append_distinct
 from cityloom.operators.shape import flatten_in_frames
 from cityloom.session import scratch_dir
 from cityloom.sources.landing import SOURCE, landing_frames, read_files, with_day, with_year
+from cityloom.sources.ledger import load_new
 from cityloom.sources.zones import Zone, preview
 
 
@@ -225,3 +227,88 @@ def sink_drop(spark, sf_dir):
 )
 def preview_rows(spark, sf_dir):
     return preview(table(spark, sf_dir, "customer"), "c_custkey")
+
+
+@query("csv_blank_first_line", "SELECT c_custkey::VARCHAR AS c_custkey, c_name, CASE WHEN c_custkey % 3 = 2 THEN c_mktsegment END AS c_mktsegment FROM customer")
+def csv_blank_first_line(spark, sf_dir):
+    """Files whose header follows blank lines, beside others with the same and with another header."""
+    root = scratch_dir(spark, "blank")
+    customer = table(spark, sf_dir, "customer")
+    for rest, blank, columns in ((0, "\n \n", ["c_custkey", "c_name"]), (1, "", ["c_custkey", "c_name"]), (2, "\n", ["c_custkey", "c_name", "c_mktsegment"])):
+        lines = customer.where(f"c_custkey % 3 = {rest}").select(F.lit(1).alias("at"), "c_custkey", F.concat_ws(",", *columns).alias("value"))
+        header = spark.createDataFrame([(0, -1, blank + ",".join(columns))], "at int, c_custkey bigint, value string")
+        # One file, so that the header is on its top.
+        lines.unionByName(header).coalesce(1).sortWithinPartitions("at", "c_custkey").select("value").write.text(f"{root}/part{rest}.csv")
+    return conform_union(landing_frames(spark, root)).drop(SOURCE)
+
+
+@query("sink_failed_replace", "SELECT c_custkey, c_name FROM customer")
+def sink_failed_replace(spark, sf_dir):
+    """A replacement that fails midway leaves the old rows."""
+    zone = Zone(spark, scratch_dir(spark, "zone"))
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    zone.write("customer", customer)
+    last = customer.agg(F.max("c_custkey")).first()[0]
+    failing = customer.withColumn("c_name", F.when(F.col("c_custkey") == last, F.raise_error(F.lit("midway")).cast("string")).otherwise(F.lit("new")))
+    try:
+        zone.write("customer", failing, "overwrite")
+    except Exception as error:
+        if "midway" not in str(error):
+            raise
+    else:
+        raise AssertionError("the write was meant to fail")
+    return zone.read("customer")
+
+
+@query("zone_replace_from_itself", "SELECT c_custkey, 2 * c_acctbal AS c_acctbal FROM customer WHERE c_custkey % 2 = 0")
+def zone_replace_from_itself(spark, sf_dir):
+    """A table replaced by rows read from it, twice."""
+    zone = Zone(spark, scratch_dir(spark, "zone"))
+    zone.write("customer", table(spark, sf_dir, "customer"))
+    zone.write("customer", zone.read("customer").where("c_custkey % 2 = 0"), "overwrite")
+    zone.write("customer", zone.read("customer").select("c_custkey", (2 * F.col("c_acctbal")).alias("c_acctbal")), "overwrite")
+    return zone.read("customer")
+
+
+def _write_days(events, root, days):
+    day = F.concat(F.date_format("ts", "yyyy_MM_dd"), F.lit("_events"))
+    events.where(days).withColumn("day", day).drop("ts").write.mode("append").partitionBy("day").json(root)
+
+
+@query("daily_incremental", "SELECT ts::DATE AS date, event_id, user_id, event_type, value, props FROM events")
+def daily_incremental(spark, sf_dir):
+    """Day folders loaded in three runs, of which the second and third read what is new only."""
+    root, zone = scratch_dir(spark, "daily"), Zone(spark, scratch_dir(spark, "zone"))
+    events = table(spark, sf_dir, "events")
+    middle = F.lit(events.agg(F.percentile_approx(F.unix_date(F.col("ts").cast("date")), 0.5)).first()[0])
+    day = F.unix_date(F.col("ts").cast("date"))
+    done = []
+    for part in (day < middle, (day >= middle) & (F.col("event_id") % 2 == 0), (day >= middle) & (F.col("event_id") % 2 != 0)):
+        _write_days(events, f"{root}/in", part)
+        done.append(load_new(zone, "events", f"{root}/in", lambda frames: with_day(conform_union(frames)).drop(SOURCE)))
+    if done != ["replaced", "added", "added"] or load_new(zone, "events", f"{root}/in", conform_union) != "nothing":
+        raise AssertionError(f"loads: {done}")
+    return zone.read("events")
+
+
+@query("dedupe_incremental", "SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem")
+def dedupe_incremental(spark, sf_dir):
+    """Rows in four loads that repeat each other, each kept once; the loads differ in columns where a column is NULL."""
+    zone = Zone(spark, scratch_dir(spark, "zone"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    for part in ("l_linenumber <= 2", "l_linenumber >= 2 AND l_linenumber <= 4", "l_linenumber <= 1", "l_linenumber >= 3"):
+        append_distinct(zone, "lines", lines.where(part), buckets=8)
+    return zone.read("lines")
+
+
+@query(
+    "zone_views",
+    "SELECT o_orderpriority, c_mktsegment, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY o_orderpriority, c_mktsegment",
+)
+def zone_views(spark, sf_dir):
+    """Tables of a zone, queried by their names in SQL text."""
+    zone = Zone(spark, scratch_dir(spark, "zone"))
+    for name in ("orders", "customer"):
+        zone.write(name, table(spark, sf_dir, name))
+    zone.as_views("orders", "customer", prefix="shown_")
+    return spark.sql("SELECT o_orderpriority, c_mktsegment, count(*) AS n FROM shown_orders JOIN shown_customer ON o_custkey = c_custkey GROUP BY o_orderpriority, c_mktsegment")

@@ -7,6 +7,7 @@ from cityloom.gallery.registry import query, table
 from cityloom.operators import shape
 from cityloom.operators.conform import conform_union, drop_duplicate_rows
 from cityloom.operators.lookup import Level, add_name, reconcile
+from cityloom.operators.near import near_names
 from cityloom.operators.relate import left_join_suffixed
 
 
@@ -213,3 +214,70 @@ def emptiness_test(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     frames = {"orders": orders, "negative keys": orders.where("o_orderkey < 0"), "without status": orders.where("o_orderstatus IS NULL")}
     return conform_union(shape.emptiness(frame).select(F.lit(name).alias("name"), "is_empty") for name, frame in frames.items())
+
+
+_NEAR_KEYS = """
+    spelled AS (
+        SELECT 'part' AS kind, p_partkey AS id, CASE p_partkey % 5 WHEN 0 THEN p_name WHEN 1 THEN substr(p_name, 2) WHEN 2 THEN replace(p_name, 'e', 'ie')
+            WHEN 3 THEN p_name || 'xyz' ELSE replace(p_name, ' ', '') END AS name FROM part
+        UNION ALL
+        SELECT 'supplier', s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN replace(s_name, '#', '') WHEN 1 THEN substr(s_name, 10) ELSE substr(s_name, 17) END FROM supplier
+    ), known AS (
+        SELECT DISTINCT p_name AS name FROM part WHERE p_name NOT LIKE 'hot%'
+        UNION SELECT s_name FROM supplier
+        UNION SELECT substr(s_name, 16) FROM supplier
+    )"""
+
+
+@query(
+    "reconcile_near",
+    f"""
+    WITH {_NEAR_KEYS}, pairs AS (
+        SELECT s.name, k.name AS match, levenshtein(s.name, k.name) AS distance
+        FROM (SELECT DISTINCT name FROM spelled) s, known k WHERE levenshtein(s.name, k.name) <= 2
+    ), best AS (
+        SELECT name, distance, count(*) AS n_nearest, min(match) AS match FROM pairs WHERE (name, distance) IN (SELECT (name, min(distance)) FROM pairs GROUP BY name) GROUP BY name, distance
+    )
+    SELECT kind, id, name, distance::INT AS distance, n_nearest, CASE WHEN n_nearest = 1 THEN upper(match) END AS label FROM spelled LEFT JOIN best USING (name)
+    """,
+)
+def reconcile_near(spark, sf_dir):
+    """Names that were spelled otherwise, each with the nearest known name, or with how many are equally near."""
+    part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
+    changed = F.expr(
+        "CASE p_partkey % 5 WHEN 0 THEN p_name WHEN 1 THEN substr(p_name, 2) WHEN 2 THEN replace(p_name, 'e', 'ie') WHEN 3 THEN p_name || 'xyz' ELSE replace(p_name, ' ', '') END"
+    )
+    short = F.expr("CASE s_suppkey % 3 WHEN 0 THEN replace(s_name, '#', '') WHEN 1 THEN substr(s_name, 10) ELSE substr(s_name, 17) END")
+    spelled = part.select(F.lit("part").alias("kind"), F.col("p_partkey").alias("id"), changed.alias("name"))
+    spelled = spelled.unionByName(supplier.select(F.lit("supplier").alias("kind"), F.col("s_suppkey").alias("id"), short.alias("name")))
+    known = part.where("p_name NOT LIKE 'hot%'").select(F.col("p_name").alias("name")).union(supplier.select("s_name")).union(supplier.selectExpr("substr(s_name, 16)")).distinct()
+    nearest = near_names(spelled, known, 2).select("name", "distance", "n_nearest", F.upper("match").alias("label"))
+    return spelled.join(nearest, "name", "left")
+
+
+@query(
+    "column_profile",
+    """
+    UNPIVOT (
+        SELECT count_if(o_orderkey IS NULL)::BIGINT AS o_orderkey, count_if(o_custkey IS NULL)::BIGINT AS o_custkey, count_if(o_orderstatus IS NULL)::BIGINT AS o_orderstatus,
+            count_if(o_totalprice IS NULL)::BIGINT AS o_totalprice, count_if(o_orderdate IS NULL)::BIGINT AS o_orderdate, count_if(o_orderpriority IS NULL)::BIGINT AS o_orderpriority,
+            count_if(o_custkey % 7 <> 0)::BIGINT AS seventh, (SELECT count(*) FROM orders)::BIGINT AS void FROM orders
+    ) ON COLUMNS(*) INTO NAME column_name VALUE nulls
+    """,
+)
+def column_profile(spark, sf_dir):
+    """NULLs of every column from two halves of a table; an estimate outside its error is an error."""
+    orders = table(spark, sf_dir, "orders").withColumns({"seventh": F.when(F.col("o_custkey") % 7 == 0, F.col("o_totalprice")), "void": F.lit(None).cast("int")})
+    halves = [shape.profile_state(orders.where(F.col("o_orderkey") % 2 == rest)) for rest in (0, 1)]
+    common = ["column_name", "n_rows", "nulls", "distinct", "quantiles"]
+    found = shape.column_profile(shape.merged_profiles(halves[0].select(*common).unionByName(halves[1].select(*common))))
+    names = {f"c{i}": name for i, name in enumerate(orders.columns)}
+    exact = orders.toDF(*names).agg(*[F.count_distinct(name).alias(name) for name in names])
+    exact = exact.select(F.inline(F.array(*[F.struct(F.lit(column).alias("column_name"), F.col(name).alias("different")) for name, column in names.items()])))
+    # Three standard errors of the distinct counts; the share of prices below the estimated median.
+    off = F.abs(F.col("distinct") - F.col("different")) > 3 * 1.04 / 2 ** (shape.DISTINCT_BITS / 2) * F.col("different") + 1
+    median = found.where("column_name = 'o_totalprice'").select("median").scalar()
+    share = orders.select(F.avg((F.col("o_totalprice") < median).cast("double"))).scalar()
+    wrong = off | ((F.col("column_name") == "o_totalprice") & (F.abs(share - 0.5) > 0.03))
+    checked = F.when(wrong, F.raise_error(F.concat(F.lit("estimate off: "), "column_name")).cast("bigint")).otherwise(F.col("nulls"))
+    return found.join(exact, "column_name").select("column_name", checked.alias("nulls"))

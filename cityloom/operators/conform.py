@@ -20,13 +20,16 @@ from pyspark.sql.types import (
     StructType,
 )
 
+# Whole numbers as large as a bigint, and 18 places.
+DECIMAL = "decimal(38,18)"
+
 
 def _agree(left: DataType, right: DataType) -> bool:
     """Whether a union of the two types needs no help: equal, untyped, both numeric, or both nested alike."""
     if left == right or isinstance(left, NullType) or isinstance(right, NullType):
         return True
     if isinstance(left, NumericType) and isinstance(right, NumericType):
-        # A floating type holds not every bigint, so the two together become text.
+        # A floating type holds not every bigint.
         kinds = {type(left), type(right)}
         return not (LongType in kinds and kinds & {FloatType, DoubleType})
     if isinstance(left, StructType) and isinstance(right, StructType):
@@ -46,12 +49,37 @@ def _as_text(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.to_json(column) if nested else column.cast("string"))
 
 
+def _number_type(frames: list[DataFrame], name: str) -> str | None:
+    """A type that holds all values of a column that is bigint in some frames and floating in others; None if there is none.
+
+    The values are measured by one aggregate per frame: doubles hold bigints below 2**53, and decimals hold any bigint and those doubles that need no more than 18 places.
+    """
+    largest, exact = 0, True
+    for frame in frames:
+        column = next((f for f in frame.schema if f.name.lower() == name), None)
+        if column is None or not isinstance(column.dataType, LongType | FloatType | DoubleType):
+            continue
+        value = F.col(f"`{column.name}`")
+        if isinstance(column.dataType, LongType):
+            largest = max(largest, int(frame.agg(F.max(F.abs(value.cast("decimal(20,0)")))).first()[0] or 0))
+        else:
+            back = value.try_cast(DECIMAL).cast(column.dataType)
+            exact = exact and not frame.agg(F.bool_or(value.isNotNull() & (back.isNull() | (back != value)))).first()[0]
+    if largest < 1 << 53:
+        return "double"
+    return DECIMAL if exact else None
+
+
+def _all_numbers(types: list[DataType]) -> bool:
+    return all(isinstance(kind, NumericType | NullType) for kind in types)
+
+
 def conform_union(frames: Iterable[DataFrame]) -> DataFrame | None:
     """UNION ALL by name: columns in order of first appearance, missing ones NULL.
 
     Where frames disagree on a column's type beyond lossless numeric widening, the column becomes text
-    everywhere, since Spark's own widening of text with numbers fails on non-numeric text, and that of bigint with double rounds.
-    No frames give None.
+    everywhere, since Spark's own widening of text with numbers fails on non-numeric text. A column that is bigint in some frames and floating in others stays a number if one
+    type holds all its values, which are measured then: a double, else a decimal; otherwise it becomes text, as Spark's widening rounds. No frames give None.
     """
     frames = list(frames)
     if not frames:
@@ -61,6 +89,10 @@ def conform_union(frames: Iterable[DataFrame]) -> DataFrame | None:
         for f in frame.schema:
             types.setdefault(f.name.lower(), []).append(f.dataType)
     mixed = {name for name, seen in types.items() if not all(_agree(a, b) for i, a in enumerate(seen) for b in seen[:i])}
+    numbers = {name: kind for name in mixed if _all_numbers(types[name]) and (kind := _number_type(frames, name))}
+    for name, kind in numbers.items():
+        frames = [frame.withColumns({f.name: F.col(f"`{f.name}`").cast(kind) for f in frame.schema if f.name.lower() == name}) for frame in frames]
+    mixed -= numbers.keys()
     conformed = [
         reduce(_as_text, [f.name for f in frame.schema if f.name.lower() in mixed], frame) for frame in frames
     ]

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cityloom.session import stage
+
 
 def rows_per_day(listings: DataFrame, date: str = "date") -> DataFrame:
     """Rows per date; rows without a date form one group."""
@@ -35,6 +37,33 @@ def top_groups(df: DataFrame, key: str, n: int = 5) -> DataFrame:
     return counts.orderBy(F.desc("count"), F.asc_nulls_last(key)).limit(n)
 
 
+def top_groups_sketched(df: DataFrame, key: str, n: int = 5, tracked: int = 1_000, buckets: int = 1 << 16) -> DataFrame:
+    """The same for keys without bound, of an atomic type: exact, and what is shuffled does not grow with the different keys.
+
+    Summaries of up to ``tracked`` frequent keys, one for each task and merged in two steps, choose candidates. A second pass counts these exactly, NULL too, and all other rows by a hash bucket of their key: a key has
+    no more rows than its bucket, so keys of buckets with fewer rows than the last place of the list cannot be in it. If other buckets are left, the keys in these alone are counted.
+    """
+    column = F.col(f"`{key}`")
+    summaries = df.where(column.isNotNull()).groupBy(F.pmod(F.spark_partition_id(), F.lit(256)).alias("part")).agg(F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias("summary"))
+    # By a group, so that there is none without rows.
+    merged = summaries.groupBy(F.col("part") * 0).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(summary, {tracked}), {tracked})").alias("found"))
+    candidates = stage(merged.select(F.explode("found.item").alias(key)).dropna().distinct(), "candidates").withColumn("_candidate", F.lit(True))
+    # At most as many rows as are tracked.
+    marked = df.select(column.alias(key)).join(F.broadcast(candidates), key, "left")
+    chosen = F.col("_candidate").isNotNull() | column.isNull()
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
+    groups = marked.groupBy(chosen.alias("chosen"), F.when(chosen, column).alias(key), F.when(~chosen, bucket).alias("bucket"))
+    counts = stage(groups.count(), "candidate-counts")
+    exact = counts.where("chosen").select(key, "count")
+    last = exact.orderBy(F.desc("count")).limit(n).agg(F.when(F.count("*") == n, F.min("count"))).first()[0] or 1
+    open_buckets = counts.where(~F.col("chosen") & (F.col("count") >= last)).select("bucket")
+    if not open_buckets.isEmpty():
+        # At most as many rows as there are buckets.
+        rest = marked.where(~chosen).withColumn("bucket", bucket).join(F.broadcast(open_buckets), "bucket", "left_semi")
+        exact = exact.unionByName(rest.groupBy(key).count())
+    return exact.orderBy(F.desc("count"), F.asc_nulls_last(key)).limit(n)
+
+
 def correlation(df: DataFrame, x: str, y: str, nulls: str = "skip") -> DataFrame:
     """Pearson correlation as one row; NULL if either side is constant or there are no rows.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cityloom.operators.conform import align_key
-from cityloom.operators.skew import BROADCAST_ROWS, HOT_ROWS, balanced_join, fits_broadcast, row_width
+from cityloom.operators.skew import BROADCAST_ROWS, balanced_join, fits_broadcast, row_width
 from cityloom.session import stage
 
 
@@ -39,7 +39,7 @@ def add_name(
     on_mismatch: str = "cast",
     check_unique: bool = True,
     max_rows: int = BROADCAST_ROWS,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Left join to one lookup; the name is NULL where nothing matches.
 
@@ -55,7 +55,7 @@ def _with_name(
     on_mismatch: str = "cast",
     check_unique: bool = True,
     max_rows: int = BROADCAST_ROWS,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> tuple[DataFrame, bool]:
     """The joined rows, and whether the join shuffles them."""
     if level.output in df.columns and level.output != level.key:
@@ -79,7 +79,7 @@ def reconcile(df: DataFrame, *levels: Level, drop: tuple[str, ...] = (), **optio
     """Apply the levels in turn to one conformed frame, then drop the columns no longer needed.
 
     A level may replace its own key column (``output`` equal to ``key``). A level whose lookup is too large to broadcast
-    is staged before the next one, which counts its hot keys over it.
+    is staged before the next one.
     """
     for i, level in enumerate(levels):
         df, shuffled = _with_name(df, level, **options)

@@ -16,8 +16,18 @@ _SALT = "_join_salt"
 _BUCKETS = "_join_buckets"
 
 
+def _far_too_large(df: DataFrame, max_rows: int) -> bool:
+    """Whether the files of a table alone are larger than its rows could be if it were small; nothing is read. Other plans are not judged by estimates."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if plan.collectLeaves().size() != 1:
+        return False
+    return int(str(plan.stats().sizeInBytes())) > 8 * max_rows * BROADCAST_ROW_BYTES
+
+
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Whether the whole table fits a broadcast: its rows and its widest row are measured, up to one row beyond the limit."""
+    if _far_too_large(df, max_rows):
+        return False
     rows, widest = df.select(row_width(df.columns).alias("width")).limit(max_rows + 1).agg(F.count("*"), F.max("width")).first()
     return fits_broadcast(rows, widest, max_rows)
 
@@ -81,8 +91,11 @@ def spread_join(
     per_row = F.sequence(F.lit(0), F.coalesce(F.col(_BUCKETS), F.lit(1)) - 1)
     repeated = small.join(hot, keys, "left").withColumn(_SALT, F.explode(per_row)).drop(_BUCKETS)
     joined = spread.join(repeated, [*keys, _SALT], how).drop(_SALT)
-    if how != "left":
-        return joined
+    return _with_keyless(joined, large, small, keys) if how == "left" else joined
+
+
+def _with_keyless(joined: DataFrame, large: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """A left join with the rows that have a NULL key, which match nothing and so need no shuffle."""
     keyless = large.where(F.greatest(*[F.col(f"`{k}`").isNull() for k in keys], F.lit(False)))
     added = {f.name: F.lit(None).cast(f.dataType) for f in small.schema if f.name not in keys}
     return joined.unionByName(keyless.withColumns(added))
@@ -93,15 +106,19 @@ def balanced_join(
     small: DataFrame,
     keys: list[str],
     how: str = "inner",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     max_rows: int = BROADCAST_ROWS,
     known_small: bool | None = None,
     hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Join by broadcast when ``small`` is measured small, so ``large`` is not shuffled; else ``spread_join``.
+    """Join by broadcast when ``small`` is measured small, so ``large`` is not shuffled; else a shuffled join.
 
-    ``known_small`` and ``hot`` are given where the caller has these answers already.
+    That is a ``spread_join`` where hot keys are known in ``hot``, or to be counted, which reads ``large`` once more: with ``hot_rows``. Otherwise partitions that turn
+    out too large are split at run time. ``known_small`` is given where the caller has that answer already.
     """
     if is_small(small, max_rows) if known_small is None else known_small:
         return large.join(F.broadcast(small), keys, how)
-    return spread_join(large, small, keys, how, hot_rows, hot)
+    if hot is not None or hot_rows is not None:
+        return spread_join(large, small, keys, how, HOT_ROWS if hot_rows is None else hot_rows, hot)
+    joined = large.dropna(subset=keys).join(small, keys, how)
+    return _with_keyless(joined, large, small, keys) if how == "left" else joined

@@ -63,6 +63,15 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def rename_new(spark: SparkSession, source: str, target: str) -> None:
+    """Give a file a name that no file has; where it is taken, the file system's error for that is raised."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    context.rename(jvm.org.apache.hadoop.fs.Path(source), path, options)
+
+
 def _scratch_root(spark: SparkSession) -> str:
     """This application's folder under the checkpoint folder of the cluster.
 

@@ -8,9 +8,13 @@ by one scan, never one frame per file, and their schemas are found by one pass o
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from urllib.parse import unquote
+from urllib.parse import quote, unquote
 
+import pyarrow as pa
+from pyarrow.fs import FileSystem
+from pyarrow.parquet import ParquetFile
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,16 +37,23 @@ LAYOUTS = {
 }
 
 
-def files_like(root: str, layout: str, file_format: str) -> str:
-    """Path pattern of the files of one format below ``root``."""
+# Names of folders that stand for themselves in a path pattern.
+_PLAIN_NAME = re.compile(r"[\w.+ =-]+")
+
+
+def files_like(root: str, layout: str, file_format: str, folders: Sequence[str] | None = None) -> str:
+    """Path pattern of the files of one format below ``root``; of a daily layout only those in some ``folders``, where these are few and have plain names."""
     depth, _ = LAYOUTS[layout]
+    if layout == "daily" and folders and len(folders) <= FEW_FILES and all(map(_PLAIN_NAME.fullmatch, folders)):
+        depth = "{" + ",".join(folders) + "}/*"
     return f"{root.rstrip('/')}/{depth}.{file_format}"
 
 
-def _listing(spark: SparkSession, pattern: str) -> DataFrame | None:
-    """The files a path pattern matches, contents unread; None if nothing matches."""
+def listing(spark: SparkSession, pattern: str) -> DataFrame | None:
+    """The files a path pattern matches, contents unread, as (file, length, modified), the names as scans report them; None if nothing matches."""
     try:
-        return spark.read.format("binaryFile").load(pattern).select("path")
+        found = spark.read.format("binaryFile").load(pattern)
+        return found.select(F.col("_metadata.file_path").alias("file"), "length", F.col("modificationTime").alias("modified"))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -57,14 +68,18 @@ def as_path(name: str) -> str:
 
 def list_files(spark: SparkSession, pattern: str) -> list[str]:
     """Names of the matching files, usable as paths again."""
-    listing = _listing(spark, pattern)
-    return [] if listing is None else [as_path(name) for name in sorted(listing.inputFiles())]
+    found = listing(spark, pattern)
+    return [] if found is None else [as_path(name) for name in sorted(found.inputFiles())]
 
 
 def entry_name(layout: str) -> Column:
     """File name (flat layout) or day-folder name (daily layout) of the row's file."""
+    return entry_of(F.col("_metadata.file_path"), layout)
+
+
+def entry_of(path: Column, layout: str) -> Column:
     _, pattern = LAYOUTS[layout]
-    name = F.regexp_extract("_metadata.file_path", pattern, 1)
+    name = F.regexp_extract(path, pattern, 1)
     # Only special characters are encoded in the path, and a plus sign is not one of them.
     decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
     return F.when(F.contains(name, F.lit("%")), decoded).otherwise(name)
@@ -85,15 +100,16 @@ def read_files(
 
 
 def _headers(spark: SparkSession, pattern: str) -> DataFrame:
-    """Header line of each CSV file, as (file, kind); files without one are left out.
+    """Header line of each CSV file, as (file, kind); files of blank lines only are left out.
 
-    One pass: the header is the first line of the piece that begins a file, and row ids grow within a piece.
+    One pass: the header is the first line with content, as for the reader, in the piece that begins a file, and row ids grow within a piece. A file whose first piece is
+    blank, but not those after it, has the kind NULL.
     """
     lines = spark.read.text(pattern).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("begin"), "value", F.monotonically_increasing_id().alias("at")
     )
-    first = lines.where("begin = 0").groupBy("file").agg(F.min_by("value", "at").alias("kind"))
-    return first.where("trim(kind) <> ''")
+    header = F.expr("min_by(value, at) FILTER (WHERE begin = 0)")
+    return lines.where("trim(value) <> ''").groupBy("file").agg(header.alias("kind"))
 
 
 def _json_types(spark: SparkSession, pattern: str) -> DataFrame:
@@ -112,27 +128,52 @@ def _json_schema(kind: str) -> StructType:
     return StructType.fromDDL(ddl[len("STRUCT<") : -1]) if ddl.startswith("STRUCT<") and ddl != "STRUCT<>" else StructType([])
 
 
-def _groups(spark: SparkSession, file_format: str, pattern: str) -> list[tuple[StructType, DataFrame]]:
-    """The schemas of the files and, for each, the names of its files; the number of jobs follows that of the schemas.
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The schema of each Parquet file as its footer has it, with the writer's notes on types."""
+    for batch in batches:
+        files = batch.column(0).to_pylist()
+        yield pa.RecordBatch.from_arrays([pa.array(files, pa.string()), pa.array([_footer(name) for name in files], pa.string())], ["file", "kind"])
+
+
+def _footer(name: str) -> str:
+    system, path = FileSystem.from_uri(name)
+    with system.open_input_file(path) as file:
+        schema = ParquetFile(file).schema_arrow
+    notes = sorted((schema.metadata or {}).items())
+    return f"{schema.remove_metadata()} {[value for key, value in notes if key.startswith(b'org.apache.spark')]}"
+
+
+def _parquet_kinds(spark: SparkSession, pattern: str) -> DataFrame:
+    """Footer of each Parquet file, as (file, kind): read by tasks over the listed files.
 
-    Parquet files have no text to aggregate: their footers are read by a small job each, so declare a schema where there are many.
-    One JSON file may hold only empty arrays or partial structs, so nested types are taken from all files.
+    Where the file system is one that only Spark reaches, the driver asks for one schema after another, a small job each; declare a schema where there are many files then.
     """
-    if file_format == "parquet":
+    files = listing(spark, pattern).select("file")
+    some = files.first()
+    try:
+        _footer(some.file) if some else None
+    except (OSError, pa.ArrowException):
         names = list_files(spark, pattern)
         with ThreadPoolExecutor(16) as pool:
-            schemas = list(pool.map(lambda name: read_files(spark, file_format, [name]).schema, names))
-        members: dict[str, tuple[StructType, list[str]]] = {}
-        for schema, name in zip(schemas, names):
-            members.setdefault(schema.json(), (schema, []))[1].append(name)
-        return [(schema, spark.createDataFrame([(name,) for name in found], "file string")) for schema, found in members.values()]
-    kinds = stage(_headers(spark, pattern) if file_format == "csv" else _json_types(spark, pattern), "file-kinds")
+            schemas = pool.map(lambda name: read_files(spark, "parquet", [name]).schema.json(), names)
+        return spark.createDataFrame(list(zip([quote(name, safe="/:=") for name in names], schemas, strict=True)), "file string, kind string")
+    return files.mapInArrow(_footers, "file string, kind string")
+
+
+def _groups(spark: SparkSession, file_format: str, pattern: str) -> list[tuple[StructType, DataFrame]]:
+    """The schemas of the files and, for each, the names of its files; the number of jobs follows that of the schemas.
+
+    One JSON file may hold only empty arrays or partial structs, so nested types are taken from all files. A CSV file with content in which no header is found is an error.
+    """
+    kinds = stage({"csv": _headers, "json": _json_types, "parquet": _parquet_kinds}[file_format](spark, pattern), "file-kinds")
+    if lost := kinds.where("kind IS NULL").first():
+        raise ValueError(f"no header at the beginning of {lost.file}")
     found = []
     shared = {}
     if file_format == "json":
         shared = {f.name: f for f in read_files(spark, file_format, pattern).schema if isinstance(f.dataType, ArrayType | StructType)}
     for row in kinds.groupBy("kind").agg(F.min("file").alias("sample")).orderBy("sample").collect():
-        if file_format == "csv":
+        if file_format != "json":
             schema = read_files(spark, file_format, [as_path(row.sample)]).schema
         else:
             schema = StructType([shared.get(f.name, f) for f in _json_schema(row.kind)])
@@ -144,9 +185,13 @@ def _groups(spark: SparkSession, file_format: str, pattern: str) -> list[tuple[S
     return list(merged.values())
 
 
-def _grouped(spark: SparkSession, file_format: str, pattern: str, layout: str, declared: StructType | None = None) -> list[DataFrame]:
+def _grouped(
+    spark: SparkSession, file_format: str, pattern: str, layout: str, declared: StructType | None = None, only: DataFrame | None = None
+) -> list[DataFrame]:
     """One frame per schema of the files, each with the column ``source_entry``. With a ``declared`` schema it has the declared types of the columns the files have."""
     groups = _groups(spark, file_format, pattern)
+    if only is not None:
+        groups = [(schema, balanced_join(files, only, ["file"], "left_semi")) for schema, files in groups]
     frames = []
     for schema, files in groups:
         if declared is not None:
@@ -164,7 +209,7 @@ def _grouped(spark: SparkSession, file_format: str, pattern: str, layout: str, d
             types = {f.name.lower(): f.dataType for f in declared}
             columns = [F.col(f"`{name}`").try_cast(types[name.lower()]).alias(name) for name in frame.columns if name.lower() in types]
         frame = frame.select(*columns, entry_name(layout).alias(SOURCE), F.col("_metadata.file_path").alias(_FILE))
-        if not few and len(groups) > 1:
+        if only is not None or not few and len(groups) > 1:
             # Every file is read and those of other schemas are left out: file names are too many for one plan.
             frame = balanced_join(frame, files.withColumnRenamed("file", _FILE), [_FILE], "left_semi")
         frames.append(frame.drop(_FILE))
@@ -177,6 +222,8 @@ def landing_frames(
     layout: str = "flat",
     schema: StructType | str | None = None,
     by_schema: bool = False,
+    folders: Sequence[str] | None = None,
+    only: DataFrame | None = None,
 ) -> list[DataFrame]:
     """One frame per format and distinct schema, each with the column ``source_entry``.
 
@@ -184,28 +231,32 @@ def landing_frames(
     columns are inferred over all files together, Parquet footers are merged (falling back to
     groups when types conflict), and CSV files are grouped by header. ``by_schema`` forces grouping
     for every format, so that files lacking a column can be told apart from files with NULLs; a declared schema then gives
-    the types of the columns that a file has.
+    the types of the columns that a file has. ``folders`` are the only day folders looked at, and ``only`` has the only files whose rows are kept, in a column ``file``.
     """
     frames = []
     for file_format in FORMATS:
-        pattern = files_like(root, layout, file_format)
-        listing = _listing(spark, pattern)
-        if listing is None or listing.isEmpty():
+        pattern = files_like(root, layout, file_format, folders)
+        there = listing(spark, pattern)
+        if there is None or there.isEmpty():
             continue
         if by_schema:
             declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-            found = _grouped(spark, file_format, pattern, layout, declared)
+            found = _grouped(spark, file_format, pattern, layout, declared, only)
         elif schema is not None:
             found = [read_files(spark, file_format, pattern, schema)]
         elif file_format == "csv":
-            found = _grouped(spark, file_format, pattern, layout)
+            found = _grouped(spark, file_format, pattern, layout, only=only)
         else:
             try:
                 found = [read_files(spark, file_format, pattern)]
             except Exception as error:
                 if file_format != "parquet" or "CANNOT_MERGE_SCHEMA" not in str(error):
                     raise
-                found = _grouped(spark, file_format, pattern, layout)
+                found = _grouped(spark, file_format, pattern, layout, only=only)
+        if only is not None:
+            chosen, sourced = only.select(F.col("file").alias(_FILE)), [frame.select("*", F.col("_metadata.file_path").alias(_FILE)) for frame in found if SOURCE not in frame.columns]
+            kept = [balanced_join(frame, chosen, [_FILE], "left_semi") for frame in sourced]
+            found = [frame for frame in found if SOURCE in frame.columns] + [frame.select("*", entry_of(F.col(_FILE), layout).alias(SOURCE)).drop(_FILE) for frame in kept]
         frames += [frame if SOURCE in frame.columns else frame.select("*", entry_name(layout).alias(SOURCE)) for frame in found]
     return frames
 

@@ -2,7 +2,7 @@ import pytest
 from conftest import TESTDATA
 
 from cityloom.gallery.registry import table
-from cityloom.gallery.relations import MET, income_rows, inner_join_chain_all_orders, listing_rows
+from cityloom.gallery.relations import income_rows, inner_join_chain, listing_rows
 
 pytestmark = pytest.mark.skipif(not TESTDATA.exists(), reason="test tables not present")
 
@@ -13,9 +13,9 @@ def test_every_order_of_a_nation_with_suppliers_finds_an_area(spark, scale):
     nations = table(spark, sf, "supplier").selectExpr("s_nationkey AS c_nationkey").distinct()
     customers = table(spark, sf, "customer").join(nations, "c_nationkey").selectExpr("c_custkey AS o_custkey")
     of_nations = table(spark, sf, "orders").join(customers, "o_custkey").count()
-    listings = listing_rows(spark, sf, fine=MET)
+    listings = listing_rows(spark, sf, fine=True)
     assert listings.count() == table(spark, sf, "orders").count()
-    areas = income_rows(spark, sf, fine=MET).select("neighborhood")
+    areas = income_rows(spark, sf, fine=True).select("neighborhood")
     assert areas.count() == areas.distinct().count() == table(spark, sf, "supplier").count()
     meeting = listings.join(areas, "neighborhood")
     assert meeting.count() == of_nations > 0
@@ -26,6 +26,6 @@ def test_every_order_of_a_nation_with_suppliers_finds_an_area(spark, scale):
 
 def test_the_chain_has_all_areas(spark):
     sf = str(TESTDATA / "sf0.01")
-    joined = {r.neighborhood for r in inner_join_chain_all_orders(spark, sf).select("neighborhood").distinct().collect()}
-    met = listing_rows(spark, sf, fine=MET).join(income_rows(spark, sf, fine=MET), "neighborhood")
+    joined = {r.neighborhood for r in inner_join_chain(spark, sf).select("neighborhood").distinct().collect()}
+    met = listing_rows(spark, sf, fine=True).join(income_rows(spark, sf, fine=True), "neighborhood")
     assert joined == {r.neighborhood for r in met.select("neighborhood").distinct().collect()}

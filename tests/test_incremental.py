@@ -1,0 +1,215 @@
+import datetime
+import os
+
+import pytest
+from conftest import plan_of, rows
+from pyspark.sql import functions as F
+from test_landing import put
+
+from cityloom.operators import incremental
+from cityloom.operators.conform import conform_union, drop_duplicate_rows
+from cityloom.operators.incremental import append_distinct, row_digest
+from cityloom.plans import indicators
+from cityloom.sources.landing import SOURCE, landing_frames, with_day
+from cityloom.sources.ledger import load_new
+from cityloom.sources.zones import Zone
+
+
+@pytest.fixture
+def zone(spark, tmp_path):
+    return Zone(spark, str(tmp_path / "zone"))
+
+
+def shape(frames):
+    return with_day(conform_union(frames)).drop(SOURCE)
+
+
+def day(tmp_path, folder, name, *keys):
+    put(tmp_path / "in" / folder / name, "".join(f'{{"k": {key}}}\n' for key in keys))
+
+
+def full(spark, tmp_path):
+    return rows(shape(landing_frames(spark, str(tmp_path / "in"), "daily")), "k", "date")
+
+
+def loads(zone, tmp_path, **options):
+    read = []
+
+    def counted(frames):
+        read.append(sum(frame.count() for frame in frames))
+        return shape(frames)
+
+    return load_new(zone, "t", str(tmp_path / "in"), counted, **options), sum(read)
+
+
+def test_only_new_files_are_read(spark, zone, tmp_path):
+    day(tmp_path, "2021_03_01", "a.json", 1, 2)
+    day(tmp_path, "2021_03_02 x", "a.json", 3)
+    assert loads(zone, tmp_path) == ("replaced", 3)
+    assert loads(zone, tmp_path) == ("nothing", 0)
+    day(tmp_path, "2021_03_03", "a.json", 4, 5)
+    put(tmp_path / "in" / "2021_03_03" / "b.csv", "k\n9\n")
+    day(tmp_path, "2021_03_01", "b.json", 6)
+    # The keys of the new file are texts there, so the table is made anew.
+    assert loads(zone, tmp_path)[0] == "replaced"
+    day(tmp_path, "2021_03_04", "a.json", 7)
+    assert loads(zone, tmp_path)[0] == "replaced"
+    # A name that is no plain one has the whole folder listed, so that the type of the keys is known.
+    day(tmp_path, "2021_03_05+{y}", "a.json", 8)
+    assert loads(zone, tmp_path) == ("added", 1)
+    assert rows(zone.read("t"), "k", "date") == full(spark, tmp_path)
+
+
+@pytest.mark.parametrize("names", [("2021_03_02", "2021_03_01"), ("2021_03_02 {odd}", "2021_03_01")])
+def test_new_days_and_new_files_of_old_days_are_added(spark, zone, tmp_path, names):
+    day(tmp_path, "2021_03_01", "a.json", 1, 2)
+    loads(zone, tmp_path)
+    for number, name in enumerate(names):
+        day(tmp_path, name, "new.json", 10 + number)
+    assert loads(zone, tmp_path) == ("added", 2)
+    assert rows(zone.read("t"), "k", "date") == full(spark, tmp_path) and len(zone.runs("t")) == 2
+
+
+@pytest.mark.parametrize("change", ["content", "removed", "stamp"])
+def test_changes_load_everything_again(spark, zone, tmp_path, change):
+    day(tmp_path, "2021_03_01", "a.json", 1, 2)
+    day(tmp_path, "2021_03_02", "a.json", 3)
+    assert loads(zone, tmp_path, stamp="a")[0] == "replaced"
+    if change == "content":
+        day(tmp_path, "2021_03_01", "a.json", 8, 9, 10)
+    elif change == "removed":
+        os.remove(tmp_path / "in" / "2021_03_01" / "a.json")
+    assert loads(zone, tmp_path, stamp="b" if change == "stamp" else "a")[0] == "replaced"
+    assert rows(zone.read("t"), "k", "date") == full(spark, tmp_path)
+
+
+def test_a_load_that_fails_is_run_again(spark, zone, tmp_path):
+    day(tmp_path, "2021_03_01", "a.json", 1)
+    loads(zone, tmp_path)
+    day(tmp_path, "2021_03_02", "a.json", 2)
+    with pytest.raises(Exception, match="midway"):
+        load_new(zone, "t", str(tmp_path / "in"), lambda frames: shape(frames).withColumn("k", F.raise_error(F.lit("midway")).cast("bigint")))
+    assert loads(zone, tmp_path) == ("added", 1)
+    assert rows(zone.read("t"), "k", "date") == full(spark, tmp_path)
+
+
+def test_rows_that_repeat_over_loads_are_kept_once(spark, zone, tmp_path):
+    day(tmp_path, "2021_03_01", "a.json", 1, 1, 2)
+    assert loads(zone, tmp_path, distinct=True)[0] == "replaced"
+    day(tmp_path, "2021_03_01", "b.json", 2, 3, 3)
+    assert loads(zone, tmp_path, distinct=True) == ("added", 3)
+    assert rows(zone.read("t"), "k") == [(1,), (2,), (3,)]
+
+
+VALUES = [
+    (None, None, None, 0.0), ("", None, 1, -0.0), ("a", None, 1, float("nan")), ("a", "b", 1, 1.5), ("b", "a", 1, 1.5), ("a", "b", None, 1.5), ('{"', "}", 1, 1.5),
+    (None, "a", 1, 0.0), ("a", None, 1, float("nan")), (None, None, None, -0.0), ("a", "b", 1, 1.5),
+]
+
+
+def test_rows_count_as_equal_as_in_a_full_comparison(spark, zone):
+    df = spark.createDataFrame(VALUES, "s string, t string, n int, d double")
+    nested = df.withColumns({
+        "p": F.struct("s", "n"), "q": F.array("t", "s"), "m": F.expr("timestamp_micros(1600000000000000 + coalesce(n, 0))"), "z": F.expr("timestamp_ntz'2020-01-01 00:00:00.000001'"),
+        "b": F.col("s").cast("binary"), "e": F.lit(None).cast("string"),
+    })
+    for part in (nested.limit(5), nested, nested.where("n = 1")):
+        append_distinct(zone, "t", part)
+    assert zone.read("t").count() == drop_duplicate_rows(nested).count() == 8
+    later = nested.withColumn("m", F.expr("m + INTERVAL 1 MICROSECOND"))
+    append_distinct(zone, "t", later)
+    assert zone.read("t").count() == drop_duplicate_rows(nested.union(later)).count()
+
+
+def test_columns_that_come_later_are_null_before(spark, zone):
+    append_distinct(zone, "t", spark.sql("SELECT 1 AS a, 'x' AS b"))
+    append_distinct(zone, "t", spark.sql("SELECT 'x' AS b, CAST(NULL AS int) AS c, 1 AS a UNION ALL SELECT 'x', 5, 1"))
+    assert rows(zone.read("t"), "a", "b", "c") == [(1, "x", 5), (1, "x", None)]
+
+
+def test_stored_rows_are_not_read_and_stored_digests_not_moved(spark, zone, monkeypatch):
+    append_distinct(zone, "t", spark.range(100).withColumn("w", F.repeat(F.lit("w"), 50)), buckets=16)
+    plans = []
+    inner = incremental._special
+    monkeypatch.setattr(incremental, "_special", lambda *a: plans.append(plan_of(inner(*a))) or inner(*a))
+    monkeypatch.setattr(Zone, "read", lambda *a, **k: pytest.fail("the rows of the table are read"))
+    # Sort-merge joins, as for many digests.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        append_distinct(zone, "t", spark.range(50, 150).withColumn("w", F.repeat(F.lit("w"), 50)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.undo()
+    assert zone.read("t").count() == 150
+    stored = plans[0].split("Bucketed: true")[0]
+    below_join = stored[stored.rindex("SortMergeJoin") :].split("\n")
+    scan = next(i for i, line in enumerate(plans[0].split("\n")) if "Bucketed: true" in line or "FileScan parquet" in line and "cityloom_" in line)
+    lines = plans[0].split("\n")
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    above = []
+    at, level = scan, depth(lines[scan])
+    while at > 0 and "SortMergeJoin" not in lines[at]:
+        at -= 1
+        if depth(lines[at]) < level:
+            level = depth(lines[at])
+            above.append(lines[at])
+    assert below_join and not any("Exchange" in line for line in above)
+
+
+def test_tables_without_digests_and_runs_that_never_counted(spark, zone, monkeypatch):
+    zone.write("t", spark.range(3))
+    zone.write("t", spark.range(3, 5))
+    append_distinct(zone, "t", spark.range(2, 7))
+    assert rows(zone.read("t")) == [(i,) for i in range(7)]
+    monkeypatch.setattr(Zone, "_commit", lambda *_: (_ for _ in ()).throw(RuntimeError("gone")))
+    with pytest.raises(RuntimeError, match="gone"):
+        append_distinct(zone, "t", spark.range(5, 9))
+    monkeypatch.undo()
+    append_distinct(zone, "t", spark.range(6, 9))
+    assert rows(zone.read("t")) == [(i,) for i in range(9)]
+    append_distinct(zone, "t", spark.range(2), "overwrite")
+    append_distinct(zone, "t", spark.range(4))
+    assert rows(zone.read("t")) == [(i,) for i in range(4)]
+
+
+def test_digests_do_not_depend_on_column_order(spark):
+    a, b = spark.sql("SELECT 1 AS x, 'q' AS y"), spark.sql("SELECT 'q' AS Y, 1 AS X")
+    assert a.select(row_digest(a)).first()[0] == b.select(row_digest(b)).first()[0]
+
+
+def test_kpis_after_increments(spark, tmp_path):
+    formatted, kept, plain = (Zone(spark, str(tmp_path / name)) for name in ("in", "kept", "plain"))
+    D = datetime.date
+    schema = "neighborhood string, date date, price double"
+    formatted.write("income", spark.createDataFrame([("N", 1.0), ("S", 3.0), ("E", 2.0)], "neighborhood string, RFD double"))
+    formatted.write("air_quality", spark.createDataFrame([("N", "2020", "7"), ("S", "2021", "9"), ("N", "2021", "8")], "neighborhood string, year string, Codi_Contaminant string"))
+    steps = [
+        [("N", D(2020, 5, 1), 10.0), ("S", D(2020, 5, 2), 30.0), (None, D(2020, 5, 2), 5.0)],
+        [("N", D(2021, 1, 1), 12.0), ("S", D(2021, 1, 9), 35.0), ("S", None, None)],
+        [("E", D(2020, 12, 31), 20.0)],
+        [("E", D(2021, 1, 31), 21.0), (None, D(2021, 1, 31), 1.0)],
+    ]
+    read = []
+    for step in steps:
+        formatted.write("listings", spark.createDataFrame(step, schema))
+        inner = indicators.listing_state
+        indicators.listing_state = lambda df, *a: read.append(df.count()) or inner(df, *a)
+        try:
+            indicators.run(formatted, kept, incremental=True)
+            indicators.run(formatted, kept, incremental=True)
+        finally:
+            indicators.listing_state = inner
+        indicators.run(formatted, plain)
+        for table in ("kpis", "top_sellers", "top_air_quality"):
+            ours, theirs = ([tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows(zone.read(table))] for zone in (kept, plain))
+            assert ours == theirs, table
+    # Each listing was read once.
+    assert read == [len(step) for step in steps]
+    assert kept.read("kpi_state").where("kind = 'month'").select("date").distinct().count() == 1
+    formatted.write("listings", spark.createDataFrame(steps[1], schema), "overwrite")
+    indicators.run(formatted, kept, incremental=True)
+    indicators.run(formatted, plain)
+    assert rows(kept.read("top_sellers")) == rows(plain.read("top_sellers"))
+    indicators.run(formatted, kept, nulls="zero", incremental=True)
+    indicators.run(formatted, plain, nulls="zero")
+    assert rows(kept.read("top_sellers")) == rows(plain.read("top_sellers"))

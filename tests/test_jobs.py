@@ -138,7 +138,7 @@ def test_listing_choices(spark, landing, tmp_path):
     listings = zone.read("listings")
     # The only file without the titles is left out with its single row.
     assert listings.count() == 62 and listings.where("propertyCode = 'q3'").isEmpty()
-    assert (tmp_path / "listings" / "date=2021-02-10").is_dir()
+    assert list((tmp_path / "listings").rglob("date=2021-02-10"))
     assert zone.read("air_quality").where("neighborhood = \"La Nova Esquerra de l'Eixample\"").count() == 2
 
 
@@ -174,6 +174,18 @@ def test_declared_schemas_give_the_same(spark, landing, formatted, tmp_path):
         assert rows(zone.read(name).select(*there.columns)) == rows(there)
 
 
+def test_incremental_listings_and_near_names(spark, landing, formatted, tmp_path):
+    zone = Zone(spark, str(tmp_path))
+    choices = formatting.Choices(near_names=1)
+    for _ in range(2):
+        formatting.run(spark, landing, zone, choices, incremental=True)
+        there = formatted.read("listings")
+        assert rows(zone.read("listings").select(*there.columns)) == rows(there)
+    assert len(zone.runs("listings")) == 1
+    # An apostrophe is one letter.
+    assert zone.read("air_quality").where("neighborhood = \"La Nova Esquerra de l'Eixample\"").count() == 2
+
+
 def test_kpi_job_twice(spark, formatted, tmp_path):
     zone = Zone(spark, str(tmp_path))
     indicators.run(formatted, zone)
@@ -264,6 +276,12 @@ def test_command_line_runs_jobs_and_clears_up(spark, formatted, tmp_path, caplog
     assert not files.exists(root)
 
 
+def test_command_line_trains_without_a_frame(spark, formatted, tmp_path):
+    main(["train", "--formatted", formatted.root, "--exploitation", str(tmp_path), "--split-key", "propertyCode", "--no-frame", "--folds", "2"])
+    zone = Zone(spark, str(tmp_path))
+    assert zone.read("price_model_folds").count() == 2 and zone.exists("price_model_coefficients") and not zone.exists("model_frame")
+
+
 def test_command_line():
     paths = [x for name in ("listings", "income", "air-quality", "income-districts", "income-neighborhoods", "listing-districts", "listing-neighborhoods") for x in (f"--{name}", "p")]
     args = parser().parse_args(["format", *paths, "--formatted", "f", "--listings-schema", "a int"])

@@ -112,6 +112,47 @@ def test_many_files_take_few_jobs(spark, tmp_path):
     assert df.agg(F.count("*"), F.sum(F.col("x").cast("int")), F.max("y")).first()[:] == (2000, sum(range(2000)), "1")
 
 
+def test_many_parquet_files_take_few_jobs(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from cityloom.sources import landing
+
+    for i in range(2000):
+        pq.write_table(pa.table({"x": pa.array([i], pa.int64()), "y": ["a"]} if i % 2 else {"x": [str(i)], "z a": [i]}), tmp_path / f"{i:04d} %.parquet")
+    frames = []
+    assert jobs_of(spark, lambda: frames.extend(landing_frames(spark, str(tmp_path), by_schema=True))) < 60
+    assert sorted((frame.count(), tuple(frame.columns[:2])) for frame in frames) == [(1000, ("x", "y")), (1000, ("x", "z a"))]
+    # Where tasks cannot reach the files by themselves, the driver asks Spark for each.
+    for i in range(3, 2000):
+        (tmp_path / f"{i:04d} %.parquet").unlink()
+    monkeypatch.setattr(landing, "_footer", lambda name: (_ for _ in ()).throw(OSError("not reached")))
+    again = landing_frames(spark, str(tmp_path), by_schema=True)
+    assert sorted((frame.count(), tuple(frame.columns[:2])) for frame in again) == [(1, ("x", "y")), (2, ("x", "z a"))]
+
+
+def test_headers_after_blank_lines(spark, tmp_path):
+    put(tmp_path / "a.csv", "\n  \nx,y\n1,2\n")
+    put(tmp_path / "b.csv", "x,y\n3,4\n")
+    put(tmp_path / "c.csv", "\r\nx,z\r\n5,6\r\n")
+    put(tmp_path / "blank.csv", "\n\n")
+    frames = landing_frames(spark, str(tmp_path))
+    assert rows(conform_union(frames), "x", "y", "z") == [("1", "2", None), ("3", "4", None), ("5", None, "6")]
+    (tmp_path / "one").mkdir()
+    put(tmp_path / "one" / "a.csv", "\nx,y\n1,2\n")
+    assert rows(conform_union(landing_frames(spark, str(tmp_path / "one"))), "x", "y") == [("1", "2")]
+
+
+def test_a_file_without_a_header_in_its_first_piece_is_an_error(spark, tmp_path):
+    put(tmp_path / "a.csv", " \n" * 4000 + "x,y\n1,2\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        with pytest.raises(ValueError, match="no header at the beginning of .*a.csv"):
+            landing_frames(spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_more_files_of_a_header_than_a_plan_names(spark, tmp_path, monkeypatch):
     from cityloom.sources import landing
 

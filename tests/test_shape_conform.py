@@ -27,6 +27,19 @@ def test_union_types(spark):
     assert rows(conform_union([small, large, text, void])) == [("1",), (str(2**40),), ("z",), (None,)]
 
 
+def test_bigint_and_double_stay_numbers_where_a_type_holds_both(spark):
+    whole, large = spark.sql("SELECT 5L AS n UNION ALL SELECT NULL"), spark.sql(f"SELECT {2**62 + 1}L AS n")
+    half, tiny = spark.sql("SELECT 2.5D AS N"), spark.sql("SELECT 1e-30D AS n")
+    got = conform_union([whole, half, spark.sql("SELECT 7 AS n")])
+    assert dict(got.dtypes) == {"n": "double"} and rows(got) == [(2.5,), (5.0,), (7.0,), (None,)]
+    exact = conform_union([large, half])
+    assert dict(exact.dtypes) == {"n": "decimal(38,18)"} and sorted(float(r[0]) for r in exact.collect()) == [2.5, float(2**62)]
+    assert int(exact.agg(F.max("n")).first()[0]) == 2**62 + 1
+    assert dict(conform_union([large, tiny]).dtypes) == {"n": "string"}
+    assert dict(conform_union([spark.sql(f"SELECT {-2**63 + 1}L AS n"), spark.sql("SELECT double('nan') AS n")]).dtypes) == {"n": "string"}
+    assert dict(conform_union([whole, tiny, spark.sql("SELECT float(1.5) AS n")]).dtypes) == {"n": "double"}
+
+
 def test_union_merges_structs_and_turns_clashing_ones_to_text(spark):
     a = spark.sql("SELECT named_struct('x', 1) AS s")
     b = spark.sql("SELECT named_struct('x', 2, 'y', 'q') AS s")
