@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import os
 import string
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cityloom.session import MAX_SHUFFLE_PARTITIONS, MB_128, SHUFFLE_PARTITIONS_SETTING, stage
+
 #: A side of a join is broadcast only when its measured size stays below this, whatever the input's size.
 BROADCAST_BYTES = 16 << 20
 #: What a broadcast row costs beside its values.
@@ -76,23 +80,42 @@ def free_name(docs: DataFrame, name: str) -> str:
     return name
 
 
-def hash_sample(texts: DataFrame, group: str, each: int, groups: int = 10_000) -> DataFrame:
-    """About one and a half times ``each`` different texts of every group, with their hashes in ``key``: those with the lowest hashes.
+def hash_sample(texts: DataFrame, group: str, each: int) -> DataFrame:
+    """At most ``each`` different texts of every group, with their hashes in ``key``: those with the lowest hashes. A group with fewer texts is taken whole.
 
-    The hashes are spread evenly, so a bound for them follows from the number of different texts: one pass counts, one selects, however many
-    groups and rows there are. A group with fewer texts is taken whole. Take the ``each`` lowest of what comes back on the driver. More than
-    ``groups`` groups are an error.
+    The hashes are spread evenly, so a bound below which a little more than ``each`` texts of a group lie follows from the number of its different texts. One pass counts, another
+    joins the bounds, a row for each group, and only what lies below them, a bounded number of rows of a group, is ranked.
     """
     keyed = texts.withColumn("key", F.xxhash64("text"))
-    sizes = keyed.groupBy(group).agg(F.approx_count_distinct("key").alias("n")).limit(groups + 1).collect()
-    if len(sizes) > groups:
-        raise ValueError(f"more than {groups} values of {group}")
-    chosen = F.lit(False)
-    for row in sizes:
-        share = (1.5 * each + 100) / max(row["n"], 1)
-        low = F.lit(True) if share >= 1 else F.col("key") < -(1 << 63) + int(share * (1 << 64))
-        chosen = chosen | (F.col(group).eqNullSafe(F.lit(row[group])) & low)
-    return keyed.where(chosen).dropDuplicates(["key", group])
+    # The counts are estimates within a few hundredths; the margin makes too few texts below a bound next to impossible, however small ``each``.
+    share = F.lit(1.5 * each + 100) / F.col("n")
+    low = F.when(share >= 1, F.lit((1 << 63) - 1)).otherwise((share * float(1 << 64) - float(1 << 63)).cast("bigint"))
+    sizes = keyed.groupBy(F.col(group).alias("__group")).agg(F.approx_count_distinct("key").alias("n"))
+    bounds = size_guarded(stage(sizes.select("__group", low.alias("__low")), "bounds"))
+    below = keyed.join(bounds, F.col(group).eqNullSafe(F.col("__group"))).where("key <= __low").drop("__group", "__low").dropDuplicates(["key", group])
+    lowest = F.row_number().over(Window.partitionBy(group).orderBy("key"))
+    return below.withColumn("__place", lowest).where(F.col("__place") <= each).drop("__place")
+
+
+@contextmanager
+def sized_shuffles(docs: DataFrame) -> Iterator[None]:
+    """Within the block, shuffles begin with as many partitions as the bytes of a table ask for, one for 128 MB; run-time execution merges small ones but splits none outside joins.
+
+    The bytes are those that the plan knows of, the sizes of the files; nothing is read.
+    """
+    spark = docs.sparkSession
+    total = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    setting, most = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", int(spark.conf.get(SHUFFLE_PARTITIONS_SETTING, str(MAX_SHUFFLE_PARTITIONS)))
+    before = spark.conf.get(setting, None)
+    wanted = min(total // MB_128, most)
+    if wanted <= int(before or spark.conf.get("spark.sql.shuffle.partitions")):
+        yield
+        return
+    spark.conf.set(setting, str(wanted))
+    try:
+        yield
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
 
 
 def power_of_two(least: int) -> int:

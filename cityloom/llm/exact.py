@@ -1,25 +1,32 @@
 """Exact de-duplication with a two-pass Bloom filter.
 
-The first pass sets three bits per row in a filter cut into 64-bit words and keeps only those bits that
+The first pass sets three bits per row in a filter cut into pages and keeps only those bits that
 two or more rows have set. A row of which every bit was kept may have an equal partner; only such rows are shuffled
 by their hash, and all others pass straight through. What the filter wrongly lets through is sorted out by the exact grouping.
 
-The filter is a table of words, not an object of the driver: words without a kept bit do not exist, so its size follows the number
-of repeated texts. It is broadcast when measured to be small and joined by its word number otherwise.
+A row's bits lie in one page, and a page is one row of a table: 4 KB for the bits of some 2,000 rows. The pages are broadcast. Where they are too many for one broadcast, the
+hashes are dealt into files by ranges of pages, without a shuffle, and the ranges are looked up one after another, each in its own pages.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cityloom.llm.common import packed, power_of_two, same, size_guarded, text_of
-from cityloom.session import stage
+from cityloom.llm.common import packed, same, size_guarded, text_of
+from cityloom.session import scratch_dir, stage
 
 #: Deleted before texts are compared.
 WHITESPACE = r"[\x20\x09-\x0D]+"
-BITS_PER_ROW = 32
+#: With sixteen bits a row and three hashes, one single row in some two hundred passes by chance.
+BITS_PER_ROW = 16
 HASHES = 3
+#: Fixed value: bits of the bitmaps that Spark's functions make.
+PAGE_BITS = 1 << 15
+#: Bytes of pages that are broadcast at a time.
+PAGES_BYTES = 32 << 20
 
 
 def normalized(text: str | Column) -> Column:
@@ -27,42 +34,50 @@ def normalized(text: str | Column) -> Column:
     return F.regexp_replace(text_of(text), WHITESPACE, "")
 
 
-def _mask() -> Column:
-    mask = F.lit(0).cast("bigint")
-    for bit in _bits():
-        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit))
-    return mask
+def _places() -> list[Column]:
+    """Where in its page a row's bits are."""
+    mixed = F.xxhash64("row_hash", F.lit("bits"))
+    return [F.shiftrightunsigned(mixed, 15 * i).bitwiseAND(F.lit(PAGE_BITS - 1)) for i in range(HASHES)]
 
 
-def _bits() -> list[Column]:
-    mixed = F.xxhash64("row_hash", F.lit("bits"))
-    return [F.shiftrightunsigned(mixed, 6 * i).bitwiseAND(F.lit(63)).cast("int") for i in range(HASHES)]
+def _has_bit(page: Column, place: Column) -> Column:
+    byte = F.conv(F.hex(F.substring(page, F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.call_function("getbit", byte, (place % 8).cast("int")) == 1
 
 
-def twice_set(hashes: DataFrame, words: int) -> DataFrame:
-    """First pass: filter words (word, twice) holding the bits that at least two rows set.
+def twice_set(hashes: DataFrame, pages: int) -> DataFrame:
+    """First pass: filter pages (page, twice) holding the bits that at least two rows set; pages without one are left out.
 
-    Equal rows meet in the partial aggregation of each task, so a frequent text costs one small row per task.
+    What moves is up to three small rows a document, equal ones of a task as one, so a frequent text costs one small row per task. Bitmaps of each task would be larger
+    as soon as the rows are dealt to more than some dozens of tasks.
     """
-    slots = hashes.select(
-        F.pmod("row_hash", F.lit(words)).alias("word"), F.explode(F.array_distinct(F.array(*_bits()))).alias("bit")
-    )
-    repeated = slots.groupBy("word", "bit").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    set_bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit"))
-    return repeated.groupBy("word").agg(F.bit_or(set_bit).alias("twice"))
-
-
-def with_possible_repeats(hashes: DataFrame, bits_per_row: int = BITS_PER_ROW) -> DataFrame:
-    """Second pass: a staged table with column ``row_hash``, plus boolean ``may_repeat``; never false for a repeated hash."""
-    words = power_of_two(hashes.count() * bits_per_row // 64 + 1)
-    bloom = size_guarded(stage(twice_set(hashes, words), "bloom"))
-    mask = _mask()
-    return (
-        hashes.withColumn("word", F.pmod("row_hash", F.lit(words)))
-        .join(bloom, "word", "left")
-        .withColumn("may_repeat", F.coalesce(F.col("twice").bitwiseAND(mask) == mask, F.lit(False)))
-        .drop("word", "twice")
-    )
+    slots = hashes.select(F.pmod("row_hash", F.lit(pages)).alias("page"), F.explode(F.array_distinct(F.array(*_places()))).alias("place"))
+    repeated = slots.groupBy("page", "place").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    return repeated.groupBy("page").agg(F.bitmap_construct_agg("place").alias("twice"))
+
+
+def with_possible_repeats(hashes: DataFrame, bits_per_row: int = BITS_PER_ROW, pages_bytes: int | None = None) -> DataFrame:
+    """Second pass: a staged table with column ``row_hash``, plus boolean ``may_repeat``; never false for a repeated hash. No row is shuffled."""
+    pages = hashes.count() * bits_per_row // PAGE_BITS + 1
+    bloom = stage(twice_set(hashes, pages), "bloom")
+    at_a_time = max(1, (pages_bytes or PAGES_BYTES) // (PAGE_BITS // 8 + 64))
+    ranges = -(-bloom.count() // at_a_time)
+    paged = hashes.withColumn("page", F.pmod("row_hash", F.lit(pages)))
+    found = F.lit(True)
+    for place in _places():
+        found = found & _has_bit(F.col("twice"), place)
+
+    def looked_up(rows: DataFrame, part: DataFrame) -> DataFrame:
+        # About ``pages_bytes``.
+        return rows.join(F.broadcast(part), "page", "left").withColumn("may_repeat", F.coalesce(found, F.lit(False))).drop("page", "twice")
+
+    if ranges <= 1:
+        return looked_up(paged, bloom)
+    path = scratch_dir(hashes.sparkSession, "paged-hashes")
+    paged.withColumn("page_range", F.expr(f"page % {ranges}")).write.partitionBy("page_range").parquet(path)
+    dealt = hashes.sparkSession.read.parquet(path)
+    parts = [looked_up(dealt.where(F.col("page_range") == i).drop("page_range"), bloom.where(F.expr(f"page % {ranges}") == i)) for i in range(ranges)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def find_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", bits_per_row: int = BITS_PER_ROW) -> DataFrame:

@@ -26,7 +26,7 @@ SAMPLE = 4_000
 #: Up to so many languages each split of them into two sides is a bit; beyond, random bits are drawn.
 EXHAUSTIVE = 6
 BITS_PER_LANGUAGE_BIT = 12
-DRAWS = 200
+DRAWS, DRAWN = 200, 100_000_000
 PENALTY = 1e-5
 ROUNDS = 150
 #: Answers whose share is less than so much above the next one's are ambiguous.
@@ -44,7 +44,8 @@ def codewords(languages: int) -> np.ndarray:
     width = int(np.ceil(BITS_PER_LANGUAGE_BIT * np.log2(languages)))
     random = np.random.default_rng(7)
     best, distance = None, -1
-    for _ in range(DRAWS):
+    # Fewer draws where each takes long: random words of so many bits are far apart anyway.
+    for _ in range(max(1, min(DRAWS, DRAWN // (languages * languages)))):
         words = np.where(random.random((languages, width)) < 0.5, 1.0, -1.0)
         words = words[:, np.abs(words.sum(axis=0)) < languages]
         apart = (words.shape[1] - words @ words.T) / 2 + width * np.eye(languages)
@@ -130,7 +131,8 @@ def fit(profiles: np.ndarray, languages: list[str]) -> Model:
 def train(texts: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from columns text and lang; rows without a language or a letter teach nothing.
 
-    At most ``sample`` different texts, as many of each language, are used: a bounded sample, which the smallest hashes choose. Without rows
+    At most ``sample`` different texts, as many of each language, are used, but one of each at least: a bounded sample, which the smallest hashes choose. The driver holds it, 8 KB a
+    text, and so ``sample`` or the number of languages bounds it; weights and codewords grow with the logarithm of that number. Without rows
     every answer is undetermined; with one language every text with a letter is in it.
     """
     known = texts.where("lang IS NOT NULL").select(text_of("text").alias("text"), "lang")
@@ -142,11 +144,10 @@ def train(texts: DataFrame, sample: int = SAMPLE) -> Model:
             profiles = [profile(text).astype("<f2").tobytes() for text in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(profiles, pa.binary()), batch.column(1), batch.column(2)], ["profile", "lang", "key"])
 
-    languages = max(known.select(F.approx_count_distinct("lang")).first()[0], 1)
-    each = max(sample // languages, 1)
-    chosen = hash_sample(known, "lang", each).select("text", "lang", "key")
+    languages = max(known.select("lang").distinct().count(), 1)
+    chosen = hash_sample(known, "lang", max(sample // languages, 1)).select("text", "lang", "key")
     rows = chosen.mapInArrow(extract, "profile binary, lang string, key bigint").toPandas()
-    rows = rows.sort_values(["lang", "key"]).groupby("lang").head(each)
+    rows = rows.sort_values(["lang", "key"])
     profiles = np.stack([np.frombuffer(value, dtype="<f2") for value in rows["profile"]]).astype(np.float32) if len(rows) else np.zeros((0, 1 << BITS), dtype=np.float32)
     return fit(profiles, rows["lang"].tolist())
 

@@ -1,10 +1,9 @@
 """License scans by conditional compression.
 
 Around every place of a cue, as many words as a wording reaches on both sides are compressed twice: alone, and with that wording as a raw zstandard
-dictionary. How many bytes the dictionary saves, as a share of what the wording itself takes, ranks the licenses. A wording is confirmed by its words: those of
-both are aligned, and what is missing or put in between decides whether the statement is exact, modified, or not this license. Only wordings that lack
-too many of their words around the place are not compared, as no alignment could confirm them. The one with the most words in place is taken, of equal ones an
-exact one, then the first of the ranking; its words are taken out and the rest is looked at again.
+dictionary. The wordings are ranked by how many bytes they take off, and looked at in this order: the words of both are aligned, and what is missing or put in between decides whether the statement is exact, modified, or not
+this license. The first one that its words confirm is the statement; its words are taken out and the rest is looked at again. Wordings that lack
+too many of their words around the place are passed over, as no alignment could confirm them.
 """
 
 from __future__ import annotations
@@ -119,6 +118,8 @@ NAMING = frozenset(
 )
 #: The same in wordings so short that MOST_CHANGED allows fewer than LEAST_CHANGED words.
 NAMING_SHORT = NAMING | frozenset("all rights reserved general public license domain free documentation not no never non nor neither without except some".split())
+#: Before a short wording these say the opposite of it.
+NEGATIONS = frozenset("not no never nor neither without".split())
 _SPDX = re.compile(r"spdx-license-identifier:[ \t]*(\(*[a-z0-9.+-]+\)*(?:[ \t]+(?:and|or|with)[ \t]+\(*[a-z0-9.+-]+\)*)*)", re.IGNORECASE)
 
 
@@ -135,7 +136,7 @@ def words_of(text: str) -> list[str]:
 
 @dataclass(frozen=True)
 class Found:
-    """A confirmed statement: license, share saved, ``exact`` or ``modified``, and the words that differ."""
+    """A confirmed statement: license, bytes saved as a share of those that the wording saves of itself, ``exact`` or ``modified``, and the words that differ."""
 
     license: str
     saved: float
@@ -158,14 +159,21 @@ class Scanner:
             self.given[name] = zstandard.ZstdCompressor(level=LEVEL, dict_data=raw, write_content_size=False, write_dict_id=False)
             self.own[name] = len(self.plain.compress(data)) - len(self.given[name].compress(data))
 
-    def saved(self, words: list[str], name: str) -> float:
-        """Bytes that a wording saves of a block, as a share of those it saves of itself."""
-        data = " ".join(words).encode()
-        return (len(self.plain.compress(data)) - len(self.given[name].compress(data))) / self.own[name]
-
-    def ranking(self, words: list[str]) -> list[tuple[float, str]]:
-        """Licenses by the share they save of a block, the largest first."""
-        return sorted(((self.saved(words, name), name) for name in self.given), key=lambda entry: (-entry[0], -len(self.words[entry[1]]), entry[1]))
+    def reach(self, name: str) -> int:
+        """How many words before and behind a cue a statement can stand."""
+        return len(self.words[name]) + max(2, self.changes(name))
+
+    def ranking(self, words: list[str], at: int) -> list[tuple[int, str]]:
+        """All licenses by the bytes that their wordings take off the words around a place, most first; of equal ones the longer wording, then the smaller name."""
+        plain: dict[int, int] = {}
+        reduced = []
+        for name, compressor in self.given.items():
+            reach = self.reach(name)
+            data = " ".join(words[max(0, at - reach) : at + reach + 1]).encode()
+            if reach not in plain:
+                plain[reach] = len(self.plain.compress(data))
+            reduced.append((plain[reach] - len(compressor.compress(data)), name))
+        return sorted(reduced, key=lambda entry: (-entry[0], -len(self.words[entry[1]]), entry[1]))
 
     def changes(self, name: str) -> int:
         """Most words that a modified statement may lack or put in."""
@@ -173,8 +181,10 @@ class Scanner:
 
     def naming(self, word: str, name: str) -> bool:
         """Whether a word is part of the license's name or version."""
-        short = MOST_CHANGED * len(self.words[name]) < LEAST_CHANGED
-        return bool(re.search(r"\d", word)) or word in (NAMING_SHORT if short else NAMING)
+        return bool(re.search(r"\d", word)) or word in (NAMING_SHORT if self.short(name) else NAMING)
+
+    def short(self, name: str) -> bool:
+        return MOST_CHANGED * len(self.words[name]) < LEAST_CHANGED
 
     def possible(self, words: Iterable[str], names: Iterable[str]) -> list[str]:
         """Licenses that lack no word of their name and version and not more others than a modified statement may."""
@@ -196,25 +206,23 @@ class Scanner:
         lacking = [word for i, word in enumerate(wording) if i not in kept]
         added = [word for i, word in enumerate(words[begin:end], begin) if i not in matched and not isinstance(word, Numbering)]
         differences = " ".join([*(f"-{word}" for word in lacking), *(f"+{word}" for word in added)])
+        if self.short(name) and begin and words[begin - 1] in NEGATIONS:
+            return None
         if not differences:
             return "exact", "", begin, end
         if len(lacking) + len(added) <= self.changes(name) and not any(self.naming(word, name) for word in lacking + added):
             return "modified", differences, begin, end
         return None
 
-    def _best(self, words: list[str], at: int, names: list[str]) -> tuple[Found, int, int] | None:
-        """The statement around one place, and its span."""
-        confirmed = []
-        for name in names:
-            reach = len(self.words[name]) + max(2, self.changes(name))
-            low = max(0, at - reach)
-            block = words[low : at + reach + 1]
+    def _best(self, words: list[str], at: int) -> tuple[Found, int, int] | None:
+        """The statement around one place, and its span: the first of the ranking that its words confirm."""
+        for reduced, name in self.ranking(words, at):
+            low = max(0, at - self.reach(name))
+            block = words[low : at + self.reach(name) + 1]
             if self.possible(block, [name]) and (compared := self.compare(block, name)):
                 status, differences, begin, end = compared
-                saved = self.saved(block, name)
-                in_place = len(self.words[name]) - sum(word.startswith("-") for word in differences.split())
-                confirmed.append(((-in_place, status != "exact", -saved, name), Found(name, round(saved, 4), status, differences), low + begin, low + end))
-        return min(confirmed, key=lambda entry: entry[0])[1:] if confirmed else None
+                return Found(name, round(reduced / self.own[name], 4), status, differences), low + begin, low + end
+        return None
 
     def _places(self, words: list[str]) -> list[int]:
         """Numbers of the words at which a cue begins; what stands between words, line ends too, plays no part."""
@@ -234,14 +242,13 @@ class Scanner:
         spans = [(m.start(), m.group()) for m in _WORD.finditer(lowered)]
         starts = [start for start, _ in spans]
         words = [Numbering(word) if start in numbering else word.replace("licenc", "licens") for start, word in spans]
-        names = self.possible(words, self.words)
-        places, left, result = self._places(words) if names else [], list(range(len(words))), []
+        places, left, result = self._places(words) if self.possible(words, self.words) else [], list(range(len(words))), []
         more = bool(places)
         # What is taken out brings other words together, so all places are looked at until nothing more is found.
         while more:
             more = False
             for place in places:
-                while (at := bisect_left(left, place)) < len(left) and left[at] == place and (best := self._best(words, at, names)):
+                while (at := bisect_left(left, place)) < len(left) and left[at] == place and (best := self._best(words, at)):
                     found, begin, end = best
                     result.append((left[begin], left[end - 1], found))
                     del left[begin:end], words[begin:end]
@@ -289,6 +296,6 @@ def with_licenses(docs: DataFrame, templates: dict[str, str] | None = None, text
     """``docs`` with an array of the license statements of each text.
 
     All rows and other columns stay; a column named like the result is replaced. NULL and empty texts state nothing. Of wordings that save the same
-    share the longer one, then the smaller name, is tried first. Rows stand alone, so repeated rows and empty tables need no rule.
+    bytes the longer one, then the smaller name, is tried first. Rows stand alone, so repeated rows and empty tables need no rule.
     """
     return docs.drop(result).withColumn(result, license_statements(text_column, templates))

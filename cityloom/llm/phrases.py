@@ -106,30 +106,47 @@ def with_phrases(
     item_id_column: str = "item_id",
     item_text_column: str = "text",
     result: str = "phrases",
+    windows: DataFrame | None = None,
 ) -> DataFrame:
-    """``docs`` with a struct column: ``n_words`` and ``matches``, an array of (start, len, items) for every exact occurrence of a window.
+    """``docs`` with a struct column: ``n_words``, ``matches``, an array of (start, len, window_id) for every exact occurrence of a window, and ``items``, the sorted ids of the items
+    that hold one of these windows, each once.
 
     All columns and rows of ``docs`` stay; a column named like the result is replaced. NULL and empty texts have no words and no matches; empty
-    items match nothing; with an empty table of items there are no matches. Rows equal in id and text get equal results; NULL ids are ids like others.
+    items match nothing; with an empty table of items there are no matches. Rows equal in id and text get equal results; NULL ids are ids like others. ``windows`` may be given where the caller has them.
     """
-    windows = item_windows(items, window, item_id_column, item_text_column)
+    windows = item_windows(items, window, item_id_column, item_text_column) if windows is None else windows
     terms = vocabulary(windows)
     index = build_index(docs, terms, id_column, text_column)
     places = candidates(index, ranked_terms(index, windows, terms), probes)
-    places = places.join(size_guarded(windows), "window_id")
-    per_doc = places.groupBy(*_KEY).agg(F.array_sort(F.collect_set(F.struct("start", "len", "terms", "items"))).alias("places"))
-    rows = packed(docs.drop(result), id_column, text_column)
-    joined = rows.join(per_doc, same(rows, per_doc, *_KEY), "left").select("row", "places")
+    places = places.join(size_guarded(windows.select("window_id", "len", "terms")), "window_id")
+    per_doc = places.groupBy(*_KEY).agg(F.array_sort(F.collect_set(F.struct("start", "len", "window_id", "terms"))).alias("places"))
+    held = size_guarded(stage(per_doc, "places"))
+    texts = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(text_of(text_column)).alias("text_key"), F.col(text_column).alias("text"))
+    asked = texts.join(held, same(texts, held, *_KEY)).select(texts["doc_id"], texts["text_key"], "text", "places")
 
     def compare(words: Column) -> Column:
         equal = F.filter("places", lambda p: F.slice(words, p["start"] + 1, p["len"]) == p["terms"])
-        matches = F.transform(equal, lambda p: F.struct(p["start"].alias("start"), p["len"].alias("len"), p["items"].alias("items")))
-        return F.struct(F.size(words).cast("bigint").alias("n_words"), F.coalesce(matches, F.array().cast(matches_type)).alias("matches"))
+        return F.transform(equal, lambda p: F.struct(p["start"].alias("start"), p["len"].alias("len"), p["window_id"].alias("window_id")))
 
-    matches_type = "array<struct<start:int,len:int,items:array<string>>>"
     # The one-element array binds the words once for all comparisons.
-    compared = F.transform(F.array(words_of(F.col(f"row.`{text_column}`"))), compare)[0]
-    return joined.select("row", compared.alias("found")).select("row.*", F.col("found").alias(result))
+    compared = F.transform(F.array(words_of("text")), compare)[0]
+    found = stage(asked.select(*_KEY, compared.alias("matches")).where(F.size("matches") > 0).dropDuplicates([*_KEY]), "matches")
+    # Windows that occur, each once for a document, and what items hold them: never an item list for a place.
+    occurring = found.select(*_KEY, F.explode(F.array_distinct("matches.window_id")).alias("window_id"))
+    named = occurring.join(size_guarded(windows.select("window_id", "items")), "window_id").select(*_KEY, F.explode("items").alias("item")).distinct()
+    per_doc_items = stage(named.groupBy(*_KEY).agg(F.sort_array(F.collect_list("item")).alias("items")), "hit-items")
+    matched = found.join(per_doc_items, same(found, per_doc_items, *_KEY)).select(found["*"], "items")
+    # Texts are shuffled only where the matches are too many for a broadcast.
+    matched = size_guarded(stage(matched, "matched"))
+    rows = packed(docs.drop(result), id_column, text_column)
+    joined = rows.join(matched, same(rows, matched, *_KEY), "left").select("row", "matches", "items")
+    none = F.array().cast("array<struct<start:int,len:int,window_id:bigint>>")
+    counted = F.struct(
+        F.size(words_of(F.col(f"row.`{text_column}`"))).cast("bigint").alias("n_words"),
+        F.coalesce("matches", none).alias("matches"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+    )
+    return joined.select("row.*", counted.alias(result))
 
 
 def hit_words(matches: Column) -> Column:
@@ -138,11 +155,6 @@ def hit_words(matches: Column) -> Column:
     return F.size(F.array_distinct(F.flatten(covered))).cast("bigint")
 
 
-def hit_items(matches: Column) -> Column:
-    """Ids of the items with a match, as sorted strings."""
-    return F.array_sort(F.array_distinct(F.flatten(F.transform(matches, lambda m: m["items"]))))
-
-
 def without_contaminated(docs: DataFrame, items: DataFrame, **names: str) -> DataFrame:
     """The rows of ``docs`` in which no window of an item occurs, with their columns."""
     found = free_name(docs, "phrases")

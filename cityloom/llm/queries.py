@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import wraps
 from textwrap import dedent
@@ -10,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cityloom.llm import counts, exact, language, licenses, merkle, periodic, phrases, pieces, runs, shards, simhash, token_files, toxicity
-from cityloom.llm.common import ascii_lower, importable, text_of
-from cityloom.session import scratch_dir
+from cityloom.llm.common import ascii_lower, importable, sized_shuffles, text_of
+from cityloom.session import scratch_dir, stage
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -29,7 +30,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         @wraps(function)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             importable(spark)
-            return function(spark, sf_dir)
+            with sized_shuffles(table(spark, sf_dir, "documents")):
+                return function(spark, sf_dir)
 
         QUERIES[name] = run
         if sql is not None:
@@ -137,8 +139,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = phrases.with_phrases(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    matches = F.col("phrases.matches")
-    items = phrases.hit_items(matches)
+    matches, items = F.col("phrases.matches"), F.col("phrases.items")
     return found.select(
         "doc_id",
         F.col("phrases.n_words").alias("n_words"),
@@ -149,6 +150,52 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+NEAR = 5
+
+
+@query(
+    "decontamination_near",
+    rf"""
+    WITH items AS (
+        SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM benchmark
+    ), windows AS (
+        SELECT terms, len(terms) AS n, row_number() OVER () AS id FROM (
+            SELECT DISTINCT words[start + 1 : start + 10] AS terms
+            FROM (SELECT *, unnest(range(greatest(len(words) - 10, 0) + 1)) AS start FROM items WHERE len(words) > 0))
+    ), wanted AS (SELECT DISTINCT id, n, unnest(terms) AS term FROM windows
+    ), tokens AS (
+        SELECT doc_id, pos, words[pos + 1] AS term FROM (SELECT doc_id, words, unnest(range(len(words))) AS pos FROM (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM documents)) WHERE words[pos + 1] IN (SELECT term FROM wanted)
+    ), listed AS (SELECT term, count(*) AS postings FROM tokens GROUP BY term
+    ), ranked AS (
+        SELECT id, n, term, postings, row_number() OVER (PARTITION BY id ORDER BY postings, term) AS rank, count(*) OVER (PARTITION BY id) AS terms, count(postings) OVER (PARTITION BY id) AS found
+        FROM wanted LEFT JOIN listed USING (term)
+    ), anchors AS (
+        SELECT doc_id, id, n, terms, pos AS at FROM ranked JOIN tokens USING (term) WHERE rank = 1 AND found = terms
+    ), met AS (
+        SELECT a.doc_id, a.id, a.at, a.terms, count(DISTINCT r.term) AS others
+        FROM anchors a JOIN ranked r ON a.id = r.id AND r.rank > 1 JOIN tokens t ON t.doc_id = a.doc_id AND t.term = r.term AND abs(t.pos - a.at) <= a.n - 1 + {NEAR}
+        GROUP BY a.doc_id, a.id, a.at, a.terms
+    ), near AS (
+        SELECT doc_id, id, at FROM met WHERE others = terms - 1 UNION SELECT doc_id, id, at FROM anchors WHERE terms = 1
+    )
+    SELECT doc_id, count(id) AS n_near, count(DISTINCT id) AS n_windows FROM documents LEFT JOIN near USING (doc_id) GROUP BY doc_id
+    """,
+)
+def decontamination_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of each document at which all words of a benchmark window stand close together, in any order; exact matches are among them."""
+    docs = table(spark, sf_dir, "documents")
+    windows = phrases.item_windows(table(spark, sf_dir, "benchmark"))
+    terms = phrases.vocabulary(windows)
+    index = phrases.build_index(docs, terms)
+    near = phrases.proximity_matches(index, phrases.ranked_terms(index, windows, terms), NEAR)
+    counted = stage(near.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_near"), F.count_distinct("window_id").alias("n_windows")), "near")
+    found = docs.select("doc_id").join(counted, "doc_id", "left")
+    return found.select("doc_id", *[F.coalesce(name, F.lit(0)).alias(name) for name in ("n_near", "n_windows")])
+
+
 @query("op7_sentencepiece")
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = pieces.with_pieces(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary_path(PIECE_MODEL))
@@ -167,15 +214,23 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("token_ids").alias("ids_crc32"))
 
 
+def _as_re2(pattern: str) -> str:
+    """A character class of the operator in the spelling of the SQL's regular expressions; there, white space is less by itself."""
+    return re.sub(r"\\u([0-9A-F]{4})", r"\\x{\1}", pattern).replace(r"\s\p{Z}", r"\x{09}-\x{0D}\x{20}\p{Z}").replace(r"\x1C-\x1F\x85", r"\x{1C}-\x{1F}\x{85}")
+
+
+_LINE_WORD, _LINE_FILLED = _as_re2(runs.WORD), _as_re2(runs.FILLED)
+
+
 @query(
     "op5_line_dedup",
-    r"""
+    rf"""
     WITH lines AS (
-        SELECT doc_id, line_no, line, len(list_filter(string_split(line, ' '), lambda w: w <> '')) AS words,
+        SELECT doc_id, line_no, line, len(regexp_extract_all(line, '{_LINE_WORD}')) AS words,
             row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS pos
         FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line_no
             FROM documents)
-        WHERE trim(line) <> ''
+        WHERE regexp_matches(line, '{_LINE_FILLED}')
     ), summed AS (
         SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY pos) AS upto FROM lines
     ), listed AS (
@@ -193,7 +248,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), gone AS (
         SELECT DISTINCT doc_id, unnest(range(i, j + 1)) AS pos FROM later
     ), every_line AS (
-        SELECT doc_id, line, line_no, trim(line) <> '' AS filled, count(*) FILTER (trim(line) <> '') OVER (PARTITION BY doc_id ORDER BY line_no) AS pos
+        SELECT doc_id, line, line_no, regexp_matches(line, '{_LINE_FILLED}') AS filled, count(*) FILTER (regexp_matches(line, '{_LINE_FILLED}')) OVER (PARTITION BY doc_id ORDER BY line_no) AS pos
         FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line_no
             FROM documents)
     ), marked AS (

@@ -33,7 +33,9 @@ _SPACELESS = (
     r"\u0E00-\u109F\u1780-\u17FF\u1950-\u19DF\u1A20-\u1AAF\u1B00-\u1B7F\u3001-\u312F\u31A0-\u31FF\u3400-\u4DBF\u4E00-\u9FFF"
     r"\uA000-\uA4CF\uA980-\uA9FF\uAA60-\uAADF\uF900-\uFAFF\uFF61-\uFF9F\x{1B000}-\x{1B16F}\x{20000}-\x{3FFFF}"
 )
-_WORD = rf"[{_SPACELESS}]|[^{_SPACE}{_SPACELESS}]+"
+WORD = rf"[{_SPACELESS}]|[^{_SPACE}{_SPACELESS}]+"
+#: A character that makes a line count.
+FILLED = rf"[^{_SPACE}]"
 #: All white space but the blank and all spaceless scripts are among these, and little else, so that most lines are counted by their blanks.
 _OTHER = r"[\x00-\x1F\x7F-\xA0\u0E00-\u200B\u2028-\u202F\u205F\u3000-\x{10FFFF}]"
 
@@ -41,14 +43,14 @@ _OTHER = r"[\x00-\x1F\x7F-\xA0\u0E00-\u200B\u2028-\u202F\u205F\u3000-\x{10FFFF}]
 def line_words(line: Column) -> Column:
     """Words of a line: what white space separates, and each character of a script without spaces. 0 for a blank line only."""
     plain = F.size(F.array_remove(F.split(line, " "), ""))
-    return F.when(line.rlike(_OTHER), F.regexp_count(line, F.lit(_WORD))).otherwise(plain)
+    return F.when(line.rlike(_OTHER), F.regexp_count(line, F.lit(WORD))).otherwise(plain)
 
 
 def line_table(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """The lines that are not blank, in one staged row each: document, ``line_no``, ``pos`` among them, two hashes, ``words``."""
     text = text_of(text_column)
     lines = F.transform(F.split(text, "\n"), lambda line, i: F.struct(i.alias("line_no"), line.alias("line")))
-    filled = F.filter(lines, lambda x: x["line"].rlike(rf"[^{_SPACE}]"))
+    filled = F.filter(lines, lambda x: x["line"].rlike(FILLED))
     rows = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(text).alias("text_key"), F.posexplode(filled).alias("pos", "x"))
     line = F.col("x.line")
     hashes = (F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2"))
@@ -165,6 +167,8 @@ def without_repeated_runs(
     copies = repeated_runs(docs, min_words, id_column, text_column)
     line_range = F.struct(F.col("first_line").alias("first"), F.col("last_line").alias("last"))
     per_doc = _merged(copies).groupBy(*_KEY).agg(F.sort_array(F.collect_set(line_range)).alias("ranges"))
+    # Texts are shuffled only where the ranges are too many for a broadcast.
+    per_doc = size_guarded(stage(per_doc, "ranges"))
     rows = packed(docs.drop(result), id_column, text_column)
     joined = rows.join(per_doc, same(rows, per_doc, *_KEY), "left").select("row", "ranges")
     text = F.col(f"row.`{text_column}`")

@@ -4,8 +4,9 @@ Fingerprints are cut into blocks. Two that differ in at most ``distance`` bits a
 choice of the other blocks as join key. More blocks give longer keys: their number follows from that of the fingerprints, so that a key
 holds few by chance; the links found are the same for any number.
 
-A key with many fingerprints is not expanded into pairs. Its members are linked through midpoints: two fingerprints are within an even
-distance of each other exactly if some 64-bit word is within half of it of both. Every member lists those words, and members with a word in common
+A key with many fingerprints is not expanded into pairs. Its members are dealt once more, by blocks of the bits that the key leaves out. Keys that stay crowded hold dense points, and
+these are linked through midpoints: two fingerprints are within an even
+distance of each other exactly if some 64-bit word is within half of it of both. Every such member lists those words, and members with a word in common
 are linked to the smallest of them. That loses no link and gives rows in proportion to the members.
 """
 
@@ -27,8 +28,10 @@ from cityloom.llm.components import components
 from cityloom.session import stage
 
 SEED = 42
-#: Members of a join key beyond which they are linked through midpoints and not as pairs.
+#: Members of a join key beyond which they are not expanded into pairs.
 PAIRED_MEMBERS = 32
+#: By so many blocks more than the distance a crowded key is dealt once more.
+FINER_BLOCKS = 2
 #: Bytes of a text that are worked on at a time, and shingles whose bits are added at a time.
 STRETCH = 1 << 20
 _CHUNK = 1 << 16
@@ -116,29 +119,55 @@ def _midpoints(members: DataFrame, radius: int) -> DataFrame:
     return result
 
 
+def _finer_masks(mask: int, distance: int) -> list[int]:
+    """The bits that a key leaves out, cut into blocks once more: for each choice of blocks that agree, their bits."""
+    left = [bit for bit in range(64) if not mask >> bit & 1]
+    blocks = min(len(left), distance + FINER_BLOCKS)
+    if blocks <= distance:
+        return []
+    edges = [len(left) * i // blocks for i in range(blocks + 1)]
+    parts = [sum(1 << bit for bit in left[edges[i] : edges[i + 1]]) for i in range(blocks)]
+    return [_signed(sum(kept)) for kept in combinations(parts, blocks - distance)]
+
+
+def _near_pairs(members: DataFrame, distance: int, *key: str) -> DataFrame:
+    left, right = (members.select(*key, F.col("point").alias(name)) for name in "ab")
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
+    return left.join(right, list(key)).where((F.col("a") > F.col("b")) & near).select("a", "b")
+
+
+def _by_size(keyed: DataFrame, label: str, paired_members: int, *key: str) -> tuple[DataFrame, DataFrame]:
+    """Points of keys that several share: those of keys with few of them, and those of crowded ones."""
+    shared = stage(keyed.groupBy(*key).agg(F.count(F.lit(1)).alias("members")).where("members > 1"), f"{label}-keys")
+    members = stage(keyed.join(size_guarded(shared), list(key)), f"{label}-members")
+    few = F.col("members") <= paired_members
+    return members.where(few), members.where(~few)
+
+
 def near_links(points: DataFrame, distance: int, paired_members: int = PAIRED_MEMBERS) -> DataFrame:
     """Links (a, b) between different fingerprints that connect all within ``distance`` bits of each other.
 
-    ``points`` is a staged table of distinct bigint values in column ``point``. Every link joins two that are near; of a crowded key not every near pair is
-    listed, but all its near pairs are connected. ``distance`` is even.
+    ``points`` is a staged table of distinct bigint values in column ``point``. Every link joins two that are near. The points of a crowded key are dealt once more, by blocks of the bits
+    that the key leaves out, of which near ones share a choice, too. Only of what stays crowded, points that are dense, not every near pair is listed, but all are connected, through the words between them. ``distance`` is even.
     """
     if distance < 0 or distance % 2:
         raise ValueError("the distance must be even")
     masks = _masks(_blocks(points.count(), distance), distance)
     keys = [F.struct(F.lit(i).alias("choice"), F.col("point").bitwiseAND(F.lit(mask)).alias("key")) for i, mask in enumerate(masks)]
     keyed = points.select("point", F.explode(F.array(*keys)).alias("k")).select("point", "k.*")
-    shared = stage(keyed.groupBy("choice", "key").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "keys")
-    members = stage(keyed.join(size_guarded(shared), ["choice", "key"]), "members")
-    paired = members.where(F.col("members") <= paired_members)
-    left = paired.select("choice", "key", F.col("point").alias("a"))
-    right = paired.select("choice", "key", F.col("point").alias("b"))
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-    pairs = left.join(right, ["choice", "key"]).where((F.col("a") > F.col("b")) & near).select("a", "b")
-    crowded = members.where(F.col("members") > paired_members).select("point").distinct()
-    middle = stage(_midpoints(crowded, distance // 2), "midpoints")
-    least = middle.groupBy("word").agg(F.min("point").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").select("word", "b")
-    stars = middle.join(least, "word").where("point > b").select(F.col("point").alias("a"), "b").distinct()
-    return pairs.distinct().union(stars)
+    paired, crowded = _by_size(keyed, "block", paired_members, "choice", "key")
+    links = _near_pairs(paired, distance, "choice", "key")
+    if not crowded.isEmpty():
+        finer = [(i, sub, bits) for i, mask in enumerate(masks) for sub, bits in enumerate(_finer_masks(mask & (1 << 64) - 1, distance))]
+        # As many rows as choices of blocks, whatever the points.
+        finer = F.broadcast(points.sparkSession.createDataFrame(finer, "choice int, sub int, bits bigint"))
+        again = crowded.join(finer, "choice").select("choice", "key", "sub", F.col("point").bitwiseAND(F.col("bits")).alias("subkey"), "point")
+        finer_paired, dense = _by_size(again, "finer", paired_members, "choice", "key", "sub", "subkey")
+        links = links.union(_near_pairs(finer_paired, distance, "choice", "key", "sub", "subkey"))
+        middle = stage(_midpoints(dense.select("point").distinct(), distance // 2), "midpoints")
+        least = middle.groupBy("word").agg(F.min("point").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").select("word", "b")
+        links = links.union(middle.join(least, "word").where("point > b").select(F.col("point").alias("a"), "b"))
+    return links.distinct()
 
 
 def near_duplicates(
@@ -170,8 +199,11 @@ def one_of_each(docs: DataFrame, shingle: int = 4, distance: int = 4, id_column:
     Rows with NULL ids stay only where their whole component has none; rows that repeat the staying id all stay.
     """
     found = near_duplicates(docs, shingle, distance, id_column, text_column)
-    kept = found.where(F.col(id_column).eqNullSafe(F.col("component_id"))).select(F.col(id_column).alias("__id")).distinct()
-    return docs.join(kept, docs[id_column].eqNullSafe(kept["__id"]), "left_semi")
+    stays = F.bool_or(F.col(id_column).eqNullSafe(F.col("component_id")))
+    # The ids that go are the fewer ones: texts are shuffled only where even these are too many for a broadcast.
+    gone = found.groupBy(F.col(id_column).alias("__id")).agg(stays.alias("stays")).where("NOT stays").select("__id")
+    gone = size_guarded(stage(gone, "gone"))
+    return docs.join(gone, docs[id_column].eqNullSafe(gone["__id"]), "left_anti")
 
 
 def hex_fingerprint(column: str = "fingerprint") -> Column:

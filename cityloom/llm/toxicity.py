@@ -115,7 +115,7 @@ def sample_features(texts: DataFrame, buckets: np.ndarray, each: int = SAMPLE) -
 
     sample = hash_sample(texts.select("text", "label"), "label", each).select("text", "label", "key")
     rows = sample.mapInArrow(extract, "features array<int>, label int, key bigint").toPandas()
-    rows = rows.sort_values(["label", "key"]).groupby("label").head(each)
+    rows = rows.sort_values(["label", "key"])
     return [np.asarray(held, dtype=np.int64) for held in rows["features"]], rows["label"].to_numpy()
 
 
@@ -178,8 +178,12 @@ def toxic_score(model: Model, text: str | Column) -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label_column: str = "toxic", id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Training rows (text, label): documents with a label whose id's checksum leaves a remainder by 5. NULL ids have no label."""
-    slim = labels.select(F.col(id_column).alias("__id"), F.col(label_column).alias("label")).where("__id IS NOT NULL AND label IS NOT NULL")
+    """Training rows (text, label): documents with a label whose id's checksum leaves a remainder by 5.
+
+    NULL ids have no label. Labels that repeat for an id count once; an id with different ones teaches nothing. Documents that repeat an id each have its label.
+    """
+    each = labels.select(F.col(id_column).alias("__id"), F.col(label_column).alias("label")).where("__id IS NOT NULL AND label IS NOT NULL")
+    slim = each.groupBy("__id").agg(F.min("label").alias("label"), F.max("label").alias("other")).where("label = other").drop("other")
     slim = size_guarded(stage(slim, "labels"))
     rows = docs.select(F.col(id_column).alias("__id"), F.col(text_column).alias("text")).where(~held_out("__id"))
     return rows.join(slim, "__id").select("text", "label")

@@ -6,6 +6,7 @@ from conftest import TESTDATA
 from messy import CASES, empty, messy
 
 from cityloom.llm import grams, language, queries, toxicity
+from cityloom.llm.common import hash_sample
 from pyspark.sql import functions as F
 
 SF = str(TESTDATA / "sf0.01")
@@ -54,6 +55,39 @@ def test_held_out_rows_teach_nothing(spark):
     assert taught == {i for i in range(100) if zlib.crc32(str(i).encode()) % 5}
 
 
+def test_labels_that_differ_teach_nothing(spark):
+    docs = spark.range(40).selectExpr("id AS doc_id", "string(id) AS text")
+    labels = docs.selectExpr("doc_id", "1 AS toxic").union(docs.selectExpr("doc_id", "1 AS toxic")).union(docs.where("doc_id < 20").selectExpr("doc_id", "0 AS toxic"))
+    taught = [int(r.text) for r in toxicity.labelled(docs, labels).collect()]
+    assert sorted(taught) == [i for i in range(20, 40) if zlib.crc32(str(i).encode()) % 5]
+
+
+@pytest.mark.parametrize("each", [1, 7, 500])
+def test_samples_are_the_lowest_hashes_of_every_group(spark, each):
+    rows = [(f"text {i % 900}", None if i % 11 == 0 else f"g{i % 3}") for i in range(3000)] + [("only one", "rare")] * 5
+    frame = spark.createDataFrame(rows, "text string, lang string")
+    got = {(r.lang, r.text) for r in hash_sample(frame, "lang", each).collect()}
+    keyed = frame.distinct().withColumn("key", F.xxhash64("text")).collect()
+    expected = set()
+    for lang in {r.lang for r in keyed}:
+        expected |= {(lang, r.text) for r in sorted((r for r in keyed if r.lang == lang), key=lambda r: r.key)[:each]}
+    assert got == expected
+
+
+def test_thousands_of_languages(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda i: letters[i % 26] + letters[i // 26 % 26] + letters[i // 676]
+    rows = [(f"{word(i)} {word(i)} {n}", f"l{i:04d}") for i in range(5000) for n in ("", "x")]
+    frame = spark.createDataFrame(rows, "text string, lang string")
+    sample = hash_sample(frame, "lang", 1)
+    assert sample.count() == sample.select("lang").distinct().count() == 5000
+    words = language.codewords(5000)
+    assert words.shape[0] == 5000 and len({tuple(row) for row in words}) == 5000
+    model = language.train(frame.where("lang < 'l0300'"), sample=300)
+    assert len(model.languages) == 300
+    assert model.answer(f"{word(7)} {word(7)}")[0] in model.languages
+
+
 @needs_tables
 def test_toxicity_on_held_out_rows(spark):
     found = queries.QUERIES["op2_toxicity"](spark, SF)

@@ -36,17 +36,32 @@ def test_matches_equal_brute_force(spark, probes, window):
     wanted = windows(items, window)
     benchmark = spark.createDataFrame(items, "item_id int, text string")
     docs = messy(spark, cases).withColumn("phrases", F.lit("old"))
-    found = phrases.with_phrases(docs, benchmark, window=window, probes=probes)
+    cut = phrases.item_windows(benchmark, window)
+    held = {r.window_id: tuple(r["items"]) for r in cut.collect()}
+    found = phrases.with_phrases(docs, benchmark, window=window, probes=probes, windows=cut)
     assert found.columns == docs.columns
     rows = found.select("doc_id", "text", "row", "phrases", phrases.hit_words("phrases.matches").alias("n_hit")).collect()
     assert len(rows) == len(cases)
     for r in rows:
         expected = matches(r.text, wanted)
-        assert sorted((m.start, m.len, tuple(m["items"])) for m in r.phrases.matches) == expected
+        assert sorted((m.start, m.len, held[m.window_id]) for m in r.phrases.matches) == expected
+        assert r.phrases["items"] == sorted({i for _, _, ids in expected for i in ids})
         assert r.phrases.n_words == len(words(r.text))
         assert r.n_hit == len({p for start, n, _ in expected for p in range(start, start + n)})
 
 
+def test_a_popular_window_costs_no_item_list_for_each_place(spark, monkeypatch):
+    phrase = " ".join(f"p{i}" for i in range(10))
+    items = spark.createDataFrame([(i, phrase) for i in range(300)], "item_id int, text string")
+    docs = spark.createDataFrame([(i, " and ".join([phrase] * 30)) for i in range(20)], "doc_id int, text string")
+    staged = {}
+    inner = phrases.stage
+    monkeypatch.setattr(phrases, "stage", lambda df, label: staged.setdefault(label, inner(df, label)))
+    rows = phrases.with_phrases(docs, items).collect()
+    assert all(len(r.phrases.matches) == 30 and r.phrases["items"] == sorted(str(i) for i in range(300)) for r in rows)
+    assert "items" not in staged["places"].schema["places"].dataType.elementType.names and staged["hit-items"].count() == 20
+
+
 def test_contaminated_rows_go_with_all_columns(spark):
     items = spark.createDataFrame([(1, "quick brown fox")], "item_id int, text string")
     docs = messy(spark)
@@ -59,7 +74,7 @@ def test_empty_tables(spark):
     items = spark.createDataFrame([(1, "a b")], "item_id int, text string")
     assert phrases.with_phrases(empty(spark), items).collect() == []
     rows = phrases.with_phrases(messy(spark), items.limit(0)).collect()
-    assert len(rows) == len(CASES) and all(r.phrases.matches == [] for r in rows)
+    assert len(rows) == len(CASES) and all(r.phrases.matches == [] == r.phrases["items"] for r in rows)
 
 
 @pytest.mark.parametrize("slop", [0, 3])

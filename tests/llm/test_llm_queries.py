@@ -1,15 +1,18 @@
 import hashlib
+import math
 import struct
+import zlib
 
 import duckdb
 import pytest
 from conftest import TESTDATA
+from messy import CASES, empty, messy
 from test_llm_phrases import words
 from test_llm_runs import shorter
 from test_llm_simhash import roots, slow_fingerprint
 
 import corpus_pipeline
-from cityloom.llm import queries
+from cityloom.llm import grams, language, queries, toxicity
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 sentencepiece = pytest.importorskip("sentencepiece")
@@ -85,3 +88,56 @@ def test_stages_but_the_last_return_the_columns_of_documents(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "simhash_near_dedup", "decontamination", "sentencepiece"]
     for _, stage in corpus_pipeline.STAGES[1:4]:
         assert sorted(stage(spark, docs, SF).dtypes) == sorted(docs.dtypes)
+
+
+def test_stages_over_an_empty_table_and_messy_rows(spark, tmp_path):
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    for docs in (empty(spark), messy(spark, [*CASES, (50, "word " * 40), (50, "word " * 40)])):
+        for _, stage in corpus_pipeline.STAGES[:4]:
+            found = stage(spark, docs, str(tmp_path))
+            assert sorted(found.dtypes) == sorted(docs.dtypes)
+            rows = found.collect()
+            assert len(rows) <= docs.count()
+        coded = corpus_pipeline.STAGES[4][1](spark, docs, str(tmp_path)).collect()
+        assert len(coded) == docs.count() and all(r.n_tokens >= 2 for r in coded)
+
+
+def test_toxicity_query_follows_its_definition(spark):
+    """Scores by hand from the model: the sum of the weights of the distinct n-grams that a whole text holds."""
+    docs = queries.table(spark, SF, "documents").select("doc_id", "text")
+    model = toxicity.train(toxicity.labelled(docs, queries.table(spark, SF, "labels")))
+    weights = dict(zip(model.buckets.tolist(), model.weights.tolist(), strict=True))
+    rows = queries.QUERIES["op2_toxicity"](spark, SF).collect()
+    texts = dict(table("documents", "doc_id, text"))
+    assert len(rows) == len(texts)
+    for r in rows:
+        points = grams.code_points(texts[r.doc_id].lower())
+        held = {b for size in toxicity.SIZES for b in grams.buckets(points, (size,), toxicity.BITS).tolist()}
+        margin = sum(weights.get(b, 0.0) for b in held) + model.bias
+        assert r.score == pytest.approx(1 / (1 + math.exp(-margin)), abs=1e-6) and r.predicted == int(r.score >= 0.5)
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+
+
+def test_language_query_follows_its_definition(spark):
+    """Every language's codeword, its loss summed up bit by bit, and the least one."""
+    docs = queries.table(spark, SF, "documents").select("text", "lang", toxicity.held_out("doc_id").alias("held_out"))
+    model = language.train(docs.where("NOT held_out").select("text", "lang"))
+    rows = queries.QUERIES["op3_language_id"](spark, SF).collect()
+    texts = dict(table("documents", "doc_id, text"))
+    for r in rows[::4]:
+        margins = language.profile(texts[r.doc_id]) @ model.weights + model.bias
+        losses = [sum(t * math.log1p(math.exp(-m * w)) for m, w, t in zip(margins, word, trust, strict=True)) for word, trust in zip(model.words, model.trust, strict=True)]
+        assert r.lang_pred == model.languages[losses.index(min(losses))]
+
+
+def test_token_file_query_equals_the_library(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    tokenizer = tokenizers.Tokenizer.from_file(public_tokenizers.path(queries.BYTE_TOKENIZER))
+    rows = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in queries.QUERIES["op10_token_files"](spark, SF).collect()}
+    at, expected = 0, {}
+    for i, text in sorted(table("documents", "doc_id, text")):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+        expected[i] = (at, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))
+        at += len(ids)
+    assert rows == expected

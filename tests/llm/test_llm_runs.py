@@ -1,5 +1,7 @@
+import duckdb
 import pytest
 from messy import CASES, empty, messy, random_texts
+from test_llm_run_words import counted
 
 from cityloom.llm.runs import without_repeated_runs
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ def shorter(cases, least):
     docs = []
     for i, text in cases:
         lines = (text or "").split("\n")
-        docs.append((i, text, [n for n, line in enumerate(lines) if line.strip(" ")], lines))
+        docs.append((i, text, [n for n, line in enumerate(lines) if counted(line)], lines))
     order = sorted({(i is not None, i or 0, text or "") for i, text, _, _ in docs})
     first, removed = {}, [set() for _ in docs]
     # Documents with equal ids are ordered by a hash that is not rebuilt here: the cases have different ids or equal texts.
@@ -22,7 +24,7 @@ def shorter(cases, least):
             run, words = (), 0
             for b in range(a, len(filled)):
                 run += (lines[filled[b]],)
-                words += len([w for w in run[-1].split(" ") if w])
+                words += counted(run[-1])
                 if words >= least:
                     if run in first:
                         gone |= set(range(a, b + 1))
@@ -48,6 +50,20 @@ def test_texts_equal_brute_force(spark, seed, least):
     assert sorted(((r.text_key, r.text) for r in got.collect()), key=str) == sorted(enumerate(shorter(cases, least)), key=str)
 
 
+def test_sql_has_the_same_rule(spark, tmp_path):
+    from cityloom.llm import queries
+
+    tabs = ["\t".join(f"field{i}.{n}" for i in range(60)) for n in range(12)]
+    chinese, blank = "漢字" * 30, "\u3000\t "
+    cases = [(1, "\n".join(tabs)), (2, "\n".join(["head", *tabs[:6], blank, *tabs[6:]])), (3, f"a\n{chinese}"), (4, f"{chinese}\nb"), (5, "one\u00a0two " * 30), (6, "x\n" + "one\u00a0two " * 30), (7, None), (8, "สวัสดี" * 9), (9, "สวัสดี" * 9)]
+    spark.createDataFrame(cases, "doc_id int, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(tuple(r) for r in queries.QUERIES["op5_line_dedup"](spark, str(tmp_path)).select("doc_id", "n_lines", "n_removed", "text_sha256").collect())
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == sorted(connection.execute(queries.SQL["op5_line_dedup"]).fetchall())
+    assert [n for _, _, n, _ in got] == [0, 13, 0, 1, 0, 1, 0, 0, 1]
+
+
 def test_long_copies_leave_the_first_alone(spark):
     body = "\n".join(f"line {i} of a long text" for i in range(400))
     cases = [(3, body), (1, f"head\n{body}\ntail"), (2, body), (9, "short")]

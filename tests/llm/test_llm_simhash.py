@@ -68,6 +68,33 @@ def test_links_connect_all_near_points_and_no_others(spark, distance, paired):
     assert {p: got.get(p, p) for p in points} == roots(points, distance)
 
 
+def test_a_crowded_key_of_scattered_points_needs_no_midpoints(spark, monkeypatch):
+    chosen = random.Random(6)
+    # All share a third of their bits, so that keys are crowded, and pairs of them are near.
+    low = chosen.getrandbits(24)
+    points = {low | chosen.getrandbits(40) << 24 for _ in range(150)}
+    points |= {p ^ 1 << chosen.randrange(24, 64) ^ 1 << chosen.randrange(24, 64) for p in list(points)[:60]}
+    signed = sorted(p - (1 << 64) if p >> 63 else p for p in points)
+    staged = {}
+    inner = simhash.stage
+    monkeypatch.setattr(simhash, "stage", lambda df, label: staged.setdefault(label, inner(df, label)))
+    links = near_links(spark.createDataFrame([(p,) for p in signed], "point bigint"), 4, 32)
+    got = {r.node: r.root for r in components(links).collect()}
+    assert {p: got.get(p, p) for p in signed} == roots(signed, 4)
+    assert staged["midpoints"].count() == 0 < staged["finer-members"].count()
+
+
+def test_finer_blocks_cover_the_distance():
+    for mask in (m % (1 << 64) for m in _masks(6, 4)):
+        left = [bit for bit in range(64) if not mask >> bit & 1]
+        finer = [m % (1 << 64) for m in simhash._finer_masks(mask, 4)]
+        assert all(not m & mask and m for m in finer)
+        chosen = random.Random(mask)
+        for _ in range(100):
+            flipped = sum(1 << b for b in chosen.sample(left, 4))
+            assert any(not flipped & m for m in finer)
+
+
 def test_odd_distances_are_refused(spark):
     with pytest.raises(ValueError):
         near_links(spark.range(3).toDF("point"), 3)
