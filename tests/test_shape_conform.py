@@ -140,5 +140,5 @@ def test_shape(spark):
 
 def test_large_integers_survive_a_union_with_floating_numbers(spark):
     whole, part = spark.sql("SELECT 9007199254740993L AS v"), spark.sql("SELECT 0.5D AS v")
-    assert rows(conform_union([whole, part])) == [("0.5",), (str(2**53 + 1),)]
+    assert [str(r[0]).rstrip("0") for r in conform_union([whole, part]).orderBy("v").collect()] == ["0.5", f"{2**53 + 1}."]
     assert rows(conform_union([spark.sql("SELECT 7 AS v"), part])) == [(0.5,), (7.0,)]
