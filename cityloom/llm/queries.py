@@ -173,13 +173,13 @@ NEAR = 5
         SELECT id, n, term, postings, row_number() OVER (PARTITION BY id ORDER BY postings, term) AS rank, count(*) OVER (PARTITION BY id) AS terms, count(postings) OVER (PARTITION BY id) AS found
         FROM wanted LEFT JOIN listed USING (term)
     ), anchors AS (
-        SELECT doc_id, id, n, terms, pos AS at FROM ranked JOIN tokens USING (term) WHERE rank = 1 AND found = terms
+        SELECT doc_id, id, n, terms, pos AS place FROM ranked JOIN tokens USING (term) WHERE rank = 1 AND found = terms
     ), met AS (
-        SELECT a.doc_id, a.id, a.at, a.terms, count(DISTINCT r.term) AS others
-        FROM anchors a JOIN ranked r ON a.id = r.id AND r.rank > 1 JOIN tokens t ON t.doc_id = a.doc_id AND t.term = r.term AND abs(t.pos - a.at) <= a.n - 1 + {NEAR}
-        GROUP BY a.doc_id, a.id, a.at, a.terms
+        SELECT a.doc_id, a.id, a.place, a.terms, count(DISTINCT r.term) AS others
+        FROM anchors a JOIN ranked r ON a.id = r.id AND r.rank > 1 JOIN tokens t ON t.doc_id = a.doc_id AND t.term = r.term AND abs(t.pos - a.place) <= a.n - 1 + {NEAR}
+        GROUP BY a.doc_id, a.id, a.place, a.terms
     ), near AS (
-        SELECT doc_id, id, at FROM met WHERE others = terms - 1 UNION SELECT doc_id, id, at FROM anchors WHERE terms = 1
+        SELECT doc_id, id, place FROM met WHERE others = terms - 1 UNION SELECT doc_id, id, place FROM anchors WHERE terms = 1
     )
     SELECT doc_id, count(id) AS n_near, count(DISTINCT id) AS n_windows FROM documents LEFT JOIN near USING (doc_id) GROUP BY doc_id
     """,
