@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cityloom.llm.common import ascii_lower, free_name, packed, same, size_guarded, text_of
+from cityloom.llm.common import ascii_lower, packed, same, size_guarded, text_of
 from cityloom.session import stage
 
 #: What stands between words once A-Z are in lower case: ASCII other than digits and a-z.
@@ -23,6 +23,7 @@ WINDOW = 10
 PROBES = 3
 
 _KEY = ("doc_id", "text_key")
+_MATCHES = "array<struct<start:int,len:int,window_id:bigint>>"
 
 
 def words_of(text: str | Column) -> Column:
@@ -96,7 +97,7 @@ def candidates(index: DataFrame, ranked: DataFrame, probes: int = PROBES) -> Dat
     return found
 
 
-def with_phrases(
+def find_phrases(
     docs: DataFrame,
     items: DataFrame,
     window: int = WINDOW,
@@ -105,13 +106,12 @@ def with_phrases(
     text_column: str = "text",
     item_id_column: str = "item_id",
     item_text_column: str = "text",
-    result: str = "phrases",
     windows: DataFrame | None = None,
 ) -> DataFrame:
-    """``docs`` with a struct column: ``n_words``, ``matches``, an array of (start, len, window_id) for every exact occurrence of a window, and ``items``, the sorted ids of the items
-    that hold one of these windows, each once.
+    """A row for each row of ``docs``: ``doc_id``, ``text_key`` (a hash of the text) and a struct ``phrases`` with ``n_words``, ``matches``, an array of (start, len, window_id) for every exact occurrence of
+    a window, and ``items``, the sorted ids of the items that hold one of these windows, each once.
 
-    All columns and rows of ``docs`` stay; a column named like the result is replaced. NULL and empty texts have no words and no matches; empty
+    NULL and empty texts have no words and no matches; empty
     items match nothing; with an empty table of items there are no matches. Rows equal in id and text get equal results; NULL ids are ids like others. ``windows`` may be given where the caller has them.
     """
     windows = item_windows(items, window, item_id_column, item_text_column) if windows is None else windows
@@ -120,33 +120,31 @@ def with_phrases(
     places = candidates(index, ranked_terms(index, windows, terms), probes)
     places = places.join(size_guarded(windows.select("window_id", "len", "terms")), "window_id")
     per_doc = places.groupBy(*_KEY).agg(F.array_sort(F.collect_set(F.struct("start", "len", "window_id", "terms"))).alias("places"))
-    held = size_guarded(stage(per_doc, "places"))
     texts = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(text_of(text_column)).alias("text_key"), F.col(text_column).alias("text"))
-    asked = texts.join(held, same(texts, held, *_KEY)).select(texts["doc_id"], texts["text_key"], "text", "places")
+    asked = texts.join(per_doc, same(texts, per_doc, *_KEY), "left").select(texts["*"], "places")
 
     def compare(words: Column) -> Column:
         equal = F.filter("places", lambda p: F.slice(words, p["start"] + 1, p["len"]) == p["terms"])
-        return F.transform(equal, lambda p: F.struct(p["start"].alias("start"), p["len"].alias("len"), p["window_id"].alias("window_id")))
+        matches = F.transform(equal, lambda p: F.struct(p["start"].alias("start"), p["len"].alias("len"), p["window_id"].alias("window_id")))
+        return F.struct(F.size(words).cast("bigint").alias("n_words"), F.coalesce(matches, F.array().cast(_MATCHES)).alias("matches"))
 
     # The one-element array binds the words once for all comparisons.
     compared = F.transform(F.array(words_of("text")), compare)[0]
-    found = stage(asked.select(*_KEY, compared.alias("matches")).where(F.size("matches") > 0).dropDuplicates([*_KEY]), "matches")
+    found = stage(asked.select(*_KEY, compared.alias("found")), "matches")
     # Windows that occur, each once for a document, and what items hold them: never an item list for a place.
-    occurring = found.select(*_KEY, F.explode(F.array_distinct("matches.window_id")).alias("window_id"))
+    occurring = found.where(F.size("found.matches") > 0).select(*_KEY, F.explode(F.array_distinct("found.matches.window_id")).alias("window_id")).distinct()
     named = occurring.join(size_guarded(windows.select("window_id", "items")), "window_id").select(*_KEY, F.explode("items").alias("item")).distinct()
     per_doc_items = stage(named.groupBy(*_KEY).agg(F.sort_array(F.collect_list("item")).alias("items")), "hit-items")
-    matched = found.join(per_doc_items, same(found, per_doc_items, *_KEY)).select(found["*"], "items")
-    # Texts are shuffled only where the matches are too many for a broadcast.
-    matched = size_guarded(stage(matched, "matched"))
+    listed = size_guarded(per_doc_items)
+    joined = found.join(listed, same(found, listed, *_KEY), "left").select(found["*"], "items")
+    return joined.select(*_KEY, F.struct("found.n_words", "found.matches", F.coalesce("items", F.array().cast("array<string>")).alias("items")).alias("phrases"))
+
+
+def with_phrases(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text", result: str = "phrases", **options) -> DataFrame:
+    """``docs`` with the struct ``phrases`` of ``find_phrases``, which has the ``options``. All columns and rows of ``docs`` stay; a column named like the result is replaced."""
+    found = find_phrases(docs, items, id_column=id_column, text_column=text_column, **options).dropDuplicates([*_KEY])
     rows = packed(docs.drop(result), id_column, text_column)
-    joined = rows.join(matched, same(rows, matched, *_KEY), "left").select("row", "matches", "items")
-    none = F.array().cast("array<struct<start:int,len:int,window_id:bigint>>")
-    counted = F.struct(
-        F.size(words_of(F.col(f"row.`{text_column}`"))).cast("bigint").alias("n_words"),
-        F.coalesce("matches", none).alias("matches"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-    )
-    return joined.select("row.*", counted.alias(result))
+    return rows.join(found, same(rows, found, *_KEY), "left").select("row.*", F.col("phrases").alias(result))
 
 
 def hit_words(matches: Column) -> Column:
@@ -155,10 +153,13 @@ def hit_words(matches: Column) -> Column:
     return F.size(F.array_distinct(F.flatten(covered))).cast("bigint")
 
 
-def without_contaminated(docs: DataFrame, items: DataFrame, **names: str) -> DataFrame:
+def without_contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` in which no window of an item occurs, with their columns."""
-    found = free_name(docs, "phrases")
-    return with_phrases(docs, items, result=found, **names).where(F.size(f"{found}.matches") == 0).drop(found)
+    found = find_phrases(docs, items, id_column=id_column, text_column=text_column, **options)
+    # Texts are shuffled once more only where the documents that go are too many for a broadcast.
+    gone = size_guarded(stage(found.where(F.size("phrases.matches") > 0).select(*_KEY).distinct(), "contaminated"))
+    rows = packed(docs, id_column, text_column)
+    return rows.join(gone, same(rows, gone, *_KEY), "left_anti").select("row.*")
 
 
 def proximity_matches(index: DataFrame, ranked: DataFrame, slop: int) -> DataFrame:

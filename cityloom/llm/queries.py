@@ -138,7 +138,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = phrases.with_phrases(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = phrases.find_phrases(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     matches, items = F.col("phrases.matches"), F.col("phrases.items")
     return found.select(
         "doc_id",
