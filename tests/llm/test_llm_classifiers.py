@@ -83,8 +83,8 @@ def test_thousands_of_languages(spark):
     assert sample.count() == sample.select("lang").distinct().count() == 5000
     words = language.codewords(5000)
     assert words.shape[0] == 5000 and len({tuple(row) for row in words}) == 5000
-    model = language.train(frame.where("lang < 'l0300'"), sample=300)
-    assert len(model.languages) == 300
+    model = language.train(frame.where("lang < 'l0060'"), sample=60)
+    assert len(model.languages) == 60
     assert model.answer(f"{word(7)} {word(7)}")[0] in model.languages
 
 
