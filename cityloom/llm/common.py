@@ -84,7 +84,7 @@ def hash_sample(texts: DataFrame, group: str, each: int) -> DataFrame:
     """At most ``each`` different texts of every group, with their hashes in ``key``: those with the lowest hashes. A group with fewer texts is taken whole.
 
     The hashes are spread evenly, so a bound below which a little more than ``each`` texts of a group lie follows from the number of its different texts. One pass counts, another
-    joins the bounds, a row for each group, and only what lies below them, a bounded number of rows of a group, is ranked.
+    joins the bounds, a row for each group, and only the hashes below them, a bounded number for a group, are ranked. Texts stay where their hashes put them: no task holds those of a group.
     """
     keyed = texts.withColumn("key", F.xxhash64("text"))
     # The counts are estimates within a few hundredths; the margin makes too few texts below a bound next to impossible, however small ``each``.
@@ -93,8 +93,12 @@ def hash_sample(texts: DataFrame, group: str, each: int) -> DataFrame:
     sizes = keyed.groupBy(F.col(group).alias("__group")).agg(F.approx_count_distinct("key").alias("n"))
     bounds = size_guarded(stage(sizes.select("__group", low.alias("__low")), "bounds"))
     below = keyed.join(bounds, F.col(group).eqNullSafe(F.col("__group"))).where("key <= __low").drop("__group", "__low").dropDuplicates(["key", group])
-    lowest = F.row_number().over(Window.partitionBy(group).orderBy("key"))
-    return below.withColumn("__place", lowest).where(F.col("__place") <= each).drop("__place")
+    below = stage(below, "below")
+    lowest = F.row_number().over(Window.partitionBy("__group").orderBy("__key"))
+    places = below.select(F.col(group).alias("__group"), F.col("key").alias("__key")).withColumn("__place", lowest)
+    last = places.where(F.col("__place") <= each).groupBy("__group").agg(F.max("__key").alias("__last"))
+    kept = below.join(size_guarded(stage(last, "last")), F.col(group).eqNullSafe(F.col("__group"))).where("key <= __last")
+    return kept.drop("__group", "__last")
 
 
 @contextmanager
