@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from cityloom.operators.skew import is_small
-from cityloom.session import stage
+from cityloom.session import hadoop_path, stage
 from cityloom.sources.zones import Zone
 
 BUCKETS = 64
@@ -65,23 +65,40 @@ def append_distinct(
     beside: dict[str, DataFrame] | None = None,
     buckets: int = BUCKETS,
 ) -> None:
-    """Write the rows that a table does not hold yet, each once; with ``mode='overwrite'`` they replace it.
+    """Write the rows that a table does not hold yet, each once; with ``mode='overwrite'`` they replace it, and its digests go with the old rows.
 
-    Rows are equal as in a full-row de-duplication. A table, or runs of one, without digests gets them first, which reads its rows once. ``buckets`` counts for a new table: with the rows of all
-    loads in mind, some millions to a bucket.
+    Rows are equal as in a full-row de-duplication. A table, or runs of one, without digests gets them first, which reads its rows once; so does one whose digests were deleted. ``buckets`` counts for a new table:
+    with the rows of all loads in mind, some millions to a bucket.
     """
-    spark = zone.spark
-    append = mode == "append" and zone.exists(table)
-    state = zone.notes(table).get("digests") if append else None
+    there = zone.exists(table)
+    append = mode == "append" and there
+    earlier = zone.notes(table).get("digests") if there else None
+    state = earlier if append and earlier and _folder_exists(zone, table, earlier) else None
     run = uuid.uuid4().hex
+    kept_state = state is not None
     if state is None:
         state = {"folder": f"_digests-{run}", "buckets": buckets, "runs": []}
+    try:
+        kept, held = _unseen(zone, table, rows, state, run, append)
+        noted = {**(notes or {}), "digests": {**state, "runs": [*held, run]}}
+        zone.write(table, kept, mode, partition_by, noted, beside, run)
+    except Exception:
+        if not kept_state:
+            _delete_folder(zone, table, state)
+        raise
+    if earlier and earlier["folder"] != state["folder"]:
+        _delete_folder(zone, table, earlier)
+
+
+def _unseen(zone: Zone, table: str, rows: DataFrame, state: dict, run: str, append: bool) -> tuple[DataFrame, list[str]]:
+    """The rows that the table does not hold, each once, and the runs of the table; their digests are written for ``run``."""
+    spark = zone.spark
     with _bucketed(spark, f"{zone.path(table)}/{state['folder']}", state["buckets"]) as name:
-        missing = [other for other in zone.runs(table) if other not in state["runs"]] if append else []
-        for other in missing:
-            old = zone.read(table, runs=[other])
-            _insert(spark, old.select(row_digest(old).alias("digest")).distinct(), other, name)
-        held = [other for other in zone.runs(table)] if append else []
+        held = list(zone.runs(table)) if append else []
+        for other in held:
+            if other not in state["runs"]:
+                old = zone.read(table, runs=[other])
+                _insert(spark, old.select(row_digest(old).alias("digest")).distinct(), other, name)
         # Digests of runs that were written but never became part of the table do not count.
         stored = spark.table(name).where(F.col("run").isin(held)) if held else None
         new = stage(rows.withColumn(_DIGEST, row_digest(rows)), "new-rows")
@@ -93,8 +110,17 @@ def append_distinct(
     once = marked.where(F.col(_AGAIN).isNull())
     several = marked.where(_AGAIN).dropDuplicates([_DIGEST])
     kept = once.unionByName(several).drop(_DIGEST, _AGAIN)
-    noted = {**(notes or {}), "digests": {**state, "runs": [*held, run]}}
-    zone.write(table, kept.select(*[f"`{column}`" for column in rows.columns]), mode, partition_by, noted, beside, run)
+    return kept.select(*[f"`{column}`" for column in rows.columns]), held
+
+
+def _folder_exists(zone: Zone, table: str, state: dict) -> bool:
+    files, path = hadoop_path(zone.spark, f"{zone.path(table)}/{state['folder']}")
+    return files.exists(path)
+
+
+def _delete_folder(zone: Zone, table: str, state: dict) -> None:
+    files, path = hadoop_path(zone.spark, f"{zone.path(table)}/{state['folder']}")
+    files.delete(path, True)
 
 
 def _sized(digests: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import datetime
 import os
+import shutil
 
 import pytest
 from conftest import plan_of, rows
@@ -172,6 +173,30 @@ def test_tables_without_digests_and_runs_that_never_counted(spark, zone, monkeyp
     assert rows(zone.read("t")) == [(i,) for i in range(4)]
 
 
+def test_digests_go_with_the_rows_they_stand_for(spark, zone):
+    def folders():
+        return sorted(name for name in os.listdir(zone.path("t")) if name.startswith("_digests-"))
+
+    append_distinct(zone, "t", spark.range(4))
+    first = folders()
+    append_distinct(zone, "t", spark.range(6))
+    assert folders() == first
+    append_distinct(zone, "t", spark.range(2), "overwrite")
+    second = folders()
+    assert len(first) == len(second) == 1 and first != second
+    with pytest.raises(Exception, match="midway"):
+        append_distinct(zone, "t", spark.range(3).select(F.raise_error(F.lit("midway")).cast("bigint").alias("id")), "overwrite")
+    assert folders() == second and rows(zone.read("t")) == [(0,), (1,)]
+
+
+def test_digests_that_were_deleted_are_made_again(spark, zone):
+    append_distinct(zone, "t", spark.range(4))
+    append_distinct(zone, "t", spark.range(2, 6))
+    shutil.rmtree(f"{zone.path('t')}/{zone.notes('t')['digests']['folder']}")
+    append_distinct(zone, "t", spark.range(8))
+    assert rows(zone.read("t")) == [(i,) for i in range(8)]
+
+
 def test_digests_do_not_depend_on_column_order(spark):
     a, b = spark.sql("SELECT 1 AS x, 'q' AS y"), spark.sql("SELECT 'q' AS Y, 1 AS X")
     assert a.select(row_digest(a)).first()[0] == b.select(row_digest(b)).first()[0]
