@@ -18,10 +18,19 @@ from cityloom.session import MAX_SHUFFLE_PARTITIONS, MB_128, SHUFFLE_PARTITIONS_
 BROADCAST_BYTES = 16 << 20
 #: What a broadcast row costs beside its values.
 ROW_BYTES = 32
+#: Bytes of rows that are handed to a Python worker at a time. The default of 64 MB is held several times over, by the executor and by the workers of all its cores.
+BATCH_BYTES = 4 << 20
+BATCH_BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def importable(spark: SparkSession) -> None:
-    """Let Python workers find this package at the driver's place, if it is not installed or sent along with ``--py-files``."""
+    """Let Python workers find this package at the driver's place, if it is not installed or sent along with ``--py-files``, and get rows in small batches.
+
+    A lower limit on the bytes of a batch that the session has stays. A row larger than the limit is a batch of its own.
+    """
+    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH_BYTES_SETTING))
+    if limit > BATCH_BYTES:
+        spark.conf.set(BATCH_BYTES_SETTING, str(BATCH_BYTES))
     root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
