@@ -120,3 +120,33 @@ def test_left_join_with_suffixes(spark):
     got = left_join_suffixed(left, right, "k", "k")
     assert got.columns == ["k", "n", "k_1", "n_1"]
     assert rows(got) == [(1, "a", 1, "c"), (2, "b", None, None)]
+
+
+@pytest.mark.parametrize("swap", [False, True])
+def test_tasks_of_a_fan_out_are_cut_by_the_rows_they_form(spark, swap):
+    from cityloom.operators.skew import fan_out_join
+
+    many = spark.sql("SELECT IF(id < 600, 'hot', concat('k', id % 40)) AS k, id AS a FROM range(1000) UNION ALL SELECT NULL, -1")
+    few = spark.sql("SELECT IF(id < 30, 'hot', concat('k', id % 50)) AS k, id AS b FROM range(230) UNION ALL SELECT NULL, -1")
+    sides = (few, many) if swap else (many, few)
+    expected = sides[0].join(sides[1], "k")
+    got = fan_out_join(*sides, ["k"], joined_rows=2000)
+    assert rows(got, "k", "a", "b") == rows(expected, "k", "a", "b")
+    per_task = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    # Of 18,000 rows of the hot key and some more.
+    assert len(per_task) > 5 and max(per_task) < 9000
+
+
+def test_no_rows_meet_in_a_fan_out(spark):
+    from cityloom.operators.skew import fan_out_join
+
+    assert fan_out_join(spark.sql("SELECT 1 AS k, 2 AS a"), spark.sql("SELECT 3 AS k, 4 AS b"), ["k"], joined_rows=1).collect() == []
+
+
+def test_exact_sums_equal_those_of_decimals(spark):
+    from cityloom.gallery.relations import exact_sum
+
+    values = [0.1, 0.2, -0.3, 1.005, 2.675, 123456789.12, 9e15, -12.345, 0.0, -0.0, 33.33, None]
+    df = spark.createDataFrame([(i % 2, v) for v in values for i in range(3)] + [(2, None), (3, 1e12), (3, 0.01)], "g int, v double")
+    plain = F.sum(F.col("v").cast("decimal(18,2)")).cast("double")
+    assert rows(df.groupBy("g").agg(exact_sum("v").alias("s"))) == rows(df.groupBy("g").agg(plain.alias("s")))
