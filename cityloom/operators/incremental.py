@@ -1,7 +1,7 @@
 """De-duplication of new rows against what a table holds, without reading the rows it holds.
 
-Of every row of the table a digest is kept beside it, in files bucketed by the digest. New rows are probed by their digests alone: these are shuffled to the buckets, the stored ones stay where they are. Whole
-new rows are only shuffled where a digest occurs more than once among them.
+Of every row of the table a digest is kept beside it, in files bucketed by the digest. New rows are numbered and probed by their digests alone, which move once, with the number of the row. What is left are the
+numbers of the rows to be kept. Whole new rows are only shuffled where both the rows to be kept and the others are many, and then by their numbers, without digests.
 """
 
 from __future__ import annotations
@@ -14,14 +14,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from cityloom.operators.skew import is_small
 from cityloom.session import hadoop_path, stage
 from cityloom.sources.zones import Zone
 
 BUCKETS = 64
-#: Digests of new rows that need a second look are broadcast up to so many; each has 32 bytes.
+#: Bytes kept of a digest. Of 10**12 different rows two have the same 16 with a chance of 1.5 in 10**15. Tables that were begun with whole digests go on with these.
+DIGEST_BYTES, WHOLE_BYTES = 16, 32
+#: Numbers of new rows are broadcast up to so many.
 BROADCAST_DIGESTS = 400_000
-_DIGEST, _AGAIN = "_row_digest", "_row_again"
+_ROW = "_row_number"
 _TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
@@ -47,12 +48,9 @@ def _bucketed(spark: SparkSession, path: str, buckets: int) -> Iterator[str]:
 
 
 def _special(digests: DataFrame, stored: DataFrame | None) -> DataFrame:
-    """Digests of new rows that the table holds (again: false), or that several new rows have (again: true). Only digests move."""
-    counted = digests.groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
-    if stored is None:
-        return counted.where("n > 1").select("digest", F.lit(True).alias("again"))
-    held = counted.join(stored.select("digest", F.lit(True).alias("held")), "digest", "left")
-    return held.where("held OR n > 1").select("digest", F.col("held").isNull().alias("again"))
+    """Digests of new rows that the table does not hold, each once, with the number of the first row that has it."""
+    first = digests.groupBy("digest").agg(F.min(_ROW).alias(_ROW))
+    return first if stored is None else first.join(stored.select("digest"), "digest", "left_anti")
 
 
 def append_distinct(
@@ -77,7 +75,7 @@ def append_distinct(
     run = uuid.uuid4().hex
     kept_state = state is not None
     if state is None:
-        state = {"folder": f"_digests-{run}", "buckets": buckets, "runs": []}
+        state = {"folder": f"_digests-{run}", "buckets": buckets, "runs": [], "bytes": DIGEST_BYTES}
     try:
         kept, held = _unseen(zone, table, rows, state, run, append)
         noted = {**(notes or {}), "digests": {**state, "runs": [*held, run]}}
@@ -92,25 +90,36 @@ def append_distinct(
 
 def _unseen(zone: Zone, table: str, rows: DataFrame, state: dict, run: str, append: bool) -> tuple[DataFrame, list[str]]:
     """The rows that the table does not hold, each once, and the runs of the table; their digests are written for ``run``."""
-    spark = zone.spark
+    spark, width = zone.spark, state.get("bytes", WHOLE_BYTES)
+
+    def digest(df: DataFrame) -> Column:
+        return F.substring(row_digest(df), 1, width).alias("digest")
+
     with _bucketed(spark, f"{zone.path(table)}/{state['folder']}", state["buckets"]) as name:
         held = list(zone.runs(table)) if append else []
         for other in held:
             if other not in state["runs"]:
                 old = zone.read(table, runs=[other])
-                _insert(spark, old.select(row_digest(old).alias("digest")).distinct(), other, name)
+                _insert(spark, old.select(digest(old)).distinct(), other, name)
         # Digests of runs that were written but never became part of the table do not count.
         stored = spark.table(name).where(F.col("run").isin(held)) if held else None
-        new = stage(rows.withColumn(_DIGEST, row_digest(rows)), "new-rows")
-        digests = new.select(F.col(_DIGEST).alias("digest"))
-        special = stage(_special(digests, stored), "special-digests")
-        known = special.where("NOT again").select("digest")
-        _insert(spark, digests.distinct().join(_sized(known), "digest", "left_anti"), run, name)
-    marked = new.join(_sized(special.withColumnsRenamed({"digest": _DIGEST, "again": _AGAIN})), _DIGEST, "left")
-    once = marked.where(F.col(_AGAIN).isNull())
-    several = marked.where(_AGAIN).dropDuplicates([_DIGEST])
-    kept = once.unionByName(several).drop(_DIGEST, _AGAIN)
-    return kept.select(*[f"`{column}`" for column in rows.columns]), held
+        new = stage(rows.withColumn(_ROW, F.monotonically_increasing_id()), "new-rows")
+        found = stage(_special(new.select(digest(new.drop(_ROW)), _ROW), stored), "new-digests")
+        _insert(spark, found.select("digest"), run, name)
+    return _numbered(new, found.select(_ROW)).select(*[f"`{column}`" for column in rows.columns]), held
+
+
+def _numbered(new: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows whose numbers are to be kept. The counts are in the files' footers."""
+    n_kept = kept.count()
+    n_left = new.count() - n_kept
+    if not n_left:
+        return new
+    if n_kept <= BROADCAST_DIGESTS:
+        return new.join(F.broadcast(kept), _ROW, "left_semi")
+    if n_left <= BROADCAST_DIGESTS:
+        return new.join(F.broadcast(new.select(_ROW).join(kept, _ROW, "left_anti")), _ROW, "left_anti")
+    return new.join(kept, _ROW, "left_semi")
 
 
 def _folder_exists(zone: Zone, table: str, state: dict) -> bool:
@@ -123,9 +132,5 @@ def _delete_folder(zone: Zone, table: str, state: dict) -> None:
     files.delete(path, True)
 
 
-def _sized(digests: DataFrame) -> DataFrame:
-    return F.broadcast(digests) if is_small(digests, BROADCAST_DIGESTS) else digests
-
-
 def _insert(spark: SparkSession, digests: DataFrame, run: str, name: str) -> None:
     digests.select(F.lit(run).alias("run"), "digest").write.insertInto(name)

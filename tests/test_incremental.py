@@ -238,3 +238,31 @@ def test_kpis_after_increments(spark, tmp_path):
     indicators.run(formatted, kept, nulls="zero", incremental=True)
     indicators.run(formatted, plain, nulls="zero")
     assert rows(kept.read("top_sellers")) == rows(plain.read("top_sellers"))
+
+
+def test_digests_are_short_and_move_without_the_rows(spark, zone, monkeypatch):
+    staged = {}
+    inner = incremental.stage
+    monkeypatch.setattr(incremental, "stage", lambda df, label: staged.setdefault(label, []).append(df) or inner(df, label))
+    append_distinct(zone, "t", spark.range(100))
+    append_distinct(zone, "t", spark.range(50, 150))
+    assert {label: df.columns for label, (df, _) in staged.items()} == {"new-rows": ["id", "_row_number"], "new-digests": ["digest", "_row_number"]}
+    folder = f"{zone.path('t')}/{zone.notes('t')['digests']['folder']}"
+    stored = spark.read.parquet(folder)
+    assert stored.count() == 150 and stored.where("octet_length(digest) <> 16").isEmpty()
+
+
+@pytest.mark.parametrize("limit", [0, 60, 1000])
+def test_rows_are_kept_by_number_whichever_are_many(spark, zone, monkeypatch, limit):
+    monkeypatch.setattr(incremental, "BROADCAST_DIGESTS", limit)
+    for part in (spark.range(100), spark.range(50, 300), spark.range(20), spark.range(5, 310).union(spark.range(305, 320))):
+        append_distinct(zone, "t", part)
+    assert rows(zone.read("t")) == sorted(((i,) for i in range(320)), key=lambda t: (False, str(t[0])))
+
+
+def test_tables_begun_with_whole_digests_go_on_with_them(spark, zone, monkeypatch):
+    monkeypatch.setattr(incremental, "DIGEST_BYTES", 32)
+    append_distinct(zone, "t", spark.range(4))
+    monkeypatch.undo()
+    append_distinct(zone, "t", spark.range(6))
+    assert rows(zone.read("t")) == [(i,) for i in range(6)]
