@@ -1,19 +1,27 @@
 """Matching names that differ by a few letters.
 
-Names within an edit distance k share all but k * q of their q-grams at least (the count filter), so if the grams of every name are put in one order, the rarest of the lookup's first, two such names share one of their first
-k * q + 1 grams (the prefix filter). A join on these alone finds every pair, and the edit distance is taken of the pairs found only. Names of so few grams that the filter says nothing are found by the
+Names within an edit distance k share all but k * q of their q-grams at least (the count filter), so if the grams of every name are put in one order, the rarest of the lookup's first, two such names share m of their first
+k * q + m grams (the prefix filter). A join on every m of these finds every pair; single grams are shared by a share of all names, so that pairs would grow with the square of the names, while few names share several. The edit
+distance is taken of the pairs found only. Names of so few grams that the filter says nothing are found by the
 strings that at most k deletions leave of them, of which two such names share one.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cityloom.operators.lookup import Level
-from cityloom.operators.skew import balanced_join, is_small
+from cityloom.operators.skew import MAX_JOIN_TASKS, balanced_join, fan_out_join, is_small
+from cityloom.session import stage
 
 GRAM = 2
+#: Grams that two names must share: the more, the fewer pairs are found in vain, and the more marks a name has.
+SHARED = 3
+#: Names of which a task makes the marks.
+TASK_NAMES = 2_000
 #: Stands before and behind a name, so that its first and last letters are in as many grams as the others.
 _EDGE = "\x01"
 
@@ -43,11 +51,19 @@ def _marks(names: DataFrame, rarity: DataFrame, distance: int) -> DataFrame:
     """Names with what pairs are found by: (name, mark)."""
     grams = names.select("name", F.explode(_grams(F.col("name"))).alias("mark")).join(rarity, "mark", "left")
     ordered = F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "mark")))
-    first = grams.groupBy("name").agg(F.slice(ordered, 1, distance * GRAM + 1).alias("first"))
-    by_gram = first.select("name", F.explode("first.mark").alias("mark"))
-    # One of two near names is short of grams, and the other longer by the distance at most.
-    short = F.char_length("name") <= distance * GRAM - GRAM + 1 + distance
-    return by_gram.unionByName(names.where(short).select("name", F.explode(_remains(F.col("name"), distance)).alias("mark")))
+    prefix = distance * GRAM + SHARED
+    first = grams.groupBy("name").agg(F.slice(ordered, 1, prefix)["mark"].alias("first"))
+    # Hashes that are equal by chance cost a comparison only.
+    several = [F.when(F.size("first") > places[-1], F.xxhash64(*[F.get("first", F.lit(place)) for place in places])) for places in combinations(range(prefix), SHARED)]
+    by_gram = first.select("name", F.explode(F.array_compact(F.array(*several))).alias("mark"))
+    # Longer names, or shorter ones near a longer one, have grams enough to share.
+    short = F.char_length("name") <= distance * GRAM - GRAM + SHARED
+    return by_gram.unionByName(names.where(short).select("name", F.explode(F.transform(_remains(F.col("name"), distance), lambda text: F.xxhash64(text))).alias("mark")))
+
+
+def _dealt(names: DataFrame) -> DataFrame:
+    """Staged names in tasks of about ``TASK_NAMES``: few bytes, but much work for each."""
+    return names.repartition(min(names.count() // TASK_NAMES + 1, MAX_JOIN_TASKS), "name")
 
 
 def near_names(names: DataFrame, known: DataFrame, distance: int = 2) -> DataFrame:
@@ -58,13 +74,15 @@ def near_names(names: DataFrame, known: DataFrame, distance: int = 2) -> DataFra
     """
     if distance < 1:
         raise ValueError("equal names need no search: the distance is 1 at least")
-    names, known = (frame.select("name").dropna().distinct() for frame in (names, known))
-    rarity = known.select(F.explode(_grams(F.col("name"))).alias("mark")).groupBy("mark").agg(F.count(F.lit(1)).alias("n"))
-    theirs = _marks(known, rarity, distance).withColumnRenamed("name", "known")
-    theirs = F.broadcast(theirs) if is_small(theirs) else theirs
-    pairs = _marks(names, rarity, distance).join(theirs, "mark").select("name", "known").distinct()
+    names, known = (_dealt(stage(frame.select("name").dropna().distinct(), "names")) for frame in (names, known))
+    rarity = stage(known.select(F.explode(_grams(F.col("name"))).alias("mark")).groupBy("mark").agg(F.count(F.lit(1)).alias("n")), "rarity")
+    theirs = stage(_marks(known, rarity, distance).withColumnRenamed("name", "known"), "known-marks")
+    ours = _marks(names, rarity, distance)
+    pairs = ours.join(F.broadcast(theirs), "mark") if is_small(theirs) else fan_out_join(stage(ours, "marks"), theirs, ["mark"])
+    alike = pairs.where(F.abs(F.char_length("name") - F.char_length("known")) <= distance)
     apart = F.levenshtein("name", "known", distance)
-    measured = pairs.withColumn("distance", apart).where("distance >= 0")
+    # Measured before the copies of a pair are put together: few pairs are left to move.
+    measured = alike.select("name", "known", apart.alias("distance")).where("distance >= 0").distinct()
     per_distance = measured.groupBy("name", "distance").agg(F.count(F.lit(1)).alias("n_nearest"), F.min("known").alias("match"))
     nearest = per_distance.groupBy("name").agg(F.min(F.struct("distance", "n_nearest", "match")).alias("best"))
     found = nearest.select("name", "best.*")

@@ -65,3 +65,16 @@ def test_a_repeated_key_is_compared_once(spark):
     df = spark.range(500).select(F.lit("abcdex").alias("k"))
     level = Level(lookup, "k", "k", "label", "label")
     assert add_near_name(reconcile(df, level), level, 1).where("label = 'L'").count() == 500
+
+
+def test_names_of_one_pattern_are_found_among_few(spark):
+    from cityloom.operators import near
+
+    known = spark.range(2000).select(F.format_string("Supplier#%09d", F.col("id") * 37).alias("name"))
+    names = known.select(F.regexp_replace("name", "#", "").alias("name"))
+    rarity = known.select(F.explode(near._grams(F.col("name"))).alias("mark")).groupBy("mark").agg(F.count(F.lit(1)).alias("n"))
+    marks = [near._marks(frame, rarity, 2) for frame in (names, known.withColumnRenamed("name", "known").select(F.col("known").alias("name")))]
+    pairs = marks[0].join(marks[1].withColumnRenamed("name", "known"), "mark")
+    # A single gram would be shared by a twentieth of all pairs and more.
+    assert pairs.count() < 2000 * 2000 / 20
+    assert near_names(names, known).where("distance = 1").count() == 2000
