@@ -2,6 +2,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from cityloom.sources import zones
 from cityloom.sources.zones import RUNS, Zone
 
 
@@ -108,3 +109,10 @@ def test_views(spark, zone):
     zone.write("t", numbers(spark, 1, 2))
     zone.as_views("t", prefix="own_")
     assert spark.sql("SELECT sum(v) AS s FROM own_t").first().s == 3
+
+
+def test_files_have_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(zones, "FILE_ROWS", 10)
+    zone = Zone(spark, str(tmp_path))
+    zone.write("t", spark.range(95, numPartitions=1))
+    assert len(zone.read("t").inputFiles()) == 10 and zone.read("t").count() == 95
