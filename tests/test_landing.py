@@ -231,3 +231,21 @@ def test_partitioned_table_splits_no_partition_needlessly(spark, tmp_path):
 def test_preview(spark):
     shown = preview(spark.range(9).withColumnRenamed("id", "k"), "k", rows=2).collect()
     assert [tuple(r) for r in shown] == [(0, "struct<k:bigint>"), (1, "struct<k:bigint>")]
+
+
+def test_entries_are_looked_for_at_the_end_of_a_path_only(spark):
+    from conftest import plan_of
+
+    from cityloom.sources.landing import LAYOUTS, entry_of
+
+    folder = "file:///a=1/b.csv/x.json/in"
+    names = ["2020_s.csv", "day=2020_05_04/p.json", "file=2020_s.csv/part-0.csv", "2020_05_04/a.json/part-1.json", "x.csv/y.csv/part-2.csv", "a b+c%20d.parquet", "none.txt", "d=1/e=2.csv"]
+    paths = [f"{root}{name}" for name in names for root in (folder + "/", "/", "", "s3://")]
+    df = spark.createDataFrame([(path,) for path in paths], "path string")
+    for layout, (_, pattern) in LAYOUTS.items():
+        whole = F.regexp_extract("path", pattern, 1)
+        decoded = F.url_decode(F.replace(whole, F.lit("+"), F.lit("%2B")))
+        expected = F.when(F.contains(whole, F.lit("%")), decoded).otherwise(whole)
+        found = df.select("path", entry_of(F.col("path"), layout).alias("entry"))
+        assert found.exceptAll(df.select("path", expected.alias("entry"))).collect() == []
+        assert "substring_index" in plan_of(found)
