@@ -248,6 +248,16 @@ def test_training_runs_are_told_apart(spark, formatted, tmp_path):
     assert train.join(test, "propertyCode", "left_semi").isEmpty()
 
 
+def test_training_reads_its_own_run_alone(spark, formatted, tmp_path, monkeypatch):
+    zone, read = Zone(spark, str(tmp_path)), []
+    fit = training.fit_price_model
+    monkeypatch.setattr(training, "fit_price_model", lambda df, **options: read.append(df.inputFiles()) or fit(df, **options))
+    for _ in range(2):
+        training.run(formatted, zone, mode="append")
+    runs = zone.runs("model_frame")
+    assert len(runs) == 2 and all(files and all(run in file for file in files) for run, files in zip(runs, read, strict=True))
+
+
 def test_nothing_to_train_on(spark, formatted, tmp_path):
     empty = Zone(spark, str(tmp_path / "in"))
     for name in ("listings", "income", "air_quality"):
